@@ -1,0 +1,243 @@
+"""Operators on the FIXTURES.md golden cases and hand-built tables."""
+
+import random
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from dryspell.operators import accumulate, boundaries as B, nearest as N, report as R, stats as ST
+from dryspell.operators.ingest import daily_from_matrix
+from dryspell.operators.median import exact_median
+from dryspell.operators.zones import natural_zones, natural_zones_union
+
+META = ["code", "institution", "source", "name", "altitude", "lat", "lon", "basin_code", "basin_name",
+        "subbasin_code", "subbasin_name", "obs_start", "obs_end", "obs_count", "auto_start"]
+
+
+def _matrix_lines(spark, stations, days, block="f1"):
+    """stations: list of dicts with code/institution/lat/lon; days: {label: [values]}."""
+    lines = []
+    for i, field in enumerate(META):
+        vals = [str(s.get(field, "x")) for s in stations]
+        lines.append((block, i, ",".join([field] + vals)))
+    for j, (label, vals) in enumerate(days.items()):
+        lines.append((block, 100 + j, ",".join([label] + vals)))
+    return spark.createDataFrame(lines, "block string, line_no long, value string")
+
+
+def test_matrix_to_daily_golden(spark):
+    st = [dict(code="00330020", institution="DGA", lat=-33.45, lon=-70.66),
+          dict(code="XX000000001", institution="GHCN", lat=-33.0, lon=-70.0),
+          dict(code="01000005", institution="DMC", lat=-18.0, lon=-70.0),
+          dict(code="05000001", institution="DMC", lat=-36.9, lon=-76.0),
+          dict(code="07000001", institution="DMC", lat=-28.0, lon=-71.0)]
+    days = {"2000-01-01": ["0", "1", "1", "1", "-9999.000"],
+            "2000-01-02": ["-9999", "1", "1", "1", "1.2"],
+            "2000-01-03": ["3.5", "1", "1", "1", "-9999.7"]}
+    out = daily_from_matrix(_matrix_lines(spark, st, days)).collect()
+    got = sorted((r.code, r.year, r.month, r.day, r.precip) for r in out)
+    assert got == [("330020", 2000, 1, 1, 0.0), ("330020", 2000, 1, 3, 3.5), ("7000001", 2000, 1, 2, 1.2)]
+
+
+def test_matrix_blocks_are_independent(spark):
+    a = _matrix_lines(spark, [dict(code="1", institution="DGA", lat=-30.0, lon=-70.0)],
+                      {"2001-02-03": ["5"]}, block="a")
+    b = _matrix_lines(spark, [dict(code="2", institution="DGA", lat=-30.0, lon=-70.0)],
+                      {"2001-02-03": ["7"]}, block="b")
+    got = sorted((r.code, r.precip) for r in daily_from_matrix(a.unionByName(b)).collect())
+    assert got == [("1", 5.0), ("2", 7.0)]
+
+
+def _daily(spark, n_rows, code="1", year=2000):
+    return spark.createDataFrame([(code, year, 1, 1 + (i % 28), 1.0) for i in range(n_rows)],
+                                 "code string, year int, month int, day int, precip double")
+
+
+def test_completeness_346_vs_345(spark):
+    d = _daily(spark, 346, "1").unionByName(_daily(spark, 345, "2"))
+    got = {r.code: r.days for r in accumulate.yearly(d).collect()}
+    assert got == {"1": 346}
+    by_join = {r.code: r.days for r in accumulate.accumulate_by_join(d, ["code", "year"], min_days=346).collect()}
+    assert by_join == got
+    rep = accumulate.completeness_report(d).first()
+    assert (rep.station_years, rep.complete_station_years) == (2, 1)
+
+
+def test_year_filter_and_monthly(spark):
+    d = _daily(spark, 3, "1", 1899).unionByName(_daily(spark, 4, "1", 1900))
+    got = [(r.year, r.month, r.days, r.precip) for r in accumulate.monthly(d).collect()]
+    assert got == [(1900, 1, 4, 4.0)]
+
+
+YZ = [(1, 2000, 100.0), (1, 2000, 300.0), (1, 2001, 200.0), (1, 2001, 400.0),
+      (2, 2000, 50.0), (3, 2000, 10.0), (3, 2000, 20.0), (3, 2000, 90.0)]
+
+
+def _yz(spark):
+    return spark.createDataFrame([(f"s{i}", y, p, z) for i, (z, y, p) in enumerate(YZ)],
+                                 "code string, year int, precip double, zone int")
+
+
+def test_statistics_golden(spark):
+    yz = _yz(spark)
+    med = {(r.zone, r.year): r.median for r in ST.median_by_zone_year(yz).collect()}
+    assert med == {(1, 2000): 200.0, (1, 2001): 300.0, (2, 2000): 50.0, (3, 2000): 20.0}
+    ms = {r.zone: (r.mean, r.std) for r in ST.mean_std_by_zone(yz).collect()}
+    assert ms[1][0] == 250.0 and ms[1][1] == pytest.approx(111.803399, abs=1e-6)
+    assert ms[2] == (50.0, 0.0)
+    assert ms[3][1] == pytest.approx(35.590261, abs=1e-6)
+    spi = {(r.zone, r.year): r.spi for r in ST.spi(yz).collect()}
+    assert spi[(1, 2000)] == pytest.approx(-0.447214, abs=1e-6)
+    assert spi[(1, 2001)] == pytest.approx(0.447214, abs=1e-6)
+    assert spi[(2, 2000)] is None
+    assert spi[(3, 2000)] == pytest.approx(-0.561951, abs=1e-6)
+
+
+@pytest.mark.parametrize("buckets,accuracy", [(256, 10000), (4, 10), (2, 1)])
+def test_exact_median_matches_python(spark, buckets, accuracy):
+    rnd = random.Random(7)
+    rows = []
+    for g in range(6):
+        n = rnd.choice([1, 2, 3, 10, 101, 400])
+        for _ in range(n):
+            # many ties in some groups, continuous values in others
+            v = float(rnd.randint(0, 5)) if g % 2 else rnd.random() * 1000
+            rows.append((g, v))
+    rows += [(99, 7.0)] * 500 + [(99, 1.0), (99, 2.0)]  # one hot duplicated value
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {r.g: r.median for r in exact_median(df, ["g"], "v", buckets=buckets, accuracy=accuracy).collect()}
+    want = {}
+    for g, v in rows:
+        want.setdefault(g, []).append(v)
+    assert got == {g: statistics.median(vs) for g, vs in want.items()}
+
+
+def test_zone_lookup_modes(spark):
+    y = spark.createDataFrame([("1", 2000, 5.0), ("2", 2000, 6.0)], "code string, year int, precip double")
+    lk = spark.createDataFrame([("1", 7)], "code string, zone int")
+    assert sorted((r.code, r.zone) for r in ST.with_zone(y, lk, on_missing="zero").collect()) == [("1", 7), ("2", 0)]
+    assert [(r.code, r.zone) for r in ST.with_zone(y, lk, on_missing="drop").collect()] == [("1", 7)]
+    with pytest.raises(Exception, match="missing from zone lookup"):
+        ST.with_zone(y, lk, on_missing="error").collect()
+
+
+def test_station_climatology_default_zone(spark):
+    y = spark.createDataFrame([("12", 2000, 10.0), ("12", 2001, 20.0), ("13", 2000, 4.0)],
+                              "code string, year int, precip double")
+    st = spark.createDataFrame([("0012", -30.0, -70.0), ("13", -31.0, -71.0), ("14", -32.0, -72.0)],
+                               "code string, lat double, lon double")
+    lk = spark.createDataFrame([("12", 3)], "code string, zone int")
+    got = sorted(tuple(r) for r in ST.station_climatology(y, st, lk).collect())
+    assert got == [("12", 15.0, -30.0, -70.0, 3), ("13", 4.0, -31.0, -71.0, 0)]
+
+
+def test_natural_zones_case_equals_union(spark):
+    lats = [-17.8, -17.7, -28.0, -27.99, -32.0, -37.0, -43.5, -56.0, -56.01]
+    st = spark.createDataFrame([(str(i), lat) for i, lat in enumerate(lats)], "code string, lat double")
+    a = sorted(tuple(r) for r in natural_zones(st).collect())
+    b = sorted(tuple(r) for r in natural_zones_union(st).collect())
+    assert a == b and len(a) == 7
+
+
+def test_histogram_golden(spark):
+    df = spark.createDataFrame([(1, float(v)) for v in range(5)], "zone int, precip double")
+    h = R.zone_histogram(df, bins=4).orderBy("bin").collect()
+    assert [r["count"] for r in h] == [1, 1, 1, 2]
+    assert [r.density for r in h] == pytest.approx([0.2, 0.2, 0.2, 0.4])
+    flat = spark.createDataFrame([(1, 3.0), (1, 3.0)], "zone int, precip double")
+    hf = R.zone_histogram(flat, bins=2).orderBy("bin").collect()
+    assert [(r.bin_lo, r.bin_hi, r["count"]) for r in hf] == [(2.5, 3.0, 0), (3.0, 3.5, 2)]
+
+
+def test_histogram_density_integrates_to_one(spark):
+    rnd = random.Random(3)
+    df = spark.createDataFrame([(z, rnd.gauss(500, 100)) for z in range(3) for _ in range(200)],
+                               "zone int, precip double")
+    for r in R.zone_histogram(df).groupBy("zone").agg(
+            F.sum(F.col("density") * (F.col("bin_hi") - F.col("bin_lo"))).alias("area")).collect():
+        assert r.area == pytest.approx(1.0)
+
+
+def test_normal_curve_symmetric(spark):
+    df = spark.createDataFrame([(1, 0.0), (1, 10.0)], "zone int, precip double")
+    stats = spark.createDataFrame([(1, 5.0, 2.0)], "zone int, mean double, std double")
+    c = R.normal_fit_curve(df, stats).orderBy("i").collect()
+    assert len(c) == 100 and c[0].x == pytest.approx(-0.5) and c[-1].x == pytest.approx(10.5)
+    assert c[0].pdf == pytest.approx(c[-1].pdf) and c[10].pdf == pytest.approx(c[89].pdf)
+
+
+def test_spi_series_and_preview(spark):
+    spi = spark.createDataFrame([(1, 2010, -1.0), (1, 2000, 0.5), (2, 1990, -2.0)], "zone int, year int, spi double")
+    s = R.spi_series(spi).collect()
+    assert [(r.year, r.is_drought, r.is_recent) for r in s] == [(2000, False, False), (2010, True, True),
+                                                                (1990, True, False)]
+    assert [r.year for r in R.preview(spi, ["zone", "year"], 2).collect()] == [2000, 2010]
+
+
+def _fixture_boundaries(spark):
+    rows = [(0, 0, 0, 0.0, 0.0), (0, 0, 1, 0.0, 10.0),
+            (1, 0, 0, 10.0, 0.0), (1, 0, 1, 10.0, 10.0),
+            (1, 1, 0, 3.0, 0.0), (1, 1, 1, 3.0, 10.0)]
+    return spark.createDataFrame(rows, "region int, feature_id int, seq int, x double, y double")
+
+
+@pytest.mark.parametrize("cell", [None, 0.5, 100.0])
+def test_nearest_region_golden(spark, cell):
+    pts = spark.createDataFrame([("a", 2.0, 5.0), ("b", 5.0, 5.0), ("c", -3.0, -4.0)], "code string, x double, y double")
+    bnd = _fixture_boundaries(spark)
+    allf = {r.code: (r.region, r.dist) for r in N.nearest_region(pts, bnd, cell_size=cell).collect()}
+    assert allf == {"a": (1, 1.0), "b": (1, 2.0), "c": (0, 5.0)}
+    first = {r.code: (r.region, r.dist) for r in N.nearest_region(pts, bnd, features="first", cell_size=cell).collect()}
+    assert first == {"a": (0, 2.0), "b": (0, 5.0), "c": (0, 5.0)}
+    per = {(r.code, r.region): r.dist for r in N.distance_to_regions(pts, bnd, cell_size=cell).collect()}
+    assert per == {("a", 0): 2.0, ("a", 1): 1.0, ("b", 0): 5.0, ("b", 1): 2.0,
+                   ("c", 0): 5.0, ("c", 1): pytest.approx(52 ** 0.5)}
+
+
+def test_nearest_matches_brute_force(spark):
+    rnd = random.Random(11)
+    verts = []
+    for region in range(5):
+        for fid in range(3):
+            x, y = rnd.uniform(0, 1000), rnd.uniform(0, 1000)
+            for seq in range(rnd.randint(1, 6)):
+                verts.append((region, fid, seq, x, y))
+                x += rnd.uniform(-80, 80)
+                y += rnd.uniform(-80, 80)
+    pts = [(f"p{i}", rnd.uniform(-500, 1500), rnd.uniform(-500, 1500)) for i in range(60)]
+    bnd = spark.createDataFrame(verts, "region int, feature_id int, seq int, x double, y double")
+    pdf = spark.createDataFrame(pts, "code string, x double, y double")
+    segs = {}
+    for (r, f, s, x, y) in verts:
+        segs.setdefault((r, f), {})[s] = (x, y)
+
+    def d2(px, py, a, b):
+        dx, dy = b[0] - a[0], b[1] - a[1]
+        l2 = dx * dx + dy * dy
+        u = 1.0 if l2 == 0 else max(0.0, min(1.0, ((px - a[0]) * dx + (py - a[1]) * dy) / l2))
+        qx, qy = a[0] + u * dx, a[1] + u * dy
+        return (px - qx) ** 2 + (py - qy) ** 2
+
+    want = {}
+    for code, px, py in pts:
+        best = None
+        for (r, f), vs in segs.items():
+            for s in range(len(vs) - 1):
+                cand = (d2(px, py, vs[s], vs[s + 1]), r)
+                best = cand if best is None or cand < best else best
+        want[code] = (best[1], best[0] ** 0.5)
+    for cell in (None, 7.0):
+        got = {r.code: (r.region, r.dist) for r in N.nearest_region(pdf, bnd, cell_size=cell).collect()}
+        assert got.keys() == want.keys()
+        for k in want:
+            assert got[k][0] == want[k][0]
+            assert got[k][1] == pytest.approx(want[k][1])
+
+
+def test_close_rings(spark):
+    rows = [(0, 0, 0, 0.0, 0.0), (0, 0, 1, 1.0, 0.0), (0, 0, 2, 1.0, 1.0), (0, 1, 0, 5.0, 5.0)]
+    bnd = spark.createDataFrame(rows, "region int, feature_id int, seq int, x double, y double")
+    got = sorted(tuple(r) for r in B.close_rings(bnd).collect())
+    assert got == [(0, 0, 0, 0.0, 0.0), (0, 0, 1, 1.0, 0.0), (0, 0, 2, 1.0, 1.0), (0, 0, 3, 0.0, 0.0)]
+    assert [tuple(r) for r in B.features_per_region(bnd).collect()] == [(0, 2)]
