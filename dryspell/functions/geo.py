@@ -63,8 +63,8 @@ def utm_easting_northing(lat: Column | str, lon: Column | str,
     return easting, northing
 
 
-def segment_distance_sq(px, py, ax, ay, bx, by) -> Column:
-    """Squared distance from point P to segment AB.
+def segment_param(px, py, ax, ay, bx, by) -> Column:
+    """Position u in [0, 1] of the point of segment AB closest to P.
 
     A degenerate segment (A == B) divides by NULL; ``least``/``greatest``
     skip the NULL and clamp to 1, which is the point A itself.
@@ -73,8 +73,18 @@ def segment_distance_sq(px, py, ax, ay, bx, by) -> Column:
     dx = bx - ax
     dy = by - ay
     len2 = dx * dx + dy * dy
-    u = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * dx + (py - ay) * dy)
-                                       / F.nullif(len2, F.lit(0.0))))
-    qx = ax + u * dx
-    qy = ay + u * dy
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * dx + (py - ay) * dy)
+                                          / F.nullif(len2, F.lit(0.0))))
+
+
+def distance_sq_at(px, py, ax, ay, bx, by, u) -> Column:
+    """Squared distance from P to the point A + u (B - A)."""
+    px, py, ax, ay, bx, by, u = map(_c, (px, py, ax, ay, bx, by, u))
+    qx = ax + u * (bx - ax)
+    qy = ay + u * (by - ay)
     return (px - qx) * (px - qx) + (py - qy) * (py - qy)
+
+
+def segment_distance_sq(px, py, ax, ay, bx, by) -> Column:
+    """Squared distance from point P to segment AB (one expression)."""
+    return distance_sq_at(px, py, ax, ay, bx, by, segment_param(px, py, ax, ay, bx, by))

@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dryspell.session import ensure_checkpoint_dir
+from dryspell.session import scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -33,7 +33,14 @@ def broadcast_checked(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> D
     return cached
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
+
+    Used where an intermediate is read several times (it is computed once) and
+    to cut lineage: a lost executor re-reads the files instead of recomputing
+    the upstream plan. Columnar files keep later reads pruned and vectorised.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

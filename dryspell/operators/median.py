@@ -27,14 +27,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dryspell.operators._exec import materialize
+
 DEFAULT_BUCKETS = 256
 DEFAULT_ACCURACY = 10000
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median",
-                 buckets: int = DEFAULT_BUCKETS, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                 buckets: int = DEFAULT_BUCKETS, accuracy: int = DEFAULT_ACCURACY,
+                 materialize_input: bool = True) -> DataFrame:
+    """Exact median of ``value`` per ``keys`` group, as column ``out``.
+
+    The narrow input (keys, value) is read three times (sketch, bucket
+    counts, ranked buckets); with ``materialize_input`` it is written once to
+    the shared checkpoint folder first, so the upstream plan runs only once.
+    """
     v = (df.where(F.col(value).isNotNull())
            .select(*keys, F.col(value).cast("double").alias("_v")))
+    if materialize_input:
+        v = materialize(v, "median-input")
     probs = [i / buckets for i in range(1, buckets)]
     cuts = v.groupBy(*keys).agg(F.percentile_approx("_v", probs, accuracy).alias("_cuts"))
 

@@ -16,21 +16,23 @@ multi-resolution grid search:
   below ``s`` is final. Unresolved points move on to the next, coarser level.
   The last level's block spans the whole extent, so every point finishes.
 
-Per level the resolved rows (one per point and group) are checkpointed to the
-shared checkpoint folder, so lineage stays flat across levels.
+Points and segments are written once to the shared checkpoint folder; per
+level only the newly resolved rows (one per point and group) are
+checkpointed, so lineage stays flat across levels.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dryspell import schemas as S
-from dryspell.functions.geo import segment_distance_sq, utm_easting_northing
-from dryspell.operators._exec import cut_lineage
+from dryspell.functions.geo import distance_sq_at, segment_param, utm_easting_northing
+from dryspell.operators._exec import materialize
 from dryspell.operators.boundaries import segments as boundary_segments
 
 # Fraction of the cell size treated as certainly outside the search block;
@@ -80,62 +82,74 @@ def nearest_by_grid(points: DataFrame, segs: DataFrame, *, point_keys: list[str]
     """
     group_cols = list(group_cols or [])
     tag_col = F.col(tag) if tag else F.lit(0)
-    pts = points.select(*point_keys, F.col("x").alias("_px"), F.col("y").alias("_py"))
-    sg = segs.select(*group_cols, tag_col.alias("_tag"), "ax", "ay", "bx", "by")
+    # Both inputs are read once per level: write them once (flat lineage).
+    pts = materialize(points.select(*point_keys, F.col("x").alias("_px"), F.col("y").alias("_py")),
+                      "grid-points")
+    sg = materialize(segs.select(*group_cols, tag_col.alias("_tag"), "ax", "ay", "bx", "by"),
+                     "grid-segments")
 
-    # One small action: extents, mean segment length and the number of groups.
+    # One small action each: extents, mean segment length, group and point counts.
     seg_stats = sg.agg(
         F.min(F.least("ax", "bx")).alias("x0"), F.max(F.greatest("ax", "bx")).alias("x1"),
         F.min(F.least("ay", "by")).alias("y0"), F.max(F.greatest("ay", "by")).alias("y1"),
         F.avg(F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2)).alias("len"),
         (F.count_distinct(*group_cols) if group_cols else F.count(F.lit(1))).alias("groups"),
+        F.count(F.lit(1)).alias("segments"),
     ).first()
-    pt_stats = pts.agg(F.min("_px"), F.max("_px"), F.min("_py"), F.max("_py")).first()
-    out_cols = [*point_keys, *group_cols, "d2", "_tag"]
+    pt_stats = pts.agg(F.min("_px"), F.max("_px"), F.min("_py"), F.max("_py"),
+                       F.count(F.lit(1))).first()
     if seg_stats["x0"] is None or pt_stats[0] is None:
         fields = ([pts.schema[k] for k in point_keys] + [sg.schema[g] for g in group_cols]
                   + [T.StructField("d2", T.DoubleType()), T.StructField(tag or "_tag", sg.schema["_tag"].dataType)])
         empty = pts.sparkSession.createDataFrame([], T.StructType(fields))
         return empty if tag else empty.drop("_tag")
     n_groups = seg_stats["groups"] if group_cols else 1
+    target = pt_stats[4] * n_groups          # (point, group) pairs to resolve
     x0 = min(seg_stats["x0"], pt_stats[0]); x1 = max(seg_stats["x1"], pt_stats[1])
     y0 = min(seg_stats["y0"], pt_stats[2]); y1 = max(seg_stats["y1"], pt_stats[3])
     diag = max(math.hypot(x1 - x0, y1 - y0), 1e-9)
-    c0 = cell_size or max(seg_stats["len"] or 0.0, diag / 65536.0)
+    # Start where a cell holds about one segment if they were spread evenly,
+    # never finer than a typical segment.
+    c0 = cell_size or max(seg_stats["len"] or 0.0, diag / math.sqrt(max(seg_stats["segments"], 1)),
+                          diag / 65536.0)
     last_level = max(0, math.ceil(math.log(diag / c0, growth)) + 1)
 
-    resolved: DataFrame | None = None
+    done_parts: list[DataFrame] = []
+    n_done = 0
     pending = pts
+    offsets = F.array(*[F.struct(F.lit(dx).cast("long").alias("dx"), F.lit(dy).cast("long").alias("dy"))
+                        for dx, dy in _OFFSETS])
     for level in range(last_level + 1):
         s = c0 * growth ** level
-        final_level = level == last_level
-        cell = [F.floor(F.col("_px") / s), F.floor(F.col("_py") / s)]
-        offsets = F.array(*[F.struct(F.lit(dx).cast("long").alias("dx"), F.lit(dy).cast("long").alias("dy"))
-                            for dx, dy in _OFFSETS])
-        probe = (pending.select("*", cell[0].alias("_cx0"), cell[1].alias("_cy0"),
-                                F.explode(offsets).alias("_o"))
+        probe = (pending.select("*", F.floor(F.col("_px") / s).alias("_cx0"),
+                                F.floor(F.col("_py") / s).alias("_cy0"), F.explode(offsets).alias("_o"))
                  .select(*point_keys, "_px", "_py",
                          (F.col("_cx0") + F.col("_o.dx")).alias("cx"),
                          (F.col("_cy0") + F.col("_o.dy")).alias("cy")))
-        cand = probe.join(_pieces(sg, s), ["cx", "cy"])
-        d2 = segment_distance_sq("_px", "_py", "ax", "ay", "bx", "by")
+        cand = (probe.join(_pieces(sg, s), ["cx", "cy"])
+                .select(*point_keys, *group_cols, "_tag", "_px", "_py", "ax", "ay", "bx", "by",
+                        segment_param("_px", "_py", "ax", "ay", "bx", "by").alias("_u")))
+        d2 = distance_sq_at("_px", "_py", "ax", "ay", "bx", "by", "_u")
         best = (cand.select(*point_keys, *group_cols, F.struct(d2.alias("d2"), F.col("_tag")).alias("_b"))
                 .groupBy(*point_keys, *group_cols).agg(F.min("_b").alias("_b"))
                 .select(*point_keys, *group_cols, "_b.d2", "_b._tag"))
-        if not final_level:
+        if level < last_level:
             best = best.where(F.col("d2") < F.lit((s * _SAFETY) ** 2))
-        if resolved is not None:
-            best = best.join(resolved.select(*point_keys, *group_cols), [*point_keys, *group_cols], "left_anti")
-        best = cut_lineage(best)
-        resolved = best if resolved is None else cut_lineage(resolved.unionByName(best))
-        if final_level:
+        for part in done_parts:
+            best = best.join(part.select(*point_keys, *group_cols), [*point_keys, *group_cols], "left_anti")
+        best = materialize(best, f"grid-level-{level}")
+        done_parts.append(best)
+        n_done += best.count()
+        if n_done >= target:
             break
-        done = (resolved.groupBy(*point_keys).agg(F.count(F.lit(1)).alias("_g"))
-                .where(F.col("_g") >= F.lit(n_groups)).select(*point_keys))
-        pending = cut_lineage(pts.join(done, point_keys, "left_anti"))
-        if pending.isEmpty():
-            break
-    out = resolved.select(*out_cols)
+        if n_groups == 1:
+            pending = pending.join(best.select(*point_keys), point_keys, "left_anti")
+        else:
+            resolved = reduce(DataFrame.unionByName, [p.select(*point_keys) for p in done_parts])
+            full = (resolved.groupBy(*point_keys).agg(F.count(F.lit(1)).alias("_g"))
+                    .where(F.col("_g") >= F.lit(n_groups)).select(*point_keys))
+            pending = pts.join(full, point_keys, "left_anti")
+    out = reduce(DataFrame.unionByName, done_parts).select(*point_keys, *group_cols, "d2", "_tag")
     return out.withColumnRenamed("_tag", tag) if tag else out.drop("_tag")
 
 

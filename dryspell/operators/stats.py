@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from dryspell.functions.codes import canonical_code
 from dryspell.functions.values import standardize
-from dryspell.operators._exec import broadcast_checked
+from dryspell.operators._exec import broadcast_checked, materialize
 from dryspell.operators.median import exact_median
 
 
@@ -61,11 +61,14 @@ def mean_std_by_zone(yz: DataFrame) -> DataFrame:
 def spi(yz: DataFrame, **median_opts) -> DataFrame:
     """(zone, year, spi) = (median(zone, year) - mean(zone)) / std(zone).
 
-    Both inputs are small aggregates; the join is planned from their measured
-    sizes by adaptive execution. A zone with zero spread gives NULL.
+    The narrow (zone, year, precip) table is written once to the shared
+    checkpoint folder and both statistics read it. Both join inputs are small
+    aggregates; the join is planned from their measured sizes by adaptive
+    execution. A zone with zero spread gives NULL.
     """
-    med = median_by_zone_year(yz, **median_opts)
-    stats = mean_std_by_zone(yz)
+    narrow = materialize(yz.select("zone", "year", "precip"), "zone-yearly")
+    med = median_by_zone_year(narrow, materialize_input=False, **median_opts)
+    stats = mean_std_by_zone(narrow)
     return (med.join(stats, "zone")
             .select("zone", "year", standardize("median", "mean", "std").alias("spi")))
 
