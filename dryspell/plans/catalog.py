@@ -271,6 +271,45 @@ def q_region_partitioned_roundtrip(spark, sf):
     return readers.read_boundaries(spark, path).select("region", "feature_id", "seq", "x", "y")
 
 
+def q_daily_tsv_roundtrip(spark, sf):
+    path = scratch_path(spark, "daily-tsv")
+    sinks.write_tsv(V.daily(spark, sf), path)
+    return readers.read_daily(spark, path, fmt="tsv")
+
+
+def q_zone_lookup_roundtrip(spark, sf):
+    path = scratch_path(spark, "region-lookup-csv")
+    st = V.stations(spark, sf)
+    raw = st.select("code", (F.col("s_nationkey") % V.REGIONS).cast("int").alias("zone"))
+    raw.write.csv(path)
+    return readers.read_zone_lookup(spark, path)
+
+
+def q_zone_name_lookup_roundtrip(spark, sf):
+    path = scratch_path(spark, "natural-zones-tsv")
+    sinks.write_tsv(natural_zones(V.station_file(spark, sf)), path)
+    return readers.read_zone_name_lookup(spark, path)
+
+
+def q_result_tsv_read(spark, sf):
+    path = scratch_path(spark, "spi-tsv")
+    sinks.write_tsv(ST.spi(_yz_region(spark, sf)), path)
+    back = readers.read_result_tsv(spark, path, "zone INT, year INT, spi DOUBLE")
+    return back.select("zone", "year", _r("spi", 6).alias("spi"))
+
+
+def q_spi_series_one_zone(spark, sf):
+    s = R.spi_series(ST.spi(_yz_region(spark, sf)), zone=3)
+    return s.select("zone", "year", _r("spi", 6).alias("spi"), "is_drought", "is_recent")
+
+
+def q_boundary_region_filter(spark, sf):
+    path = scratch_path(spark, "boundaries-by-region")
+    sinks.write_partitioned(V.boundaries(spark, sf), path, by="region")
+    return (readers.read_boundaries(spark, path).where(F.col("region") == 13)
+            .select("region", "feature_id", "seq", "x", "y"))
+
+
 QUERIES: dict[str, Query] = {
     "fix_code": q_fix_code,
     "station_filter": q_station_filter,
@@ -312,4 +351,10 @@ QUERIES: dict[str, Query] = {
     "station_csv_read": q_station_csv_read,
     "boundary_table_read": q_boundary_table_read,
     "region_partitioned_roundtrip": q_region_partitioned_roundtrip,
+    "daily_tsv_roundtrip": q_daily_tsv_roundtrip,
+    "zone_lookup_roundtrip": q_zone_lookup_roundtrip,
+    "zone_name_lookup_roundtrip": q_zone_name_lookup_roundtrip,
+    "result_tsv_read": q_result_tsv_read,
+    "spi_series_one_zone": q_spi_series_one_zone,
+    "boundary_region_filter": q_boundary_region_filter,
 }

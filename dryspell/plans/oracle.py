@@ -326,3 +326,13 @@ SELECT code, institution, source, name || ', ' || source AS name, altitude, lat,
 FROM stn"""
 SQL["boundary_table_read"] = _with(VIEWS) + "SELECT region, feature_id, seq, x, y FROM bnd"
 SQL["region_partitioned_roundtrip"] = SQL["boundary_table_read"]
+
+SQL["daily_tsv_roundtrip"] = _with(VIEWS) + "SELECT code, year, month, day, precip FROM daily"
+SQL["zone_lookup_roundtrip"] = _with(VIEWS) + "SELECT code, zone FROM region_lookup"
+SQL["zone_name_lookup_roundtrip"] = _with(VIEWS) + "SELECT code, zone FROM natural_lookup"
+SQL["result_tsv_read"] = SQL["spi_by_region"]
+SQL["spi_series_one_zone"] = _with(VIEWS) + """
+SELECT zone, year, round(spi, 6) AS spi, spi <= -1.0 AS is_drought,
+       year BETWEEN 2009 AND 2018 AS is_recent
+FROM spi_region WHERE zone = 3"""
+SQL["boundary_region_filter"] = _with(VIEWS) + "SELECT region, feature_id, seq, x, y FROM bnd WHERE region = 13"
