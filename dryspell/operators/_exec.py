@@ -18,19 +18,26 @@ log = logging.getLogger(__name__)
 MAX_BROADCAST_ROWS = 2_000_000
 
 
+def size_checked(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """Persist ``small`` (memory and disk) and report whether it has at most ``max_rows`` rows.
+
+    The check and every later use read the same computed rows.
+    """
+    cached = small.persist(StorageLevel.MEMORY_AND_DISK)
+    fits = cached.limit(max_rows + 1).count() <= max_rows
+    if not fits:
+        log.warning("table has more than %d rows; using a shuffle join", max_rows)
+    return cached, fits
+
+
 def broadcast_checked(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``small`` only after proving it has at most ``max_rows`` rows.
 
-    The table is persisted (memory and disk) so the size check and the join
-    read the same computed rows. Over the bound the plain DataFrame is
-    returned and Spark plans a shuffle join (with adaptive skew handling).
+    Over the bound the plain (persisted) DataFrame is returned and Spark plans
+    a shuffle join, with adaptive skew handling.
     """
-    cached = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(cached)
-    log.warning("table has more than %d rows; using a shuffle join", max_rows)
-    return cached
+    cached, fits = size_checked(small, max_rows)
+    return F.broadcast(cached) if fits else cached
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

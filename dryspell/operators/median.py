@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dryspell.operators._exec import materialize
+from dryspell.operators._exec import MAX_BROADCAST_ROWS, broadcast_checked, materialize, size_checked
 
 DEFAULT_BUCKETS = 256
 DEFAULT_ACCURACY = 10000
@@ -47,7 +47,11 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median"
     if materialize_input:
         v = materialize(v, "median-input")
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = v.groupBy(*keys).agg(F.percentile_approx("_v", probs, accuracy).alias("_cuts"))
+    # One row of buckets-1 cut points per group: broadcast after a size check,
+    # so the value side is bucketed map-side without a shuffle.
+    cuts = broadcast_checked(
+        v.groupBy(*keys).agg(F.percentile_approx("_v", probs, accuracy).alias("_cuts")),
+        max_rows=max(1, MAX_BROADCAST_ROWS // buckets))
 
     below = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
     on_cut = F.array_contains("_cuts", F.col("_v")).cast("int")
@@ -64,9 +68,15 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median"
                .select(*keys, "_b", "_lo", "_hi",
                        (F.col("_r") - (F.col("_end") - F.col("_c")) + 1).alias("_local")))
 
+    # At most two rows per group; persisted once, then split into the buckets
+    # that answer directly and the (at most two) buckets whose rows are ranked.
+    targets, small = size_checked(targets)
     direct = targets.where(F.col("_lo") == F.col("_hi")).select(*keys, F.col("_lo").alias("_val"))
     need = targets.where(F.col("_lo") < F.col("_hi")).select(*keys, "_b", "_local")
-    ranked = (b.join(need.select(*keys, "_b").distinct(), [*keys, "_b"], "left_semi")
+    need_buckets = need.select(*keys, "_b").distinct()
+    if small:
+        need, need_buckets = F.broadcast(need), F.broadcast(need_buckets)
+    ranked = (b.join(need_buckets, [*keys, "_b"], "left_semi")
                .withColumn("_rn", F.row_number().over(
                    Window.partitionBy(*keys, "_b").orderBy("_v"))))
     picked = (ranked.join(need, [*keys, "_b"])
@@ -74,3 +84,4 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median"
               .select(*keys, F.col("_v").alias("_val")))
     return (direct.unionByName(picked).groupBy(*keys)
             .agg(F.avg("_val").alias(out)))
+

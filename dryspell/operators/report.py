@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from dryspell import schemas as S
 from dryspell.functions.values import is_drought, is_recent
-from dryspell.operators._exec import broadcast_checked
+from dryspell.operators._exec import size_checked
 
 _SQRT_2PI = 2.5066282746310002  # sqrt(2 * pi)
 
@@ -55,9 +55,9 @@ def zone_histogram(df: DataFrame, *, group: str = "zone", value: str = "precip",
 
     density = count / bin width / group size, so density x width sums to 1.
     """
-    ranges = broadcast_checked(_ranges(df, group, value, bins))
+    ranges, small = size_checked(_ranges(df, group, value, bins))
     v = F.col(value)
-    rows = df.where(v.isNotNull()).join(ranges, group)
+    rows = df.where(v.isNotNull()).join(F.broadcast(ranges) if small else ranges, group)
     norm = F.lit(float(bins)) / (F.col("_hi") - F.col("_lo"))
     i0 = F.least(F.floor((v - F.col("_lo")) * norm), F.lit(bins - 1))
     i1 = F.when(v < _edge(i0, bins), i0 - 1).otherwise(i0)

@@ -67,7 +67,7 @@ def q_date_parts(spark, sf):
 
 
 def q_matrix_melt(spark, sf):
-    return daily_from_matrix(V.matrix_lines(spark, sf))
+    return daily_from_matrix(readers.read_matrix_lines(spark, V.write_matrix_files(spark, sf)))
 
 
 def q_wide_unpivot(spark, sf):

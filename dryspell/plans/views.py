@@ -18,6 +18,7 @@ from dryspell.operators import accumulate
 from dryspell.operators._exec import broadcast_checked
 from dryspell.operators.ingest import station_filter
 from dryspell.operators.zones import natural_zones, zone_lookup_from_names
+from dryspell.session import scratch_path
 
 # View parameters (ours, not the reference's).
 CODE_WIDTH = 8                 # zero-padded station codes, as in the raw files
@@ -165,3 +166,16 @@ def matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (meta.unionByName(days)
             .select(F.concat(F.lit("block-"), F.col("block_no").cast("string")).alias("block"),
                     "line_no", "value"))
+
+
+def write_matrix_files(spark: SparkSession, sf_dir: str) -> str:
+    """Write :func:`matrix_lines` as one text file per block (metadata lines first).
+
+    Returns the folder, to be read back with ``readers.read_matrix_lines``.
+    """
+    path = scratch_path(spark, "matrix")
+    (matrix_lines(spark, sf_dir)
+     .repartition("block").sortWithinPartitions("block", "line_no")
+     .select("block", "value")
+     .write.partitionBy("block").text(path))
+    return path

@@ -11,8 +11,9 @@ from dryspell.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app_name="dryspell-tests", shuffle_partitions=4,
-                      extra_conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="dryspell-test-ckpt-")})
+    # The checkpoint folder is taken from the configuration when set; only
+    # when it is unset does the session helper create a scratch folder.
+    s = build_session("local[4]", app_name="dryspell-tests", shuffle_partitions=4)
     yield s
     s.stop()
 
