@@ -12,31 +12,46 @@ from dryspell.session import scratch_path
 
 log = logging.getLogger(__name__)
 
-# Largest row count we are willing to replicate to every executor. The tables
-# that go through this check are keyed by station, zone or matrix column, a
-# few columns wide; 2M such rows are tens of MB.
+# Bounds for replicating a table to every executor. Tables checked here are
+# keyed by station, zone or matrix column and a few columns wide.
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def size_checked(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Persist ``small`` (memory and disk) and report whether it has at most ``max_rows`` rows.
+def _cached_bytes(cached: DataFrame) -> int | None:
+    """In-memory size Spark measured while materialising a persisted table."""
+    try:
+        return int(cached._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:  # noqa: BLE001 - statistics are an optimisation, not a requirement
+        return None
 
-    The check and every later use read the same computed rows.
+
+def size_checked(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                 max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Persist ``small`` (memory and disk) and report whether it may be broadcast.
+
+    The table is counted in full (so the cache is complete and every later
+    use reads the same rows); it fits when both its row count and the
+    in-memory size Spark measured are within the bounds.
     """
     cached = small.persist(StorageLevel.MEMORY_AND_DISK)
-    fits = cached.limit(max_rows + 1).count() <= max_rows
+    rows = cached.count()
+    size = _cached_bytes(cached)
+    fits = rows <= max_rows and (size is None or size <= max_bytes)
     if not fits:
-        log.warning("table has more than %d rows; using a shuffle join", max_rows)
+        log.warning("table of %d rows / %s bytes exceeds the broadcast bound; using a shuffle join",
+                    rows, size)
     return cached, fits
 
 
-def broadcast_checked(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def broadcast_checked(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast ``small`` only after proving it has at most ``max_rows`` rows.
 
     Over the bound the plain (persisted) DataFrame is returned and Spark plans
     a shuffle join, with adaptive skew handling.
     """
-    cached, fits = size_checked(small, max_rows)
+    cached, fits = size_checked(small, max_rows, max_bytes)
     return F.broadcast(cached) if fits else cached
 
 

@@ -241,3 +241,20 @@ def test_close_rings(spark):
     got = sorted(tuple(r) for r in B.close_rings(bnd).collect())
     assert got == [(0, 0, 0, 0.0, 0.0), (0, 0, 1, 1.0, 0.0), (0, 0, 2, 1.0, 1.0), (0, 0, 3, 0.0, 0.0)]
     assert [tuple(r) for r in B.features_per_region(bnd).collect()] == [(0, 2)]
+
+
+def test_broadcast_check_falls_back_to_shuffle(spark):
+    from dryspell.operators._exec import size_checked
+    df = spark.range(100).selectExpr("id", "cast(id as string) s")
+    _, fits = size_checked(df, max_rows=1000)
+    assert fits
+    _, fits = size_checked(df, max_rows=10)
+    assert not fits
+    _, fits = size_checked(df, max_rows=1000, max_bytes=10)
+    assert not fits
+    y = spark.createDataFrame([("1", 2000, 5.0)], "code string, year int, precip double")
+    lk = spark.createDataFrame([("1", 7)], "code string, zone int")
+    from dryspell.operators._exec import broadcast_checked
+    # over the bound: the shuffle-join path gives the same answer
+    joined = y.join(broadcast_checked(lk, max_rows=0), "code")
+    assert [(r.code, r.zone) for r in joined.collect()] == [("1", 7)]
