@@ -258,3 +258,39 @@ def test_broadcast_check_falls_back_to_shuffle(spark):
     # over the bound: the shuffle-join path gives the same answer
     joined = y.join(broadcast_checked(lk, max_rows=0), "code")
     assert [(r.code, r.zone) for r in joined.collect()] == [("1", 7)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_histogram_matches_numpy(spark, seed):
+    import numpy as np
+    rnd = np.random.default_rng(seed)
+    rows = []
+    for z in range(4):
+        n = int(rnd.integers(1, 300))
+        vals = np.round(rnd.gamma(2.0, 300.0, n), int(rnd.integers(0, 3)))
+        if z == 3:
+            vals = np.concatenate([vals, np.linspace(vals.min(), vals.max(), 26)])  # values on bin edges
+        rows += [(z, float(v)) for v in vals]
+    df = spark.createDataFrame(rows, "zone int, precip double")
+    got = {(r.zone, r.bin): (r["count"], r.density, r.bin_lo, r.bin_hi) for r in R.zone_histogram(df).collect()}
+    for z in range(4):
+        vals = np.array([v for zz, v in rows if zz == z])
+        counts, edges = np.histogram(vals, bins=25)
+        dens, _ = np.histogram(vals, bins=25, density=True)
+        for b in range(25):
+            c, d, lo, hi = got[(z, b)]
+            assert c == counts[b]
+            assert d == pytest.approx(dens[b], rel=1e-12, abs=1e-15)
+            assert lo == edges[b] and hi == edges[b + 1]
+
+
+def test_utm_per_point_zone(spark):
+    from dryspell.functions.geo import utm_easting_northing
+    df = spark.createDataFrame([(-33.0, -75.0), (-33.0, -63.0), (10.0, -63.0)], "lat double, lon double")
+    e, n = utm_easting_northing("lat", "lon", zone=None)
+    got = df.select(e.alias("e"), n.alias("n")).collect()
+    # -75 and -63 are the central meridians of zones 18 and 20
+    assert got[0].e == pytest.approx(500000.0) and got[1].e == pytest.approx(500000.0)
+    assert got[0].n == pytest.approx(got[1].n)
+    # north of the equator there is no false northing
+    assert 0 < got[2].n < 2_000_000
