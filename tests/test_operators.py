@@ -294,3 +294,16 @@ def test_utm_per_point_zone(spark):
     assert got[0].n == pytest.approx(got[1].n)
     # north of the equator there is no false northing
     assert 0 < got[2].n < 2_000_000
+
+
+def test_excluded_station_coordinates_are_not_parsed(spark):
+    st = [dict(code="1", institution="DGA", lat=-30.0, lon=-70.0),
+          dict(code="2", institution="GHCN", lat="n/a", lon="n/a")]
+    out = daily_from_matrix(_matrix_lines(spark, st, {"2000-01-01": ["1", "2"]})).collect()
+    assert [(r.code, r.precip) for r in out] == [("1", 1.0)]
+
+
+def test_malformed_value_fails_the_job(spark):
+    st = [dict(code="1", institution="DGA", lat=-30.0, lon=-70.0)]
+    with pytest.raises(Exception):
+        daily_from_matrix(_matrix_lines(spark, st, {"2000-01-01": ["abc"]})).collect()
