@@ -126,17 +126,19 @@ def nearest_by_grid(points: DataFrame, segs: DataFrame, *, point_keys: list[str]
                  .select(*point_keys, "_px", "_py",
                          (F.col("_cx0") + F.col("_o.dx")).alias("cx"),
                          (F.col("_cy0") + F.col("_o.dy")).alias("cy")))
-        cand = (probe.join(_pieces(sg, s), ["cx", "cy"])
-                .select(*point_keys, *group_cols, "_tag", "_px", "_py", "ax", "ay", "bx", "by",
-                        segment_param("_px", "_py", "ax", "ay", "bx", "by").alias("_u")))
+        cand = probe.join(_pieces(sg, s), ["cx", "cy"])
+        # Per-group mode: drop (point, group) pairs already final before any
+        # distance is computed or shuffled into the aggregate.
+        for part in done_parts if group_cols else []:
+            cand = cand.join(part.select(*point_keys, *group_cols), [*point_keys, *group_cols], "left_anti")
+        cand = cand.select(*point_keys, *group_cols, "_tag", "_px", "_py", "ax", "ay", "bx", "by",
+                           segment_param("_px", "_py", "ax", "ay", "bx", "by").alias("_u"))
         d2 = distance_sq_at("_px", "_py", "ax", "ay", "bx", "by", "_u")
         best = (cand.select(*point_keys, *group_cols, F.struct(d2.alias("d2"), F.col("_tag")).alias("_b"))
                 .groupBy(*point_keys, *group_cols).agg(F.min("_b").alias("_b"))
                 .select(*point_keys, *group_cols, "_b.d2", "_b._tag"))
         if level < last_level:
             best = best.where(F.col("d2") < F.lit((s * _SAFETY) ** 2))
-        for part in done_parts:
-            best = best.join(part.select(*point_keys, *group_cols), [*point_keys, *group_cols], "left_anti")
         best = materialize(best, f"grid-level-{level}")
         done_parts.append(best)
         n_done += best.count()
