@@ -240,9 +240,9 @@ FROM daily_obs"""
 
 SQL["matrix_melt"] = _with(VIEWS) + f"""
 SELECT {_canon('s.code')} AS code, CAST(year(d.date) AS INTEGER) AS year,
-       CAST(month(d.date) AS INTEGER) AS month, 1 AS day, sum(d.value) AS precip
+       CAST(month(d.date) AS INTEGER) AS month, CAST(day(d.date) AS INTEGER) AS day, sum(d.value) AS precip
 FROM daily_obs d JOIN stn_ok s ON d.s_suppkey = s.s_suppkey
-GROUP BY s.code, year(d.date), month(d.date)"""
+GROUP BY s.code, d.date"""
 
 SQL["wide_unpivot"] = _with(VIEWS) + "SELECT code, year, month, precip FROM monthly"
 SQL["yearly_accumulation"] = _with(VIEWS) + "SELECT code, year, days, precip FROM yearly"

@@ -124,11 +124,12 @@ def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw station-by-month matrix text, split column-wise into blocks.
+    """The raw station-by-day matrix text, split column-wise into blocks.
 
     Each block (a virtual file of at most MATRIX_BLOCK stations) has the 15
-    metadata lines followed by one line per month label ``YYYY-MM-01``; a
-    cell is the month's total, or a sentinel when the station has none.
+    metadata lines followed by one line per day ``YYYY-MM-DD`` on which any
+    of its stations reported; a cell is the day's total, or a sentinel
+    (``-9999`` / ``-9999.000``) when the station has none.
     Output: (block, line_no, value) like :func:`read_matrix_lines`.
     """
     st = stations(spark, sf_dir).select(
@@ -148,13 +149,11 @@ def matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .alias("value")))
 
     raw = daily_raw(spark, sf_dir).where(~is_missing("value"))
-    month_cells = (raw.groupBy("s_suppkey", F.year("date").alias("year"), F.month("date").alias("month"))
-                   .agg(F.sum("value").alias("total"))
-                   .join(st.select("s_suppkey", "block_no", "pos"), "s_suppkey")
-                   .select("block_no", "pos",
-                           F.format_string("%04d-%02d-01", "year", "month").alias("label"),
-                           F.col("total").cast("string").alias("text")))
-    days = (month_cells.groupBy("block_no", "label")
+    day_cells = (raw.groupBy("s_suppkey", "date").agg(F.sum("value").alias("total"))
+                 .join(st.select("s_suppkey", "block_no", "pos"), "s_suppkey")
+                 .select("block_no", "pos", F.date_format("date", "yyyy-MM-dd").alias("label"),
+                         F.col("total").cast("string").alias("text")))
+    days = (day_cells.groupBy("block_no", "label")
             .agg(F.map_from_entries(F.collect_list(F.struct("pos", "text"))).alias("cells"))
             .join(positions, "block_no")
             .select("block_no", F.lit(S.N_META_LINES).cast("long").alias("line_no"),
