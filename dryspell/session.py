@@ -45,22 +45,28 @@ def build_session(master: str = "local[*]", app_name: str = "dryspell",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory, setting one only if none exists.
+    """Return the shared checkpoint folder, choosing one only if none is configured.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that value
-    always wins. Only when nothing is configured (local runs and tests) do we
-    create a private scratch folder.
+    (or a folder already set on the SparkContext) always wins. Only when
+    nothing is configured (local runs and tests) is a private scratch folder
+    created.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+        current = sc.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext
+        sc, current = None, None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="dryspell-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
