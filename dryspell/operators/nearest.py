@@ -14,7 +14,8 @@ multi-resolution grid search:
   distance to the whole original segment is computed as column math.
 * Everything outside the block is at least ``s`` away, so a best distance
   below ``s`` is final. Unresolved points move on to the next, coarser level.
-  The last level's block spans the whole extent, so every point finishes.
+  At the last level the cell is at least the extent's diagonal, so the
+  block spans everything and every point finishes.
 
 Points and segments are written once to the shared checkpoint folder; per
 level only the newly resolved rows (one per point and group) are
@@ -112,7 +113,11 @@ def nearest_by_grid(points: DataFrame, segs: DataFrame, *, point_keys: list[str]
     # never finer than a typical segment.
     c0 = cell_size or max(seg_stats["len"] or 0.0, diag / math.sqrt(max(seg_stats["segments"], 1)),
                           diag / 65536.0)
-    last_level = max(0, math.ceil(math.log(diag / c0, growth)) + 1)
+    # From the first level whose cell is at least the extent's diagonal, every
+    # point's 3 x 3 block covers every segment: that level resolves all.
+    last_level = max(0, math.ceil(math.log(diag / c0, growth)))
+    while c0 * growth ** last_level < diag:
+        last_level += 1
 
     done_parts: list[DataFrame] = []
     n_done = 0
@@ -134,8 +139,12 @@ def nearest_by_grid(points: DataFrame, segs: DataFrame, *, point_keys: list[str]
         cand = cand.select(*point_keys, *group_cols, "_tag", "_px", "_py", "ax", "ay", "bx", "by",
                            segment_param("_px", "_py", "ax", "ay", "bx", "by").alias("_u"))
         d2 = distance_sq_at("_px", "_py", "ax", "ay", "bx", "by", "_u")
-        best = (cand.select(*point_keys, *group_cols, F.struct(d2.alias("d2"), F.col("_tag")).alias("_b"))
-                .groupBy(*point_keys, *group_cols).agg(F.min("_b").alias("_b"))
+        # Hash-aggregate min(d2) per tag first (partial aggregation, no sort);
+        # the (d2, tag) tie-break then runs on at most one row per tag.
+        per_tag = (cand.select(*point_keys, *group_cols, "_tag", d2.alias("d2"))
+                   .groupBy(*point_keys, *group_cols, "_tag").agg(F.min("d2").alias("d2")))
+        best = (per_tag.groupBy(*point_keys, *group_cols)
+                .agg(F.min(F.struct("d2", "_tag")).alias("_b"))
                 .select(*point_keys, *group_cols, "_b.d2", "_b._tag"))
         if level < last_level:
             best = best.where(F.col("d2") < F.lit((s * _SAFETY) ** 2))

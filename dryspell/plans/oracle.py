@@ -91,15 +91,16 @@ clim AS (
   FROM (SELECT code, avg(precip) AS annual_mean FROM yearly GROUP BY code) a
   JOIN (SELECT {_canon('code')} AS code, lat, lon FROM stn) s ON a.code = s.code
   LEFT JOIN region_lookup l ON a.code = l.code),
+bnd_v AS (
+  SELECT CAST(s_suppkey % 16 AS INTEGER) AS region, (s_suppkey // 16) * 4 + j AS v, s_acctbal
+  FROM supplier CROSS JOIN (SELECT unnest(range(0, 4)) AS j) r),
 bnd AS (
-  SELECT CAST(n_nationkey AS INTEGER) AS region, CAST(f.feature_id AS INTEGER) AS feature_id,
-         CAST(v.seq AS INTEGER) AS seq,
-         CAST(200000 + v.seq * 30000 + f.feature_id * 200000 AS DOUBLE) AS x,
-         CAST(8000000 - n_nationkey * 280000 - v.seq * 20000 AS DOUBLE) AS y
-  FROM nation
-  CROSS JOIN (SELECT unnest(range(0, 2)) AS feature_id) f
-  CROSS JOIN (SELECT unnest(range(0, 4)) AS seq) v
-  WHERE n_nationkey < 16),
+  SELECT region, CAST(v // 8 AS INTEGER) AS feature_id, CAST(v % 8 AS INTEGER) AS seq,
+         200000.0 + CAST(v % 8 AS DOUBLE) * 30000.0 + CAST((v // 8) % 4 AS DOUBLE) * 250000.0 AS x,
+         8000000.0 - CAST(region AS DOUBLE) * 280000.0
+                   - CAST(floor(CAST(v // 8 AS DOUBLE) / 4.0) AS DOUBLE) * 20000.0
+                   - CAST(v % 8 AS DOUBLE) * 2000.0 - s_acctbal AS y
+  FROM bnd_v),
 seg AS (
   SELECT a.region, a.feature_id, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS bby
   FROM bnd a JOIN bnd b

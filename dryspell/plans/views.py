@@ -26,6 +26,8 @@ REGIONS = 16                   # administrative regions 0..15
 VIEW_MIN_DAYS = 75             # completeness rule sized to the synthetic density
 VIEW_NATURAL_MIN_YEAR_EXCLUSIVE = 1996  # the dates span the 1990s
 MATRIX_BLOCK = 64              # stations per matrix file (column split)
+FEATURE_VERTICES = 8           # vertices per boundary feature
+VERTICES_PER_SUPPLIER = 4      # boundary vertices contributed by each supplier
 SENTINEL_ROW = 7               # l_linenumber that marks a missing observation
 
 
@@ -113,14 +115,25 @@ def natural_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Region boundary vertices (UTM metres): two 4-vertex lines per region."""
-    n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < REGIONS)
-    v = (n.select(F.col("n_nationkey").cast("int").alias("region"),
-                  F.explode(F.sequence(F.lit(0), F.lit(1))).alias("feature_id"))
-         .select("*", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("seq")))
+    """Region boundary vertices (UTM metres), VERTICES_PER_SUPPLIER per supplier.
+
+    Supplier keys are dense from 0. Supplier k belongs to region k % 16 and
+    has rank k div 16 inside it, so its vertices' index in the region,
+    rank * VERTICES_PER_SUPPLIER + j, is dense from 0; features of
+    FEATURE_VERTICES vertices and their ``seq`` follow by arithmetic (no
+    window). Vertex counts grow with the table.
+    """
+    s = table(spark, sf_dir, "supplier")
+    v = (s.select((F.col("s_suppkey") % REGIONS).cast("int").alias("region"),
+                  F.expr("s_suppkey div 16").alias("_rank"), F.col("s_acctbal"),
+                  F.explode(F.sequence(F.lit(0), F.lit(VERTICES_PER_SUPPLIER - 1))).alias("_j"))
+         .select("region", (F.col("_rank") * VERTICES_PER_SUPPLIER + F.col("_j")).alias("_v"), "s_acctbal"))
+    v = v.select("region", (F.col("_v") / FEATURE_VERTICES).cast("int").alias("feature_id"),
+                 (F.col("_v") % FEATURE_VERTICES).cast("int").alias("seq"), "s_acctbal")
     return v.select("region", "feature_id", "seq",
-                    (F.lit(200000.0) + F.col("seq") * 30000.0 + F.col("feature_id") * 200000.0).alias("x"),
-                    (F.lit(8000000.0) - F.col("region") * 280000.0 - F.col("seq") * 20000.0).alias("y"))
+                    (F.lit(200000.0) + F.col("seq") * 30000.0 + (F.col("feature_id") % 4) * 250000.0).alias("x"),
+                    (F.lit(8000000.0) - F.col("region") * 280000.0 - F.floor(F.col("feature_id") / 4) * 20000.0
+                     - F.col("seq") * 2000.0 - F.col("s_acctbal")).alias("y"))
 
 
 def matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,8 +146,8 @@ def matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Output: (block, line_no, value) like :func:`read_matrix_lines`.
     """
     st = stations(spark, sf_dir).select(
-        "*", ((F.col("s_suppkey") - 1) / MATRIX_BLOCK).cast("long").alias("block_no"),
-        ((F.col("s_suppkey") - 1) % MATRIX_BLOCK).cast("int").alias("pos"))
+        "*", F.floor(F.col("s_suppkey") / MATRIX_BLOCK).cast("long").alias("block_no"),
+        F.pmod(F.col("s_suppkey"), F.lit(MATRIX_BLOCK)).cast("int").alias("pos"))
     positions = (st.groupBy("block_no")
                  .agg(F.array_sort(F.collect_list("pos")).alias("positions")))
     fields = [F.struct(F.lit(i).alias("field"), F.col(name).cast("string").alias("text"))
