@@ -33,32 +33,42 @@ DEFAULT_BUCKETS = 256
 DEFAULT_ACCURACY = 10000
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median",
-                 buckets: int = DEFAULT_BUCKETS, accuracy: int = DEFAULT_ACCURACY,
-                 materialize_input: bool = True) -> DataFrame:
-    """Exact median of ``value`` per ``keys`` group, as column ``out``.
+def value_buckets(v: DataFrame, keys: list[str], buckets: int = DEFAULT_BUCKETS,
+                  accuracy: int = DEFAULT_ACCURACY) -> tuple[DataFrame, DataFrame]:
+    """Split each group's values (column ``_v``) into value-ordered buckets.
 
-    The narrow input (keys, value) is read three times (sketch, bucket
-    counts, ranked buckets); with ``materialize_input`` it is written once to
-    the shared checkpoint folder first, so the upstream plan runs only once.
+    Returns (rows with bucket ``_b``, per-bucket ``_c``/``_lo``/``_hi``).
+    A bucket either holds one distinct value (``_lo == _hi``) or the values
+    strictly between two consecutive distinct cut points.
     """
-    v = (df.where(F.col(value).isNotNull())
-           .select(*keys, F.col(value).cast("double").alias("_v")))
-    if materialize_input:
-        v = materialize(v, "median-input")
     probs = [i / buckets for i in range(1, buckets)]
     # One row of buckets-1 cut points per group: broadcast after a size check,
     # so the value side is bucketed map-side without a shuffle.
     cuts = broadcast_checked(
         v.groupBy(*keys).agg(F.percentile_approx("_v", probs, accuracy).alias("_cuts")),
         max_rows=max(1, MAX_BROADCAST_ROWS // buckets))
-
     below = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
     on_cut = F.array_contains("_cuts", F.col("_v")).cast("int")
     b = v.join(cuts, keys).select(*keys, "_v", (below * 2 + on_cut).alias("_b"))
-
     chunks = b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"),
                                         F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    return b, chunks
+
+
+def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median",
+                 buckets: int = DEFAULT_BUCKETS, accuracy: int = DEFAULT_ACCURACY,
+                 materialize_input: bool = True) -> DataFrame:
+    """Exact median of ``value`` per ``keys`` group, as column ``out``.
+
+    The narrow input (keys, value) is read three times (sketch, bucket
+    counts, ranked buckets); with ``materialize_input`` it is written once to
+    the shared checkpoint folder first, so the upstream plan runs only once.
+    """
+    v = (df.where(F.col(value).isNotNull())
+           .select(*keys, F.col(value).cast("double").alias("_v")))
+    if materialize_input:
+        v = materialize(v, "median-input")
+    b, chunks = value_buckets(v, keys, buckets, accuracy)
     running = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     chunks = (chunks.withColumn("_end", F.sum("_c").over(running))
                     .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))

@@ -307,3 +307,24 @@ def test_malformed_value_fails_the_job(spark):
     st = [dict(code="1", institution="DGA", lat=-30.0, lon=-70.0)]
     with pytest.raises(Exception):
         daily_from_matrix(_matrix_lines(spark, st, {"2000-01-01": ["abc"]})).collect()
+
+
+def test_median_buckets_bound_a_hot_group(spark):
+    """A group with most of the rows: every bucket that needs ranking stays small."""
+    from dryspell.operators.median import value_buckets
+    rnd = random.Random(5)
+    hot = [(0, rnd.random()) for _ in range(20000)] + [(0, 0.5)] * 10000
+    cold = [(g, rnd.random()) for g in range(1, 6) for _ in range(200)]
+    df = spark.createDataFrame(hot + cold, "g int, v double").withColumnRenamed("v", "_v")
+    buckets, accuracy = 64, 1000
+    _, chunks = value_buckets(df, ["g"], buckets, accuracy)
+    rows = chunks.where(F.col("g") == 0).collect()
+    n = 30000
+    assert sum(r._c for r in rows) == n
+    ranked = [r._c for r in rows if r._lo < r._hi]
+    assert max(ranked) <= n / buckets + 2 * n / accuracy + 1
+    # the repeated value forms its own bucket, answered without ranking
+    assert any(r._lo == r._hi == 0.5 and r._c >= 10000 for r in rows)
+    got = exact_median(df.withColumnRenamed("_v", "v"), ["g"], "v", buckets=buckets, accuracy=accuracy)
+    want = statistics.median([v for g, v in hot])
+    assert {r.g: r.median for r in got.collect()}[0] == want
