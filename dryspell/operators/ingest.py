@@ -24,11 +24,18 @@ _FIELD_LAT = S.STATION_FIELDS.index("lat")
 _FIELD_LON = S.STATION_FIELDS.index("lon")
 
 
-def _split_lines(lines: DataFrame) -> DataFrame:
-    parts = F.split(F.col("value"), ",", -1)
-    return lines.select("block", "line_no",
-                        F.element_at(parts, 1).alias("label"),
-                        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))).alias("payload"))
+def _cells(lines: DataFrame, *cols: str) -> DataFrame:
+    """Lines -> one row per matrix cell: (*cols, label, pos, v).
+
+    Each line is split exactly once; ``posexplode_outer`` walks the array
+    (label included) without the non-empty filter Spark would infer for
+    ``posexplode``, which would split the line again.
+    """
+    parts = lines.select(*cols, F.split(F.col("value"), ",", -1).alias("_parts"))
+    return (parts.select(*cols, F.element_at("_parts", 1).alias("label"),
+                         F.posexplode_outer("_parts").alias("_i", "v"))
+            .where(F.col("_i") > 0)
+            .select(*cols, "label", (F.col("_i") - 1).alias("pos"), "v"))
 
 
 def matrix_stations(lines: DataFrame, n_meta: int = S.N_META_LINES) -> DataFrame:
@@ -39,11 +46,11 @@ def matrix_stations(lines: DataFrame, n_meta: int = S.N_META_LINES) -> DataFrame
     """
     label = F.substring_index(F.col("value"), ",", 1)
     meta_lines = lines.where(~is_date_label(label))
-    meta = (_split_lines(meta_lines)
+    meta = (meta_lines
             .withColumn("field", F.row_number().over(
                 Window.partitionBy("block").orderBy("line_no")) - 1)
             .where(F.col("field") < n_meta))
-    cells = meta.select("block", "field", F.posexplode("payload").alias("pos", "v"))
+    cells = _cells(meta, "block", "field")
 
     def pick(i: int, name: str):
         return F.max(F.when(F.col("field") == i, F.col("v"))).alias(name)
@@ -84,9 +91,7 @@ def daily_from_matrix(lines: DataFrame, *, n_meta: int = S.N_META_LINES,
     kept = broadcast_checked(kept)
 
     label = F.substring_index(F.col("value"), ",", 1)
-    day_cells = (_split_lines(lines.where(is_date_label(label)))
-                 .select("block", "label", F.posexplode("payload").alias("pos", "v"))
-                 .where(~is_missing(F.col("v"), sentinel)))
+    day_cells = _cells(lines.where(is_date_label(label)), "block").where(~is_missing(F.col("v"), sentinel))
     year, month, day = date_label_parts("label")
     return (day_cells.join(kept, ["block", "pos"])
             .select("code", year.alias("year"), month.alias("month"), day.alias("day"),
