@@ -31,6 +31,11 @@ def preprocess(spark: SparkSession, matrix_path: str, out: str, *, fmt: str = "p
                mode: str = "errorifexists") -> None:
     """Stage 1: raw matrix text -> clean daily table (Parquet partitioned by year)."""
     daily = daily_from_matrix(readers.read_matrix_lines(spark, matrix_path))
+    if fmt == "parquet":
+        # Matrix lines are date-ordered, so a task holds few years; sorting
+        # inside each task by (year, code) keeps files per task and year few
+        # and gives row groups narrow code ranges for later pushdown.
+        daily = daily.sortWithinPartitions("year", "code")
     _write(daily, out, fmt, mode, partition_by="year" if fmt == "parquet" else None)
 
 
