@@ -54,3 +54,15 @@ def test_job_chain(spark, tmp_dir):
     jobs.zone_statistics(spark, yearly, spath, out2, lookup_path=nz, kind="natural")
     med = spark.read.parquet(os.path.join(out2, "median-year-zone")).collect()
     assert sorted((r.zone, r.year) for r in med) == [(2, 2001), (2, 2002), (4, 2001), (4, 2002)]
+
+
+def test_command_line_natural_zones(spark, tmp_dir):
+    spath = os.path.join(tmp_dir, "stations.csv")
+    with open(spath, "w") as f:
+        f.write(",".join(META) + "\n")
+        for code, inst, lat, lon in STATIONS:
+            f.write(",".join([code, inst, "s", "n", "1.0", str(lat), str(lon)] + ["x"] * 6 + ["1", "x"]) + "\n")
+    out = os.path.join(tmp_dir, "nz")
+    jobs.main(["natural-zones", spath, out])
+    got = sorted((r.code, r.zone) for r in readers.read_zone_name_lookup(spark, out).collect())
+    assert got == [("101", 2), ("102", 2), ("201", 4), ("999", 3)]

@@ -328,3 +328,15 @@ def test_median_buckets_bound_a_hot_group(spark):
     got = exact_median(df.withColumnRenamed("_v", "v"), ["g"], "v", buckets=buckets, accuracy=accuracy)
     want = statistics.median([v for g, v in hot])
     assert {r.g: r.median for r in got.collect()}[0] == want
+
+
+def test_zscores_of_a_zone_have_mean_zero_and_unit_std(spark):
+    from dryspell.functions.values import standardize
+    rnd = random.Random(9)
+    yz = spark.createDataFrame([(f"s{i}", 1990 + i % 20, rnd.gammavariate(2.0, 200.0), i % 3)
+                                for i in range(600)], "code string, year int, precip double, zone int")
+    ms = ST.mean_std_by_zone(yz)
+    z = yz.join(ms, "zone").select("zone", standardize("precip", "mean", "std").alias("z"))
+    for r in z.groupBy("zone").agg(F.avg("z").alias("m"), F.stddev_pop("z").alias("s")).collect():
+        assert r.m == pytest.approx(0.0, abs=1e-12)
+        assert r.s == pytest.approx(1.0, abs=1e-12)
