@@ -66,3 +66,25 @@ def test_command_line_natural_zones(spark, tmp_dir):
     jobs.main(["natural-zones", spath, out])
     got = sorted((r.code, r.zone) for r in readers.read_zone_name_lookup(spark, out).collect())
     assert got == [("101", 2), ("102", 2), ("201", 4), ("999", 3)]
+
+
+def test_job_chain_in_reference_text_formats(spark, tmp_dir):
+    days = [f"2003-02-{d:02d}" for d in range(1, 6)]
+    mpath = os.path.join(tmp_dir, "matrix.txt")
+    with open(mpath, "w") as f:
+        for field in META:
+            vals = [{"code": c, "institution": i, "lat": str(la), "lon": str(lo)}.get(field, "x")
+                    for c, i, la, lo in STATIONS]
+            f.write(",".join([field] + vals) + "\n")
+        for i, label in enumerate(days):
+            f.write(",".join([label] + [str(float(i + k)) for k in range(len(STATIONS))]) + "\n")
+    daily = os.path.join(tmp_dir, "daily-tsv")
+    jobs.preprocess(spark, mpath, daily, fmt="tsv")
+    assert spark.read.text(daily).count() == 3 * len(days)
+    yearly = os.path.join(tmp_dir, "yearly-tsv")
+    jobs.yearly(spark, daily, yearly, min_days=5, fmt="tsv")
+    lines = sorted(r.value for r in spark.read.text(yearly).collect())
+    assert lines == ["101##2003\t5\t10.0", "102##2003\t5\t15.0", "201##2003\t5\t20.0"]
+    monthly = os.path.join(tmp_dir, "monthly-tsv")
+    jobs.monthly(spark, daily, monthly, fmt="tsv")
+    assert sorted(r.value for r in spark.read.text(monthly).collect())[0] == "101##2003##2\t5\t10.0"
