@@ -30,6 +30,29 @@ def _series_constants(a: float = S.WGS84_A, inv_f: float = S.WGS84_INV_F):
     return big_a, alpha, c
 
 
+def _utm_sql(lat: str, lon: str, zone: int | None) -> tuple[str, str]:
+    """SQL text of the projection over column names (same operations as below)."""
+    big_a, alpha, c = _series_constants()
+    d = lambda v: f"CAST({v!r} AS DOUBLE)"  # noqa: E731 - exact double literals
+    if zone is None:
+        lon0 = f"(floor(({lon} + 180.0D) / 6.0D) * 6.0D - 177.0D)"
+        n0 = f"(CASE WHEN {lat} < 0 THEN {d(S.UTM_FALSE_NORTHING_SOUTH)} ELSE 0.0D END)"
+    else:
+        lon0 = d(6.0 * zone - 183.0)
+        n0 = d(S.UTM_FALSE_NORTHING_SOUTH)
+    sin_phi = f"sin(radians({lat}))"
+    t = f"sinh(atanh({sin_phi}) - {d(c)} * atanh({d(c)} * {sin_phi}))"
+    dl = f"radians({lon} - {lon0})"
+    xi = f"atan2({t}, cos({dl}))"
+    eta = f"atanh(sin({dl}) / sqrt(1.0D + {t} * {t}))"
+    e_sum, n_sum = eta, xi
+    for j, aj in enumerate(alpha, start=1):
+        e_sum = f"({e_sum} + {d(aj)} * cos({2.0 * j!r}D * {xi}) * sinh({2.0 * j!r}D * {eta}))"
+        n_sum = f"({n_sum} + {d(aj)} * sin({2.0 * j!r}D * {xi}) * cosh({2.0 * j!r}D * {eta}))"
+    ka = d(S.UTM_K0 * big_a)
+    return (f"({d(S.UTM_FALSE_EASTING)} + {ka} * {e_sum})", f"({n0} + {ka} * {n_sum})")
+
+
 def utm_easting_northing(lat: Column | str, lon: Column | str,
                          zone: int | None = S.UTM_ZONE) -> tuple[Column, Column]:
     """(easting, northing) in metres.
@@ -38,6 +61,9 @@ def utm_easting_northing(lat: Column | str, lon: Column | str,
     projection; false northing 10,000,000 m as in a south zone). With
     ``zone=None`` each point uses its own zone and hemisphere.
     """
+    if isinstance(lat, str) and isinstance(lon, str):
+        e_sql, n_sql = _utm_sql(lat, lon, zone)
+        return F.expr(e_sql), F.expr(n_sql)
     big_a, alpha, c = _series_constants()
     k0 = S.UTM_K0
     phi = F.radians(_c(lat))
@@ -63,12 +89,31 @@ def utm_easting_northing(lat: Column | str, lon: Column | str,
     return easting, northing
 
 
+def _all_names(*args) -> bool:
+    return all(isinstance(a, str) for a in args)
+
+
+def segment_param_sql(px: str, py: str, ax: str, ay: str, bx: str, by: str) -> str:
+    """SQL text of :func:`segment_param` over column names."""
+    dx, dy = f"({bx} - {ax})", f"({by} - {ay})"
+    return (f"greatest(0.0D, least(1.0D, (({px} - {ax}) * {dx} + ({py} - {ay}) * {dy})"
+            f" / nullif({dx} * {dx} + {dy} * {dy}, 0.0D)))")
+
+
+def distance_sq_at_sql(px: str, py: str, ax: str, ay: str, bx: str, by: str, u: str) -> str:
+    """SQL text of :func:`distance_sq_at` over column names."""
+    qx, qy = f"({ax} + {u} * ({bx} - {ax}))", f"({ay} + {u} * ({by} - {ay}))"
+    return f"(({px} - {qx}) * ({px} - {qx}) + ({py} - {qy}) * ({py} - {qy}))"
+
+
 def segment_param(px, py, ax, ay, bx, by) -> Column:
     """Position u in [0, 1] of the point of segment AB closest to P.
 
     A degenerate segment (A == B) divides by NULL; ``least``/``greatest``
     skip the NULL and clamp to 1, which is the point A itself.
     """
+    if _all_names(px, py, ax, ay, bx, by):
+        return F.expr(segment_param_sql(px, py, ax, ay, bx, by))
     px, py, ax, ay, bx, by = map(_c, (px, py, ax, ay, bx, by))
     dx = bx - ax
     dy = by - ay
@@ -79,6 +124,8 @@ def segment_param(px, py, ax, ay, bx, by) -> Column:
 
 def distance_sq_at(px, py, ax, ay, bx, by, u) -> Column:
     """Squared distance from P to the point A + u (B - A)."""
+    if _all_names(px, py, ax, ay, bx, by, u):
+        return F.expr(distance_sq_at_sql(px, py, ax, ay, bx, by, u))
     px, py, ax, ay, bx, by, u = map(_c, (px, py, ax, ay, bx, by, u))
     qx = ax + u * (bx - ax)
     qy = ay + u * (by - ay)

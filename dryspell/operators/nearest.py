@@ -4,22 +4,29 @@
 The reference measures, for every station, the distance to each region's
 boundary line and keeps the closest region (lowest region on ties). Pairing
 every station with every segment does not scale, so this is an exact
-multi-resolution grid search:
-
-* At level L the cell size is ``s = c0 * growth**L``. Each segment is cut
-  into pieces no longer than ``s`` and each piece is registered in the cells
-  its (slightly padded) bounding box touches, at most 3 x 3 cells.
-* Each pending point looks at the 3 x 3 block of cells around its own cell;
-  an equi-join on the cell id yields its candidate segments, and the squared
-  distance to the whole original segment is computed as column math.
-* Everything outside the block is at least ``s`` away, so a best distance
-  below ``s`` is final. Unresolved points move on to the next, coarser level.
-  At the last level the cell is at least the extent's diagonal, so the
-  block spans everything and every point finishes.
-
-Points and segments are written once to the shared checkpoint folder; per
-level only the newly resolved rows (one per point and group) are
-checkpointed, so lineage stays flat across levels.
+branch-and-bound descent over a grid pyramid, written as joins:
+
+* Level k has cell size ``s_k = s_top / 8**k``; the top cell is at least the
+  extent's diagonal, the finest about one segment long. Segments are cut into
+  pieces no longer than the cell and registered in the cells their (slightly
+  padded) bounding box touches. Per (group, cell) the index keeps the
+  bounding box of its pieces and one representative segment.
+* At the top level every point's 3 x 3 block of cells holds every group's
+  cells (an equi-join on the cell id). For each (point, group, cell) the
+  distance to the cell's piece box is a lower bound and the exact distance
+  to its representative segment an upper bound. Cells whose lower bound
+  exceeds the best upper bound of their (point, group) cannot hold the
+  nearest point and are dropped.
+* Surviving cells descend to their 8 x 8 children (an equi-join on the
+  parent cell id) and are pruned again; at the finest level the distances to the
+  pieces' original segments are computed exactly.
+
+The cell holding the nearest segment point always survives (its lower bound
+is at most the true distance, which is at most any upper bound), so the
+result is exact. Work per (point, group) is a few cells per level instead of
+every segment. Points, segments and the cell index are written to the
+shared checkpoint folder, and the frontier every few levels, so lineage
+stays short.
 """
 
 from __future__ import annotations
@@ -27,18 +34,24 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dryspell import schemas as S
-from dryspell.functions.geo import distance_sq_at, segment_param, utm_easting_northing
+from dryspell.functions.geo import (
+    distance_sq_at, distance_sq_at_sql, segment_param, segment_param_sql, utm_easting_northing,
+)
 from dryspell.operators._exec import materialize
 from dryspell.operators.boundaries import segments as boundary_segments
 
-# Fraction of the cell size treated as certainly outside the search block;
-# the margin keeps rounding in floor(x / s) from ever admitting a false "final".
-_SAFETY = 1.0 - 1e-9
+# Relative slack on the pruning test, so rounding in the piece coordinates
+# can only keep a cell, never drop one that holds the nearest point.
+_SLACK = 1e-9
+# Each cell has BRANCH x BRANCH children; the frontier is written to the
+# shared folder every CUT_EVERY levels to keep the lineage short.
+_BRANCH = 8
+_CUT_EVERY = 3
 _OFFSETS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 
 
@@ -50,117 +63,126 @@ def project_stations(stations: DataFrame, zone: int | None = S.UTM_ZONE) -> Data
 
 
 def _pieces(segs: DataFrame, s: float) -> DataFrame:
-    """Register segment pieces (length <= s) in the grid cells they touch."""
-    seg_len = F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2)
-    n = F.greatest(F.lit(1), F.ceil(seg_len / F.lit(s)).cast("int"))
-    k = F.col("_k").cast("double")
-    cnt = F.col("_np").cast("double")
-    x0 = F.col("ax") + (F.col("bx") - F.col("ax")) * (k / cnt)
-    x1 = F.col("ax") + (F.col("bx") - F.col("ax")) * ((k + 1.0) / cnt)
-    y0 = F.col("ay") + (F.col("by") - F.col("ay")) * (k / cnt)
-    y1 = F.col("ay") + (F.col("by") - F.col("ay")) * ((k + 1.0) / cnt)
-    pad = s * 1e-9
-    cx_lo = F.floor((F.least(x0, x1) - pad) / s)
-    cx_hi = F.floor((F.greatest(x0, x1) + pad) / s)
-    cy_lo = F.floor((F.least(y0, y1) - pad) / s)
-    cy_hi = F.floor((F.greatest(y0, y1) + pad) / s)
-    pieces = (segs.withColumn("_np", n)
-              .select("*", F.explode(F.sequence(F.lit(0), F.col("_np") - 1)).alias("_k")))
-    return (pieces.select("*", cx_lo.alias("_cxl"), cx_hi.alias("_cxh"), cy_lo.alias("_cyl"), cy_hi.alias("_cyh"))
+    """Register segment pieces (length <= s) in the grid cells they touch.
+
+    Expressions are SQL text so building the plan costs a few JVM calls.
+    """
+    sd = f"CAST({s!r} AS DOUBLE)"
+    pad = f"CAST({s * 1e-9!r} AS DOUBLE)"
+    n = f"greatest(1, CAST(ceil(sqrt((bx - ax) * (bx - ax) + (by - ay) * (by - ay)) / {sd}) AS INT))"
+    at = "{a} + ({b} - {a}) * ({t} / CAST(_np AS DOUBLE))"
+    x0 = at.format(a="ax", b="bx", t="CAST(_k AS DOUBLE)")
+    x1 = at.format(a="ax", b="bx", t="(CAST(_k AS DOUBLE) + 1.0D)")
+    y0 = at.format(a="ay", b="by", t="CAST(_k AS DOUBLE)")
+    y1 = at.format(a="ay", b="by", t="(CAST(_k AS DOUBLE) + 1.0D)")
+    pieces = (segs.withColumn("_np", F.expr(n))
+              .select("*", F.explode(F.sequence(F.lit(0), F.col("_np") - 1)).alias("_k"))
+              .selectExpr("*", f"least({x0}, {x1}) AS _bx0", f"greatest({x0}, {x1}) AS _bx1",
+                          f"least({y0}, {y1}) AS _by0", f"greatest({y0}, {y1}) AS _by1"))
+    return (pieces.selectExpr("*", f"floor((_bx0 - {pad}) / {sd}) AS _cxl", f"floor((_bx1 + {pad}) / {sd}) AS _cxh",
+                              f"floor((_by0 - {pad}) / {sd}) AS _cyl", f"floor((_by1 + {pad}) / {sd}) AS _cyh")
             .select("*", F.explode(F.sequence("_cxl", "_cxh")).alias("cx"))
             .select("*", F.explode(F.sequence("_cyl", "_cyh")).alias("cy"))
             .drop("_np", "_k", "_cxl", "_cxh", "_cyl", "_cyh"))
 
 
+def _cell_index(sg: DataFrame, group_cols: list[str], s: float, level: int) -> DataFrame:
+    """Per (group, cell) at one level: bounding box of the pieces and a representative segment."""
+    rep = [F.min_by(c, "_sid").alias(f"_r{c}") for c in ("ax", "ay", "bx", "by")]
+    return (_pieces(sg, s).groupBy(*group_cols, "cx", "cy")
+            .agg(F.min("_bx0").alias("_lx0"), F.max("_bx1").alias("_lx1"),
+                 F.min("_by0").alias("_ly0"), F.max("_by1").alias("_ly1"), *rep)
+            .withColumn("level", F.lit(level)))
+
+
+def _bounded(df: DataFrame, keys: list[str], prev_ub: str | None) -> DataFrame:
+    """Add lower/upper bounds per (point, group, cell); keep cells that may hold the nearest point."""
+    lb2 = ("pow(greatest(_lx0 - _px, 0.0D, _px - _lx1), 2) + pow(greatest(_ly0 - _py, 0.0D, _py - _ly1), 2)")
+    with_b = df.selectExpr("*", f"{lb2} AS _lb2",
+                           segment_param_sql("_px", "_py", "_rax", "_ray", "_rbx", "_rby") + " AS _ru")
+    ub2 = F.expr(distance_sq_at_sql("_px", "_py", "_rax", "_ray", "_rbx", "_rby", "_ru"))
+    best = F.min(ub2).over(Window.partitionBy(*keys))
+    if prev_ub:
+        best = F.least(best, F.col(prev_ub))
+    with_b = with_b.select("*", best.alias("_ub2"))
+    return with_b.where(F.expr(f"_lb2 <= _ub2 * (1.0D + {_SLACK!r}D)"))
+
+
 def nearest_by_grid(points: DataFrame, segs: DataFrame, *, point_keys: list[str],
                     group_cols: list[str] | None = None, tag: str | None = None,
-                    cell_size: float | None = None, growth: int = 4) -> DataFrame:
+                    cell_size: float | None = None) -> DataFrame:
     """Exact nearest segment per point (and per group, if ``group_cols``).
 
-    ``points``: point_keys + (x, y). ``segs``: group_cols + tag + (ax, ay, bx, by).
-    Returns point_keys + group_cols + (d2, tag): the smallest squared distance
-    and, among segments at that distance, the smallest ``tag``.
+    ``points``: unique point_keys + (x, y). ``segs``: group_cols + tag +
+    (ax, ay, bx, by). Returns point_keys + group_cols + (d2, tag): the
+    smallest squared distance and, among segments at that distance, the
+    smallest ``tag``. ``cell_size`` sets the finest cell.
     """
     group_cols = list(group_cols or [])
     tag_col = F.col(tag) if tag else F.lit(0)
-    # Both inputs are read once per level: write them once (flat lineage).
     pts = materialize(points.select(*point_keys, F.col("x").alias("_px"), F.col("y").alias("_py")),
                       "grid-points")
-    sg = materialize(segs.select(*group_cols, tag_col.alias("_tag"), "ax", "ay", "bx", "by"),
-                     "grid-segments")
+    sg = materialize(segs.select(*group_cols, tag_col.alias("_tag"), "ax", "ay", "bx", "by")
+                     .withColumn("_sid", F.monotonically_increasing_id()), "grid-segments")
 
-    # One small action each: extents, mean segment length, group and point counts.
+    # One small action each: extents, mean segment length, segment count.
     seg_stats = sg.agg(
         F.min(F.least("ax", "bx")).alias("x0"), F.max(F.greatest("ax", "bx")).alias("x1"),
         F.min(F.least("ay", "by")).alias("y0"), F.max(F.greatest("ay", "by")).alias("y1"),
         F.avg(F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2)).alias("len"),
-        (F.count_distinct(*group_cols) if group_cols else F.count(F.lit(1))).alias("groups"),
         F.count(F.lit(1)).alias("segments"),
     ).first()
-    pt_stats = pts.agg(F.min("_px"), F.max("_px"), F.min("_py"), F.max("_py"),
-                       F.count(F.lit(1))).first()
+    pt_stats = pts.agg(F.min("_px"), F.max("_px"), F.min("_py"), F.max("_py")).first()
     if seg_stats["x0"] is None or pt_stats[0] is None:
         fields = ([pts.schema[k] for k in point_keys] + [sg.schema[g] for g in group_cols]
                   + [T.StructField("d2", T.DoubleType()), T.StructField(tag or "_tag", sg.schema["_tag"].dataType)])
         empty = pts.sparkSession.createDataFrame([], T.StructType(fields))
         return empty if tag else empty.drop("_tag")
-    n_groups = seg_stats["groups"] if group_cols else 1
-    target = pt_stats[4] * n_groups          # (point, group) pairs to resolve
     x0 = min(seg_stats["x0"], pt_stats[0]); x1 = max(seg_stats["x1"], pt_stats[1])
     y0 = min(seg_stats["y0"], pt_stats[2]); y1 = max(seg_stats["y1"], pt_stats[3])
     diag = max(math.hypot(x1 - x0, y1 - y0), 1e-9)
-    # Start where a cell holds about one segment if they were spread evenly,
-    # never finer than a typical segment.
-    c0 = cell_size or max(seg_stats["len"] or 0.0, diag / math.sqrt(max(seg_stats["segments"], 1)),
-                          diag / 65536.0)
-    # From the first level whose cell is at least the extent's diagonal, every
-    # point's 3 x 3 block covers every segment: that level resolves all.
-    last_level = max(0, math.ceil(math.log(diag / c0, growth)))
-    while c0 * growth ** last_level < diag:
-        last_level += 1
-
-    done_parts: list[DataFrame] = []
-    n_done = 0
-    pending = pts
+    fine = cell_size or max(seg_stats["len"] or 0.0, diag / math.sqrt(max(seg_stats["segments"], 1)),
+                            diag / 65536.0)
+    levels = max(0, math.ceil(math.log(diag / fine, _BRANCH)))
+    while fine * _BRANCH ** levels < diag:
+        levels += 1
+    top = fine * _BRANCH ** levels           # >= diag: the top block covers everything
+    size = [top / _BRANCH ** k for k in range(levels + 1)]
+
+    index = materialize(reduce(DataFrame.unionByName,
+                               [_cell_index(sg, group_cols, size[k], k) for k in range(levels + 1)]),
+                        "grid-index")
+    keys = [*point_keys, *group_cols]
     offsets = F.array(*[F.struct(F.lit(dx).cast("long").alias("dx"), F.lit(dy).cast("long").alias("dy"))
                         for dx, dy in _OFFSETS])
-    for level in range(last_level + 1):
-        s = c0 * growth ** level
-        probe = (pending.select("*", F.floor(F.col("_px") / s).alias("_cx0"),
-                                F.floor(F.col("_py") / s).alias("_cy0"), F.explode(offsets).alias("_o"))
-                 .select(*point_keys, "_px", "_py",
-                         (F.col("_cx0") + F.col("_o.dx")).alias("cx"),
-                         (F.col("_cy0") + F.col("_o.dy")).alias("cy")))
-        cand = probe.join(_pieces(sg, s), ["cx", "cy"])
-        # Per-group mode: drop (point, group) pairs already final before any
-        # distance is computed or shuffled into the aggregate.
-        for part in done_parts if group_cols else []:
-            cand = cand.join(part.select(*point_keys, *group_cols), [*point_keys, *group_cols], "left_anti")
-        cand = cand.select(*point_keys, *group_cols, "_tag", "_px", "_py", "ax", "ay", "bx", "by",
-                           segment_param("_px", "_py", "ax", "ay", "bx", "by").alias("_u"))
-        d2 = distance_sq_at("_px", "_py", "ax", "ay", "bx", "by", "_u")
-        # Hash-aggregate min(d2) per tag first (partial aggregation, no sort);
-        # the (d2, tag) tie-break then runs on at most one row per tag.
-        per_tag = (cand.select(*point_keys, *group_cols, "_tag", d2.alias("d2"))
-                   .groupBy(*point_keys, *group_cols, "_tag").agg(F.min("d2").alias("d2")))
-        best = (per_tag.groupBy(*point_keys, *group_cols)
-                .agg(F.min(F.struct("d2", "_tag")).alias("_b"))
-                .select(*point_keys, *group_cols, "_b.d2", "_b._tag"))
-        if level < last_level:
-            best = best.where(F.col("d2") < F.lit((s * _SAFETY) ** 2))
-        best = materialize(best, f"grid-level-{level}")
-        done_parts.append(best)
-        n_done += best.count()
-        if n_done >= target:
-            break
-        if n_groups == 1:
-            pending = pending.join(best.select(*point_keys), point_keys, "left_anti")
-        else:
-            resolved = reduce(DataFrame.unionByName, [p.select(*point_keys) for p in done_parts])
-            full = (resolved.groupBy(*point_keys).agg(F.count(F.lit(1)).alias("_g"))
-                    .where(F.col("_g") >= F.lit(n_groups)).select(*point_keys))
-            pending = pts.join(full, point_keys, "left_anti")
-    out = reduce(DataFrame.unionByName, done_parts).select(*point_keys, *group_cols, "d2", "_tag")
+    probe = (pts.select("*", F.floor(F.col("_px") / top).alias("_cx0"),
+                        F.floor(F.col("_py") / top).alias("_cy0"), F.explode(offsets).alias("_o"))
+             .select(*point_keys, "_px", "_py", (F.col("_cx0") + F.col("_o.dx")).alias("cx"),
+                     (F.col("_cy0") + F.col("_o.dy")).alias("cy")))
+    frontier = _bounded(probe.join(index.where(F.col("level") == 0).drop("level"), ["cx", "cy"]), keys, None)
+    frontier = frontier.select(*keys, "_px", "_py", "cx", "cy", "_ub2")
+    for k in range(1, levels + 1):
+        children = (index.where(F.col("level") == k).drop("level")
+                    .withColumn("_pcx", F.floor(F.col("cx") / _BRANCH))
+                    .withColumn("_pcy", F.floor(F.col("cy") / _BRANCH)))
+        parents = frontier.select(*keys, "_px", "_py", F.col("cx").alias("_pcx"), F.col("cy").alias("_pcy"),
+                                  F.col("_ub2").alias("_prev"))
+        step = _bounded(parents.join(children, [*group_cols, "_pcx", "_pcy"]), keys, "_prev")
+        frontier = step.select(*keys, "_px", "_py", "cx", "cy", "_ub2")
+        if k % _CUT_EVERY == 0 and k < levels:
+            frontier = materialize(frontier, f"grid-frontier-{k}")
+
+    cand = (frontier.select(*keys, "_px", "_py", "cx", "cy")
+            .join(_pieces(sg, size[levels]), [*group_cols, "cx", "cy"])
+            .select(*keys, "_tag", "_px", "_py", "ax", "ay", "bx", "by",
+                    segment_param("_px", "_py", "ax", "ay", "bx", "by").alias("_u")))
+    d2 = distance_sq_at("_px", "_py", "ax", "ay", "bx", "by", "_u")
+    # Hash-aggregate min(d2) per tag first (partial aggregation, no sort);
+    # the (d2, tag) tie-break then runs on at most one row per tag.
+    per_tag = (cand.select(*keys, "_tag", d2.alias("d2"))
+               .groupBy(*keys, "_tag").agg(F.min("d2").alias("d2")))
+    out = (per_tag.groupBy(*keys).agg(F.min(F.struct("d2", "_tag")).alias("_b"))
+           .select(*keys, "_b.d2", "_b._tag"))
     return out.withColumnRenamed("_tag", tag) if tag else out.drop("_tag")
 
 

@@ -85,3 +85,22 @@ def test_segment_distance(spark):
     df = spark.createDataFrame(rows, "px double, py double, ax double, ay double, bx double, by double")
     got = [r.d for r in df.select(segment_distance_sq("px", "py", "ax", "ay", "bx", "by").alias("d")).collect()]
     assert got == [1.0, 25.0, 2.0]
+
+
+def test_utm_sql_and_column_paths_agree(spark):
+    df = spark.createDataFrame([(-33.45, -70.66), (-18.2, -75.9), (-54.9, -66.1), (5.0, -60.0)],
+                               "lat double, lon double")
+    for zone in (19, None):
+        e1, n1 = utm_easting_northing("lat", "lon", zone)
+        e2, n2 = utm_easting_northing(F.col("lat"), F.col("lon"), zone)
+        for r in df.select(e1.alias("a"), n1.alias("b"), e2.alias("c"), n2.alias("d")).collect():
+            assert r.a == pytest.approx(r.c, abs=1e-6) and r.b == pytest.approx(r.d, abs=1e-6)
+
+
+def test_segment_sql_and_column_paths_agree(spark):
+    rows = [(2.0, 5.0, 3.0, 0.0, 3.0, 10.0), (1.0, 1.0, 0.0, 0.0, 0.0, 0.0), (-7.5, 2.25, 1.0, 1.0, 4.0, -3.0)]
+    df = spark.createDataFrame(rows, "px double, py double, ax double, ay double, bx double, by double")
+    a = segment_distance_sq("px", "py", "ax", "ay", "bx", "by")
+    b = segment_distance_sq(*[F.col(c) for c in ("px", "py", "ax", "ay", "bx", "by")])
+    for r in df.select(a.alias("a"), b.alias("b")).collect():
+        assert r.a == r.b

@@ -233,6 +233,17 @@ def test_nearest_matches_brute_force(spark):
         for k in want:
             assert got[k][0] == want[k][0]
             assert got[k][1] == pytest.approx(want[k][1])
+    want_per = {}
+    for code, px, py in pts:
+        for (r, f), vs in segs.items():
+            for s in range(len(vs) - 1):
+                d = d2(px, py, vs[s], vs[s + 1]) ** 0.5
+                want_per[(code, r)] = min(d, want_per.get((code, r), d))
+    for cell in (None, 3.0):
+        per = {(r.code, r.region): r.dist for r in N.distance_to_regions(pdf, bnd, cell_size=cell).collect()}
+        assert per.keys() == want_per.keys()
+        for k, v in want_per.items():
+            assert per[k] == pytest.approx(v)
 
 
 def test_close_rings(spark):
