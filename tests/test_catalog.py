@@ -1,7 +1,6 @@
 """Every catalogue query against its DuckDB oracle on the smallest driver tables."""
 
 import hashlib
-import math
 
 import duckdb
 import pytest
