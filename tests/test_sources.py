@@ -62,11 +62,11 @@ def test_keyed_tsv_roundtrip(spark, tmp_dir):
 
 
 def test_zone_lookups(spark, tmp_dir):
-    p = os.path.join(tmp_dir, "estacionyreg.txt")
+    p = os.path.join(tmp_dir, "station-regions.csv")
     _write(p, ["0012,3", "COM00080002,5", "12,4"])
     got = sorted(tuple(r) for r in readers.read_zone_lookup(spark, p).collect())
     assert got == [("12", 4), ("COM00080002", 5)]
-    q = os.path.join(tmp_dir, "zonas.tsv")
+    q = os.path.join(tmp_dir, "natural-zones.tsv")
     _write(q, ["0007\tCentro", "8\tAtlantis"])
     got = sorted(tuple(r) for r in readers.read_zone_name_lookup(spark, q).collect())
     assert got == [("7", 3), ("8", 0)]
