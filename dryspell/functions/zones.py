@@ -14,7 +14,13 @@ def natural_zone_name(lat: Column | str, bands=S.NATURAL_BANDS) -> Column:
     Each band is (name, upper, lower, lower_inclusive): upper bound inclusive,
     lower bound exclusive unless flagged.
     """
-    c = F.col(lat) if isinstance(lat, str) else lat
+    if isinstance(lat, str):
+        whens = []
+        for name, upper, lower, lower_incl in bands:
+            low = f"{lat} >= {lower!r}D" if lower_incl else f"{lat} > {lower!r}D"
+            whens.append(f"WHEN {lat} <= {upper!r}D AND {low} THEN '{name}'")
+        return F.expr("CASE " + " ".join(whens) + " END")
+    c = lat
     expr = None
     for name, upper, lower, lower_incl in bands:
         cond = (c <= F.lit(upper)) & ((c >= F.lit(lower)) if lower_incl else (c > F.lit(lower)))

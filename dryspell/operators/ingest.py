@@ -66,8 +66,16 @@ def station_filter(institution, lat, lon,
     """Keep stations not from an excluded institution and strictly inside the box.
 
     The institution test comes first and short-circuits, so coordinates of
-    excluded stations are never parsed (as in the reference).
+    excluded stations are never parsed (as in the reference). Column names
+    build one SQL expression; Columns build the same test operator by operator.
     """
+    if all(isinstance(c, str) for c in (institution, lat, lon)):
+        excluded = ", ".join("'" + i.replace("'", "''") + "'" for i in exclude_institutions)
+        la, lo = f"CAST({lat} AS DOUBLE)", f"CAST({lon} AS DOUBLE)"
+        return F.expr(
+            f"NOT coalesce({institution} IN ({excluded}), false)"
+            f" AND ({lo} > {bbox['lon_min']!r}D AND {lo} < {bbox['lon_max']!r}D"
+            f" AND {la} > {bbox['lat_min']!r}D AND {la} < {bbox['lat_max']!r}D)")
     inst_ok = ~F.coalesce(institution.isin(*exclude_institutions), F.lit(False))
     lat_d = lat.cast("double")
     lon_d = lon.cast("double")
@@ -85,8 +93,8 @@ def daily_from_matrix(lines: DataFrame, *, n_meta: int = S.N_META_LINES,
     canonicalises codes, and removes sentinel values.
     """
     stations = matrix_stations(lines, n_meta)
-    kept = (stations.where(station_filter(F.col("institution"), F.col("lat_text"),
-                                          F.col("lon_text"), exclude_institutions, bbox))
+    kept = (stations.where(station_filter("institution", "lat_text", "lon_text",
+                                          exclude_institutions, bbox))
             .select("block", "pos", canonical_code("raw_code").alias("code")))
     kept = broadcast_checked(kept)
 

@@ -14,7 +14,8 @@ from dryspell.functions.zones import natural_zone_name, zone_number
 
 def natural_zones(stations: DataFrame, bands=S.NATURAL_BANDS) -> DataFrame:
     """(code, zone_name) for stations inside a band; one CASE, one pass."""
-    named = stations.select("code", natural_zone_name(F.col("lat").cast("double"), bands).alias("zone_name"))
+    named = (stations.select("code", F.col("lat").cast("double").alias("_lat"))
+             .select("code", natural_zone_name("_lat", bands).alias("zone_name")))
     return named.where(F.col("zone_name").isNotNull())
 
 

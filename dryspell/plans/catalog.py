@@ -44,7 +44,7 @@ def q_fix_code(spark, sf):
 def q_station_filter(spark, sf):
     s = V.stations(spark, sf)
     valid = (F.col("lat") > F.lit(S.VALID_LAT_MIN)) & (F.col("lon") > F.lit(S.VALID_LON_MIN))
-    return (s.where(station_filter(F.col("institution"), F.col("lat"), F.col("lon")) & valid)
+    return (s.where(station_filter("institution", "lat", "lon") & valid)
             .select("code", "institution", "lat", "lon"))
 
 

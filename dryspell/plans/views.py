@@ -40,29 +40,35 @@ def padded_code(key) -> F.Column:
     return F.when(F.length(k) < CODE_WIDTH, F.lpad(k, CODE_WIDTH, "0")).otherwise(k)
 
 
+def padded_code_sql(key: str) -> str:
+    """SQL text of :func:`padded_code` for a column name."""
+    k = f"CAST({key} AS STRING)"
+    return f"CASE WHEN length({k}) < {CODE_WIDTH} THEN lpad({k}, {CODE_WIDTH}, '0') ELSE {k} END"
+
+
+# The views are written as SQL text: one JVM call per projection keeps plan
+# construction cheap (each view is rebuilt by every catalogue query).
+
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station metadata (the 15-column station file) plus the supplier key."""
-    s = table(spark, sf_dir, "supplier")
-    key = F.col("s_suppkey")
-    nat = F.col("s_nationkey")
-    return s.select(
-        key.alias("s_suppkey"),
-        nat.alias("s_nationkey"),
-        padded_code(key).alias("code"),
-        F.when(key % 5 == 0, "GHCN").when(key % 5 == 1, "DGA").otherwise("DMC").alias("institution"),
-        F.concat(F.lit("src-"), nat.cast("string")).alias("source"),
-        F.col("s_name").alias("name"),
-        (nat * 100).cast("double").alias("altitude"),
-        (F.lit(-17.0) - (F.col("s_acctbal") + 1000.0) / 11000.0 * 40.0).alias("lat"),
-        (F.lit(-64.0) - (key % 14).cast("double")).alias("lon"),
-        nat.cast("string").alias("basin_code"),
-        F.concat(F.lit("basin "), nat.cast("string")).alias("basin_name"),
-        (key % 7).cast("string").alias("subbasin_code"),
-        F.concat(F.lit("subbasin "), (key % 7).cast("string")).alias("subbasin_name"),
-        F.lit("1992-01-01").alias("obs_start"),
-        F.lit("1998-12-31").alias("obs_end"),
-        (key % 1000).cast("int").alias("obs_count"),
-        F.lit("n/a").alias("auto_start"),
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey",
+        "s_nationkey",
+        f"{padded_code_sql('s_suppkey')} AS code",
+        "CASE WHEN s_suppkey % 5 = 0 THEN 'GHCN' WHEN s_suppkey % 5 = 1 THEN 'DGA' ELSE 'DMC' END AS institution",
+        "concat('src-', CAST(s_nationkey AS STRING)) AS source",
+        "s_name AS name",
+        "CAST(s_nationkey * 100 AS DOUBLE) AS altitude",
+        "-17.0D - (s_acctbal + 1000.0D) / 11000.0D * 40.0D AS lat",
+        "-64.0D - CAST(s_suppkey % 14 AS DOUBLE) AS lon",
+        "CAST(s_nationkey AS STRING) AS basin_code",
+        "concat('basin ', CAST(s_nationkey AS STRING)) AS basin_name",
+        "CAST(s_suppkey % 7 AS STRING) AS subbasin_code",
+        "concat('subbasin ', CAST(s_suppkey % 7 AS STRING)) AS subbasin_name",
+        "'1992-01-01' AS obs_start",
+        "'1998-12-31' AS obs_end",
+        "CAST(s_suppkey % 1000 AS INT) AS obs_count",
+        "'n/a' AS auto_start",
     )
 
 
@@ -73,19 +79,18 @@ def station_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(s_suppkey, code, date, value) before any cleaning; line 7 is a missing day."""
-    li = table(spark, sf_dir, "lineitem")
-    return li.select(
-        F.col("l_suppkey").alias("s_suppkey"),
-        padded_code(F.col("l_suppkey")).alias("code"),
-        F.to_date("l_shipdate").alias("date"),
-        F.when(F.col("l_linenumber") == SENTINEL_ROW, F.lit(-9999.0)).otherwise(F.col("l_quantity")).alias("value"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_suppkey AS s_suppkey",
+        f"{padded_code_sql('l_suppkey')} AS code",
+        "to_date(l_shipdate) AS date",
+        f"CASE WHEN l_linenumber = {SENTINEL_ROW} THEN -9999.0D ELSE l_quantity END AS value",
     )
 
 
 def kept_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stations passing the institution and bounding-box filters."""
     st = stations(spark, sf_dir)
-    return st.where(station_filter(F.col("institution"), F.col("lat"), F.col("lon")))
+    return st.where(station_filter("institution", "lat", "lon"))
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,17 +128,19 @@ def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     FEATURE_VERTICES vertices and their ``seq`` follow by arithmetic (no
     window). Vertex counts grow with the table.
     """
-    s = table(spark, sf_dir, "supplier")
-    v = (s.select((F.col("s_suppkey") % REGIONS).cast("int").alias("region"),
-                  F.expr("s_suppkey div 16").alias("_rank"), F.col("s_acctbal"),
-                  F.explode(F.sequence(F.lit(0), F.lit(VERTICES_PER_SUPPLIER - 1))).alias("_j"))
-         .select("region", (F.col("_rank") * VERTICES_PER_SUPPLIER + F.col("_j")).alias("_v"), "s_acctbal"))
-    v = v.select("region", (F.col("_v") / FEATURE_VERTICES).cast("int").alias("feature_id"),
-                 (F.col("_v") % FEATURE_VERTICES).cast("int").alias("seq"), "s_acctbal")
-    return v.select("region", "feature_id", "seq",
-                    (F.lit(200000.0) + F.col("seq") * 30000.0 + (F.col("feature_id") % 4) * 250000.0).alias("x"),
-                    (F.lit(8000000.0) - F.col("region") * 280000.0 - F.floor(F.col("feature_id") / 4) * 20000.0
-                     - F.col("seq") * 2000.0 - F.col("s_acctbal")).alias("y"))
+    v = (table(spark, sf_dir, "supplier")
+         .selectExpr(f"CAST(s_suppkey % {REGIONS} AS INT) AS region", "s_suppkey div 16 AS _rank", "s_acctbal",
+                     f"explode(sequence(0, {VERTICES_PER_SUPPLIER - 1})) AS _j")
+         .selectExpr("region", f"_rank * {VERTICES_PER_SUPPLIER} + _j AS _v", "s_acctbal"))
+    return v.selectExpr(
+        "region",
+        f"CAST(_v div {FEATURE_VERTICES} AS INT) AS feature_id",
+        f"CAST(_v % {FEATURE_VERTICES} AS INT) AS seq",
+        f"200000.0D + CAST(_v % {FEATURE_VERTICES} AS INT) * 30000.0D"
+        f" + (CAST(_v div {FEATURE_VERTICES} AS INT) % 4) * 250000.0D AS x",
+        f"8000000.0D - region * 280000.0D - floor(CAST(_v div {FEATURE_VERTICES} AS INT) / 4) * 20000.0D"
+        f" - CAST(_v % {FEATURE_VERTICES} AS INT) * 2000.0D - s_acctbal AS y",
+    )
 
 
 def matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

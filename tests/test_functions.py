@@ -104,3 +104,16 @@ def test_segment_sql_and_column_paths_agree(spark):
     b = segment_distance_sq(*[F.col(c) for c in ("px", "py", "ax", "ay", "bx", "by")])
     for r in df.select(a.alias("a"), b.alias("b")).collect():
         assert r.a == r.b
+
+
+def test_band_and_filter_sql_and_column_paths_agree(spark):
+    from dryspell.operators.ingest import station_filter
+    lats = [-17.8, -17.7, -28.0, -27.99, -32.0, -37.0, -43.5, -56.0, -56.01, -54.99, -55.0]
+    rows = [(lat, lon, inst) for lat in lats for lon in (-76.0, -75.9, -66.0, -66.1)
+            for inst in ("DGA", "GHCN", None)]
+    df = spark.createDataFrame(rows, "lat double, lon double, inst string")
+    got = df.select(natural_zone_name("lat").alias("a"), natural_zone_name(F.col("lat")).alias("b"),
+                    station_filter("inst", "lat", "lon").alias("c"),
+                    station_filter(F.col("inst"), F.col("lat"), F.col("lon")).alias("d")).collect()
+    assert all(r.a == r.b and r.c == r.d for r in got)
+    assert any(r.c for r in got) and not all(r.c for r in got)
