@@ -24,9 +24,9 @@ branch-and-bound descent over a grid pyramid, written as joins:
 The cell holding the nearest segment point always survives (its lower bound
 is at most the true distance, which is at most any upper bound), so the
 result is exact. Work per (point, group) is a few cells per level instead of
-every segment. Points, segments and the cell index are written to the
-shared checkpoint folder, and the frontier every few levels, so lineage
-stays short.
+every segment. Segments and the cell index are written to the shared
+checkpoint folder, and the frontier every few levels, so lineage stays
+short.
 """
 
 from __future__ import annotations
@@ -120,29 +120,29 @@ def nearest_by_grid(points: DataFrame, segs: DataFrame, *, point_keys: list[str]
     """
     group_cols = list(group_cols or [])
     tag_col = F.col(tag) if tag else F.lit(0)
-    pts = materialize(points.select(*point_keys, F.col("x").alias("_px"), F.col("y").alias("_py")),
-                      "grid-points")
+    # Points are a cheap projection, recomputed where used; segments are read
+    # once per level, so they are written once.
+    pts = points.select(*point_keys, F.col("x").alias("_px"), F.col("y").alias("_py"))
     sg = materialize(segs.select(*group_cols, tag_col.alias("_tag"), "ax", "ay", "bx", "by")
                      .withColumn("_sid", F.monotonically_increasing_id()), "grid-segments")
 
-    # One small action each: extents, mean segment length, segment count.
-    seg_stats = sg.agg(
-        F.min(F.least("ax", "bx")).alias("x0"), F.max(F.greatest("ax", "bx")).alias("x1"),
-        F.min(F.least("ay", "by")).alias("y0"), F.max(F.greatest("ay", "by")).alias("y1"),
-        F.avg(F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2)).alias("len"),
-        F.count(F.lit(1)).alias("segments"),
-    ).first()
-    pt_stats = pts.agg(F.min("_px"), F.max("_px"), F.min("_py"), F.max("_py")).first()
-    if seg_stats["x0"] is None or pt_stats[0] is None:
+    # One small action: joint extent, mean segment length, segment and point counts.
+    ext = (sg.selectExpr("least(ax, bx) AS _x0", "greatest(ax, bx) AS _x1", "least(ay, by) AS _y0",
+                         "greatest(ay, by) AS _y1", "sqrt(pow(bx - ax, 2) + pow(by - ay, 2)) AS _len",
+                         "1 AS _seg")
+           .unionByName(pts.selectExpr("_px AS _x0", "_px AS _x1", "_py AS _y0", "_py AS _y1",
+                                       "CAST(NULL AS DOUBLE) AS _len", "0 AS _seg"))
+           .agg(F.min("_x0").alias("x0"), F.max("_x1").alias("x1"), F.min("_y0").alias("y0"),
+                F.max("_y1").alias("y1"), F.avg("_len").alias("len"),
+                F.sum("_seg").alias("segments"), F.count_if(F.col("_seg") == 0).alias("points"))
+           .first())
+    if not ext["segments"] or not ext["points"] or ext["x0"] is None:
         fields = ([pts.schema[k] for k in point_keys] + [sg.schema[g] for g in group_cols]
                   + [T.StructField("d2", T.DoubleType()), T.StructField(tag or "_tag", sg.schema["_tag"].dataType)])
         empty = pts.sparkSession.createDataFrame([], T.StructType(fields))
         return empty if tag else empty.drop("_tag")
-    x0 = min(seg_stats["x0"], pt_stats[0]); x1 = max(seg_stats["x1"], pt_stats[1])
-    y0 = min(seg_stats["y0"], pt_stats[2]); y1 = max(seg_stats["y1"], pt_stats[3])
-    diag = max(math.hypot(x1 - x0, y1 - y0), 1e-9)
-    fine = cell_size or max(seg_stats["len"] or 0.0, diag / math.sqrt(max(seg_stats["segments"], 1)),
-                            diag / 65536.0)
+    diag = max(math.hypot(ext["x1"] - ext["x0"], ext["y1"] - ext["y0"]), 1e-9)
+    fine = cell_size or max(ext["len"] or 0.0, diag / math.sqrt(max(ext["segments"], 1)), diag / 65536.0)
     levels = max(0, math.ceil(math.log(diag / fine, _BRANCH)))
     while fine * _BRANCH ** levels < diag:
         levels += 1
