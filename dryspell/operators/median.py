@@ -83,6 +83,8 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median"
     targets, small = size_checked(targets)
     direct = targets.where(F.col("_lo") == F.col("_hi")).select(*keys, F.col("_lo").alias("_val"))
     need = targets.where(F.col("_lo") < F.col("_hi")).select(*keys, "_b", "_local")
+    if need.count() == 0:  # every middle value sits in a single-value bucket
+        return direct.groupBy(*keys).agg(F.avg("_val").alias(out))
     need_buckets = need.select(*keys, "_b").distinct()
     if small:
         need, need_buckets = F.broadcast(need), F.broadcast(need_buckets)
@@ -94,4 +96,3 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median"
               .select(*keys, F.col("_v").alias("_val")))
     return (direct.unionByName(picked).groupBy(*keys)
             .agg(F.avg("_val").alias(out)))
-
