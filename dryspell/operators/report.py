@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from dryspell import schemas as S
 from dryspell.functions.values import is_drought, is_recent
-from dryspell.operators._exec import size_checked
+from dryspell.operators._exec import materialize, size_checked
 
 _SQRT_2PI = 2.5066282746310002  # sqrt(2 * pi)
 
@@ -50,11 +50,16 @@ def _edge(i, bins: int):
 
 
 def zone_histogram(df: DataFrame, *, group: str = "zone", value: str = "precip",
-                   bins: int = S.HIST_BINS) -> DataFrame:
+                   bins: int = S.HIST_BINS, materialize_input: bool = True) -> DataFrame:
     """(zone, bin, bin_lo, bin_hi, count, density) with every bin present.
 
     density = count / bin width / group size, so density x width sums to 1.
+    The narrow input is read twice (ranges, then bins); with
+    ``materialize_input`` it is written once to the shared checkpoint folder.
     """
+    df = df.select(group, value)
+    if materialize_input:
+        df = materialize(df, "histogram-input")
     ranges, small = size_checked(_ranges(df, group, value, bins))
     v = F.col(value)
     rows = df.where(v.isNotNull()).join(F.broadcast(ranges) if small else ranges, group)

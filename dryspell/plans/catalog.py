@@ -17,6 +17,7 @@ from dryspell.functions.codes import canonical_code, composite_key, key_part
 from dryspell.functions.values import date_label_parts, is_missing, parse_value
 from dryspell.functions.zones import zone_label, zone_number
 from dryspell.operators import accumulate, boundaries as B, nearest as N, report as R, stats as ST
+from dryspell.operators._exec import materialize
 from dryspell.operators.ingest import daily_from_matrix, station_filter, unpivot_wide
 from dryspell.operators.zones import natural_zones, natural_zones_union
 from dryspell.plans import views as V
@@ -191,7 +192,7 @@ def q_zone_histogram(spark, sf):
 
 
 def q_normal_fit_curve(spark, sf):
-    yz = _yz_region(spark, sf)
+    yz = materialize(_yz_region(spark, sf).select("zone", "precip"), "zone-precip")
     c = R.normal_fit_curve(yz, ST.mean_std_by_zone(yz))
     return c.select("zone", "i", _r("x", 6).alias("x"), _r("pdf", 12).alias("pdf"))
 
