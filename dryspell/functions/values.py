@@ -25,9 +25,15 @@ def is_missing(value: Column | str, sentinel: int = S.SENTINEL) -> Column:
     """True when the value truncates (toward zero) to the sentinel.
 
     ``int(float(v)) == -9999`` drops every value in (-10000, -9999], e.g.
-    -9999.7, while -9998.9 is kept.
+    -9999.7, while -9998.9 is kept. Written as a range test on the double, so
+    no integer cast can overflow on large values.
     """
-    return _c(value).cast("double").cast("int") == F.lit(sentinel)
+    v = _c(value).cast("double")
+    if sentinel > 0:
+        return (v >= F.lit(float(sentinel))) & (v < F.lit(float(sentinel + 1)))
+    if sentinel < 0:
+        return (v > F.lit(float(sentinel - 1))) & (v <= F.lit(float(sentinel)))
+    return (v > F.lit(-1.0)) & (v < F.lit(1.0))
 
 
 def is_date_label(label: Column | str) -> Column:

@@ -19,10 +19,16 @@ def test_canonical_code(spark):
 
 
 def test_sentinel_truncates_toward_zero(spark):
-    vals = ["-9999", "-9999.000", "-9999.7", "-9998.9", "0", "3.5"]
+    vals = ["-9999", "-9999.000", "-9999.7", "-9998.9", "0", "3.5", "1e10", "1e20", "-10000", "-9999.9999999"]
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     got = [r.m for r in df.select(is_missing("v").alias("m")).collect()]
-    assert got == [True, True, True, False, False, False]
+    assert got == [True, True, True, False, False, False, False, False, False, True]
+    # the same rule for other sentinels, against Python's truncation
+    for sentinel in (0, 5, -3):
+        xs = [-4.0, -3.5, -3.0, -2.5, -0.5, 0.0, 0.5, 4.9, 5.0, 5.5, 6.0]
+        d = spark.createDataFrame([(x,) for x in xs], "v double")
+        got = [r.m for r in d.select(is_missing("v", sentinel).alias("m")).collect()]
+        assert got == [int(x) == sentinel for x in xs]
 
 
 def test_sentinel_empty_string_fails(spark):
