@@ -18,6 +18,17 @@ MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
+# Tables persisted by size checks, so long-running drivers (streams, job
+# chains) can release them once the queries that read them are done.
+_PERSISTED: list[DataFrame] = []
+
+
+def release_checked() -> None:
+    """Unpersist every table persisted by :func:`size_checked` so far."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
+
 def _cached_bytes(cached: DataFrame) -> int | None:
     """In-memory size Spark measured while materialising a persisted table."""
     try:
@@ -35,6 +46,7 @@ def size_checked(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     in-memory size Spark measured are within the bounds.
     """
     cached = small.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(cached)
     rows = cached.count()
     size = _cached_bytes(cached)
     fits = rows <= max_rows and (size is None or size <= max_bytes)

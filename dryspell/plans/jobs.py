@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dryspell import schemas as S
 from dryspell.operators import accumulate, nearest, stats
+from dryspell.operators._exec import release_checked
 from dryspell.operators.ingest import daily_from_matrix
 from dryspell.operators.zones import natural_zones, zone_lookup_from_names
 from dryspell.sources import readers, sinks
@@ -37,6 +38,7 @@ def preprocess(spark: SparkSession, matrix_path: str, out: str, *, fmt: str = "p
         # and gives row groups narrow code ranges for later pushdown.
         daily = daily.sortWithinPartitions("year", "code")
     _write(daily, out, fmt, mode, partition_by="year" if fmt == "parquet" else None)
+    release_checked()
 
 
 def yearly(spark: SparkSession, daily_path: str, out: str, *, min_days: int = S.MIN_DAYS,
@@ -75,6 +77,7 @@ def region_table(spark: SparkSession, stations_path: str, boundaries_path: str,
     bnd = readers.read_boundaries(spark, boundaries_path, fmt=boundaries_fmt)
     assigned = nearest.nearest_region(pts, bnd, features=features)
     assigned.select("code", "region").write.mode(mode).csv(out)
+    release_checked()
 
 
 def zone_statistics(spark: SparkSession, yearly_path: str, stations_path: str, out_dir: str, *,
@@ -105,6 +108,7 @@ def zone_statistics(spark: SparkSession, yearly_path: str, stations_path: str, o
                                      min_year_exclusive=min_year)
     _write(clim, os.path.join(out_dir, "mean-yearly-precip-lat-lon-zone"), fmt, mode)
     yz.unpersist()
+    release_checked()
 
 
 def natural_lookup_from_stations(spark: SparkSession, stations_path: str) -> DataFrame:

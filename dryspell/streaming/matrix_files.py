@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dryspell import schemas as S
+from dryspell.operators._exec import release_checked
 from dryspell.operators.ingest import daily_from_matrix
 from dryspell.session import ensure_checkpoint_dir
 
@@ -35,6 +36,7 @@ def start_daily_ingest(spark: SparkSession, matrix_dir: str, daily_out: str, *,
         numbered = batch.select("block", F.monotonically_increasing_id().alias("line_no"), "value")
         daily = daily_from_matrix(numbered, n_meta=n_meta)
         daily.write.mode("append").partitionBy("year").parquet(daily_out)
+        release_checked()  # the batch's station table is not needed any more
 
     writer = lines.writeStream.foreachBatch(melt_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -351,3 +351,12 @@ def test_zscores_of_a_zone_have_mean_zero_and_unit_std(spark):
     for r in z.groupBy("zone").agg(F.avg("z").alias("m"), F.stddev_pop("z").alias("s")).collect():
         assert r.m == pytest.approx(0.0, abs=1e-12)
         assert r.s == pytest.approx(1.0, abs=1e-12)
+
+
+def test_release_checked_unpersists(spark):
+    from dryspell.operators._exec import release_checked, size_checked
+    df = spark.range(10).selectExpr("id AS k")
+    cached, _ = size_checked(df)
+    assert cached.storageLevel.useMemory or cached.storageLevel.useDisk
+    release_checked()
+    assert not cached.storageLevel.useMemory and not cached.storageLevel.useDisk
