@@ -48,9 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, choosing one only if none is configured.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that value
-    (or a folder already set on the SparkContext) always wins. Only when
-    nothing is configured (local runs and tests) is a private scratch folder
-    created.
+    (or a folder already set on the SparkContext) always wins. Only in local
+    mode with nothing configured (local runs and tests) is a private scratch
+    folder created; on a cluster a missing setting is an error.
     """
     try:
         sc = spark.sparkContext
@@ -61,6 +61,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder every "
+                               "executor can read and write (shared storage)")
         configured = tempfile.mkdtemp(prefix="dryspell-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is not None:
