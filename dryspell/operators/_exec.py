@@ -67,7 +67,7 @@ def broadcast_checked(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return F.broadcast(cached) if fits else cached
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
     Used where an intermediate is read several times (it is computed once) and
@@ -76,5 +76,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
     return spark.read.parquet(path)

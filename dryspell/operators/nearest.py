@@ -151,7 +151,7 @@ def nearest_by_grid(points: DataFrame, segs: DataFrame, *, point_keys: list[str]
 
     index = materialize(reduce(DataFrame.unionByName,
                                [_cell_index(sg, group_cols, size[k], k) for k in range(levels + 1)]),
-                        "grid-index")
+                        "grid-index", partition_by="level")
     keys = [*point_keys, *group_cols]
     offsets = F.array(*[F.struct(F.lit(dx).cast("long").alias("dx"), F.lit(dy).cast("long").alias("dy"))
                         for dx, dy in _OFFSETS])
