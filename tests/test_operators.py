@@ -360,3 +360,29 @@ def test_release_checked_unpersists(spark):
     assert cached.storageLevel.useMemory or cached.storageLevel.useDisk
     release_checked()
     assert not cached.storageLevel.useMemory and not cached.storageLevel.useDisk
+
+
+def test_shuffle_fallbacks_give_the_same_answers(spark, monkeypatch):
+    """With every size check failing, the shuffle-join paths stay exact."""
+    from dryspell.operators import _exec, median as M, report as RP, stats as STM
+    real = _exec.size_checked
+
+    def never_small(df, max_rows=0, max_bytes=0):
+        cached, _ = real(df)
+        return cached, False
+
+    def no_broadcast(df, max_rows=0, max_bytes=0):
+        return never_small(df)[0]
+
+    monkeypatch.setattr(M, "size_checked", never_small)
+    monkeypatch.setattr(M, "broadcast_checked", no_broadcast)
+    monkeypatch.setattr(RP, "size_checked", never_small)
+    monkeypatch.setattr(STM, "broadcast_checked", no_broadcast)
+    yz = _yz(spark)
+    med = {(r.zone, r.year): r.median for r in ST.median_by_zone_year(yz, buckets=2, accuracy=1).collect()}
+    assert med == {(1, 2000): 200.0, (1, 2001): 300.0, (2, 2000): 50.0, (3, 2000): 20.0}
+    df = spark.createDataFrame([(1, float(v)) for v in range(5)], "zone int, precip double")
+    assert [r["count"] for r in R.zone_histogram(df, bins=4).orderBy("bin").collect()] == [1, 1, 1, 2]
+    y = spark.createDataFrame([("1", 2000, 5.0), ("2", 2000, 6.0)], "code string, year int, precip double")
+    lk = spark.createDataFrame([("1", 7)], "code string, zone int")
+    assert sorted((r.code, r.zone) for r in ST.with_zone(y, lk, on_missing="zero").collect()) == [("1", 7), ("2", 0)]
