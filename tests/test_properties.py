@@ -50,3 +50,23 @@ def test_melt_matches_direct_computation(spark, data):
     df = spark.createDataFrame(lines, "block string, line_no long, value string")
     got = sorted(tuple(r) for r in daily_from_matrix(df).collect())
     assert got == _expected(stations, days)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.data())
+def test_exact_median_matches_statistics_median(spark, data):
+    import statistics
+
+    from dryspell.operators.median import exact_median
+    groups = data.draw(st.lists(
+        st.lists(st.one_of(st.integers(-3, 3).map(float),
+                           st.floats(-1e6, 1e6, allow_nan=False, allow_infinity=False)),
+                 min_size=1, max_size=40),
+        min_size=1, max_size=4))
+    buckets = data.draw(st.sampled_from([2, 3, 8, 256]))
+    accuracy = data.draw(st.sampled_from([1, 5, 100, 10000]))
+    rows = [(g, v) for g, vals in enumerate(groups) for v in vals]
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {r.g: r.median for r in exact_median(df, ["g"], "v", buckets=buckets, accuracy=accuracy).collect()}
+    want = {g: statistics.median(vals) for g, vals in enumerate(groups)}
+    assert got == want  # exact: both average the two middle values as (a + b) / 2
