@@ -38,9 +38,13 @@ def _tsv(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
 
 
 def read_daily(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Daily long table; Parquet (our format) or the reference's TSV."""
+    """Daily long table; Parquet (our format, partitioned by year) or the reference's TSV.
+
+    Columns always come back in schema order (Spark appends partition
+    columns last otherwise).
+    """
     if fmt == "parquet":
-        return spark.read.schema(S.DAILY).parquet(path)
+        return spark.read.schema(S.DAILY).parquet(path).select(*S.DAILY.fieldNames())
     return _tsv(spark, S.DAILY, path)
 
 
@@ -82,13 +86,19 @@ def read_zone_name_lookup(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_boundaries(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Boundary vertex table (region, feature_id, seq, x, y)."""
+    """Boundary vertex table (region, feature_id, seq, x, y).
+
+    Columns come back in that order even from a ``partitionBy("region")``
+    folder, where Spark would otherwise append the partition column last.
+    """
     reader = spark.read.schema(S.BOUNDARIES)
     if fmt == "parquet":
-        return reader.parquet(path)
-    if fmt == "json":
-        return reader.json(path)
-    return reader.option("header", True).option("mode", "FAILFAST").csv(path)
+        df = reader.parquet(path)
+    elif fmt == "json":
+        df = reader.json(path)
+    else:
+        df = reader.option("header", True).option("mode", "FAILFAST").csv(path)
+    return df.select(*S.BOUNDARIES.fieldNames())
 
 
 def read_result_tsv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

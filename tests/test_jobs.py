@@ -88,3 +88,12 @@ def test_job_chain_in_reference_text_formats(spark, tmp_dir):
     monthly = os.path.join(tmp_dir, "monthly-tsv")
     jobs.monthly(spark, daily, monthly, fmt="tsv")
     assert sorted(r.value for r in spark.read.text(monthly).collect())[0] == "101##2003##2\t5\t10.0"
+
+
+def test_daily_table_columns_in_schema_order(spark, tmp_dir):
+    d = spark.createDataFrame([("1", 2000, 1, 2, 3.0)], "code string, year int, month int, day int, precip double")
+    p = os.path.join(tmp_dir, "daily")
+    d.write.partitionBy("year").parquet(p)
+    back = readers.read_daily(spark, p)
+    assert back.columns == ["code", "year", "month", "day", "precip"]
+    assert [tuple(r) for r in back.collect()] == [("1", 2000, 1, 2, 3.0)]

@@ -386,3 +386,12 @@ def test_shuffle_fallbacks_give_the_same_answers(spark, monkeypatch):
     y = spark.createDataFrame([("1", 2000, 5.0), ("2", 2000, 6.0)], "code string, year int, precip double")
     lk = spark.createDataFrame([("1", 7)], "code string, zone int")
     assert sorted((r.code, r.zone) for r in ST.with_zone(y, lk, on_missing="zero").collect()) == [("1", 7), ("2", 0)]
+
+
+def test_latitude_profile_labels(spark):
+    clim = spark.createDataFrame([("1", 10.0, -30.0, -70.0, 3), ("2", 20.0, -40.0, -72.0, 9)],
+                                 "code string, annual_mean double, lat double, lon double, zone int")
+    got = {r.code: (r.zone_label, r.highlighted)
+           for r in R.latitude_profile(clim, labels={3: "Centro"}, highlight_zone=9).collect()}
+    assert got == {"1": ("Centro", False), "2": ("Zone 9", True)}
+    assert [r.zone for r in R.distinct_zones(clim).collect()] == [3, 9]

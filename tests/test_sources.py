@@ -82,3 +82,25 @@ def test_partitioned_write_prunes(spark, tmp_dir):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "region" in plan
     assert one.count() == 2
+
+
+def test_monthly_keyed_roundtrip(spark, tmp_dir):
+    m = spark.createDataFrame([("0012", 2000, 3, 31, 12.5), ("B7", 2001, 12, 28, 0.0)],
+                              "code string, year int, month int, days long, precip double")
+    p = os.path.join(tmp_dir, "monthly")
+    sinks.write_keyed_tsv(m, p, ["code", "year", "month"], ["days", "precip"])
+    assert sorted(r.value for r in spark.read.text(p).collect())[0] == "0012##2000##3\t31\t12.5"
+    back = sorted(tuple(r) for r in readers.read_monthly_keyed(spark, p).collect())
+    assert back == [("12", 2000, 3, 31, 12.5), ("B7", 2001, 12, 28, 0.0)]
+
+
+def test_boundaries_in_other_formats(spark, tmp_dir):
+    rows = [(1, 0, 0, 1.0, 2.0), (1, 0, 1, 3.0, 4.0), (2, 0, 0, 5.0, 6.0)]
+    b = spark.createDataFrame(rows, "region int, feature_id int, seq int, x double, y double")
+    pj = os.path.join(tmp_dir, "bnd-json")
+    b.write.json(pj)
+    assert sorted(tuple(r) for r in readers.read_boundaries(spark, pj, fmt="json").collect()) == rows
+    pc = os.path.join(tmp_dir, "bnd-csv-by-region")
+    sinks.write_partitioned(b, pc, by="region", fmt="csv")
+    back = readers.read_boundaries(spark, pc, fmt="csv").where(F.col("region") == 2).collect()
+    assert [tuple(r) for r in back] == [(2, 0, 0, 5.0, 6.0)]
