@@ -97,3 +97,20 @@ def test_daily_table_columns_in_schema_order(spark, tmp_dir):
     back = readers.read_daily(spark, p)
     assert back.columns == ["code", "year", "month", "day", "precip"]
     assert [tuple(r) for r in back.collect()] == [("1", 2000, 1, 2, 3.0)]
+
+
+def test_command_line_preprocess_and_yearly(spark, tmp_dir):
+    mpath = os.path.join(tmp_dir, "m.txt")
+    with open(mpath, "w") as f:
+        for field in META:
+            vals = [{"code": c, "institution": i, "lat": str(la), "lon": str(lo)}.get(field, "x")
+                    for c, i, la, lo in STATIONS]
+            f.write(",".join([field] + vals) + "\n")
+        for d in range(1, 4):
+            f.write(",".join([f"2005-06-0{d}"] + ["2.0"] * len(STATIONS)) + "\n")
+    daily = os.path.join(tmp_dir, "daily")
+    yearly = os.path.join(tmp_dir, "yearly")
+    jobs.main(["preprocess", mpath, daily])
+    jobs.main(["yearly", daily, yearly, "--min-days", "3"])
+    got = sorted((r.code, r.year, r.days, r.precip) for r in spark.read.parquet(yearly).collect())
+    assert got == [("101", 2005, 3, 6.0), ("102", 2005, 3, 6.0), ("201", 2005, 3, 6.0)]
