@@ -86,13 +86,18 @@ def station_filter(institution, lat, lon,
 
 def daily_from_matrix(lines: DataFrame, *, n_meta: int = S.N_META_LINES,
                       exclude_institutions=S.EXCLUDED_INSTITUTIONS, bbox=S.BBOX,
-                      sentinel: int = S.SENTINEL) -> DataFrame:
+                      sentinel: int = S.SENTINEL, stations: DataFrame | None = None) -> DataFrame:
     """Matrix lines (block, line_no, value) -> (code, year, month, day, precip).
 
     Drops stations of excluded institutions and outside the bounding box,
     canonicalises codes, and removes sentinel values.
+
+    Finding the metadata lines reads the text once more (Spark's text source
+    cannot read only a file's first split). ``stations``, the output of
+    :func:`matrix_stations` written once, skips that pass on later runs.
     """
-    stations = matrix_stations(lines, n_meta)
+    if stations is None:
+        stations = matrix_stations(lines, n_meta)
     kept = (stations.where(station_filter("institution", "lat_text", "lon_text",
                                           exclude_institutions, bbox))
             .select("block", "pos", canonical_code("raw_code").alias("code")))

@@ -395,3 +395,13 @@ def test_latitude_profile_labels(spark):
            for r in R.latitude_profile(clim, labels={3: "Centro"}, highlight_zone=9).collect()}
     assert got == {"1": ("Centro", False), "2": ("Zone 9", True)}
     assert [r.zone for r in R.distinct_zones(clim).collect()] == [3, 9]
+
+
+def test_melt_with_a_precomputed_header_table(spark):
+    from dryspell.operators.ingest import matrix_stations
+    st = [dict(code="0042", institution="DGA", lat=-30.0, lon=-70.0)]
+    lines = _matrix_lines(spark, st, {"2001-01-01": ["2.5"], "2001-01-02": ["-9999"]})
+    header = matrix_stations(lines)
+    days_only = lines.where(~F.col("value").startswith("code") & F.col("value").rlike(r"^\d{4}-"))
+    got = [tuple(r) for r in daily_from_matrix(days_only, stations=header).collect()]
+    assert got == [("42", 2001, 1, 1, 2.5)]
