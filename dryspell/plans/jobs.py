@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dryspell import schemas as S
 from dryspell.operators import accumulate, nearest, stats
 from dryspell.operators._exec import release_checked
-from dryspell.operators.ingest import daily_from_matrix
+from dryspell.operators.ingest import daily_from_matrix, matrix_stations
 from dryspell.operators.zones import natural_zones, zone_lookup_from_names
 from dryspell.sources import readers, sinks
 
@@ -29,9 +29,22 @@ def _write(df: DataFrame, path: str, fmt: str, mode: str, partition_by=None) ->
 
 
 def preprocess(spark: SparkSession, matrix_path: str, out: str, *, fmt: str = "parquet",
-               mode: str = "errorifexists") -> None:
-    """Stage 1: raw matrix text -> clean daily table (Parquet partitioned by year)."""
-    daily = daily_from_matrix(readers.read_matrix_lines(spark, matrix_path))
+               mode: str = "errorifexists", header_out: str | None = None,
+               header_in: str | None = None) -> None:
+    """Stage 1: raw matrix text -> clean daily table (Parquet partitioned by year).
+
+    ``header_out`` also writes the per-column station header table (small);
+    a later run over the same files passes it as ``header_in`` and skips the
+    metadata pass over the text.
+    """
+    lines = readers.read_matrix_lines(spark, matrix_path)
+    stations = None
+    if header_in:
+        stations = spark.read.parquet(header_in)
+    elif header_out:
+        matrix_stations(lines).write.mode(mode).parquet(header_out)
+        stations = spark.read.parquet(header_out)
+    daily = daily_from_matrix(lines, stations=stations)
     if fmt == "parquet":
         # Matrix lines are date-ordered, so a task holds few years; sorting
         # inside each task by (year, code) keeps files per task and year few

@@ -114,3 +114,20 @@ def test_command_line_preprocess_and_yearly(spark, tmp_dir):
     jobs.main(["yearly", daily, yearly, "--min-days", "3"])
     got = sorted((r.code, r.year, r.days, r.precip) for r in spark.read.parquet(yearly).collect())
     assert got == [("101", 2005, 3, 6.0), ("102", 2005, 3, 6.0), ("201", 2005, 3, 6.0)]
+
+
+def test_preprocess_reuses_a_header_table(spark, tmp_dir):
+    mpath = os.path.join(tmp_dir, "m.txt")
+    with open(mpath, "w") as f:
+        for field in META:
+            vals = [{"code": c, "institution": i, "lat": str(la), "lon": str(lo)}.get(field, "x")
+                    for c, i, la, lo in STATIONS]
+            f.write(",".join([field] + vals) + "\n")
+        f.write(",".join(["2007-01-01"] + ["1.0"] * len(STATIONS)) + "\n")
+    header = os.path.join(tmp_dir, "header")
+    a, b = os.path.join(tmp_dir, "a"), os.path.join(tmp_dir, "b")
+    jobs.preprocess(spark, mpath, a, header_out=header)
+    jobs.preprocess(spark, mpath, b, header_in=header)
+    ra = sorted(tuple(r) for r in readers.read_daily(spark, a).collect())
+    rb = sorted(tuple(r) for r in readers.read_daily(spark, b).collect())
+    assert ra == rb == [("101", 2007, 1, 1, 1.0), ("102", 2007, 1, 1, 1.0), ("201", 2007, 1, 1, 1.0)]
