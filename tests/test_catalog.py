@@ -63,3 +63,20 @@ def test_plans_have_no_cross_joins_or_python(spark, name):
     df = E.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [op for op in FORBIDDEN if op in plan], plan
+
+
+@pytest.mark.parametrize("name", ["spi_by_region", "zone_histogram", "nearest_region", "matrix_melt"])
+def test_queries_hold_without_adaptive_execution(spark, con, name):
+    """Results do not depend on AQE or the shuffle partition count."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        df = E.queries()[name](spark, SF)
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    res = con.execute(E.oracle_sql()[name])
+    ocols = [d[0] for d in res.description]
+    assert _digest(df.columns, srows) == _digest(ocols, res.fetchall())
