@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dryspell.llm import language_id, line_crf, toxicity_knn
+from dryspell.llm import language_id, license_scan, line_crf, topk, toxicity_knn, warc
 from dryspell.llm.common import doc_table, id_bucket
+from dryspell.operators._exec import materialize
+from dryspell.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +30,20 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (id_bucket(3) == 1).alias("held_out"), "score", "predicted", "n_lines", "n_bad_lines")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"), scratch_path(spark, "warc")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = materialize(topk.integer_vectors(table(spark, sf_dir, "embeddings")), "topk-vectors")
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = doc_table(table(spark, sf_dir, "documents"))
     model = toxicity_knn.fit(docs, learnable(spark, sf_dir, "toxic", 5, 0))
@@ -46,8 +62,15 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op4_warc": op4_warc,
+    "op5_license": op5_license,
+    "op8_topk": op8_topk,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_warc": warc.ORACLE_SQL,
+    "op5_license": license_scan.oracle_sql(),
+    "op8_topk": topk.oracle_sql(k=20, every=20),
+}
