@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dryspell.llm import language_id, license_scan, line_crf, topk, toxicity_knn, warc
+from dryspell.llm import bpe, jaccard_join, language_id, license_scan, line_crf, topk, toxicity_knn, warc
 from dryspell.llm.common import doc_table, id_bucket
 from dryspell.operators._exec import materialize
 from dryspell.session import scratch_path
@@ -30,6 +31,15 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (id_bucket(3) == 1).alias("held_out"), "score", "predicted", "n_lines", "n_bad_lines")
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = doc_table(table(spark, sf_dir, "documents"))
+    return bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json")).drop("text")
+
+
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"), scratch_path(spark, "warc")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -62,6 +72,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_bpe": op2_bpe,
+    "op3_jaccard": op3_jaccard,
     "op4_warc": op4_warc,
     "op5_license": op5_license,
     "op8_topk": op8_topk,
