@@ -13,41 +13,66 @@ from pyspark.sql import functions as F
 
 from dryspell.operators._exec import materialize
 
-#: Star rounds are repeated while the pairs left to test outnumber the rows by this factor.
+#: Star rounds go on while the pairs left to test outnumber both the rows by this
+#: factor and MANY_PAIRS; then all that are left are tested.
 PAIRS_PER_ROW = 4
+MANY_PAIRS = 1_000_000
 MAX_STAR_ROUNDS = 6
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(id, root) for every id in ``links``; ids are linked iff their roots are equal.
+def components(links: DataFrame) -> DataFrame:
+    """(id, root) for every id in ``links`` (a, b); ids are linked iff their roots are equal.
 
-    Random-mate contraction: each node moves to its neighbour (or itself) of
-    least random priority, links are rewritten to the new nodes, and rounds go
-    on until no link joins two nodes: expected rounds grow with the logarithm of
-    a component's diameter. Minima are combined before the shuffle, so a hub of
-    any degree costs one row per task.
+    Contraction: each node moves to its neighbour (or itself) of least random
+    priority, links are rewritten to the nodes' new places, and rounds go on
+    until no link joins two places: about as many rounds as the logarithm of a
+    component's diameter, two for a star. Minima are combined before the
+    shuffle, so a hub of any degree costs one row per task.
     """
-    links = links.select(F.col(a).alias("a"), F.col(b).alias("b"))
-    edges = materialize(links.where("a <> b").distinct(), "cc-edges")
-    roots = materialize(links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-                        .withColumn("root", F.col("id")), "cc-roots")
-    seed = 0
+    def rank(c):
+        return F.struct(F.xxhash64(c, F.lit(17)).alias("p"), F.col(c).alias("v"))
+
+    edges = materialize(links.select("a", "b").where("a <> b").distinct(), "cc-edges")
+    steps: list[DataFrame] = []
+    ids = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     while not edges.isEmpty():
-        seed += 1
         both = edges.union(edges.select("b", "a"))
-        rank = lambda c: F.struct(F.xxhash64(c, F.lit(seed)).alias("p"), F.col(c).alias("v"))
         step = (both.groupBy("a").agg(F.min(rank("b")).alias("n"))
-                .select(F.col("a").alias("node"),
-                        F.least(F.col("n"), rank("a")).getField("v").alias("to")))
+                .select(F.col("a").alias("node"), F.least(F.col("n"), rank("a")).getField("v").alias("to"))
+                .where("node <> to"))
         step = materialize(step, "cc-step")
-        roots = materialize(roots.join(step, roots["root"] == step["node"], "left")
-                            .select("id", F.coalesce("to", "root").alias("root")), "cc-roots")
-        left = edges.join(step.select(F.col("node").alias("a"), F.col("to").alias("a2")), "a")
-        both_ends = left.join(step.select(F.col("node").alias("b"), F.col("to").alias("b2")), "b")
-        edges = materialize(both_ends.where("a2 <> b2")
-                            .select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct(),
+        steps.append(step)
+        for end in ("a", "b"):
+            edges = (edges.join(step, edges[end] == step["node"], "left")
+                     .withColumn(end, F.coalesce("to", end)).select("a", "b"))
+        edges = materialize(edges.where("a <> b")
+                            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
                             "cc-edges")
-    return roots
+    roots = ids.withColumn("root", F.col("id"))
+    for step in steps:
+        roots = (roots.join(step, roots["root"] == step["node"], "left")
+                 .select("id", F.coalesce("to", "root").alias("root")))
+    return materialize(roots, "cc-roots")
+
+
+def _joined(root: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Roots after more links: components of the old roots that the links join."""
+    if root is not None and links.isEmpty():
+        return root
+    if root is None:
+        return components(links)
+    old = root.select(F.col("id").alias("node"), F.col("root").alias("to"))
+    ends = links
+    for end in ("a", "b"):
+        ends = (ends.join(old, ends[end] == old["node"], "left")
+                .withColumn(end, F.coalesce("to", end)).select("a", "b"))
+    new = components(ends)
+    merged = (root.join(new.select(F.col("id").alias("node"), F.col("root").alias("to")),
+                        F.col("root") == F.col("node"), "left")
+              .select("id", F.coalesce("to", "root").alias("root")))
+    # Ids that met no link before are their own old root.
+    first = new.join(root.select("id"), "id", "left_anti")
+    return materialize(merged.unionByName(first), "link-roots")
 
 
 def link_buckets(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -62,7 +87,6 @@ def link_buckets(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> D
     """
     mixed = rows.groupBy("sig").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi")
     shared = materialize(rows.join(mixed.select("sig"), "sig"), "buckets")
-    links = None
     root = None
     for turn in range(MAX_STAR_ROUNDS + 1):
         if root is None:
@@ -73,30 +97,26 @@ def link_buckets(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> D
             several = (labelled.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                        .where("lo <> hi").select("sig"))
             open_rows = materialize(labelled.join(several, "sig").distinct(), "open-buckets")
-            per = (open_rows.groupBy("sig", "root").agg(F.count("*").cast("double").alias("c"))
-                   .groupBy("sig").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("q")))
-            total = per.agg(F.sum((F.col("n") * F.col("n") - F.col("q")) / 2).alias("p"),
-                            F.sum("n").alias("n")).first()
-            if not total["p"]:
-                break
-            if total["p"] <= PAIRS_PER_ROW * total["n"] or turn == MAX_STAR_ROUNDS:
-                x = open_rows.select("sig", F.col("id").alias("a"), F.col("root").alias("ra"))
-                y = open_rows.select("sig", F.col("id").alias("b"), F.col("root").alias("rb"))
-                pairs = x.join(y, "sig").where("a < b AND ra <> rb").select("a", "b").distinct()
-                links = _more(links, verify(pairs))
-                root = components(links)
-                break
-        centre = (open_rows.groupBy("sig")
-                  .agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("p"), F.col("id").alias("c"),
-                                      F.col("root").alias("rc"))).alias("m"))
-                  .select("sig", "m.c", "m.rc"))
-        pairs = (open_rows.join(centre, "sig").where("id <> c AND root <> rc")
-                 .select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct())
-        links = _more(links, verify(pairs))
-        root = components(links)
+        per = (open_rows.groupBy("sig", "root").agg(F.count("*").cast("double").alias("c"))
+               .groupBy("sig").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("q")))
+        total = per.agg(F.sum((F.col("n") * F.col("n") - F.col("q")) / 2).alias("p"),
+                        F.sum("n").alias("n")).first()
+        if not total["p"]:
+            break
+        last = total["p"] <= max(MANY_PAIRS, PAIRS_PER_ROW * total["n"]) or turn == MAX_STAR_ROUNDS
+        if last and turn:
+            x = open_rows.select("sig", F.col("id").alias("a"), F.col("root").alias("ra"))
+            y = open_rows.select("sig", F.col("id").alias("b"), F.col("root").alias("rb"))
+            pairs = x.join(y, "sig").where("a < b AND ra <> rb").select("a", "b").distinct()
+        else:
+            centre = (open_rows.groupBy("sig")
+                      .agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("p"), F.col("id").alias("c"),
+                                          F.col("root").alias("rc"))).alias("m"))
+                      .select("sig", "m.c", "m.rc"))
+            pairs = (open_rows.join(centre, "sig").where("id <> c AND root <> rc")
+                     .select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct())
+            last = False
+        root = _joined(root, materialize(verify(pairs).select("a", "b"), "links"))
+        if last:
+            break
     return root if root is not None else rows.select("id", F.col("id").alias("root")).limit(0)
-
-
-def _more(links: DataFrame | None, new: DataFrame) -> DataFrame:
-    new = materialize(new.select("a", "b"), "links")
-    return new if links is None else links.union(new)

@@ -43,8 +43,8 @@ _KIND[[ord(c) for c in ".,;:?!'\"()-"]] = 5
 _KIND[[ord(c) for c in "#$%&*+/<=>@[\\]^_`{|}~"]] = 6
 
 
-def line_measures(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(lines x MEASURES, bytes of each line, first line of each row plus the total)."""
+def line_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start and end byte of each line, first line of each row plus the total)."""
     breaks = np.flatnonzero(data == 10)
     # A row with m newlines has m + 1 lines, an empty row one.
     before = np.searchsorted(breaks, offsets)
@@ -58,6 +58,12 @@ def line_measures(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     starts[slot + 1] = breaks + 1
     ends[first[1:] - 1] = offsets[1:]
     ends[slot] = breaks
+    return starts, ends, first
+
+
+def line_measures(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lines x MEASURES, bytes of each line, first line of each row plus the total)."""
+    starts, ends, first = line_bounds(data, offsets)
     size = ends - starts
     n = len(starts)
     kind = _KIND[data]

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dryspell.llm import bpe, jaccard_join, language_id, license_scan, line_crf, topk, toxicity_knn, warc
+from dryspell.llm import (bpe, decontaminate, jaccard_join, language_id, license_scan, line_crf,
+                          line_dedup, topk, toxicity_knn, warc)
 from dryspell.llm.common import doc_table, id_bucket
 from dryspell.operators._exec import materialize
 from dryspell.session import scratch_path
@@ -49,6 +50,15 @@ def op5_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(doc_table(table(spark, sf_dir, "documents")))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = doc_table(table(spark, sf_dir, "documents"))
+    return decontaminate.scan(docs, table(spark, sf_dir, "benchmark")).drop("text")
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = materialize(topk.integer_vectors(table(spark, sf_dir, "embeddings")), "topk-vectors")
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
@@ -76,6 +86,8 @@ QUERIES = {
     "op3_jaccard": op3_jaccard,
     "op4_warc": op4_warc,
     "op5_license": op5_license,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_decontaminate": op7_decontaminate,
     "op8_topk": op8_topk,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
