@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dryspell.llm.common import LOWER, doc_table, gram_hash, mix, span_hash, spans, text_slices
+from dryspell.llm.common import LOWER, doc_table, fresh, gram_hash, mix, span_hash, spans, text_slices
 from dryspell.llm.components import link_buckets
 from dryspell.operators._exec import broadcast_checked, materialize
 
@@ -201,14 +201,14 @@ def frequent_bitmap(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def index_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, sid, n, sketch, sigs) per row; a set's sketch and entries come once per task."""
+    """(doc_id, rkey, sid, n, sketch, sigs) per row; a set's sketch and entries come once per task."""
     bitmap = docs.sparkSession.sparkContext.broadcast(frequent_bitmap(docs, n))
 
     def run(batches):
         often = np.unpackbits(bitmap.value).astype(bool)
         seen = set()
         for batch in batches:
-            for a, z, data, offsets in text_slices(batch.column(1)):
+            for a, z, data, offsets in text_slices(batch.column(2)):
                 row, h = gram_sets(data, offsets, n)
                 size, ids = set_ids(row, h, z - a)
                 heavy = often[(h >> _U(64 - CLASS_BITS)).astype(np.int64)]
@@ -231,12 +231,13 @@ def index_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     sketches.append(sketch(s))
                     entries.append(signatures(s, int(rare[i]), percent).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, z - a), pa.array(ids), pa.array(size.astype(np.int64)),
+                    [batch.column(0).slice(a, z - a), batch.column(1).slice(a, z - a), pa.array(ids), pa.array(size.astype(np.int64)),
                      pa.array(sketches, pa.binary()), pa.array(entries, pa.list_(pa.int64()))],
-                    names=["doc_id", "sid", "n", "sketch", "sigs"])
+                    names=["doc_id", "rkey", "sid", "n", "sketch", "sigs"])
 
-    return materialize(doc_table(docs).mapInArrow(
-        run, "doc_id bigint, sid bigint, n bigint, sketch binary, sigs array<bigint>"), "jaccard-index")
+    rows = doc_table(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("rkey"), "text")
+    return materialize(rows.mapInArrow(
+        run, "doc_id bigint, rkey bigint, sid bigint, n bigint, sketch binary, sigs array<bigint>"), "jaccard-index")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -310,8 +311,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "ga", "gb").mapInArrow(run, "a bigint, b bigint")
 
 
-def join(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+def _rooted(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(doc_id, rkey, n, root) per row; rows are linked, over any links, iff their roots are equal."""
     docs = doc_table(docs)
     index = index_sets(docs, n, percent)
     sketches = index.where("sketch IS NOT NULL").select("sid", "n", "sketch").dropDuplicates(["sid"])
@@ -325,10 +326,34 @@ def join(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
         return _verified(near, materialize(_sets_of(docs, wanted, n), "jaccard-sets"), percent)
 
     root = link_buckets(rows, verify)
-    named = (index.select("doc_id", "sid", "n")
-             .join(root.select(F.col("id").alias("sid"), "root"), "sid", "left")
-             .withColumn("root", F.coalesce("root", "sid")))
+    return (index.select("doc_id", "rkey", "sid", "n")
+            .join(root.select(F.col("id").alias("sid"), "root"), "sid", "left")
+            .select("doc_id", "rkey", "n", F.coalesce("root", "sid").alias("root")))
+
+
+def join(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    named = _rooted(docs, n, percent)
     least = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return (named.join(least, "root", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def keep_one(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id (null ids last).
+
+    Rows with an empty set all stay, but rows that agree in id and text are one.
+    """
+    named = materialize(_rooted(docs, n, percent), "jaccard-rooted")
+    place = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "rkey")
+    full = named.where("n > 0")
+    kept = full.groupBy("root").agg(F.min(place).alias("kept"), F.max(place).alias("last"))
+    gone = (full.join(kept.where("kept <> last").select("root", F.col("kept.rkey").alias("k")), "root")
+            .where("rkey <> k").select("rkey").distinct())
+    key = fresh("rkey", docs.columns)
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string")))
+    left = keyed.join(broadcast_checked(gone.withColumnRenamed("rkey", key)), key, "left_anti")
+    if not named.groupBy("rkey").agg(F.count("*").alias("c")).where("c > 1").isEmpty():
+        left = left.dropDuplicates([key])
+    return left.select(*docs.columns)
