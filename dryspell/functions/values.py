@@ -17,23 +17,29 @@ def _c(x: Column | str) -> Column:
 
 
 def parse_value(text: Column | str) -> Column:
-    """Text -> double; under ANSI mode a malformed value fails the job."""
-    return _c(text).cast("double")
+    """Text -> finite double; under ANSI mode a malformed value fails the job, and so do NaN and infinity."""
+    v = _c(text).cast("double")
+    odd = F.isnan(v) | (F.abs(v) == F.lit(math.inf))
+    return F.when(odd, F.raise_error(F.concat(F.lit("value is not a finite number: "),
+                                              _c(text).cast("string"))).cast("double")).otherwise(v)
 
 
 def is_missing(value: Column | str, sentinel: int = S.SENTINEL) -> Column:
-    """True when the value truncates (toward zero) to the sentinel.
+    """True when the value truncates (toward zero) to the sentinel, or is NULL.
 
     ``int(float(v)) == -9999`` drops every value in (-10000, -9999], e.g.
     -9999.7, while -9998.9 is kept. Written as a range test on the double, so
-    no integer cast can overflow on large values.
+    no integer cast can overflow on large values. Text that is no number is not
+    missing (:func:`parse_value` fails on it).
     """
-    v = _c(value).cast("double")
+    v = _c(value).try_cast("double")
     if sentinel > 0:
-        return (v >= F.lit(float(sentinel))) & (v < F.lit(float(sentinel + 1)))
-    if sentinel < 0:
-        return (v > F.lit(float(sentinel - 1))) & (v <= F.lit(float(sentinel)))
-    return (v > F.lit(-1.0)) & (v < F.lit(1.0))
+        hit = (v >= F.lit(float(sentinel))) & (v < F.lit(float(sentinel + 1)))
+    elif sentinel < 0:
+        hit = (v > F.lit(float(sentinel - 1))) & (v <= F.lit(float(sentinel)))
+    else:
+        hit = (v > F.lit(-1.0)) & (v < F.lit(1.0))
+    return F.coalesce(hit, _c(value).isNull())
 
 
 def is_date_label(label: Column | str) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import threading
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -18,22 +20,42 @@ MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-# Tables persisted by size checks, so long-running drivers (streams, job
-# chains) can release them once the queries that read them are done.
-_PERSISTED: list[DataFrame] = []
+# Tables persisted by size checks, in the order of the checks. Each open
+# release_after block has its own list, per thread, so a stream's batch or a job
+# releases what it persisted itself and nothing that another query reads.
+_HELD = threading.local()
+
+
+def _lists() -> list[list[DataFrame]]:
+    if not hasattr(_HELD, "lists"):
+        _HELD.lists = [[]]
+    return _HELD.lists
+
+
+@contextmanager
+def release_after():
+    """Unpersist, at the end of the block, the tables that size checks in it persisted."""
+    lists = _lists()
+    lists.append([])
+    try:
+        yield
+    finally:
+        for held in lists.pop():
+            held.unpersist()
 
 
 def release_checked() -> None:
-    """Unpersist every table persisted by :func:`size_checked` so far."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+    """Unpersist what this thread's size checks persisted in the innermost open block."""
+    held = _lists()[-1]
+    while held:
+        held.pop().unpersist()
 
 
 def _cached_bytes(cached: DataFrame) -> int | None:
-    """In-memory size Spark measured while materialising a persisted table."""
+    """In-memory size Spark measured while materialising a persisted table, or None."""
     try:
         return int(cached._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # noqa: BLE001 - statistics are an optimisation, not a requirement
+    except Exception:  # noqa: BLE001 - a size that cannot be read counts as too large
         return None
 
 
@@ -43,13 +65,14 @@ def size_checked(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
 
     The table is counted in full (so the cache is complete and every later
     use reads the same rows); it fits when both its row count and the
-    in-memory size Spark measured are within the bounds.
+    in-memory size Spark measured are within the bounds; a size that cannot be
+    read does not fit.
     """
     cached = small.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(cached)
+    _lists()[-1].append(cached)
     rows = cached.count()
     size = _cached_bytes(cached)
-    fits = rows <= max_rows and (size is None or size <= max_bytes)
+    fits = rows <= max_rows and size is not None and size <= max_bytes
     if not fits:
         log.warning("table of %d rows / %s bytes exceeds the broadcast bound; using a shuffle join",
                     rows, size)

@@ -2,9 +2,13 @@
 
 The reference transposes the whole matrix with a ``groupByKey`` per station
 and then melts it. Here each text line is split once and ``posexplode``d into
-(label, column, value) cells; station metadata (the first non-date lines of
-each file) becomes a small per-column table that is joined back by column
+(label, column, value) cells; station metadata (the first lines of each file,
+its head) becomes a small per-column table that is joined back by column
 position. The transpose is never materialised: the melt needs no shuffle.
+
+Nothing is dropped silently: a line that is neither a day nor one of its
+file's head lines, a file without a head, a line of another width than its
+head and a value that is not a finite number all fail the job.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from dryspell import schemas as S
 from dryspell.functions.codes import canonical_code
 from dryspell.functions.values import date_label_parts, is_date_label, is_missing, parse_value
 from dryspell.operators._exec import broadcast_checked
+from dryspell.sources.readers import read_matrix_heads
 
 # Metadata line ordinals used by the melt (positions in the station schema).
 _FIELD_CODE = S.STATION_FIELDS.index("code")
@@ -38,19 +43,24 @@ def _cells(lines: DataFrame, *cols: str) -> DataFrame:
             .select(*cols, "label", (F.col("_i") - 1).alias("pos"), "v"))
 
 
-def matrix_stations(lines: DataFrame, n_meta: int = S.N_META_LINES) -> DataFrame:
-    """Per matrix column: (block, pos, raw_code, institution, lat_text, lon_text).
+def matrix_heads(lines: DataFrame, n_meta: int = S.N_META_LINES) -> DataFrame:
+    """(block, field, value): the first ``n_meta`` lines of each file.
 
-    Metadata lines are the non-date lines of a block, numbered in line order;
-    only the first ``n_meta`` count.
+    Lines read from files are not scanned for this: the start of each file is
+    read by itself. Only for a DataFrame without files (already in memory) are the
+    heads taken from its rows, by line number.
     """
-    label = F.substring_index(F.col("value"), ",", 1)
-    meta_lines = lines.where(~is_date_label(label))
-    meta = (meta_lines
-            .withColumn("field", F.row_number().over(
-                Window.partitionBy("block").orderBy("line_no")) - 1)
-            .where(F.col("field") < n_meta))
-    cells = _cells(meta, "block", "field")
+    files = lines.inputFiles()
+    if files:
+        return read_matrix_heads(lines.sparkSession, files, n_meta)
+    first = F.row_number().over(Window.partitionBy("block").orderBy("line_no"))
+    return (lines.select("block", "value", (first - 1).alias("field")).where(F.col("field") < n_meta)
+            .select("block", "field", "value"))
+
+
+def matrix_stations(heads: DataFrame) -> DataFrame:
+    """Per matrix column: (block, pos, raw_code, institution, lat_text, lon_text)."""
+    cells = _cells(heads, "block", "field")
 
     def pick(i: int, name: str):
         return F.max(F.when(F.col("field") == i, F.col("v"))).alias(name)
@@ -61,6 +71,35 @@ def matrix_stations(lines: DataFrame, n_meta: int = S.N_META_LINES) -> DataFrame
                  pick(_FIELD_LAT, "lat_text"), pick(_FIELD_LON, "lon_text")))
 
 
+def _head_rules(heads: DataFrame, n_meta: int) -> DataFrame:
+    """Per file: its head lines and its width; a head that is short, ragged or holds a day fails."""
+    width = F.size(F.split("value", ",", -1)) - 1
+    label = F.substring_index("value", ",", 1)
+    rules = heads.groupBy("block").agg(
+        F.collect_set("value").alias("head"), F.count("*").alias("n"),
+        F.min(width).alias("width"), F.max(width).alias("widest"),
+        F.count_if(is_date_label(label)).alias("days"))
+    sound = (F.col("n") == n_meta) & (F.col("width") == F.col("widest")) & (F.col("days") == 0)
+    failed = F.raise_error(F.concat(F.lit(f"matrix file does not begin with {n_meta} metadata lines of one width: "),
+                                    F.col("block")))
+    return rules.select("block", "head", F.when(sound, F.col("width")).otherwise(failed.cast("int")).alias("width"))
+
+
+def _day_lines(lines: DataFrame, rules: DataFrame) -> DataFrame:
+    """(block, value) of the day lines; any other line must be blank or of its file's head."""
+    label = F.substring_index(F.col("value"), ",", 1)
+    at = F.concat(F.lit(" in "), F.col("block"), F.lit(": "), F.substring("value", 1, 80))
+    width = F.size(F.split("value", ",", -1)) - 1
+    keep = (F.when(F.col("head").isNull(),
+                   F.raise_error(F.concat(F.lit("no header for the matrix file"), at)).cast("boolean"))
+            .when(is_date_label(label), F.when(width == F.col("width"), F.lit(True)).otherwise(
+                F.raise_error(F.concat(F.lit("day line of another width than the head"), at)).cast("boolean")))
+            .when(F.trim("value") == "", F.lit(False))
+            .when(F.array_contains("head", F.col("value")), F.lit(False))
+            .otherwise(F.raise_error(F.concat(F.lit("line is neither a day nor metadata"), at)).cast("boolean")))
+    return lines.join(rules, "block", "left").where(keep).select("block", "value")
+
+
 def station_filter(institution, lat, lon,
                    exclude_institutions=S.EXCLUDED_INSTITUTIONS, bbox=S.BBOX):
     """Keep stations not from an excluded institution and strictly inside the box.
@@ -86,29 +125,29 @@ def station_filter(institution, lat, lon,
 
 def daily_from_matrix(lines: DataFrame, *, n_meta: int = S.N_META_LINES,
                       exclude_institutions=S.EXCLUDED_INSTITUTIONS, bbox=S.BBOX,
-                      sentinel: int = S.SENTINEL, stations: DataFrame | None = None) -> DataFrame:
+                      sentinel: int = S.SENTINEL, heads: DataFrame | None = None) -> DataFrame:
     """Matrix lines (block, line_no, value) -> (code, year, month, day, precip).
 
-    Drops stations of excluded institutions and outside the bounding box,
-    canonicalises codes, and removes sentinel values.
-
-    Finding the metadata lines reads the text once more (Spark's text source
-    cannot read only a file's first split). ``stations``, the output of
-    :func:`matrix_stations` written once, skips that pass on later runs.
+    Drops stations of excluded institutions and outside the bounding box before
+    any of their cells is parsed, canonicalises codes, and removes sentinel
+    values. ``heads`` is the output of :func:`matrix_heads`, written once, for
+    later runs over the same files.
     """
-    if stations is None:
-        stations = matrix_stations(lines, n_meta)
-    kept = (stations.where(station_filter("institution", "lat_text", "lon_text",
-                                          exclude_institutions, bbox))
+    if heads is None:
+        heads = matrix_heads(lines, n_meta)
+    rules = broadcast_checked(_head_rules(heads, n_meta))   # counted first: a bad head fails as such
+    kept = (matrix_stations(heads).where(station_filter("institution", "lat_text", "lon_text",
+                                                        exclude_institutions, bbox))
             .select("block", "pos", canonical_code("raw_code").alias("code")))
     kept = broadcast_checked(kept)
-
-    label = F.substring_index(F.col("value"), ",", 1)
-    day_cells = _cells(lines.where(is_date_label(label)), "block").where(~is_missing(F.col("v"), sentinel))
+    days = _day_lines(lines, rules)
+    # The sentinel test never fails on a malformed value, wherever Spark places
+    # it; the strict cast is a projection above the join, so only cells of kept
+    # stations are parsed.
+    day_cells = _cells(days, "block").join(kept, ["block", "pos"]).where(~is_missing(F.col("v"), sentinel))
     year, month, day = date_label_parts("label")
-    return (day_cells.join(kept, ["block", "pos"])
-            .select("code", year.alias("year"), month.alias("month"), day.alias("day"),
-                    parse_value("v").alias("precip")))
+    return day_cells.select("code", year.alias("year"), month.alias("month"), day.alias("day"),
+                            parse_value("v").alias("precip"))
 
 
 def unpivot_wide(wide: DataFrame, ids: list[str], value_cols: list[str],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,22 @@ def read_matrix_lines(spark: SparkSession, path: str) -> DataFrame:
                     F.col("value")))
 
 
+def read_matrix_heads(spark: SparkSession, files: list[str], n: int = S.N_META_LINES) -> DataFrame:
+    """(block, field, value): the first ``n`` lines of each matrix file.
+
+    Each file's start is read by a job of one task that stops after n lines, so
+    the text is not scanned for its head; a few files are read at a time. The
+    driver holds n lines a file: what the columns' names and places take.
+    """
+    def head(path: str) -> list[tuple[str, int, str]]:
+        lines = (spark.read.text(path).select(F.col("_metadata.file_path").alias("block"), "value").head(n))
+        return [(r["block"], i, r["value"]) for i, r in enumerate(lines)]
+
+    with ThreadPoolExecutor(8) as pool:
+        rows = [row for part in pool.map(head, files) for row in part]
+    return spark.createDataFrame(rows, "block string, field int, value string")
+
+
 def read_stations(spark: SparkSession, path: str) -> DataFrame:
     """Station metadata CSV with a header line; quoted fields and blank lines are handled."""
     return (spark.read.schema(S.STATIONS)

@@ -1,43 +1,46 @@
-"""Matrix files arriving in a folder -> appended to the daily Parquet table.
-
-Each matrix file carries its own metadata lines, and the file source hands a
-file to exactly one micro-batch, so every micro-batch melts independently with
-the same batch operator. Progress and the exactly-once file log live in the
-query checkpoint (in the shared checkpoint folder by default), so a restarted
-or failed query resumes without re-ingesting files.
+"""Matrix files arriving in a folder -> a daily Parquet table, each file once.
+
+Each matrix file carries its own head lines, and the file source hands a file
+to exactly one micro-batch, so every micro-batch melts independently with the
+same batch operator. The query's checkpoint, which the caller names and keeps
+across restarts, holds the list of files seen. A micro-batch writes a folder of
+its own (``batch=<id>``) and overwrites it, so a batch that is replayed after a
+failure replaces what its first attempt left: no file is in the table twice.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dryspell import schemas as S
-from dryspell.operators._exec import release_checked
+from dryspell.operators._exec import release_after
 from dryspell.operators.ingest import daily_from_matrix
-from dryspell.session import ensure_checkpoint_dir
+from dryspell.sources.readers import read_matrix_heads
+
+
+def write_batch(batch: DataFrame, batch_id: int, daily_out: str, n_meta: int = S.N_META_LINES) -> None:
+    """Melt the files of one micro-batch (block, value) into ``daily_out/batch=<id>``."""
+    files = [r["block"] for r in batch.select("block").distinct().collect()]
+    heads = read_matrix_heads(batch.sparkSession, files, n_meta)
+    with release_after():
+        daily = daily_from_matrix(batch, n_meta=n_meta, heads=heads)
+        daily.write.mode("overwrite").partitionBy("year").parquet(f"{daily_out}/batch={batch_id}")
 
 
-def start_daily_ingest(spark: SparkSession, matrix_dir: str, daily_out: str, *,
-                       checkpoint: str | None = None, available_now: bool = True,
-                       max_files_per_trigger: int | None = None,
+def start_daily_ingest(spark: SparkSession, matrix_dir: str, daily_out: str, *, checkpoint: str,
+                       available_now: bool = True, max_files_per_trigger: int | None = None,
                        n_meta: int = S.N_META_LINES) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what exists and stops."""
-    checkpoint = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "streams", "daily-ingest")
+    """Start the stream; with ``available_now`` it processes what exists and stops.
+
+    ``checkpoint`` belongs to this stream alone and must outlive the session.
+    """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.load(matrix_dir).select(F.col("_metadata.file_path").alias("block"), "value")
-
-    def melt_batch(batch: DataFrame, _epoch: int) -> None:
-        numbered = batch.select("block", F.monotonically_increasing_id().alias("line_no"), "value")
-        daily = daily_from_matrix(numbered, n_meta=n_meta)
-        daily.write.mode("append").partitionBy("year").parquet(daily_out)
-        release_checked()  # the batch's station table is not needed any more
-
-    writer = lines.writeStream.foreachBatch(melt_batch).option("checkpointLocation", checkpoint)
+    writer = (lines.writeStream.foreachBatch(lambda batch, i: write_batch(batch, i, daily_out, n_meta))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

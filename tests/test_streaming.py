@@ -27,3 +27,22 @@ def test_stream_ingests_each_file_once(spark, tmp_dir):
     start_daily_ingest(spark, src, out, checkpoint=ckpt).awaitTermination()
     rows = sorted((r.code, r.year, r.day, r.precip) for r in readers.read_daily(spark, out).collect())
     assert rows == [("1", 2010, 6, 4.5), ("2", 2010, 6, 1.0)]
+
+
+def test_restart_in_a_new_session_and_replayed_batch(spark, tmp_dir):
+    """A new session goes on from the checkpoint, and a batch that is run again replaces itself."""
+    from pyspark.sql import functions as F
+
+    from dryspell.streaming.matrix_files import write_batch
+    src, out, ckpt = (os.path.join(tmp_dir, d) for d in ("in", "daily", "ckpt"))
+    os.makedirs(src)
+    _matrix(os.path.join(src, "a.txt"), "0001", "4.5")
+    start_daily_ingest(spark, src, out, checkpoint=ckpt).awaitTermination()
+    again = spark.newSession()
+    start_daily_ingest(again, src, out, checkpoint=ckpt).awaitTermination()
+    assert readers.read_daily(again, out).count() == 1
+    lines = spark.read.text(os.path.join(src, "a.txt")).select(F.col("_metadata.file_path").alias("block"), "value")
+    write_batch(lines, 0, out)
+    write_batch(lines, 0, out)
+    rows = [(r.code, r.year, r.day, r.precip) for r in readers.read_daily(spark, out).collect()]
+    assert rows == [("1", 2010, 6, 4.5)]
