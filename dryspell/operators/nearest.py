@@ -42,7 +42,7 @@ from dryspell import schemas as S
 from dryspell.functions.geo import (
     distance_sq_at, distance_sq_at_sql, segment_param, segment_param_sql, utm_easting_northing,
 )
-from dryspell.operators._exec import materialize
+from dryspell.operators._exec import broadcast_checked, materialize
 from dryspell.operators.boundaries import segments as boundary_segments
 
 # Relative slack on the pruning test, so rounding in the piece coordinates
@@ -52,6 +52,8 @@ _SLACK = 1e-9
 # shared folder every CUT_EVERY levels to keep the lineage short.
 _BRANCH = 8
 _CUT_EVERY = 3
+# Levels below the top whose cells (at most 4 x 64**k a group) are broadcast after a count.
+_TOP_LEVELS = 2
 _OFFSETS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 
 
@@ -110,19 +112,21 @@ def _bounded(df: DataFrame, keys: list[str], prev_ub: str | None) -> DataFrame:
 
 def nearest_by_grid(points: DataFrame, segs: DataFrame, *, point_keys: list[str],
                     group_cols: list[str] | None = None, tag: str | None = None,
-                    cell_size: float | None = None) -> DataFrame:
+                    cell_size: float | None = None, own_group: bool = False) -> DataFrame:
     """Exact nearest segment per point (and per group, if ``group_cols``).
 
     ``points``: unique point_keys + (x, y). ``segs``: group_cols + tag +
     (ax, ay, bx, by). Returns point_keys + group_cols + (d2, tag): the
     smallest squared distance and, among segments at that distance, the
-    smallest ``tag``. ``cell_size`` sets the finest cell.
+    smallest ``tag``. ``cell_size`` sets the finest cell. With ``own_group``
+    the points carry ``group_cols`` too and meet only their own group.
     """
     group_cols = list(group_cols or [])
     tag_col = F.col(tag) if tag else F.lit(0)
     # Points are a cheap projection, recomputed where used; segments are read
     # once per level, so they are written once.
-    pts = points.select(*point_keys, F.col("x").alias("_px"), F.col("y").alias("_py"))
+    held = [*point_keys, *group_cols] if own_group else point_keys
+    pts = points.select(*held, F.col("x").alias("_px"), F.col("y").alias("_py"))
     sg = materialize(segs.select(*group_cols, tag_col.alias("_tag"), "ax", "ay", "bx", "by")
                      .withColumn("_sid", F.monotonically_increasing_id()), "grid-segments")
 
@@ -157,14 +161,20 @@ def nearest_by_grid(points: DataFrame, segs: DataFrame, *, point_keys: list[str]
                         for dx, dy in _OFFSETS])
     probe = (pts.select("*", F.floor(F.col("_px") / top).alias("_cx0"),
                         F.floor(F.col("_py") / top).alias("_cy0"), F.explode(offsets).alias("_o"))
-             .select(*point_keys, "_px", "_py", (F.col("_cx0") + F.col("_o.dx")).alias("cx"),
+             .select(*held, "_px", "_py", (F.col("_cx0") + F.col("_o.dx")).alias("cx"),
                      (F.col("_cy0") + F.col("_o.dy")).alias("cy")))
-    frontier = _bounded(probe.join(index.where(F.col("level") == 0).drop("level"), ["cx", "cy"]), keys, None)
+    # The top levels hold few cells, on which all points meet: they are broadcast
+    # once counted, whatever the optimizer's settings, so no task takes a whole cell.
+    meet = ["cx", "cy", *(group_cols if own_group else [])]
+    frontier = _bounded(probe.join(broadcast_checked(index.where(F.col("level") == 0).drop("level")), meet),
+                        keys, None)
     frontier = frontier.select(*keys, "_px", "_py", "cx", "cy", "_ub2")
     for k in range(1, levels + 1):
         children = (index.where(F.col("level") == k).drop("level")
                     .withColumn("_pcx", F.floor(F.col("cx") / _BRANCH))
                     .withColumn("_pcy", F.floor(F.col("cy") / _BRANCH)))
+        if k <= _TOP_LEVELS:
+            children = broadcast_checked(children)
         parents = frontier.select(*keys, "_px", "_py", F.col("cx").alias("_pcx"), F.col("cy").alias("_pcy"),
                                   F.col("_ub2").alias("_prev"))
         step = _bounded(parents.join(children, [*group_cols, "_pcx", "_pcy"]), keys, "_prev")
@@ -186,20 +196,34 @@ def nearest_by_grid(points: DataFrame, segs: DataFrame, *, point_keys: list[str]
     return out.withColumnRenamed("_tag", tag) if tag else out.drop("_tag")
 
 
-def distance_to_regions(points: DataFrame, boundaries: DataFrame, *, features: str = "all",
-                        cell_size: float | None = None) -> DataFrame:
-    """(code, region, dist): distance from each point to each region's boundary."""
-    segs = boundary_segments(boundaries, features)
-    res = nearest_by_grid(points, segs, point_keys=["code"], group_cols=["region"],
-                          cell_size=cell_size)
-    return res.select("code", "region", F.sqrt("d2").alias("dist"))
+def _row_points(points: DataFrame) -> DataFrame:
+    """Points with a row id, written once: codes may repeat, rows never merge."""
+    return materialize(points.withColumn("_row", F.monotonically_increasing_id()), "grid-points")
+
+
+def distance_to_own_region(points: DataFrame, boundaries: DataFrame, *, features: str = "all",
+                           cell_size: float | None = None) -> DataFrame:
+    """(code, region, dist): each point's distance to the boundary of the region it names.
+
+    ``points`` has (code, x, y, region). One row per point row; the distance is
+    NULL where the region has no boundary.
+    """
+    pts = _row_points(points.select("code", "x", "y", "region"))
+    res = nearest_by_grid(pts, boundary_segments(boundaries, features), point_keys=["_row"],
+                          group_cols=["region"], cell_size=cell_size, own_group=True)
+    return (pts.join(res.select("_row", "d2"), "_row", "left")
+            .select("code", "region", F.sqrt("d2").alias("dist")))
 
 
 def nearest_region(points: DataFrame, boundaries: DataFrame, *, features: str = "all",
                    cell_size: float | None = None) -> DataFrame:
-    """(code, region, dist): the closest region boundary; lowest region wins ties."""
+    """(code, region, dist): the closest region boundary; lowest region wins ties.
+
+    One row per point row, also where codes repeat.
+    """
+    pts = _row_points(points.select("code", "x", "y"))
     segs = boundary_segments(boundaries, features)
-    res = nearest_by_grid(points, segs, point_keys=["code"], tag="region", cell_size=cell_size)
+    res = nearest_by_grid(pts, segs, point_keys=["_row", "code"], tag="region", cell_size=cell_size)
     return res.select("code", "region", F.sqrt("d2").alias("dist"))
 
 

@@ -62,14 +62,19 @@ def spi(yz: DataFrame, **median_opts) -> DataFrame:
     """(zone, year, spi) = (median(zone, year) - mean(zone)) / std(zone).
 
     The narrow (zone, year, precip) table is written once to the shared
-    checkpoint folder and both statistics read it. Both join inputs are small
-    aggregates; the join is planned from their measured sizes by adaptive
-    execution. A zone with zero spread gives NULL.
+    checkpoint folder and both statistics read it.
     """
     narrow = materialize(yz.select("zone", "year", "precip"), "zone-yearly")
-    med = median_by_zone_year(narrow, materialize_input=False, **median_opts)
-    stats = mean_std_by_zone(narrow)
-    return (med.join(stats, "zone")
+    return spi_of(median_by_zone_year(narrow, materialize_input=False, **median_opts), mean_std_by_zone(narrow))
+
+
+def spi_of(medians: DataFrame, moments: DataFrame) -> DataFrame:
+    """SPI from finished (zone, year, median) and (zone, mean, std) tables.
+
+    Both are small aggregates; the join is planned from their measured sizes
+    by adaptive execution. A zone with zero spread gives NULL.
+    """
+    return (medians.join(moments, "zone")
             .select("zone", "year", standardize("median", "mean", "std").alias("spi")))
 
 
@@ -86,11 +91,11 @@ def station_climatology(yearly: DataFrame, stations: DataFrame, lookup: DataFram
     """(code, annual_mean, lat, lon, zone); stations missing from the lookup get zone 0.
 
     Station codes are canonicalised on both sides (the reference joins the
-    raw code here, which loses zero-padded stations).
+    raw code here, which loses zero-padded stations). As in the reference, every
+    row of the station table counts: a code that repeats gives a row for each.
     """
     means = station_annual_mean(yearly, min_year_exclusive=min_year_exclusive)
-    coords = broadcast_checked(stations.select(canonical_code("code").alias("code"), "lat", "lon")
-                               .dropDuplicates(["code"]))
+    coords = broadcast_checked(stations.select(canonical_code("code").alias("code"), "lat", "lon"))
     located = means.join(coords, "code")
     return (attach_zone(located, lookup, on_missing="zero")
             .select("code", "annual_mean", "lat", "lon", "zone"))
