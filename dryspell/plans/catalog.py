@@ -20,6 +20,7 @@ from dryspell.operators import accumulate, boundaries as B, nearest as N, report
 from dryspell.operators._exec import materialize
 from dryspell.operators.ingest import daily_from_matrix, station_filter, unpivot_wide
 from dryspell.operators.zones import natural_zones, natural_zones_union
+from dryspell.plans import jobs
 from dryspell.plans import views as V
 from dryspell.session import scratch_path
 from dryspell.sources import readers, sinks
@@ -164,8 +165,28 @@ def q_station_annual_mean(spark, sf):
     return m.select("code", _r("annual_mean", 6).alias("annual_mean"))
 
 
+def q_natural_median(spark, sf):
+    return ST.median_by_zone_year(_yz_natural(spark, sf))
+
+
+def q_natural_mean_std(spark, sf):
+    m = ST.mean_std_by_zone(_yz_natural(spark, sf))
+    return m.select("zone", _r("mean", 6).alias("mean"), _r("std", 6).alias("std"))
+
+
+def q_natural_climatology(spark, sf):
+    c = ST.station_climatology(V.yearly(spark, sf), V.station_file(spark, sf), V.natural_lookup(spark, sf),
+                               min_year_exclusive=V.VIEW_NATURAL_MIN_YEAR_EXCLUSIVE)
+    return c.select("code", _r("annual_mean", 6).alias("annual_mean"), "lat", "lon", "zone")
+
+
 def _climatology(spark, sf):
-    return ST.station_climatology(V.yearly(spark, sf), V.station_file(spark, sf), V.region_lookup(spark, sf))
+    return ST.station_climatology(V.yearly(spark, sf), V.station_file(spark, sf), V.partial_lookup(spark, sf))
+
+
+def q_station_climatology_repeated(spark, sf):
+    c = ST.station_climatology(V.yearly(spark, sf), V.repeated_stations(spark, sf), V.region_lookup(spark, sf))
+    return c.select("code", _r("annual_mean", 6).alias("annual_mean"), "lat", "lon", "zone")
 
 
 def q_station_climatology(spark, sf):
@@ -176,7 +197,7 @@ def q_station_climatology(spark, sf):
 # ---------------------------------------------------------------- plot data
 
 def q_spi_series_flags(spark, sf):
-    s = R.spi_series(ST.spi(_yz_region(spark, sf)))
+    s = R.spi_series(ST.spi(_yz_region(spark, sf)), recent=V.VIEW_RECENT)
     return s.select("zone", "year", _r("spi", 6).alias("spi"), "is_drought", "is_recent")
 
 
@@ -198,7 +219,13 @@ def q_normal_fit_curve(spark, sf):
 
 
 def q_latitude_profile(spark, sf):
-    p = R.latitude_profile(_climatology(spark, sf), highlight_zone=13)
+    p = R.latitude_profile(_climatology(spark, sf), highlight_zone=V.VIEW_HIGHLIGHT)
+    return p.select("code", _r("annual_mean", 6).alias("annual_mean"), "lat", "lon", "zone",
+                    "zone_label", "highlighted")
+
+
+def q_latitude_profile_labelled(spark, sf):
+    p = R.latitude_profile(_climatology(spark, sf), labels=V.VIEW_LABELS)
     return p.select("code", _r("annual_mean", 6).alias("annual_mean"), "lat", "lon", "zone",
                     "zone_label", "highlighted")
 
@@ -219,7 +246,8 @@ def q_utm_project(spark, sf):
 
 
 def q_point_boundary_distance(spark, sf):
-    d = N.distance_to_regions(_points(spark, sf), V.boundaries(spark, sf))
+    own = V.stations(spark, sf).select("code", (F.col("s_nationkey") % V.REGIONS).cast("int").alias("region"))
+    d = N.distance_to_own_region(_points(spark, sf).join(own, "code"), V.boundaries(spark, sf))
     return d.select("code", "region", _r("dist", 3).alias("dist"))
 
 
@@ -233,8 +261,16 @@ def q_nearest_region_first_feature(spark, sf):
     return d.select("code", "region", _r("dist", 3).alias("dist"))
 
 
+def _nearest_repeated(spark, sf):
+    return N.nearest_region(N.project_stations(V.repeated_stations(spark, sf)), V.boundaries(spark, sf))
+
+
+def q_nearest_region_repeated(spark, sf):
+    return _nearest_repeated(spark, sf).select("code", "region", _r("dist", 3).alias("dist"))
+
+
 def q_stations_per_region(spark, sf):
-    return N.stations_per_region(N.nearest_region(_points(spark, sf), V.boundaries(spark, sf)))
+    return N.stations_per_region(_nearest_repeated(spark, sf))
 
 
 def q_features_per_region(spark, sf):
@@ -256,10 +292,29 @@ def q_tsv_roundtrip(spark, sf):
 def q_station_csv_read(spark, sf):
     path = scratch_path(spark, "stations-csv")
     st = V.station_file(spark, sf).withColumn("name", F.concat_ws(", ", "name", "source"))
-    st.write.option("header", True).csv(path)
+    # A blank line after every line, as the station file may hold.
+    st.write.option("header", True).option("lineSep", "\n\n").csv(path)
     return readers.read_stations(spark, path)
 
 
+def q_monthly_tsv_roundtrip(spark, sf):
+    path = scratch_path(spark, "monthly-tsv")
+    sinks.write_keyed_tsv(accumulate.monthly(V.daily(spark, sf)), path, ["code", "year", "month"],
+                          ["days", "precip"])
+    text = spark.read.text(path).select(F.substring_index("value", "\t", 1).alias("key"))
+    back = readers.read_monthly_keyed(spark, path)
+    key = F.concat_ws("##", "code", F.col("year").cast("string"), F.lpad(F.col("month").cast("string"), 2, "0"))
+    return back.withColumn("key", key).join(text, "key").select("key", "code", "year", "month", "days", "precip")
+
+
+def q_region_table_write(spark, sf):
+    folder = scratch_path(spark, "region-table")
+    V.station_file(spark, sf).write.option("header", True).csv(f"{folder}/stations")
+    V.boundaries(spark, sf).write.parquet(f"{folder}/boundaries")
+    jobs.region_table(spark, f"{folder}/stations", f"{folder}/boundaries", f"{folder}/out")
+    return readers.read_zone_lookup(spark, f"{folder}/out")
+
+
 def q_boundary_table_read(spark, sf):
     path = scratch_path(spark, "boundaries-csv")
     V.boundaries(spark, sf).write.option("header", True).csv(path)
@@ -274,7 +329,7 @@ def q_region_partitioned_roundtrip(spark, sf):
 
 def q_daily_tsv_roundtrip(spark, sf):
     path = scratch_path(spark, "daily-tsv")
-    sinks.write_tsv(V.daily(spark, sf), path)
+    sinks.write_daily_tsv(V.daily(spark, sf), path)
     return readers.read_daily(spark, path, fmt="tsv")
 
 
@@ -300,7 +355,7 @@ def q_result_tsv_read(spark, sf):
 
 
 def q_spi_series_one_zone(spark, sf):
-    s = R.spi_series(ST.spi(_yz_region(spark, sf)), zone=3)
+    s = R.spi_series(ST.spi(_yz_region(spark, sf)), zone=3, recent=V.VIEW_RECENT)
     return s.select("zone", "year", _r("spi", 6).alias("spi"), "is_drought", "is_recent")
 
 
@@ -340,6 +395,14 @@ QUERIES: dict[str, Query] = {
     "zone_histogram": q_zone_histogram,
     "normal_fit_curve": q_normal_fit_curve,
     "latitude_profile": q_latitude_profile,
+    "natural_median": q_natural_median,
+    "natural_mean_std": q_natural_mean_std,
+    "natural_climatology": q_natural_climatology,
+    "station_climatology_repeated": q_station_climatology_repeated,
+    "latitude_profile_labelled": q_latitude_profile_labelled,
+    "nearest_region_repeated": q_nearest_region_repeated,
+    "monthly_tsv_roundtrip": q_monthly_tsv_roundtrip,
+    "region_table_write": q_region_table_write,
     "distinct_zones": q_distinct_zones,
     "utm_project": q_utm_project,
     "point_boundary_distance": q_point_boundary_distance,

@@ -10,22 +10,26 @@ from __future__ import annotations
 import argparse
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from dryspell import schemas as S
 from dryspell.operators import accumulate, nearest, stats
-from dryspell.operators._exec import release_checked
-from dryspell.operators.ingest import daily_from_matrix, matrix_stations
+from dryspell.operators._exec import materialize, release_after, release_checked
+from dryspell.operators.ingest import daily_from_matrix, matrix_heads
 from dryspell.operators.zones import natural_zones, zone_lookup_from_names
 from dryspell.sources import readers, sinks
 
 
-def _write(df: DataFrame, path: str, fmt: str, mode: str, partition_by=None) -> None:
+# Folders of the five statistics tables, as the reference names them.
+STATISTICS_FOLDERS = {"yearly": "yearly-data-with-zone", "median": "median-year-zone", "moments": "mean-std-zone",
+                      "spi": "yearly-spi-by-zone", "climatology": "mean-yearly-precip-lat-lon-zone"}
+
+
+def _write(df: DataFrame, path: str, fmt: str, mode: str) -> None:
     if fmt == "tsv":
         sinks.write_tsv(df, path, mode=mode)
     else:
-        sinks.write_table(df, path, mode=mode, partition_by=partition_by)
+        sinks.write_table(df, path, mode=mode)
 
 
 def preprocess(spark: SparkSession, matrix_path: str, out: str, *, fmt: str = "parquet",
@@ -33,24 +37,27 @@ def preprocess(spark: SparkSession, matrix_path: str, out: str, *, fmt: str = "p
                header_in: str | None = None) -> None:
     """Stage 1: raw matrix text -> clean daily table (Parquet partitioned by year).
 
-    ``header_out`` also writes the per-column station header table (small);
-    a later run over the same files passes it as ``header_in`` and skips the
-    metadata pass over the text.
+    ``header_out`` also writes the files' head lines (small); a later run over
+    the same files may pass them as ``header_in``. A file that they lack fails
+    the job.
     """
     lines = readers.read_matrix_lines(spark, matrix_path)
-    stations = None
+    heads = None
     if header_in:
-        stations = spark.read.parquet(header_in)
+        heads = spark.read.parquet(header_in)
     elif header_out:
-        matrix_stations(lines).write.mode(mode).parquet(header_out)
-        stations = spark.read.parquet(header_out)
-    daily = daily_from_matrix(lines, stations=stations)
+        matrix_heads(lines).write.mode(mode).parquet(header_out)
+        heads = spark.read.parquet(header_out)
+    daily = daily_from_matrix(lines, heads=heads)
     if fmt == "parquet":
         # Matrix lines are date-ordered, so a task holds few years; sorting
         # inside each task by (year, code) keeps files per task and year few
         # and gives row groups narrow code ranges for later pushdown.
         daily = daily.sortWithinPartitions("year", "code")
-    _write(daily, out, fmt, mode, partition_by="year" if fmt == "parquet" else None)
+    if fmt == "parquet":
+        sinks.write_table(daily, out, mode=mode, partition_by="year")
+    else:
+        sinks.write_daily_tsv(daily, out, mode=mode)
     release_checked()
 
 
@@ -111,17 +118,20 @@ def zone_statistics(spark: SparkSession, yearly_path: str, stations_path: str, o
     else:
         lookup = readers.read_zone_lookup(spark, lookup_path)
         min_year = None
-    yz = stats.with_zone(yearly_df, lookup, on_missing="error", min_year_exclusive=min_year)
-    yz = yz.persist(StorageLevel.MEMORY_AND_DISK)
-    _write(yz, os.path.join(out_dir, "yearly-data-with-zone"), fmt, mode)
-    _write(stats.median_by_zone_year(yz), os.path.join(out_dir, "median-year-zone"), fmt, mode)
-    _write(stats.mean_std_by_zone(yz), os.path.join(out_dir, "mean-std-zone"), fmt, mode)
-    _write(stats.spi(yz), os.path.join(out_dir, "yearly-spi-by-zone"), fmt, mode)
-    clim = stats.station_climatology(yearly_df, readers.read_stations(spark, stations_path), lookup,
-                                     min_year_exclusive=min_year)
-    _write(clim, os.path.join(out_dir, "mean-yearly-precip-lat-lon-zone"), fmt, mode)
-    yz.unpersist()
-    release_checked()
+    with release_after():
+        yz = stats.with_zone(yearly_df, lookup, on_missing="error", min_year_exclusive=min_year)
+        # Each table is computed once: later ones read what the earlier ones wrote.
+        folder = {k: os.path.join(out_dir, v) for k, v in STATISTICS_FOLDERS.items()}
+        narrow = materialize(yz, "zone-statistics")
+        _write(narrow, folder["yearly"], fmt, mode)
+        medians = materialize(stats.median_by_zone_year(narrow, materialize_input=False), "zone-medians")
+        _write(medians, folder["median"], fmt, mode)
+        moments = materialize(stats.mean_std_by_zone(narrow), "zone-moments")
+        _write(moments, folder["moments"], fmt, mode)
+        _write(stats.spi_of(medians, moments), folder["spi"], fmt, mode)
+        clim = stats.station_climatology(yearly_df, readers.read_stations(spark, stations_path), lookup,
+                                         min_year_exclusive=min_year)
+        _write(clim, folder["climatology"], fmt, mode)
 
 
 def natural_lookup_from_stations(spark: SparkSession, stations_path: str) -> DataFrame:

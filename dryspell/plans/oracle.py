@@ -43,7 +43,8 @@ stn_ok AS (
   SELECT * FROM stn
   WHERE institution <> 'GHCN' AND lon > -76.0 AND lon < -66.0 AND lat > -55.0 AND lat < -18.0),
 daily_raw AS (
-  SELECT l_suppkey AS s_suppkey, {_pad('l_suppkey')} AS code, CAST(l_shipdate AS DATE) AS date,
+  SELECT l_suppkey AS s_suppkey, {_pad('l_suppkey')} AS code, CAST(CASE WHEN l_linenumber = 6 AND l_quantity < 10 THEN l_shipdate - INTERVAL 100 YEAR
+                   ELSE l_shipdate END AS DATE) AS date,
          CASE WHEN l_linenumber = 7 THEN CAST(-9999.0 AS DOUBLE) ELSE l_quantity END AS value
   FROM lineitem),
 daily_obs AS (
@@ -90,7 +91,11 @@ clim AS (
   SELECT a.code, a.annual_mean, s.lat, s.lon, coalesce(l.zone, 0) AS zone
   FROM (SELECT code, avg(precip) AS annual_mean FROM yearly GROUP BY code) a
   JOIN (SELECT {_canon('code')} AS code, lat, lon FROM stn) s ON a.code = s.code
-  LEFT JOIN region_lookup l ON a.code = l.code),
+  LEFT JOIN (SELECT {_canon('code')} AS code, CAST(s_nationkey % 16 AS INTEGER) AS zone FROM stn
+             WHERE s_suppkey % 9 <> 0) l ON a.code = l.code),
+stn_rep AS (
+  SELECT code || '#1' AS code, lat, lon FROM stn
+  UNION ALL SELECT CAST(s_suppkey AS VARCHAR) || '#2', lat - 0.25, lon FROM stn WHERE s_suppkey % 4 = 0),
 bnd_v AS (
   SELECT CAST(s_suppkey % 16 AS INTEGER) AS region, (s_suppkey // 16) * 4 + j AS v, s_acctbal
   FROM supplier CROSS JOIN (SELECT unnest(range(0, 4)) AS j) r),
@@ -100,7 +105,10 @@ bnd AS (
          8000000.0 - CAST(region AS DOUBLE) * 280000.0
                    - CAST(floor(CAST(v // 8 AS DOUBLE) / 4.0) AS DOUBLE) * 20000.0
                    - CAST(v % 8 AS DOUBLE) * 2000.0 - s_acctbal AS y
-  FROM bnd_v),
+  FROM bnd_v
+  UNION ALL
+  SELECT CAST(s_suppkey % 16 AS INTEGER), CAST(1000000000 + s_suppkey AS INTEGER), 0, 300000.0,
+         7000000.0 - s_acctbal FROM supplier WHERE s_suppkey % 10 = 0),
 seg AS (
   SELECT a.region, a.feature_id, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS bby
   FROM bnd a JOIN bnd b
@@ -285,7 +293,7 @@ SELECT code, round(annual_mean, 6) AS annual_mean, lat, lon, zone FROM clim"""
 
 SQL["spi_series_flags"] = _with(VIEWS) + """
 SELECT zone, year, round(spi, 6) AS spi, spi <= -1.0 AS is_drought,
-       year BETWEEN 2009 AND 2018 AS is_recent
+       year BETWEEN 1997 AND 1998 AS is_recent
 FROM spi_region"""
 SQL["spi_preview"] = _with(VIEWS) + """
 SELECT zone, year, round(spi, 6) AS spi FROM spi_region ORDER BY zone, year LIMIT 5"""
@@ -297,23 +305,29 @@ SQL["normal_fit_curve"] = _with(VIEWS, _hist_sql(), _curve_sql()) + """
 SELECT zone, i, round(x, 6) AS x, round(pdf, 12) AS pdf FROM curve"""
 SQL["latitude_profile"] = _with(VIEWS) + """
 SELECT code, round(annual_mean, 6) AS annual_mean, lat, lon, zone,
-       'Zone ' || CAST(zone AS VARCHAR) AS zone_label, zone = 13 AS highlighted
+       'Zone ' || CAST(zone AS VARCHAR) AS zone_label, zone = 3 AS highlighted
 FROM clim"""
 SQL["distinct_zones"] = _with(VIEWS) + "SELECT DISTINCT zone FROM clim"
 
 SQL["utm_project"] = _with(VIEWS, GEO) + "SELECT code, round(x, 3) AS x, round(y, 3) AS y FROM pts"
 SQL["point_boundary_distance"] = _with(VIEWS, GEO) + """
-SELECT code, region, round(sqrt(d2), 3) AS dist FROM region_d2"""
+SELECT s.code, CAST(s.s_nationkey % 16 AS INTEGER) AS region, round(sqrt(d2), 3) AS dist
+FROM stn s JOIN pts p ON s.code = p.code
+LEFT JOIN region_d2 d ON d.code = s.code AND d.region = s.s_nationkey % 16"""
 SQL["nearest_region"] = _with(VIEWS, GEO) + """
 SELECT code, region, round(sqrt(d2), 3) AS dist FROM nearest_all"""
 SQL["nearest_region_first_feature"] = _with(VIEWS, GEO) + """
 SELECT code, region, round(sqrt(d2), 3) AS dist FROM nearest_first"""
-SQL["stations_per_region"] = _with(VIEWS, GEO) + """
+GEO_REPEATED = GEO.replace("FROM stn WHERE", "FROM stn_rep WHERE")
+SQL["nearest_region_repeated"] = _with(VIEWS, GEO_REPEATED) + """
+SELECT split_part(code, '#', 1) AS code, region, round(sqrt(d2), 3) AS dist FROM nearest_all"""
+SQL["stations_per_region"] = _with(VIEWS, GEO_REPEATED) + """
 SELECT region, count(*) AS stations FROM nearest_all GROUP BY region"""
 SQL["features_per_region"] = _with(VIEWS) + """
 SELECT region, count(DISTINCT feature_id) AS features FROM bnd GROUP BY region"""
 SQL["close_rings"] = _with(VIEWS) + """
-SELECT region, feature_id, seq, x, y FROM bnd
+SELECT region, feature_id, seq, x, y FROM bnd b
+WHERE 2 <= (SELECT count(*) FROM bnd c WHERE c.region = b.region AND c.feature_id = b.feature_id)
 UNION ALL
 SELECT b.region, b.feature_id, e.last + 1 AS seq, b.x, b.y
 FROM bnd b JOIN (SELECT region, feature_id, max(seq) AS last, count(*) AS n FROM bnd GROUP BY region, feature_id) e
@@ -334,6 +348,30 @@ SQL["zone_name_lookup_roundtrip"] = _with(VIEWS) + "SELECT code, zone FROM natur
 SQL["result_tsv_read"] = SQL["spi_by_region"]
 SQL["spi_series_one_zone"] = _with(VIEWS) + """
 SELECT zone, year, round(spi, 6) AS spi, spi <= -1.0 AS is_drought,
-       year BETWEEN 2009 AND 2018 AS is_recent
+       year BETWEEN 1997 AND 1998 AS is_recent
 FROM spi_region WHERE zone = 3"""
 SQL["boundary_region_filter"] = _with(VIEWS) + "SELECT region, feature_id, seq, x, y FROM bnd WHERE region = 13"
+
+SQL["natural_median"] = _with(VIEWS) + "SELECT zone, year, median FROM med_natural"
+SQL["natural_mean_std"] = _with(VIEWS) + """
+SELECT zone, round(mean, 6) AS mean, round(std, 6) AS std FROM ms_natural"""
+SQL["natural_climatology"] = _with(VIEWS) + f"""
+SELECT a.code, round(a.annual_mean, 6) AS annual_mean, s.lat, s.lon, coalesce(l.zone, 0) AS zone
+FROM (SELECT code, avg(precip) AS annual_mean FROM yearly WHERE year > 1996 GROUP BY code) a
+JOIN (SELECT {_canon('code')} AS code, lat, lon FROM stn) s ON a.code = s.code
+LEFT JOIN natural_lookup l ON a.code = l.code"""
+SQL["station_climatology_repeated"] = _with(VIEWS) + f"""
+SELECT a.code, round(a.annual_mean, 6) AS annual_mean, s.lat, s.lon, coalesce(l.zone, 0) AS zone
+FROM (SELECT code, avg(precip) AS annual_mean FROM yearly GROUP BY code) a
+JOIN (SELECT {_canon("split_part(code, '#', 1)")} AS code, lat, lon FROM stn_rep) s ON a.code = s.code
+LEFT JOIN region_lookup l ON a.code = l.code"""
+SQL["latitude_profile_labelled"] = _with(VIEWS) + """
+SELECT code, round(annual_mean, 6) AS annual_mean, lat, lon, zone,
+       CASE zone WHEN 1 THEN 'first' WHEN 3 THEN 'third' ELSE 'Zone ' || CAST(zone AS VARCHAR) END AS zone_label,
+       false AS highlighted
+FROM clim"""
+SQL["monthly_tsv_roundtrip"] = _with(VIEWS) + """
+SELECT code || '##' || CAST(year AS VARCHAR) || '##' || lpad(CAST(month AS VARCHAR), 2, '0') AS key,
+       code, year, month, days, precip FROM monthly"""
+SQL["region_table_write"] = _with(VIEWS, GEO) + f"""
+SELECT {_canon('code')} AS code, region AS zone FROM nearest_all"""

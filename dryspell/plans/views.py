@@ -27,8 +27,15 @@ VIEW_MIN_DAYS = 75             # completeness rule sized to the synthetic densit
 VIEW_NATURAL_MIN_YEAR_EXCLUSIVE = 1996  # the dates span the 1990s
 MATRIX_BLOCK = 64              # stations per matrix file (column split)
 FEATURE_VERTICES = 8           # vertices per boundary feature
+SINGLE_FROM = 1_000_000_000    # feature ids of single vertices
 VERTICES_PER_SUPPLIER = 4      # boundary vertices contributed by each supplier
 SENTINEL_ROW = 7               # l_linenumber that marks a missing observation
+OLD_ROW, OLD_BELOW = 6, 10     # such lines of a small quantity lie a century earlier
+VIEW_RECENT = (1997, 1998)     # the plots' recent period, inside the synthetic dates
+VIEW_HIGHLIGHT = 3             # zone drawn apart on the latitude profile
+VIEW_LABELS = {1: "first", 3: "third"}
+UNLISTED_EVERY = 9             # such stations are missing from the partial lookup
+REPEATED_EVERY = 4             # such stations appear twice, the second time without zeros
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,11 +85,12 @@ def station_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(s_suppkey, code, date, value) before any cleaning; line 7 is a missing day."""
+    """(s_suppkey, code, date, value) before any cleaning; line 7 is a missing day, some days lie before 1900."""
     return table(spark, sf_dir, "lineitem").selectExpr(
         "l_suppkey AS s_suppkey",
         f"{padded_code_sql('l_suppkey')} AS code",
-        "to_date(l_shipdate) AS date",
+        f"CASE WHEN l_linenumber = {OLD_ROW} AND l_quantity < {OLD_BELOW} THEN add_months(to_date(l_shipdate), -1200)"
+        " ELSE to_date(l_shipdate) END AS date",
         f"CASE WHEN l_linenumber = {SENTINEL_ROW} THEN -9999.0D ELSE l_quantity END AS value",
     )
 
@@ -114,6 +122,21 @@ def region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (F.col("s_nationkey") % REGIONS).cast("int").alias("zone"))
 
 
+def partial_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The region lookup without every UNLISTED_EVERY-th station."""
+    st = stations(spark, sf_dir).where(f"s_suppkey % {UNLISTED_EVERY} <> 0")
+    return st.select(canonical_code("code").alias("code"),
+                     (F.col("s_nationkey") % REGIONS).cast("int").alias("zone"))
+
+
+def repeated_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(code, lat, lon): the station file with some codes repeated, unpadded, at another place."""
+    st = stations(spark, sf_dir)
+    again = st.where(f"s_suppkey % {REPEATED_EVERY} = 0").selectExpr(
+        "CAST(s_suppkey AS STRING) AS code", "lat - 0.25D AS lat", "lon")
+    return st.select("code", "lat", "lon").unionByName(again)
+
+
 def natural_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(code, zone): natural zone number per station inside a latitude band."""
     return zone_lookup_from_names(natural_zones(station_file(spark, sf_dir)))
@@ -126,12 +149,16 @@ def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     has rank k div 16 inside it, so its vertices' index in the region,
     rank * VERTICES_PER_SUPPLIER + j, is dense from 0; features of
     FEATURE_VERTICES vertices and their ``seq`` follow by arithmetic (no
-    window). Vertex counts grow with the table.
+    window). Vertex counts grow with the table. Every tenth supplier also adds
+    a feature of a single vertex, which is no line.
     """
     v = (table(spark, sf_dir, "supplier")
          .selectExpr(f"CAST(s_suppkey % {REGIONS} AS INT) AS region", "s_suppkey div 16 AS _rank", "s_acctbal",
                      f"explode(sequence(0, {VERTICES_PER_SUPPLIER - 1})) AS _j")
          .selectExpr("region", f"_rank * {VERTICES_PER_SUPPLIER} + _j AS _v", "s_acctbal"))
+    single = table(spark, sf_dir, "supplier").where("s_suppkey % 10 = 0").selectExpr(
+        f"CAST(s_suppkey % {REGIONS} AS INT) AS region", f"CAST({SINGLE_FROM} + s_suppkey AS INT) AS feature_id",
+        "0 AS seq", "300000.0D AS x", "7000000.0D - s_acctbal AS y")
     return v.selectExpr(
         "region",
         f"CAST(_v div {FEATURE_VERTICES} AS INT) AS feature_id",
@@ -140,7 +167,7 @@ def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
         f" + (CAST(_v div {FEATURE_VERTICES} AS INT) % 4) * 250000.0D AS x",
         f"8000000.0D - region * 280000.0D - floor(CAST(_v div {FEATURE_VERTICES} AS INT) / 4) * 20000.0D"
         f" - CAST(_v % {FEATURE_VERTICES} AS INT) * 2000.0D - s_acctbal AS y",
-    )
+    ).unionByName(single)
 
 
 def matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

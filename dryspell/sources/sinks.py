@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from dryspell.functions.codes import composite_key
 
@@ -16,21 +17,28 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists",
     writer.parquet(path)
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists",
-              single_file: bool = False, header: bool = False) -> None:
-    """Tab-separated text, one part file per task.
+def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists", header: bool = False) -> None:
+    """Tab-separated text, one part file per task."""
+    df.write.mode(mode).option("sep", "\t").option("header", header).csv(path)
 
-    ``single_file`` coalesces to one task; only for small result tables.
-    """
-    out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("sep", "\t").option("header", header).csv(path)
+
+def _text_dates(df: DataFrame) -> DataFrame:
+    """Month and day as two digits, as the reference's text carries them."""
+    for c in ("month", "day"):
+        if c in df.columns:
+            df = df.withColumn(c, F.lpad(F.col(c).cast("string"), 2, "0"))
+    return df
+
+
+def write_daily_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Reference text layout: ``code<TAB>year<TAB>month<TAB>day<TAB>precip``."""
+    write_tsv(_text_dates(df.select("code", "year", "month", "day", "precip")), path, mode=mode)
 
 
 def write_keyed_tsv(df: DataFrame, path: str, key_cols: list[str], value_cols: list[str],
-                    mode: str = "errorifexists", single_file: bool = False) -> None:
+                    mode: str = "errorifexists") -> None:
     """Reference text layout: ``code##year[##month]<TAB>days<TAB>precip``."""
-    write_tsv(df.select(composite_key(*key_cols).alias("key"), *value_cols),
-              path, mode=mode, single_file=single_file)
+    write_tsv(_text_dates(df).select(composite_key(*key_cols).alias("key"), *value_cols), path, mode=mode)
 
 
 def write_partitioned(df: DataFrame, path: str, by: str = "region",

@@ -80,14 +80,15 @@ def test_job_chain_in_reference_text_formats(spark, tmp_dir):
             f.write(",".join([label] + [str(float(i + k)) for k in range(len(STATIONS))]) + "\n")
     daily = os.path.join(tmp_dir, "daily-tsv")
     jobs.preprocess(spark, mpath, daily, fmt="tsv")
-    assert spark.read.text(daily).count() == 3 * len(days)
+    text = sorted(r.value for r in spark.read.text(daily).collect())
+    assert len(text) == 3 * len(days) and text[0] == "101\t2003\t02\t01\t0.0"
     yearly = os.path.join(tmp_dir, "yearly-tsv")
     jobs.yearly(spark, daily, yearly, min_days=5, fmt="tsv")
     lines = sorted(r.value for r in spark.read.text(yearly).collect())
     assert lines == ["101##2003\t5\t10.0", "102##2003\t5\t15.0", "201##2003\t5\t20.0"]
     monthly = os.path.join(tmp_dir, "monthly-tsv")
     jobs.monthly(spark, daily, monthly, fmt="tsv")
-    assert sorted(r.value for r in spark.read.text(monthly).collect())[0] == "101##2003##2\t5\t10.0"
+    assert sorted(r.value for r in spark.read.text(monthly).collect())[0] == "101##2003##02\t5\t10.0"
 
 
 def test_daily_table_columns_in_schema_order(spark, tmp_dir):
@@ -131,3 +132,18 @@ def test_preprocess_reuses_a_header_table(spark, tmp_dir):
     ra = sorted(tuple(r) for r in readers.read_daily(spark, a).collect())
     rb = sorted(tuple(r) for r in readers.read_daily(spark, b).collect())
     assert ra == rb == [("101", 2007, 1, 1, 1.0), ("102", 2007, 1, 1, 1.0), ("201", 2007, 1, 1, 1.0)]
+
+
+def test_preprocess_does_not_scan_the_text_for_heads(spark, tmp_dir):
+    """Heads come from each file's start: a file is read to its end once."""
+    from dryspell.sources.readers import read_matrix_heads
+    mpath = os.path.join(tmp_dir, "m.txt")
+    with open(mpath, "w") as f:
+        for i in range(15):
+            f.write(f"field{i},x\n")
+        for i in range(200_000):
+            f.write("2000-01-01,1\n")
+    heads = read_matrix_heads(spark, [mpath])
+    assert [r.value for r in heads.orderBy("field").collect()] == [f"field{i},x" for i in range(15)]
+    plan = spark.read.text(mpath).limit(15)._jdf.queryExecution().executedPlan().toString()
+    assert "CollectLimit" in plan

@@ -94,8 +94,8 @@ def test_statistics_golden(spark):
     assert spi[(3, 2000)] == pytest.approx(-0.561951, abs=1e-6)
 
 
-@pytest.mark.parametrize("buckets,accuracy", [(256, 10000), (4, 10), (2, 1)])
-def test_exact_median_matches_python(spark, buckets, accuracy):
+@pytest.mark.parametrize("max_ranked,accuracy", [(1_000_000, 10000), (4, 10), (2, 1)])
+def test_exact_median_matches_python(spark, max_ranked, accuracy):
     rnd = random.Random(7)
     rows = []
     for g in range(6):
@@ -106,7 +106,7 @@ def test_exact_median_matches_python(spark, buckets, accuracy):
             rows.append((g, v))
     rows += [(99, 7.0)] * 500 + [(99, 1.0), (99, 2.0)]  # one hot duplicated value
     df = spark.createDataFrame(rows, "g int, v double")
-    got = {r.g: r.median for r in exact_median(df, ["g"], "v", buckets=buckets, accuracy=accuracy).collect()}
+    got = {r.g: r.median for r in exact_median(df, ["g"], "v", max_ranked=max_ranked, accuracy=accuracy).collect()}
     want = {}
     for g, v in rows:
         want.setdefault(g, []).append(v)
@@ -190,9 +190,10 @@ def test_nearest_region_golden(spark, cell):
     assert allf == {"a": (1, 1.0), "b": (1, 2.0), "c": (0, 5.0)}
     first = {r.code: (r.region, r.dist) for r in N.nearest_region(pts, bnd, features="first", cell_size=cell).collect()}
     assert first == {"a": (0, 2.0), "b": (0, 5.0), "c": (0, 5.0)}
-    per = {(r.code, r.region): r.dist for r in N.distance_to_regions(pts, bnd, cell_size=cell).collect()}
-    assert per == {("a", 0): 2.0, ("a", 1): 1.0, ("b", 0): 5.0, ("b", 1): 2.0,
-                   ("c", 0): 5.0, ("c", 1): pytest.approx(52 ** 0.5)}
+    own = pts.join(spark.createDataFrame([(0,), (1,), (7,)], "region int"))
+    per = {(r.code, r.region): r.dist for r in N.distance_to_own_region(own, bnd, cell_size=cell).collect()}
+    assert per == {("a", 0): 2.0, ("a", 1): 1.0, ("b", 0): 5.0, ("b", 1): 2.0, ("c", 0): 5.0,
+                   ("c", 1): pytest.approx(52 ** 0.5), ("a", 7): None, ("b", 7): None, ("c", 7): None}
 
 
 def test_nearest_matches_brute_force(spark):
@@ -240,7 +241,8 @@ def test_nearest_matches_brute_force(spark):
                 d = d2(px, py, vs[s], vs[s + 1]) ** 0.5
                 want_per[(code, r)] = min(d, want_per.get((code, r), d))
     for cell in (None, 3.0):
-        per = {(r.code, r.region): r.dist for r in N.distance_to_regions(pdf, bnd, cell_size=cell).collect()}
+        own = pdf.join(bnd.select("region").distinct())
+        per = {(r.code, r.region): r.dist for r in N.distance_to_own_region(own, bnd, cell_size=cell).collect()}
         assert per.keys() == want_per.keys()
         for k, v in want_per.items():
             assert per[k] == pytest.approx(v)
@@ -320,25 +322,24 @@ def test_malformed_value_fails_the_job(spark):
         daily_from_matrix(_matrix_lines(spark, st, {"2000-01-01": ["abc"]})).collect()
 
 
-def test_median_buckets_bound_a_hot_group(spark):
-    """A group with most of the rows: every bucket that needs ranking stays small."""
-    from dryspell.operators.median import value_buckets
-    rnd = random.Random(5)
-    hot = [(0, rnd.random()) for _ in range(20000)] + [(0, 0.5)] * 10000
-    cold = [(g, rnd.random()) for g in range(1, 6) for _ in range(200)]
-    df = spark.createDataFrame(hot + cold, "g int, v double").withColumnRenamed("v", "_v")
-    buckets, accuracy = 64, 1000
-    _, chunks = value_buckets(df, ["g"], buckets, accuracy)
-    rows = chunks.where(F.col("g") == 0).collect()
-    n = 30000
-    assert sum(r._c for r in rows) == n
-    ranked = [r._c for r in rows if r._lo < r._hi]
-    assert max(ranked) <= n / buckets + 2 * n / accuracy + 1
-    # the repeated value forms its own bucket, answered without ranking
-    assert any(r._lo == r._hi == 0.5 and r._c >= 10000 for r in rows)
-    got = exact_median(df.withColumnRenamed("_v", "v"), ["g"], "v", buckets=buckets, accuracy=accuracy)
-    want = statistics.median([v for g, v in hot])
-    assert {r.g: r.median for r in got.collect()}[0] == want
+@pytest.mark.parametrize("n", [2_000, 200_000])
+def test_ranked_rows_of_a_hot_group_stay_bounded(spark, monkeypatch, n):
+    """A group a hundred times larger sorts no more rows, and repeated values are never sorted."""
+    from dryspell.operators import median as M
+    sizes = []
+    real = M._ranked
+
+    def seen(v, parts, keys):
+        sizes.extend(r["_size"] for r in parts.select("_size").collect())
+        return real(v, parts, keys)
+
+    monkeypatch.setattr(M, "_ranked", seen)
+    hot = spark.range(n).selectExpr("0 AS g", "CASE WHEN id % 3 = 0 THEN 0.5D ELSE pmod(hash(id), 1000003) / 1000003.0D END AS v")
+    df = hot.unionByName(spark.range(900).selectExpr("CAST(1 + id % 5 AS INT) AS g", "CAST(id * id % 917 AS DOUBLE) AS v"))
+    got = {r.g: r.median for r in M.exact_median(df, ["g"], "v", accuracy=50, max_ranked=100).collect()}
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    assert got == want
+    assert all(s <= 100 for s in sizes)
 
 
 def test_zscores_of_a_zone_have_mean_zero_and_unit_std(spark):
@@ -374,12 +375,11 @@ def test_shuffle_fallbacks_give_the_same_answers(spark, monkeypatch):
     def no_broadcast(df, max_rows=0, max_bytes=0):
         return never_small(df)[0]
 
-    monkeypatch.setattr(M, "size_checked", never_small)
     monkeypatch.setattr(M, "broadcast_checked", no_broadcast)
     monkeypatch.setattr(RP, "size_checked", never_small)
     monkeypatch.setattr(STM, "broadcast_checked", no_broadcast)
     yz = _yz(spark)
-    med = {(r.zone, r.year): r.median for r in ST.median_by_zone_year(yz, buckets=2, accuracy=1).collect()}
+    med = {(r.zone, r.year): r.median for r in ST.median_by_zone_year(yz, max_ranked=1, accuracy=1).collect()}
     assert med == {(1, 2000): 200.0, (1, 2001): 300.0, (2, 2000): 50.0, (3, 2000): 20.0}
     df = spark.createDataFrame([(1, float(v)) for v in range(5)], "zone int, precip double")
     assert [r["count"] for r in R.zone_histogram(df, bins=4).orderBy("bin").collect()] == [1, 1, 1, 2]
@@ -397,11 +397,96 @@ def test_latitude_profile_labels(spark):
     assert [r.zone for r in R.distinct_zones(clim).collect()] == [3, 9]
 
 
-def test_melt_with_a_precomputed_header_table(spark):
-    from dryspell.operators.ingest import matrix_stations
+def test_melt_with_precomputed_heads(spark):
+    from dryspell.operators.ingest import matrix_heads
     st = [dict(code="0042", institution="DGA", lat=-30.0, lon=-70.0)]
     lines = _matrix_lines(spark, st, {"2001-01-01": ["2.5"], "2001-01-02": ["-9999"]})
-    header = matrix_stations(lines)
-    days_only = lines.where(~F.col("value").startswith("code") & F.col("value").rlike(r"^\d{4}-"))
-    got = [tuple(r) for r in daily_from_matrix(days_only, stations=header).collect()]
+    heads = matrix_heads(lines)
+    days_only = lines.where(F.col("value").rlike(r"^\d{4}-"))
+    got = [tuple(r) for r in daily_from_matrix(days_only, heads=heads).collect()]
     assert got == [("42", 2001, 1, 1, 2.5)]
+    other = _matrix_lines(spark, st, {"2001-01-01": ["2.5"]}, block="another")
+    with pytest.raises(Exception, match="no header for the matrix file"):
+        daily_from_matrix(lines.unionByName(other), heads=heads).collect()
+
+
+ONE = [dict(code="1", institution="DGA", lat=-30.0, lon=-70.0)]
+
+
+@pytest.mark.parametrize("label", ["2000-1-2", "2000/01/03", " 2000-01-04", "note"])
+def test_melt_fails_on_a_line_that_is_no_day(spark, label):
+    lines = _matrix_lines(spark, ONE, {"2000-01-01": ["1"], label: ["2"]})
+    with pytest.raises(Exception, match="neither a day nor metadata"):
+        daily_from_matrix(lines).collect()
+
+
+def test_melt_fails_on_a_head_that_is_short_or_ragged(spark):
+    whole = _matrix_lines(spark, ONE, {"2000-01-01": ["1"]})
+    with pytest.raises(Exception, match="does not begin with"):
+        daily_from_matrix(whole.where("line_no <> 3")).collect()
+    ragged = whole.withColumn("value", F.when(F.col("line_no") == 3, F.concat("value", F.lit(",y"))).otherwise(F.col("value")))
+    with pytest.raises(Exception, match="does not begin with"):
+        daily_from_matrix(ragged).collect()
+
+
+def test_melt_fails_on_a_day_line_of_another_width(spark):
+    with pytest.raises(Exception, match="another width"):
+        daily_from_matrix(_matrix_lines(spark, ONE, {"2000-01-01": ["1", "2"]})).collect()
+
+
+@pytest.mark.parametrize("value", ["NaN", "Infinity", "-inf", ""])
+def test_melt_fails_on_values_that_are_no_finite_numbers(spark, value):
+    with pytest.raises(Exception):
+        daily_from_matrix(_matrix_lines(spark, ONE, {"2000-01-01": [value]})).collect()
+
+
+def test_melt_never_parses_cells_of_dropped_stations(spark):
+    st = [*ONE, dict(code="2", institution="GHCN", lat=-30.0, lon=-70.0),
+          dict(code="3", institution="DGA", lat=-10.0, lon=-70.0)]
+    lines = _matrix_lines(spark, st, {"2000-01-01": ["1", "", "abc"], "": ["", "", ""]})
+    lines = lines.where("value <> ',,,'").unionByName(spark.createDataFrame([("f1", 300, "  ")], lines.schema))
+    assert [(r.code, r.precip) for r in daily_from_matrix(lines).collect()] == [("1", 1.0)]
+
+
+def test_every_station_row_counts(spark):
+    y = spark.createDataFrame([("1", 2000, 5.0)], "code string, year int, precip double")
+    st = spark.createDataFrame([("1", -30.0, -70.0), ("0001", -31.0, -71.0), ("1", -30.0, -70.0)],
+                               "code string, lat double, lon double")
+    lk = spark.createDataFrame([("1", 7)], "code string, zone int")
+    got = sorted(tuple(r) for r in ST.station_climatology(y, st, lk).collect())
+    assert got == [("1", 5.0, -31.0, -71.0, 7), ("1", 5.0, -30.0, -70.0, 7), ("1", 5.0, -30.0, -70.0, 7)]
+    pts = spark.createDataFrame([("A", 1.0, 0.0), ("A", 99.0, 0.0), ("A", 99.0, 0.0)], "code string, x double, y double")
+    bnd = spark.createDataFrame([(0, 0, 0, 0.0, -5.0), (0, 0, 1, 0.0, 5.0), (1, 0, 0, 100.0, -5.0), (1, 0, 1, 100.0, 5.0)],
+                                "region int, feature_id int, seq int, x double, y double")
+    assigned = N.nearest_region(pts, bnd)
+    assert sorted((r.code, r.region) for r in assigned.collect()) == [("A", 0), ("A", 1), ("A", 1)]
+    assert sorted(tuple(r) for r in N.stations_per_region(assigned).collect()) == [(0, 1), (1, 2)]
+
+
+def test_top_cells_are_not_a_shuffle_join(spark):
+    """With the optimizer's own broadcasts off, points still meet the top cells by broadcast."""
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pts = spark.range(50).selectExpr("CAST(id AS STRING) AS code", "CAST(id AS DOUBLE) AS x", "CAST(id % 7 AS DOUBLE) AS y")
+        plan = N.nearest_region(pts, _fixture_boundaries(spark), cell_size=5.0)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert "BroadcastHashJoin [cx" in plan
+    assert "SortMergeJoin [_pc" not in plan
+
+
+def test_release_after_is_scoped(spark):
+    from dryspell.operators._exec import release_after, size_checked
+    outer, _ = size_checked(spark.range(5).selectExpr("id AS a"))
+    with release_after():
+        inner, _ = size_checked(spark.range(6).selectExpr("id AS b"))
+    assert not inner.storageLevel.useMemory and outer.storageLevel.useMemory
+
+
+def test_unreadable_size_does_not_fit(spark, monkeypatch):
+    from dryspell.operators import _exec
+    monkeypatch.setattr(_exec, "_cached_bytes", lambda df: None)
+    assert not _exec.size_checked(spark.range(3))[1]

@@ -63,10 +63,10 @@ def test_exact_median_matches_statistics_median(spark, data):
                            st.floats(-1e6, 1e6, allow_nan=False, allow_infinity=False)),
                  min_size=1, max_size=40),
         min_size=1, max_size=4))
-    buckets = data.draw(st.sampled_from([2, 3, 8, 256]))
+    max_ranked = data.draw(st.sampled_from([1, 3, 1000]))
     accuracy = data.draw(st.sampled_from([1, 5, 100, 10000]))
     rows = [(g, v) for g, vals in enumerate(groups) for v in vals]
     df = spark.createDataFrame(rows, "g int, v double")
-    got = {r.g: r.median for r in exact_median(df, ["g"], "v", buckets=buckets, accuracy=accuracy).collect()}
+    got = {r.g: r.median for r in exact_median(df, ["g"], "v", max_ranked=max_ranked, accuracy=accuracy).collect()}
     want = {g: statistics.median(vals) for g, vals in enumerate(groups)}
     assert got == want  # exact: both average the two middle values as (a + b) / 2

@@ -54,7 +54,7 @@ def test_keyed_tsv_roundtrip(spark, tmp_dir):
     y = spark.createDataFrame([("12", 2000, 350, 800.5), ("A7", 2001, 346, 0.0)],
                               "code string, year int, days long, precip double")
     p = os.path.join(tmp_dir, "yearly")
-    sinks.write_keyed_tsv(y, p, ["code", "year"], ["days", "precip"], single_file=True)
+    sinks.write_keyed_tsv(y, p, ["code", "year"], ["days", "precip"])
     text = spark.read.text(p).collect()
     assert sorted(r.value for r in text) == ["12##2000\t350\t800.5", "A7##2001\t346\t0.0"]
     back = readers.read_yearly_keyed(spark, p)
