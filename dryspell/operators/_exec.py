@@ -20,28 +20,37 @@ MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-# Tables persisted by size checks, in the order of the checks. Each open
-# release_after block has its own list, per thread, so a stream's batch or a job
-# releases what it persisted itself and nothing that another query reads.
+# Tables persisted by size checks and written by materialize. Each open
+# release_after block has its own lists, per thread, so a stream's batch or a job
+# releases what it made itself and nothing that another query reads.
 _HELD = threading.local()
 
 
 def _lists() -> list[list[DataFrame]]:
     if not hasattr(_HELD, "lists"):
-        _HELD.lists = [[]]
+        _HELD.lists, _HELD.written = [[]], []
     return _HELD.lists
 
 
 @contextmanager
 def release_after():
-    """Unpersist, at the end of the block, the tables that size checks in it persisted."""
+    """At the end of the block, unpersist the tables that size checks in it persisted
+    and delete those that :func:`materialize` wrote in it.
+
+    For jobs, which have written their results by then; a query that returns a
+    lazy DataFrame must not be wrapped.
+    """
     lists = _lists()
     lists.append([])
+    _HELD.written.append([])
     try:
         yield
     finally:
         for held in lists.pop():
             held.unpersist()
+        for spark, path in _HELD.written.pop():
+            jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
 def release_checked() -> None:
@@ -99,6 +108,9 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _lists()
+    if _HELD.written:
+        _HELD.written[-1].append((spark, path))
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return spark.read.parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dryspell import schemas as S
 from dryspell.operators import accumulate, nearest, stats
-from dryspell.operators._exec import materialize, release_after, release_checked
+from dryspell.operators._exec import materialize, release_after
 from dryspell.operators.ingest import daily_from_matrix, matrix_heads
 from dryspell.operators.zones import natural_zones, zone_lookup_from_names
 from dryspell.sources import readers, sinks
@@ -41,24 +41,24 @@ def preprocess(spark: SparkSession, matrix_path: str, out: str, *, fmt: str = "p
     the same files may pass them as ``header_in``. A file that they lack fails
     the job.
     """
-    lines = readers.read_matrix_lines(spark, matrix_path)
-    heads = None
-    if header_in:
-        heads = spark.read.parquet(header_in)
-    elif header_out:
-        matrix_heads(lines).write.mode(mode).parquet(header_out)
-        heads = spark.read.parquet(header_out)
-    daily = daily_from_matrix(lines, heads=heads)
-    if fmt == "parquet":
-        # Matrix lines are date-ordered, so a task holds few years; sorting
-        # inside each task by (year, code) keeps files per task and year few
-        # and gives row groups narrow code ranges for later pushdown.
-        daily = daily.sortWithinPartitions("year", "code")
-    if fmt == "parquet":
-        sinks.write_table(daily, out, mode=mode, partition_by="year")
-    else:
-        sinks.write_daily_tsv(daily, out, mode=mode)
-    release_checked()
+    with release_after():
+        lines = readers.read_matrix_lines(spark, matrix_path)
+        heads = None
+        if header_in:
+            heads = spark.read.parquet(header_in)
+        elif header_out:
+            matrix_heads(lines).write.mode(mode).parquet(header_out)
+            heads = spark.read.parquet(header_out)
+        daily = daily_from_matrix(lines, heads=heads)
+        if fmt == "parquet":
+            # Matrix lines are date-ordered, so a task holds few years; sorting
+            # inside each task by (year, code) keeps files per task and year few
+            # and gives row groups narrow code ranges for later pushdown.
+            daily = daily.sortWithinPartitions("year", "code")
+        if fmt == "parquet":
+            sinks.write_table(daily, out, mode=mode, partition_by="year")
+        else:
+            sinks.write_daily_tsv(daily, out, mode=mode)
 
 
 def yearly(spark: SparkSession, daily_path: str, out: str, *, min_days: int = S.MIN_DAYS,
@@ -93,11 +93,11 @@ def region_table(spark: SparkSession, stations_path: str, boundaries_path: str,
                  features: str = "all", utm_zone: int | None = S.UTM_ZONE,
                  boundaries_fmt: str = "parquet", mode: str = "errorifexists") -> None:
     """Stage 3b: station -> nearest administrative region, written as ``code,region``."""
-    pts = nearest.project_stations(readers.read_stations(spark, stations_path), utm_zone)
-    bnd = readers.read_boundaries(spark, boundaries_path, fmt=boundaries_fmt)
-    assigned = nearest.nearest_region(pts, bnd, features=features)
-    assigned.select("code", "region").write.mode(mode).csv(out)
-    release_checked()
+    with release_after():
+        pts = nearest.project_stations(readers.read_stations(spark, stations_path), utm_zone)
+        bnd = readers.read_boundaries(spark, boundaries_path, fmt=boundaries_fmt)
+        assigned = nearest.nearest_region(pts, bnd, features=features)
+        assigned.select("code", "region").write.mode(mode).csv(out)
 
 
 def zone_statistics(spark: SparkSession, yearly_path: str, stations_path: str, out_dir: str, *,

@@ -3,6 +3,7 @@
 import os
 
 from dryspell.plans import jobs
+from dryspell.session import ensure_checkpoint_dir
 from dryspell.sources import readers
 
 META = ["code", "institution", "source", "name", "altitude", "lat", "lon", "basin_code", "basin_name",
@@ -11,6 +12,11 @@ STATIONS = [("0101", "DGA", -30.0, -70.0), ("0102", "DMC", -30.5, -70.5), ("0201
             ("0999", "GHCN", -35.0, -71.0)]
 
 
+def scratch_tables(spark):
+    folder = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "tables")
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
 def test_job_chain(spark, tmp_dir):
     days = [f"2001-01-{d:02d}" for d in range(1, 11)] + [f"2002-01-{d:02d}" for d in range(1, 11)]
     mpath = os.path.join(tmp_dir, "matrix.txt")
@@ -42,12 +48,15 @@ def test_job_chain(spark, tmp_dir):
     jobs.region_table(spark, spath, bpath, regions, boundaries_fmt="csv")
     got = dict((r.code, r.zone) for r in readers.read_zone_lookup(spark, regions).collect())
     assert got == {"101": 1, "102": 1, "201": 2, "999": 1}
+    scratch = scratch_tables(spark)
     out = os.path.join(tmp_dir, "stats")
     jobs.zone_statistics(spark, yearly, spath, out, lookup_path=regions)
     spi = spark.read.parquet(os.path.join(out, "yearly-spi-by-zone")).collect()
     assert sorted((r.zone, r.year) for r in spi) == [(1, 2001), (1, 2002), (2, 2001), (2, 2002)]
     clim = spark.read.parquet(os.path.join(out, "mean-yearly-precip-lat-lon-zone")).collect()
     assert sorted(r.code for r in clim) == ["101", "102", "201"]
+    jobs.region_table(spark, spath, bpath, regions, boundaries_fmt="csv", mode="overwrite")
+    assert scratch_tables(spark) == scratch      # jobs leave no intermediate tables
     nz = os.path.join(tmp_dir, "natural")
     jobs.natural_zone_table(spark, spath, nz)
     out2 = os.path.join(tmp_dir, "stats-natural")
