@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 from dryspell import schemas as S
 
 
-def _c(x: Column | str) -> Column:
-    return F.col(x) if isinstance(x, str) else x
-
-
 def _series_constants(a: float = S.WGS84_A, inv_f: float = S.WGS84_INV_F):
     f = 1.0 / inv_f
     n = f / (2.0 - f)
@@ -30,8 +26,14 @@ def _series_constants(a: float = S.WGS84_A, inv_f: float = S.WGS84_INV_F):
     return big_a, alpha, c
 
 
-def _utm_sql(lat: str, lon: str, zone: int | None) -> tuple[str, str]:
-    """SQL text of the projection over column names (same operations as below)."""
+def utm_easting_northing(lat: str, lon: str, zone: int | None = S.UTM_ZONE) -> tuple[Column, Column]:
+    """(easting, northing) in metres, from column names.
+
+    ``zone`` fixes the central meridian (default 19, the boundary file's
+    projection; false northing 10,000,000 m as in a south zone). With
+    ``zone=None`` each point uses its own zone and hemisphere. One SQL
+    expression each, so building the plan costs a few JVM calls.
+    """
     big_a, alpha, c = _series_constants()
     d = lambda v: f"CAST({v!r} AS DOUBLE)"  # noqa: E731 - exact double literals
     if zone is None:
@@ -50,88 +52,26 @@ def _utm_sql(lat: str, lon: str, zone: int | None) -> tuple[str, str]:
         e_sum = f"({e_sum} + {d(aj)} * cos({2.0 * j!r}D * {xi}) * sinh({2.0 * j!r}D * {eta}))"
         n_sum = f"({n_sum} + {d(aj)} * sin({2.0 * j!r}D * {xi}) * cosh({2.0 * j!r}D * {eta}))"
     ka = d(S.UTM_K0 * big_a)
-    return (f"({d(S.UTM_FALSE_EASTING)} + {ka} * {e_sum})", f"({n0} + {ka} * {n_sum})")
+    return (F.expr(f"({d(S.UTM_FALSE_EASTING)} + {ka} * {e_sum})"), F.expr(f"({n0} + {ka} * {n_sum})"))
 
 
-def utm_easting_northing(lat: Column | str, lon: Column | str,
-                         zone: int | None = S.UTM_ZONE) -> tuple[Column, Column]:
-    """(easting, northing) in metres.
+def segment_param_sql(px: str, py: str, ax: str, ay: str, bx: str, by: str) -> str:
+    """SQL text: position u in [0, 1] of the point of segment AB closest to P.
 
-    ``zone`` fixes the central meridian (default 19, the boundary file's
-    projection; false northing 10,000,000 m as in a south zone). With
-    ``zone=None`` each point uses its own zone and hemisphere.
+    A degenerate segment (A == B) divides by NULL; ``least``/``greatest``
+    skip the NULL and clamp to 1, which is the point A itself.
     """
-    if isinstance(lat, str) and isinstance(lon, str):
-        e_sql, n_sql = _utm_sql(lat, lon, zone)
-        return F.expr(e_sql), F.expr(n_sql)
-    big_a, alpha, c = _series_constants()
-    k0 = S.UTM_K0
-    phi = F.radians(_c(lat))
-    lon_c = _c(lon)
-    if zone is None:
-        lon0 = F.floor((lon_c + 180.0) / 6.0) * 6.0 - 177.0
-        n0 = F.when(_c(lat) < 0, F.lit(S.UTM_FALSE_NORTHING_SOUTH)).otherwise(F.lit(0.0))
-    else:
-        lon0 = F.lit(6.0 * zone - 183.0)
-        n0 = F.lit(S.UTM_FALSE_NORTHING_SOUTH)
-    d = F.radians(lon_c - lon0)
-    sin_phi = F.sin(phi)
-    t = F.sinh(F.atanh(sin_phi) - F.lit(c) * F.atanh(F.lit(c) * sin_phi))
-    xi = F.atan2(t, F.cos(d))
-    eta = F.atanh(F.sin(d) / F.sqrt(1.0 + t * t))
-    e_sum = eta
-    n_sum = xi
-    for j, aj in enumerate(alpha, start=1):
-        e_sum = e_sum + F.lit(aj) * F.cos(2.0 * j * xi) * F.sinh(2.0 * j * eta)
-        n_sum = n_sum + F.lit(aj) * F.sin(2.0 * j * xi) * F.cosh(2.0 * j * eta)
-    easting = F.lit(S.UTM_FALSE_EASTING) + F.lit(k0 * big_a) * e_sum
-    northing = n0 + F.lit(k0 * big_a) * n_sum
-    return easting, northing
-
-
-def _all_names(*args) -> bool:
-    return all(isinstance(a, str) for a in args)
-
-
-def segment_param_sql(px: str, py: str, ax: str, ay: str, bx: str, by: str) -> str:
-    """SQL text of :func:`segment_param` over column names."""
     dx, dy = f"({bx} - {ax})", f"({by} - {ay})"
     return (f"greatest(0.0D, least(1.0D, (({px} - {ax}) * {dx} + ({py} - {ay}) * {dy})"
             f" / nullif({dx} * {dx} + {dy} * {dy}, 0.0D)))")
 
 
 def distance_sq_at_sql(px: str, py: str, ax: str, ay: str, bx: str, by: str, u: str) -> str:
-    """SQL text of :func:`distance_sq_at` over column names."""
+    """SQL text: squared distance from P to the point A + u (B - A)."""
     qx, qy = f"({ax} + {u} * ({bx} - {ax}))", f"({ay} + {u} * ({by} - {ay}))"
     return f"(({px} - {qx}) * ({px} - {qx}) + ({py} - {qy}) * ({py} - {qy}))"
 
 
-def segment_param(px, py, ax, ay, bx, by) -> Column:
-    """Position u in [0, 1] of the point of segment AB closest to P.
-
-    A degenerate segment (A == B) divides by NULL; ``least``/``greatest``
-    skip the NULL and clamp to 1, which is the point A itself.
-    """
-    if _all_names(px, py, ax, ay, bx, by):
-        return F.expr(segment_param_sql(px, py, ax, ay, bx, by))
-    px, py, ax, ay, bx, by = map(_c, (px, py, ax, ay, bx, by))
-    dx = bx - ax
-    dy = by - ay
-    len2 = dx * dx + dy * dy
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * dx + (py - ay) * dy)
-                                          / F.nullif(len2, F.lit(0.0))))
-
-
-def distance_sq_at(px, py, ax, ay, bx, by, u) -> Column:
-    """Squared distance from P to the point A + u (B - A)."""
-    if _all_names(px, py, ax, ay, bx, by, u):
-        return F.expr(distance_sq_at_sql(px, py, ax, ay, bx, by, u))
-    px, py, ax, ay, bx, by, u = map(_c, (px, py, ax, ay, bx, by, u))
-    qx = ax + u * (bx - ax)
-    qy = ay + u * (by - ay)
-    return (px - qx) * (px - qx) + (py - qy) * (py - qy)
-
-
-def segment_distance_sq(px, py, ax, ay, bx, by) -> Column:
+def segment_distance_sq(px: str, py: str, ax: str, ay: str, bx: str, by: str) -> Column:
     """Squared distance from point P to segment AB (one expression)."""
-    return distance_sq_at(px, py, ax, ay, bx, by, segment_param(px, py, ax, ay, bx, by))
+    return F.expr(distance_sq_at_sql(px, py, ax, ay, bx, by, segment_param_sql(px, py, ax, ay, bx, by)))

@@ -8,24 +8,17 @@ from pyspark.sql import functions as F
 from dryspell import schemas as S
 
 
-def natural_zone_name(lat: Column | str, bands=S.NATURAL_BANDS) -> Column:
-    """Latitude -> natural-zone name; NULL outside every band.
+def natural_zone_name(lat: str, bands=S.NATURAL_BANDS) -> Column:
+    """Latitude column -> natural-zone name; NULL outside every band.
 
     Each band is (name, upper, lower, lower_inclusive): upper bound inclusive,
     lower bound exclusive unless flagged.
     """
-    if isinstance(lat, str):
-        whens = []
-        for name, upper, lower, lower_incl in bands:
-            low = f"{lat} >= {lower!r}D" if lower_incl else f"{lat} > {lower!r}D"
-            whens.append(f"WHEN {lat} <= {upper!r}D AND {low} THEN '{name}'")
-        return F.expr("CASE " + " ".join(whens) + " END")
-    c = lat
-    expr = None
+    whens = []
     for name, upper, lower, lower_incl in bands:
-        cond = (c <= F.lit(upper)) & ((c >= F.lit(lower)) if lower_incl else (c > F.lit(lower)))
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    return expr
+        low = f"{lat} >= {lower!r}D" if lower_incl else f"{lat} > {lower!r}D"
+        whens.append(f"WHEN {lat} <= {upper!r}D AND {low} THEN '{name}'")
+    return F.expr("CASE " + " ".join(whens) + " END")
 
 
 def _number_map(numbers: dict) -> Column:

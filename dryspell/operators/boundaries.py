@@ -11,13 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dryspell.operators._exec import broadcast_checked
+
 FEATURE = ["region", "feature_id"]
 
 
 def first_features(boundaries: DataFrame) -> DataFrame:
     """Only the lowest feature_id of each region (the reference measures just that one)."""
     first = boundaries.groupBy("region").agg(F.min("feature_id").alias("feature_id"))
-    return boundaries.join(first, FEATURE, "left_semi")
+    return boundaries.join(broadcast_checked(first), FEATURE, "left_semi")
 
 
 def segments(boundaries: DataFrame, features: str = "all") -> DataFrame:
@@ -42,7 +44,8 @@ def close_rings(boundaries: DataFrame) -> DataFrame:
             .where(F.col("_n") >= 2))
     closing = ends.select(*FEATURE, (F.col("_last") + 1).alias("seq"),
                           F.col("_first.x").alias("x"), F.col("_first.y").alias("y"))
-    kept = boundaries.join(ends.select(*FEATURE), FEATURE, "left_semi")
+    # One row per feature: broadcast where it fits, so a feature's vertices stay spread.
+    kept = boundaries.join(broadcast_checked(ends.select(*FEATURE)), FEATURE, "left_semi")
     return kept.select(*FEATURE, "seq", "x", "y").unionByName(closing)
 
 

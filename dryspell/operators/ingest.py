@@ -100,27 +100,19 @@ def _day_lines(lines: DataFrame, rules: DataFrame) -> DataFrame:
     return lines.join(rules, "block", "left").where(keep).select("block", "value")
 
 
-def station_filter(institution, lat, lon,
+def station_filter(institution: str, lat: str, lon: str,
                    exclude_institutions=S.EXCLUDED_INSTITUTIONS, bbox=S.BBOX):
-    """Keep stations not from an excluded institution and strictly inside the box.
+    """Keep stations not from an excluded institution and strictly inside the box (column names).
 
     The institution test comes first and short-circuits, so coordinates of
-    excluded stations are never parsed (as in the reference). Column names
-    build one SQL expression; Columns build the same test operator by operator.
+    excluded stations are never parsed (as in the reference).
     """
-    if all(isinstance(c, str) for c in (institution, lat, lon)):
-        excluded = ", ".join("'" + i.replace("'", "''") + "'" for i in exclude_institutions)
-        la, lo = f"CAST({lat} AS DOUBLE)", f"CAST({lon} AS DOUBLE)"
-        return F.expr(
-            f"NOT coalesce({institution} IN ({excluded}), false)"
-            f" AND ({lo} > {bbox['lon_min']!r}D AND {lo} < {bbox['lon_max']!r}D"
-            f" AND {la} > {bbox['lat_min']!r}D AND {la} < {bbox['lat_max']!r}D)")
-    inst_ok = ~F.coalesce(institution.isin(*exclude_institutions), F.lit(False))
-    lat_d = lat.cast("double")
-    lon_d = lon.cast("double")
-    in_box = ((lon_d > F.lit(bbox["lon_min"])) & (lon_d < F.lit(bbox["lon_max"]))
-              & (lat_d > F.lit(bbox["lat_min"])) & (lat_d < F.lit(bbox["lat_max"])))
-    return inst_ok & in_box
+    excluded = ", ".join("'" + i.replace("'", "''") + "'" for i in exclude_institutions)
+    la, lo = f"CAST({lat} AS DOUBLE)", f"CAST({lon} AS DOUBLE)"
+    return F.expr(
+        f"NOT coalesce({institution} IN ({excluded}), false)"
+        f" AND ({lo} > {bbox['lon_min']!r}D AND {lo} < {bbox['lon_max']!r}D"
+        f" AND {la} > {bbox['lat_min']!r}D AND {la} < {bbox['lat_max']!r}D)")
 
 
 def daily_from_matrix(lines: DataFrame, *, n_meta: int = S.N_META_LINES,

@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 from dryspell import schemas as S
 from dryspell.functions.geo import (
-    distance_sq_at, distance_sq_at_sql, segment_param, segment_param_sql, utm_easting_northing,
+    distance_sq_at_sql, segment_param_sql, utm_easting_northing,
 )
 from dryspell.operators._exec import broadcast_checked, materialize
 from dryspell.operators.boundaries import segments as boundary_segments
@@ -185,8 +185,8 @@ def nearest_by_grid(points: DataFrame, segs: DataFrame, *, point_keys: list[str]
     cand = (frontier.select(*keys, "_px", "_py", "cx", "cy")
             .join(_pieces(sg, size[levels]), [*group_cols, "cx", "cy"])
             .select(*keys, "_tag", "_px", "_py", "ax", "ay", "bx", "by",
-                    segment_param("_px", "_py", "ax", "ay", "bx", "by").alias("_u")))
-    d2 = distance_sq_at("_px", "_py", "ax", "ay", "bx", "by", "_u")
+                    F.expr(segment_param_sql("_px", "_py", "ax", "ay", "bx", "by")).alias("_u")))
+    d2 = F.expr(distance_sq_at_sql("_px", "_py", "ax", "ay", "bx", "by", "_u"))
     # Hash-aggregate min(d2) per tag first (partial aggregation, no sort);
     # the (d2, tag) tie-break then runs on at most one row per tag.
     per_tag = (cand.select(*keys, "_tag", d2.alias("d2"))

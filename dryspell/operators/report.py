@@ -11,12 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dryspell import schemas as S
-from dryspell.functions.values import is_drought, is_recent
+from dryspell.functions.values import is_drought, is_recent, normal_pdf
 from dryspell.operators._exec import materialize, size_checked
 
-_SQRT_2PI = 2.5066282746310002  # sqrt(2 * pi)
-
-
 def spi_series(spi: DataFrame, zone: int | None = None, *, threshold: float = S.DROUGHT_SPI,
                recent: tuple[int, int] = S.RECENT_YEARS) -> DataFrame:
     """(zone, year, spi, is_drought, is_recent), ordered by zone and year."""
@@ -93,10 +90,7 @@ def normal_fit_curve(df: DataFrame, stats: DataFrame, *, group: str = "zone", va
                     F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i")))
     step = (F.col("_x1") - F.col("_x0")) / F.lit(float(points - 1))
     x = F.when(F.col("i") == F.lit(points - 1), F.col("_x1")).otherwise(F.col("i").cast("double") * step + F.col("_x0"))
-    sd = F.nullif(F.col("std"), F.lit(0.0))
-    z = (x - F.col("mean")) / sd
-    pdf = F.exp(-(z * z) / 2.0) / F.lit(_SQRT_2PI) / sd
-    return grid.select(group, "i", x.alias("x"), pdf.alias("pdf"))
+    return grid.withColumn("x", x).select(group, "i", "x", normal_pdf("x", "mean", "std").alias("pdf"))
 
 
 def latitude_profile(climatology: DataFrame, labels: dict | None = None,

@@ -32,5 +32,10 @@ def natural_zones_union(stations: DataFrame, bands=S.NATURAL_BANDS) -> DataFrame
 
 
 def zone_lookup_from_names(named: DataFrame) -> DataFrame:
-    """(code, zone_name) -> (code, zone) with canonical codes; unknown names -> 0."""
-    return named.select(canonical_code("code").alias("code"), zone_number("zone_name").alias("zone"))
+    """(code, zone_name) -> (code, zone) with unique canonical codes; unknown names -> 0.
+
+    A code that repeats keeps its largest zone number, so a lookup never
+    multiplies the rows it is joined to.
+    """
+    return (named.select(canonical_code("code").alias("code"), zone_number("zone_name").alias("zone"))
+            .groupBy("code").agg(F.max("zone").alias("zone")))
