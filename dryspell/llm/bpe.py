@@ -20,9 +20,11 @@ repeated rows are encoded one by one; other columns pass through untouched.
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import json
 import re
+import struct
 import unicodedata
 from collections import deque
 
@@ -43,8 +45,10 @@ PRETOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACES}\p{{L}}\p{{N}}]
 WORD_END = "</w>"
 #: Words of more symbols than this stream through the window instead of arrays.
 SHORT = 256
-#: Entries of a cache of encoded words, per task process; full caches start anew.
-CACHE = 300_000
+#: Entries of the caches of encoded runs and words and of tested pairs, per task
+#: process (about 100 MB in all). A full cache becomes the older half and is looked
+#: up once more before it goes, so frequent words stay.
+RUNS, WORDS, PAIRS = 120_000, 40_000, 300_000
 #: Symbols between two looks for stable tokens.
 EMIT_EVERY = 64
 FOREVER = 1 << 60
@@ -99,11 +103,18 @@ class Bpe:
         self.pretoken = regex.compile(PRETOKEN)
         self.odd_space = re.compile("[\x1c-\x1f]")
         self.space = re.compile(f"[{SPACES}]+")
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.fit: dict[tuple[int, int], bool] = {}
+        self.chunks, self.old_chunks = {}, {}
+        self.words, self.old_words = {}, {}
+        self.bytes_of: list[bytes] | None = None
+        self.fit: dict[int, bool] = {}
         self.sound: dict[int, bool] = {}
         self.spine: dict[tuple[int, int], list] = {}
+        # Ends of tokens: the id where the end is itself a token that encodes to itself, else -1.
+        self.ends: dict[str, int] = {}
+        for t, i in self.ids.items():
+            for at in range(1, len(t.removesuffix(WORD_END))):
+                self.ends.setdefault(t[at:], -1)
+            self.ends[t] = i if self._alone(i) else -1
 
     # Which tokens may stand side by side.
     def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
@@ -144,39 +155,50 @@ class Bpe:
         return got
 
     def _fits(self, left: int, right: int) -> bool:
-        got = self.fit.get((left, right))
+        key = left << 32 | right
+        got = self.fit.get(key)
         if got is None:
-            if len(self.fit) >= 4 * CACHE:
+            if len(self.fit) >= PAIRS:
                 self.fit.clear()
-            got = self.fit[left, right] = not self._crossed(left, right, FOREVER)
+            got = self.fit[key] = not self._crossed(left, right, FOREVER)
         return got
 
     # One word, a string of byte letters.
     def encode_word(self, word: str) -> list[int]:
         n = len(word)
+        if n == 0:
+            return []
         if n > SHORT:
             return [t for part in self.stream(word) for t in part]
-        whole = self.ids.get(word + WORD_END)
-        if whole is not None and self._alone(whole):
-            return [whole]
-        get, fit, longest = self.ids.get, self.fit.get, self.longest
+        ends, fit = self.ends.get, self.fit.get
         token, back = [-1] * (n + 1), [0] * (n + 1)
-        for end in range(1, n + 1):
-            tail = WORD_END if end == n else ""
-            for begin in range(max(0, end - longest), end):
-                t = get(word[begin:end] + tail)
-                if t is None:
-                    continue
+
+        def last(end: int) -> int:
+            """The one token that ends the encoding of the first ``end`` symbols; earlier ones on demand."""
+            part = word if end < n else word + WORD_END
+            stop = end if end < n else len(part)
+            found = []
+            for begin in range(end - 1, -1, -1):
+                t = ends(part[begin:stop])
+                if t is None:       # no token has a longer end of this kind
+                    break
+                if t >= 0:
+                    found.append((begin, t))
+            for begin, t in reversed(found):
                 if begin:
-                    ok = fit((token[begin], t))
+                    left = token[begin]
+                    if left < 0:
+                        left = last(begin)
+                    ok = fit(left << 32 | t)
                     if ok is None:
-                        ok = self._fits(token[begin], t)
-                    if not ok or not self._alone(t):
+                        ok = self._fits(left, t)
+                    if not ok:
                         continue
-                elif not self._alone(t):
-                    continue
                 token[end], back[end] = t, begin
-                break
+                return t
+            raise ValueError(f"no token ends {word[:end]!r}")
+
+        last(n)
         out, at = [], n
         while at > 0:
             out.append(token[at])
@@ -198,12 +220,11 @@ class Bpe:
             at += 1
             tail = WORD_END if ahead is None else ""
             new = None
-            for node in window:
-                size = at - node[2]
-                if size > len(recent):
-                    continue
-                t = self.ids.get(recent[len(recent) - size:] + tail)
-                if t is not None and self._alone(t) and (node[1] < 0 or self._fits(node[1], t)):
+            for node in reversed(window):
+                t = self.ends.get(recent[len(recent) - (at - node[2]):] + tail)
+                if t is None:
+                    break
+                if t >= 0 and (node[1] < 0 or self._fits(node[1], t)):
                     new = [node, t, at]
                     break
             window.append(new)
@@ -239,16 +260,29 @@ class Bpe:
     def _word(self, word: str) -> bytes:
         got = self.words.get(word)
         if got is None:
-            letters = word.encode("utf-8").decode("latin-1").translate(self.table)
-            got = np.array(self.encode_word(letters), dtype="<u4").tobytes()
+            got = self.old_words.get(word)
+            if got is None:
+                letters = word.encode("utf-8").decode("latin-1").translate(self.table)
+                ids = self.encode_word(letters)
+                got = struct.pack(f"<{len(ids)}I", *ids)
             if len(word) <= 64:
-                if len(self.words) >= CACHE:
-                    self.words.clear()
+                if len(self.words) >= WORDS:
+                    self.words, self.old_words = {}, self.words
                 self.words[word] = got
         return got
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a run without white space: special tokens, normalising, pre-tokens, words."""
+        got = self.old_chunks.get(chunk)
+        if got is None:
+            got = self._new_chunk(chunk)
+        if len(chunk) <= 64:
+            if len(self.chunks) >= RUNS:
+                self.chunks, self.old_chunks = {}, self.chunks
+            self.chunks[chunk] = got
+        return got
+
+    def _new_chunk(self, chunk: str) -> bytes:
         parts = []
         for piece in self.special_split.split(chunk) if self.special_split else [chunk]:
             if piece in self.special:
@@ -257,75 +291,49 @@ class Bpe:
             # Lower-casing is by letter, so a capital sigma never becomes a final one.
             low = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
             parts += [self._word(w) for w in self.pretoken.findall(low)]
-        got = b"".join(parts)
-        if len(chunk) <= 64:
-            if len(self.chunks) >= CACHE:
-                self.chunks.clear()
-            self.chunks[chunk] = got
-        return got
+        return b"".join(parts)
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a text (unsigned 32-bit, little-endian)."""
         if not text:
             return np.zeros(0, dtype="<u4")
         split = self.space.split(text) if self.odd_space.search(text) else text.split()
-        get, miss = self.chunks.get, self._chunk
-        return np.frombuffer(b"".join([get(c) or miss(c) for c in split]), dtype="<u4")
+        parts, miss = [], self._chunk
+        for a in range(0, len(split), 4096):      # the cache may be renewed between two runs of words
+            get = self.chunks.get
+            parts.append(b"".join([get(c) or miss(c) for c in split[a:a + 4096]]))
+        return np.frombuffer(b"".join(parts), dtype="<u4")
 
     def decode(self, ids) -> str:
         """As the library's decode without a decoder: the tokens' strings, parted by spaces."""
         return " ".join(map(self.text.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids))
 
+    def pieces(self) -> list[bytes]:
+        """Bytes of each token; a word's end is a space, a special token its own text."""
+        if self.bytes_of is None:
+            byte = {c: b for b, c in enumerate(self.letters)}
+            self.bytes_of = [
+                t.encode() if t in self.special else bytes(byte[c] for c in t.removesuffix(WORD_END))
+                + b" " * t.endswith(WORD_END) for t in self.text]
+        return self.bytes_of
+
     def decoder(self) -> TextDecoder:
         return TextDecoder(self)
 
 
 class TextDecoder:
-    """Ids in, text out: a state machine over bytes with at most three of them pending."""
+    """Ids in, text out: a state machine over the tokens' bytes with at most three of them pending."""
 
     def __init__(self, bpe: Bpe):
-        self.bpe = bpe
-        self.byte = {c: b for b, c in enumerate(bpe.letters)}
-        self.pending = b""
-        self.need = 0
+        self.piece = bpe.pieces().__getitem__
+        self.state = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids) -> str:
-        out = []
-        for i in ids:
-            token = self.bpe.text[i]
-            if token in self.bpe.special:
-                out.append(self.finish() + token)
-                continue
-            body = token.removesuffix(WORD_END)
-            for c in body:
-                self._step(self.byte[c], out)
-            if len(body) < len(token):
-                out.append(self.finish() + " ")
-        return "".join(out)
-
-    def _step(self, b: int, out: list[str]) -> None:
-        if self.need and b & 0xC0 == 0x80:
-            self.pending += bytes([b])
-            self.need -= 1
-            if not self.need:
-                out.append(self.pending.decode("utf-8", "replace"))
-                self.pending = b""
-            return
-        if self.pending:
-            out.append("\ufffd")
-            self.pending, self.need = b"", 0
-        if b < 0x80:
-            out.append(chr(b))
-        elif 0xC2 <= b < 0xF5:
-            self.pending, self.need = bytes([b]), 1 + (b >= 0xE0) + (b >= 0xF0)
-        else:
-            out.append("\ufffd")
+        return self.state.decode(b"".join(map(self.piece, ids)))
 
     def finish(self) -> str:
         """What an unfinished character leaves."""
-        got = "\ufffd" if self.pending else ""
-        self.pending, self.need = b"", 0
-        return got
+        return self.state.decode(b"", True)
 
 
 _LOADED: dict[str, Bpe] = {}

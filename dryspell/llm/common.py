@@ -165,11 +165,27 @@ def append_columns(df: DataFrame, text_col: str,
     def run(batches):
         fn = make()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, *fn(batch.column(at))], names=names)
+            for part in parts(batch, at):
+                yield pa.RecordBatch.from_arrays([*part.columns, *fn(part.column(at))], names=names)
 
     return df.mapInArrow(run, schema)
 
 
+#: Bytes of text in a part of a batch whose results are held at once.
+PART_BYTES = 4 << 20
+
+
+def parts(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about PART_BYTES of text in column ``at`` (one row at least)."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False))
+    row = 0
+    while row < batch.num_rows:
+        done = size[row - 1] if row else 0
+        end = max(row + 1, int(np.searchsorted(size, done + PART_BYTES, side="right")))
+        yield batch.slice(row, end - row)
+        row = end
+
+
 def bounded_sample(labelled: DataFrame, per_class: int, seed: int = 7) -> tuple[DataFrame, dict]:
     """At most 2 x ``per_class`` (doc_id, label) rows of each label, and the label counts.
 
@@ -187,3 +203,22 @@ def bounded_sample(labelled: DataFrame, per_class: int, seed: int = 7) -> tuple[
                 .limit(2 * per_class))
         out = part if out is None else out.unionByName(part)
     return (rows.limit(0) if out is None else out), counts
+
+
+#: Bits of a bitmap that thins rows inside a scan (fixed: 2 MB).
+KEY_BITS = 24
+
+
+def key_bitmap(keys: DataFrame, col: str) -> np.ndarray:
+    """Packed bits of 64-bit keys' leading bits; at most 2^KEY_BITS numbers reach the driver, however many keys."""
+    got = (keys.select(F.shiftrightunsigned(col, 64 - KEY_BITS).cast("int").alias("b"))
+           .distinct().toArrow()["b"].to_numpy())
+    bits = np.zeros(1 << KEY_BITS, dtype=bool)
+    bits[got] = True
+    return np.packbits(bits, bitorder="little")
+
+
+def maybe_in(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which unsigned keys may be among the bitmap's (false ones are few, missed ones none)."""
+    place = (keys >> _U(64 - KEY_BITS)).astype(np.int64)
+    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dryspell.llm.common import LOWER, fresh, gram_hash, mix, span_hash, spans, text_slices
+from dryspell.llm.common import LOWER, fresh, gram_hash, mix, parts, span_hash, spans, text_slices
 from dryspell.operators._exec import broadcast_checked, materialize
 
 #: Words of a seed gram.
@@ -88,7 +88,7 @@ def short_gram(words: np.ndarray) -> np.uint64:
 def _bitmap(grams: DataFrame) -> np.ndarray:
     """Bits of the items' grams; at most 2^BITMAP_BITS numbers reach the driver, however many items."""
     got = (grams.select(F.shiftrightunsigned("gram", 64 - BITMAP_BITS).cast("int").alias("b"))
-           .distinct().toPandas()["b"].to_numpy(dtype=np.int64))
+           .distinct().toArrow()["b"].to_numpy())
     bits = np.zeros(1 << BITMAP_BITS, dtype=bool)
     bits[got] = True
     return np.packbits(bits)
@@ -192,7 +192,7 @@ def scan(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int
                 held[body] = words_of(raw, np.array([0, len(raw)]))[0]
             return held[body]
 
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b, at)):
             out = [(False, 0.0, None, None, None, [])] * batch.num_rows
             column, lists = batch.column(at), batch.column(len(taken))
             for i in np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False)).tolist():
