@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 
 from dryspell.operators._exec import materialize
 
-#: Star rounds go on while the pairs left to test outnumber both the rows by this
-#: factor and MANY_PAIRS; then all that are left are tested.
-PAIRS_PER_ROW = 4
-MANY_PAIRS = 1_000_000
-MAX_STAR_ROUNDS = 6
+#: Open buckets of at most this many rows have all their open pairs tested after
+#: the first star; larger ones get stars about more and more centres first.
+SMALL_BUCKET = 64
+CENTRES = (4, 16, 64)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -75,48 +74,69 @@ def _joined(root: DataFrame | None, links: DataFrame) -> DataFrame:
     return materialize(merged.unionByName(first), "link-roots")
 
 
-def link_buckets(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def link_buckets(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
+                 features: DataFrame, allowed: Callable[[str, str], str]) -> DataFrame:
     """Components (id, root) under exact links, of ids that share a ``sig`` in ``rows`` (sig, id).
 
-    ``verify`` takes distinct pairs (a, b) and returns those that are links. A
-    bucket's rows are first tested against one of them, a star; what a star has
+    ``verify`` takes distinct pairs (a, b) and returns those that are links.
+    ``features`` (id, ...) are small columns from which ``allowed(x, y)``, a
+    SQL condition on two rows, can tell at once that a pair is no link; it is
+    part of the joins that make pairs.
+
+    A bucket's rows are first tested against one of them, a star; what a star has
     joined needs no further test. Then only pairs of one bucket whose
-    components still differ are left: stars from other centres are tried while
-    those pairs are many, and in the end each of them is tested, so no link
-    that a bucket holds is lost while copies are never expanded into all pairs.
+    components still differ are open. Small buckets have all of them tested;
+    in large ones each row is tested, in the largest bucket it is in, against a
+    few more centres, which joins rows that are alike at a cost in proportion to
+    the rows. What stays open after that is tested pair by pair: no link that
+    a bucket holds is lost, while copies are never expanded into all pairs.
     """
     mixed = rows.groupBy("sig").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi")
-    shared = materialize(rows.join(mixed.select("sig"), "sig"), "buckets")
-    root = None
-    for turn in range(MAX_STAR_ROUNDS + 1):
-        if root is None:
-            open_rows = shared.withColumn("root", F.col("id"))
-        else:
-            labelled = (shared.join(root, "id", "left")
-                        .select("sig", "id", F.coalesce("root", "id").alias("root")))
-            several = (labelled.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                       .where("lo <> hi").select("sig"))
-            open_rows = materialize(labelled.join(several, "sig").distinct(), "open-buckets")
-        per = (open_rows.groupBy("sig", "root").agg(F.count("*").cast("double").alias("c"))
-               .groupBy("sig").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("q")))
-        total = per.agg(F.sum((F.col("n") * F.col("n") - F.col("q")) / 2).alias("p"),
-                        F.sum("n").alias("n")).first()
-        if not total["p"]:
-            break
-        last = total["p"] <= max(MANY_PAIRS, PAIRS_PER_ROW * total["n"]) or turn == MAX_STAR_ROUNDS
-        if last and turn:
-            x = open_rows.select("sig", F.col("id").alias("a"), F.col("root").alias("ra"))
-            y = open_rows.select("sig", F.col("id").alias("b"), F.col("root").alias("rb"))
-            pairs = x.join(y, "sig").where("a < b AND ra <> rb").select("a", "b").distinct()
-        else:
-            centre = (open_rows.groupBy("sig")
-                      .agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("p"), F.col("id").alias("c"),
-                                          F.col("root").alias("rc"))).alias("m"))
-                      .select("sig", "m.c", "m.rc"))
-            pairs = (open_rows.join(centre, "sig").where("id <> c AND root <> rc")
-                     .select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct())
-            last = False
+    active = materialize(rows.join(mixed.select("sig"), "sig").distinct().join(features, "id")
+                         .withColumn("root", F.col("id")), "buckets")
+    pairs, root = _star(active, 0, 1, allowed), None
+    for turn, centres in enumerate([*CENTRES, None], start=1):
         root = _joined(root, materialize(verify(pairs).select("a", "b"), "links"))
-        if last:
+        sized = _open(active, root)
+        small, large = sized, None
+        if centres is not None:
+            small, large = sized.where(F.col("n_rows") <= SMALL_BUCKET), sized.where(F.col("n_rows") > SMALL_BUCKET)
+            large = None if large.isEmpty() else large
+        pairs = _all_open(small, allowed)
+        if large is None:
+            root = _joined(root, materialize(verify(pairs.distinct()).select("a", "b"), "links"))
             break
-    return root if root is not None else rows.select("id", F.col("id").alias("root")).limit(0)
+        home = large.groupBy("id").agg(F.max(F.struct("n_rows", "sig")).alias("h")).select("id", F.col("h.sig").alias("sig"))
+        pairs = pairs.union(_star(large.join(home, ["id", "sig"]), turn, centres, allowed)).distinct()
+        active = large
+    return root
+
+
+def _open(active: DataFrame, root: DataFrame) -> DataFrame:
+    """Rows, with new roots and n_rows, of the buckets of n_rows rows that still hold several components."""
+    labelled = (active.drop("root", "n_rows").join(root, "id", "left")
+                .withColumn("root", F.coalesce("root", "id")))
+    several = (labelled.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                           F.count("*").alias("n_rows"))
+               .where("lo <> hi").select("sig", "n_rows"))
+    return materialize(labelled.join(several, "sig"), "open-buckets")
+
+
+def _star(rows: DataFrame, turn: int, centres: int, allowed: Callable[[str, str], str]) -> DataFrame:
+    """Distinct pairs of each bucket's centres, chosen by a hash of the id, with its rows of other components."""
+    centre = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("p"),
+                            F.struct([c for c in rows.columns if c != "sig"]).alias("c"))).alias("m")
+    # The least of each of as many slots: partial minima, whatever the bucket's size.
+    slot = F.pmod(F.xxhash64("id", F.lit(-turn)), F.lit(centres)).alias("slot")
+    chosen = rows.groupBy("sig", slot).agg(centre).select("sig", "m.c.*")
+    return _pairs(rows, chosen, f"x.id <> y.id AND x.root <> y.root AND {allowed('x', 'y')}").distinct()
+
+
+def _all_open(rows: DataFrame, allowed: Callable[[str, str], str]) -> DataFrame:
+    """Pairs within a bucket whose components differ."""
+    return _pairs(rows, rows, f"x.id < y.id AND x.root <> y.root AND {allowed('x', 'y')}")
+
+
+def _pairs(left: DataFrame, right: DataFrame, condition: str) -> DataFrame:
+    return (left.alias("x").join(right.alias("y"), F.expr(f"x.sig = y.sig AND {condition}"))
+            .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")))

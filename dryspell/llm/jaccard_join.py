@@ -6,7 +6,7 @@ a bit of a fixed-size bitmap that counts over all texts set; rare grams come
 first. Two sets that reach the threshold differ from either in at most
 ``n - least`` grams, so a prefix worth one unit more must share something:
 
-* a rare gram is worth one unit and is indexed by itself;
+* a rare or common gram is worth one unit and is indexed by itself;
 * frequent grams are dealt into small subclasses; m of them in one subclass are
   worth m - 1 units and are indexed by their pairs, and the prefix is extended
   until the units suffice.
@@ -30,18 +30,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dryspell.llm.common import LOWER, doc_table, fresh, gram_hash, mix, span_hash, spans, text_slices
+from dryspell.llm.common import (LOWER, doc_table, fresh, gram_hash, key_bitmap, maybe_in, mix, span_hash, spans,
+                                 text_slices)
 from dryspell.llm.components import link_buckets
 from dryspell.operators._exec import broadcast_checked, materialize
 
 #: Words of a gram, and the threshold as percent of the union.
 N = 4
 PERCENT = 85
-#: Bits of the class bitmap (fixed: 512 KB), grams looked at together for repeats, and
-#: the count of repeats from which a gram's class is frequent.
-CLASS_BITS = 22
+#: Distinct sets that hold a gram, from which it is common, and frequent.
+COMMON, FREQUENT = 6, 64
+#: Bits of the class bitmaps (fixed: 8 MB each at most).
+MAP_BITS = 26
+#: Grams that a task sorts at once to count them.
 WINDOW = 1 << 21
-FREQUENT = 64
 #: Frequent prefix grams of one subclass, about.
 SUBCLASS = 4
 #: Least bits of a parity sketch.
@@ -107,7 +109,7 @@ def subclasses(k: int, percent: int) -> int:
 
 
 def signatures(h: np.ndarray, rare: int, percent: int) -> np.ndarray:
-    """Index entries of one set; ``h`` is in global order, its first ``rare`` grams are rare."""
+    """Index entries of one set; ``h`` is in global order, its first ``rare`` grams are not frequent."""
     n = len(h)
     need = n - least_overlap(n, percent) + 1
     if rare >= need:
@@ -147,29 +149,43 @@ def folded(x: np.ndarray, size: int) -> np.ndarray:
     return np.bitwise_xor.reduce(x.reshape(-1, size), axis=0)
 
 
-def frequent_bitmap(docs: DataFrame, n: int) -> np.ndarray:
-    """Class bits from repeats over all texts: each window of a task counts the sets that hold a gram."""
-    def run(batches):
-        total: dict[int, int] = {}
+def count_bits(docs: DataFrame) -> int:
+    """Bits of a gram's counter: about four counters a gram, however many there are."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return int(np.clip(np.ceil(np.log2(max(1, size))), 18, 44))
+
+
+def gram_classes(docs: DataFrame, n: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """(map bits, common, frequent): packed bitmaps over the leading bits of a gram's hash.
+
+    A gram counts once for each distinct set (of a task). Counters are dealt to
+    reducers in blocks of 2^16, so a gram costs two bytes of shuffle and a
+    reducer's memory is fixed. The driver gets two bitmaps of fixed size.
+    """
+    docs = doc_table(docs).select("text")
+    bits = count_bits(docs)
+    map_bits = min(MAP_BITS, bits)
+
+    def send(batches):
         held, size, seen = [], 0, set()
 
         def close():
-            nonlocal held, size
-            h = np.sort(np.concatenate(held))
-            at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            count = np.diff(np.append(at, len(h)))
-            again = count > 1
-            bucket = (h[at[again]] >> _U(64 - CLASS_BITS)).astype(np.int64)
-            held, size = [], 0
-            order = np.argsort(bucket, kind="stable")
-            bucket, count = bucket[order], count[again][order]
-            if len(bucket) == 0:
-                return None
-            first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-            # The highest count of a bucket, so that chance company does not add up.
-            return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int32)),
-                                               pa.array(np.maximum.reduceat(count, first).astype(np.int64))],
-                                              names=["bucket", "n"])
+            # One entry a counter and window, however hot the gram; repeats go along as counts.
+            h, count = np.unique(np.concatenate(held) >> _U(64 - bits), return_counts=True)
+            block = (h >> _U(16)).astype(np.int64)
+            at = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(h) else np.zeros(0, int)
+            low = (h & _U(0xFFFF)).astype("<u2")
+            again = np.flatnonzero(count > 1)
+            more = np.zeros(len(again), dtype=[("at", "<u2"), ("n", "<u4")])
+            more["at"], more["n"] = low[again], count[again] - 1
+            return pa.RecordBatch.from_arrays(
+                [pa.array(block[at]), cut(low, np.append(at, len(low))),
+                 cut(more, np.searchsorted(again, np.append(at, len(low))))], names=["block", "counters", "more"])
+
+        def cut(values, at):
+            offsets = (np.asarray(at, dtype=np.int64) * values.itemsize).tobytes()
+            return pa.Array.from_buffers(pa.large_binary(), len(at) - 1,
+                                         [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())]).cast(pa.binary())
 
         for batch in batches:
             for a, z, data, offsets in text_slices(batch.column(0)):
@@ -183,65 +199,95 @@ def frequent_bitmap(docs: DataFrame, n: int) -> np.ndarray:
                 held.append(h[fresh[row]])
                 size += len(held[-1])
                 if size >= WINDOW:
-                    out = close()
-                    seen.clear()
-                    if out is not None:
-                        yield out
+                    yield close()
+                    held, size = [], 0
+                    if len(seen) > 1_000_000:
+                        seen.clear()
         if size:
-            out = close()
-            if out is not None:
-                yield out
-
-    got = (doc_table(docs).select("text").mapInArrow(run, "bucket int, n bigint")
-           .groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
-           .select("bucket").toPandas())
-    bits = np.zeros(1 << CLASS_BITS, dtype=bool)
-    bits[got["bucket"].to_numpy(dtype=np.int64)] = True
-    return np.packbits(bits)
+            yield close()
+
+    def count(key, rows):
+        total = np.zeros(1 << 16, dtype=np.int64)
+        for c, m in zip(rows["counters"], rows["more"]):
+            total[np.frombuffer(c.as_buffer(), "<u2")] += 1
+            m = np.frombuffer(m.as_buffer(), [("at", "<u2"), ("n", "<u4")])
+            total[m["at"]] += m["n"]
+        at = np.flatnonzero(total >= COMMON)
+        place = ((key[0].as_py() << 16) + at) >> (bits - map_bits)
+        return pa.table([pa.array(place >> 16), pa.array((place & 0xFFFF).astype(np.int32)),
+                         pa.array(total[at] >= FREQUENT)], names=["part", "bit", "frequent"])
+
+    def draw(key, rows):
+        maps = np.zeros((2, 1 << 16), dtype=bool)
+        bit = rows["bit"].to_numpy()
+        maps[0, bit] = True
+        maps[1, bit[rows["frequent"].to_numpy()]] = True
+        return pa.table([pa.array([key[0].as_py()], pa.int64())]
+                        + [pa.array([np.packbits(m, bitorder="little").tobytes()], pa.binary()) for m in maps],
+                        names=["part", "common", "frequent"])
+
+    counted = (docs.mapInArrow(send, "block bigint, counters binary, more binary")
+               .groupBy("block").applyInArrow(count, "part bigint, bit int, frequent boolean"))
+    drawn = counted.groupBy("part").applyInArrow(draw, "part bigint, common binary, frequent binary").collect()
+    out = [np.zeros((1 << map_bits) // 8, dtype=np.uint8) for _ in range(2)]
+    for r in drawn:
+        for m, name in zip(out, ("common", "frequent")):
+            m[r["part"] * 8192:(r["part"] + 1) * 8192] = np.frombuffer(r[name], np.uint8)
+    return map_bits, out[0], out[1]
+
+
+def bits_of(bitmap: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
 
 
 def index_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, rkey, sid, n, sketch, sigs) per row; a set's sketch and entries come once per task."""
-    bitmap = docs.sparkSession.sparkContext.broadcast(frequent_bitmap(docs, n))
+    """(doc_id, rkey, sid, n, sketch, fold, sigs) per row; a set's sketches and entries come once per task."""
+    classes = docs.sparkSession.sparkContext.broadcast(gram_classes(docs, n))
 
     def run(batches):
-        often = np.unpackbits(bitmap.value).astype(bool)
+        map_bits, common, frequent = classes.value
         seen = set()
         for batch in batches:
             for a, z, data, offsets in text_slices(batch.column(2)):
                 row, h = gram_sets(data, offsets, n)
                 size, ids = set_ids(row, h, z - a)
-                heavy = often[(h >> _U(64 - CLASS_BITS)).astype(np.int64)]
-                order = np.lexsort((h, heavy, row))
-                h, heavy = h[order], heavy[order]
+                place = (h >> _U(64 - map_bits)).astype(np.int64)
+                kind = bits_of(common, place).astype(np.int8) + bits_of(frequent, place)
+                order = np.lexsort((h, kind, row))
+                h, kind = h[order], kind[order]
                 first = np.concatenate([[0], np.cumsum(size)])
-                rare = np.concatenate([[0], np.cumsum(~heavy)])
+                rare = np.concatenate([[0], np.cumsum(kind < 2)])
                 rare = rare[first[1:]] - rare[first[:-1]]
-                sketches, entries = [], []
+                sketches, folds, entries = [], [], []
                 for i, v in enumerate(ids.tolist()):
                     s = h[first[i]:first[i + 1]]
                     # A set all of whose grams must be shared, by one of the same size, is linked by its id.
                     if v in seen or size[i] == 0 or size[i] * 100 // percent == size[i]:
                         sketches.append(None)
+                        folds.append(None)
                         entries.append(None)
                         continue
                     if len(seen) > 1_000_000:
                         seen.clear()
                     seen.add(v)
                     sketches.append(sketch(s))
+                    folds.append(folded(np.frombuffer(sketches[-1], np.uint8), SKETCH // 8).view(np.int64))
                     entries.append(signatures(s, int(rare[i]), percent).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, z - a), batch.column(1).slice(a, z - a), pa.array(ids), pa.array(size.astype(np.int64)),
-                     pa.array(sketches, pa.binary()), pa.array(entries, pa.list_(pa.int64()))],
-                    names=["doc_id", "rkey", "sid", "n", "sketch", "sigs"])
+                     pa.array(sketches, pa.binary()), pa.array(folds, pa.list_(pa.int64())),
+                     pa.array(entries, pa.list_(pa.int64()))],
+                    names=["doc_id", "rkey", "sid", "n", "sketch", "fold", "sigs"])
 
     rows = doc_table(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("rkey"), "text")
     return materialize(rows.mapInArrow(
-        run, "doc_id bigint, rkey bigint, sid bigint, n bigint, sketch binary, sigs array<bigint>"), "jaccard-index")
+        run, "doc_id bigint, rkey bigint, sid bigint, n bigint, sketch binary, fold array<bigint>, sigs array<bigint>"), "jaccard-index")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(sid, grams) of the wanted sids, from the whole texts."""
+    """(sid, grams) of the wanted sids, from the whole texts; a bitmap of the sids thins them inside the scan."""
+    thin = docs.sparkSession.sparkContext.broadcast(key_bitmap(wanted, "sid"))
+
     def run(batches):
         seen = set()
         for batch in batches:
@@ -250,8 +296,9 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 size, ids = set_ids(row, h, z - a)
                 first = np.concatenate([[0], np.cumsum(size)])
                 keep = []
-                for i, v in enumerate(ids.tolist()):
-                    if size[i] and v not in seen:
+                may = maybe_in(thin.value, ids.view(np.uint64)) & (size > 0)
+                for i, v in zip(np.flatnonzero(may).tolist(), ids[may].tolist()):
+                    if v not in seen:
                         if len(seen) > 1_000_000:
                             seen.clear()
                         seen.add(v)
@@ -261,7 +308,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                                                    pa.list_(pa.int64()))], names=["sid", "grams"])
 
     rows = doc_table(docs).select("text").mapInArrow(run, "sid bigint, grams array<bigint>")
-    return rows.join(broadcast_checked(wanted), "sid", "left_semi").dropDuplicates(["sid"])
+    return rows.join(wanted, "sid", "left_semi").dropDuplicates(["sid"])
 
 
 def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -315,17 +362,27 @@ def _rooted(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, rkey, n, root) per row; rows are linked, over any links, iff their roots are equal."""
     docs = doc_table(docs)
     index = index_sets(docs, n, percent)
-    sketches = index.where("sketch IS NOT NULL").select("sid", "n", "sketch").dropDuplicates(["sid"])
+    sketches = materialize(index.where("sketch IS NOT NULL").select("sid", "n", "sketch", "fold")
+                           .dropDuplicates(["sid"]), "jaccard-sketches")
     rows = index.where("sigs IS NOT NULL").select(F.explode("sigs").alias("sig"), F.col("sid").alias("id"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         near = materialize(_near(pairs, sketches, percent), "jaccard-near")
         if near.isEmpty():
             return near
-        wanted = near.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+        wanted = materialize(near.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "jaccard-wanted")
         return _verified(near, materialize(_sets_of(docs, wanted, n), "jaccard-sets"), percent)
 
-    root = link_buckets(rows, verify)
+    folds = [f"k{i}" for i in range(SKETCH // 64)]
+    features = sketches.select(F.col("sid").alias("id"), "n", *[F.col("fold")[i].alias(c) for i, c in enumerate(folds)])
+
+    def allowed(x: str, y: str) -> str:
+        """The size test, and no more differing parities than a link has differing grams."""
+        differ = " + ".join(f"bit_count({x}.{c} ^ {y}.{c})" for c in folds)
+        return (f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n)"
+                f" AND {differ} <= ({x}.n + {y}.n) * {100 - percent} div {100 + percent}")
+
+    root = link_buckets(rows, verify, features, allowed)
     return (index.select("doc_id", "rkey", "sid", "n")
             .join(root.select(F.col("id").alias("sid"), "root"), "sid", "left")
             .select("doc_id", "rkey", "n", F.coalesce("root", "sid").alias("root")))

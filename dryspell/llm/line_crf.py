@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -214,13 +215,13 @@ def fit(docs: DataFrame, labelled: DataFrame, per_class: int = SAMPLE_PER_CLASS)
                      pa.array(labels[row:end], pa.int32())], names=["x", "label"])
 
     got = rows.select("text", F.col("label").cast("int").alias("label")).mapInArrow(
-        run, "x array<float>, label int").toPandas()
+        run, "x array<float>, label int").toArrow().combine_chunks()
     label = got["label"].to_numpy()
     if len(set(label.tolist())) < 2:
         return flat
-    parts = [np.asarray(v, dtype=float).reshape(-1, MEASURES) for v in got["x"]]
-    first = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-    x = np.concatenate(parts)
+    lines = pc.list_value_length(got["x"]).to_numpy() // MEASURES
+    first = np.concatenate([[0], np.cumsum(lines)])
+    x = pc.list_flatten(got["x"]).to_numpy().astype(float).reshape(-1, MEASURES)
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
     # The sample is balanced; the square root of the true odds keeps scores near
     # their frequencies without losing the rare label.

@@ -151,18 +151,26 @@ def test_language_codes(spark):
 
 def test_nearest_examples_are_exact():
     rng = np.random.default_rng(3)
-    vectors = rng.random((150, 40)) * (rng.random((150, 40)) < 0.2)
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-    ids = rng.permutation(1000)[:150]
-    index = toxicity_knn.Index.build(ids, rng.integers(0, 2, 150), np.ones(150), vectors)
-    q = rng.random((30, 40)) * (rng.random((30, 40)) < 0.3)
+
+    def sparse(n, share):
+        v = rng.random((n, 40)) * (rng.random((n, 40)) < share)
+        return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    pairs = lambda m: [(np.flatnonzero(r), r[np.flatnonzero(r)]) for r in m]
+    vectors, q = sparse(150, 0.15), sparse(60, 0.1)
+    vectors[10:30] = vectors[10]
     q[0] = 0
-    pos, sim = index.nearest(q, 7)
-    exact = np.round(q @ index.vectors.T, 12)
-    for i in range(30):
-        want = sorted(((-s, index.ids[j]) for j, s in enumerate(exact[i]) if s > 1e-12))[:7]
-        got = [(-round(s, 12), index.ids[j]) for j, s in zip(pos[i], sim[i]) if j >= 0]
-        assert [w[1] for w in want] == [g[1] for g in got]
+    ids = rng.permutation(1000)[:150]
+    index = toxicity_knn.Index.build(ids, rng.integers(0, 2, 150), np.ones(150), pairs(vectors), 40)
+    exact = np.round(q @ vectors.T, 12)
+    for k in (1, 7, 140):
+        pos, sim = index.nearest(pairs(q), k)
+        for i in range(60):
+            want = sorted((-s, ids[j]) for j, s in enumerate(exact[i]) if s > 0)[:k]
+            assert [w[1] for w in want] == [index.ids[j] for j in pos[i] if j >= 0]
+            assert np.allclose([-w[0] for w in want], sim[i][pos[i] >= 0])
+    own = np.arange(150)
+    pos, _ = index.nearest(index.vectors, 5, own)
+    assert not (pos == own[:, None]).any()
 
 
 # 2: BPE
@@ -268,7 +276,8 @@ def test_jaccard_equals_brute_force(spark, monkeypatch, n, percent):
     rows = [(None if i is None else i, t) for i, t in rows]
     want = brute_components(rows, n, percent)
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("sid", F.lit("x"))
-    for limit in (jaccard_join.FREQUENT, 2):       # 2: nearly all shared grams are of the frequent class
+    for limit in (jaccard_join.FREQUENT, 2):       # 2: all shared grams are of the frequent class
+        monkeypatch.setattr(jaccard_join, "COMMON", min(limit, 6))
         monkeypatch.setattr(jaccard_join, "FREQUENT", limit)
         got = jaccard_join.join(df, n, percent).collect()
         assert sorted((tuple(r) for r in got), key=str) == want
@@ -310,13 +319,15 @@ def test_components_on_paths_and_stars(spark):
 
 
 def test_buckets_lose_no_link(spark, monkeypatch):
-    monkeypatch.setattr(components, "MANY_PAIRS", 0)
+    monkeypatch.setattr(components, "SMALL_BUCKET", 8)
+    monkeypatch.setattr(components, "CENTRES", (2, 3))
     rng = random.Random(8)
     rows = [(rng.randrange(6), i) for i in range(120)] + [(99, i) for i in range(0, 120, 2)]
     df = spark.createDataFrame(rows, "sig bigint, id bigint")
     linked = lambda a, b: (a * 31 + b * 31) % 11 == 0
     got = {r["id"]: r["root"] for r in components.link_buckets(
-        df, lambda p: p.where("(a * 31 + b * 31) % 11 = 0")).collect()}
+        df, lambda p: p.where("(a * 31 + b * 31) % 11 = 0"), spark.range(120).selectExpr("id", "id AS f"),
+        lambda x, y: f"({x}.f + {y}.f) % 11 <> 5").collect()}
     parent = {i: i for i in range(120)}
 
     def find(x):
