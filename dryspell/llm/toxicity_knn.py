@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +36,7 @@ from dryspell.llm.common import (LOWER, append_columns, bounded_sample, doc_tabl
                                  span_hash, spans, text_slices, word_rows)
 
 #: Examples of each label, about (at most twice that).
-EXAMPLES_PER_CLASS = 1500
+EXAMPLES_PER_CLASS = 1000
 #: Terms kept by chi-square.
 VOCABULARY = 1024
 #: Neighbours that vote, and examples in a block of the index.
@@ -78,16 +79,23 @@ def lookup(vocabulary: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.nda
     return vocabulary[at] == term, at
 
 
-def matrix(vocabulary: np.ndarray, idf: np.ndarray, rows: int, row: np.ndarray, term: np.ndarray) -> np.ndarray:
-    """Unit TF-IDF vectors (1 + ln tf) idf of ``rows`` texts over the vocabulary."""
+def unit_vectors(vocabulary: np.ndarray, idf: np.ndarray, rows: int, row: np.ndarray, term: np.ndarray,
+                 tf: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Unit (1 + ln tf) idf vectors of ``rows`` texts as (columns, weights), without ``tf`` from repeated terms."""
     known, col = lookup(vocabulary, term)
-    tf = np.bincount(row[known] * len(vocabulary) + col[known], minlength=rows * len(vocabulary))
-    q = tf.reshape(rows, -1).astype(np.float64)
-    hit = q > 0
-    q[hit] = 1 + np.log(q[hit])
-    q *= idf
-    norm = np.sqrt((q * q).sum(axis=1, keepdims=True))
-    return q / np.where(norm == 0, 1, norm)
+    row, col = row[known], col[known]
+    if tf is None:
+        row, col, tf = counted(row, col)
+    else:
+        order = np.lexsort((col, row))
+        row, col, tf = row[order], col[order], tf[known][order]
+    weight = (1 + np.log(tf)) * idf[col]
+    cut = np.searchsorted(row, np.arange(rows + 1))
+    out = []
+    for a, z in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        w = weight[a:z]
+        out.append((col[a:z], w / np.sqrt(w @ w) if z > a else w))
+    return out
 
 
 @dataclass
@@ -97,48 +105,59 @@ class Index:
     ids: np.ndarray
     label: np.ndarray
     weight: np.ndarray
-    vectors: np.ndarray      # examples x vocabulary, in block order
+    postings: np.ndarray     # blocks x vocabulary x BLOCK weights, zero past the last example
     block_max: np.ndarray    # vocabulary x blocks
+    vectors: list            # the examples, in block order
 
     @staticmethod
-    def build(ids, label, weight, vectors) -> Index:
+    def build(ids, label, weight, vectors, vocabulary: int) -> Index:
         # Examples with the same strongest term stand together, so block maxima stay tight.
-        order = np.lexsort((ids, vectors.argmax(axis=1)))
-        v = vectors[order]
-        blocks = -(-len(v) // BLOCK)
-        top = np.stack([v[b * BLOCK:(b + 1) * BLOCK].max(axis=0) for b in range(blocks)], axis=1)
-        return Index(ids[order], label[order], weight[order], v, top)
-
-    def nearest(self, q: np.ndarray, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        strongest = np.array([c[w.argmax()] if len(c) else vocabulary for c, w in vectors])
+        order = np.lexsort((ids, strongest))
+        blocks = -(-len(order) // BLOCK)
+        postings = np.zeros((blocks, vocabulary, BLOCK))
+        for place, i in enumerate(order):
+            cols, w = vectors[i]
+            postings[place // BLOCK, cols, place % BLOCK] = w
+        return Index(ids[order], label[order], weight[order], postings,
+                     np.ascontiguousarray(postings.max(axis=2).T), [vectors[i] for i in order])
+
+    def _scored(self, blocks, cols, w) -> tuple[np.ndarray, np.ndarray]:
+        """(positions, cosines) of all examples of the blocks."""
+        s = w @ self.postings[blocks[:, None], cols]
+        p = blocks[:, None] * BLOCK + np.arange(BLOCK)
+        return p.ravel(), np.round(s.ravel(), 12)
+
+    def nearest(self, queries, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(position, cosine) of each query's k nearest examples with a positive cosine.
 
         Missing ones have position -1. ``skip`` leaves out one position per query.
         """
-        n = len(q)
+        n = len(queries)
         pos, sim = np.full((n, k), -1), np.zeros((n, k))
-        bound = q @ self.block_max
-        order = np.argsort(-bound, axis=1, kind="stable")
-        active = np.arange(n)
-        for rank in range(bound.shape[1]):
-            block = order[active, rank]
-            # A tie with the k-th may still hold a smaller id, so equal bounds are read.
-            go = (bound[active, block] > 0) & (bound[active, block] >= sim[active, -1] - 1e-12)
-            active, block = active[go], block[go]
-            if len(active) == 0:
-                break
-            for b in np.unique(block):
-                rows = active[block == b]
-                a, z = b * BLOCK, min(len(self.ids), (b + 1) * BLOCK)
-                s = q[rows] @ self.vectors[a:z].T
-                s[s < 1e-12] = 0
-                p = np.broadcast_to(np.arange(a, z), s.shape)
+        first = -(-k // BLOCK) + 1
+        for i, (cols, w) in enumerate(queries):
+            if len(cols) == 0:
+                continue
+            bound = w @ self.block_max[cols]
+            order = np.argsort(-bound, kind="stable")
+            order = order[bound[order] > 0]
+            p, s = self._scored(order[:first], cols, w)
+            if skip is not None:
+                s[p == skip[i]] = 0
+            # The k-th cosine so far; a bound equal to it may still hide a smaller id.
+            least = np.partition(s, len(s) - k)[len(s) - k] if len(s) >= k else 0.0
+            rest = order[first:]
+            rest = rest[bound[rest] >= least - 1e-9]
+            if len(rest):
+                p2, s2 = self._scored(rest, cols, w)
                 if skip is not None:
-                    s = np.where(p == skip[rows][:, None], 0, s)
-                s, p = np.concatenate([sim[rows], s], axis=1), np.concatenate([pos[rows], p], axis=1)
-                p = np.where(s > 0, p, -1)
-                key = np.where(p >= 0, self.ids[p], np.iinfo(np.int64).max)
-                best = np.lexsort((key, -np.round(s, 12)), axis=1)[:, :k]
-                sim[rows], pos[rows] = np.take_along_axis(s, best, 1), np.take_along_axis(p, best, 1)
+                    s2[p2 == skip[i]] = 0
+                p, s = np.concatenate([p, p2]), np.concatenate([s, s2])
+                least = np.partition(s, len(s) - k)[len(s) - k] if len(s) >= k else 0.0
+            keep = np.flatnonzero((s > 0) & (s >= least))
+            keep = keep[np.lexsort((self.ids[p[keep]], -s[keep]))][:k]
+            pos[i, :len(keep)], sim[i, :len(keep)] = p[keep], s[keep]
         return pos, sim
 
     def vote(self, pos: np.ndarray, sim: np.ndarray) -> np.ndarray:
@@ -223,14 +242,14 @@ def fit(docs: DataFrame, labelled: DataFrame, per_class: int = EXAMPLES_PER_CLAS
 
     got = (rows.select("doc_id", F.col("label").cast("int").alias("label"), "text")
            .mapInArrow(run, "doc_id bigint, label int, term array<bigint>, tf array<int>")
-           .toPandas().drop_duplicates("doc_id").sort_values("doc_id"))
-    label = got["label"].to_numpy()
+           .dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id").combine_chunks())
+    ids, label = got["doc_id"].to_numpy(), got["label"].to_numpy()
     if len(set(label.tolist())) < 2:
         return flat
-    size = np.array([len(t) for t in got["term"]])
-    row = np.repeat(np.arange(len(got)), size)
-    term = np.concatenate([np.asarray(t, dtype=np.int64) for t in got["term"]]).view(np.uint64)
-    tf = np.concatenate([np.asarray(t, dtype=np.int64) for t in got["tf"]])
+    size = pc.list_value_length(got["term"]).to_numpy()
+    row = np.repeat(np.arange(len(ids)), size)
+    term = pc.list_flatten(got["term"]).to_numpy().view(np.uint64)
+    tf = pc.list_flatten(got["tf"]).to_numpy().astype(np.int64)
 
     every, col = np.unique(term, return_inverse=True)
     yes = np.bincount(col[label[row] == 1], minlength=len(every)).astype(float)
@@ -246,10 +265,10 @@ def fit(docs: DataFrame, labelled: DataFrame, per_class: int = EXAMPLES_PER_CLAS
         return flat
     df, rows_all = document_frequencies(docs, words)
     idf = np.log((1 + rows_all) / (1 + df)) + 1
-    vectors = matrix(words, idf, len(got), np.repeat(row, tf), np.repeat(term, tf))
+    vectors = unit_vectors(words, idf, len(ids), row, term, tf)
     share = np.array([n[0], n[1]], dtype=float) / (n[0] + n[1])
     weight = np.sqrt(share / (np.array([m0, m1]) / (m0 + m1)))[label]
-    index = Index.build(got["doc_id"].to_numpy(dtype=np.int64), label, weight, vectors)
+    index = Index.build(ids, label, weight, vectors, len(words))
     slope_x = index.vote(*index.nearest(index.vectors, NEIGHBOURS, np.arange(len(index.ids))))
     slope, intercept = _logistic(slope_x, index.label.astype(float), index.weight)
     return Model(words, idf, index, slope, intercept, prior)
@@ -275,18 +294,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                     ids += [[]] * rows
                     sims += [[]] * rows
                     continue
-                row, term = terms(data, offsets)
-                known, _ = lookup(model.vocabulary, term)
-                row, term = row[known], term[known]
-                for a in range(0, rows, 512):
-                    z = min(rows, a + 512)
-                    here = (row >= a) & (row < z)
-                    q = matrix(model.vocabulary, model.idf, z - a, row[here] - a, term[here])
-                    pos, sim = index.nearest(q, NEIGHBOURS)
-                    logit = model.slope * index.vote(pos, sim) + model.intercept
-                    p += (1 / (1 + np.exp(-np.clip(logit, -30, 30)))).tolist()
-                    ids += [index.ids[x[x >= 0]].tolist() for x in pos]
-                    sims += [s[x >= 0].tolist() for s, x in zip(sim, pos)]
+                queries = unit_vectors(model.vocabulary, model.idf, rows, *terms(data, offsets))
+                pos, sim = index.nearest(queries, NEIGHBOURS)
+                logit = model.slope * index.vote(pos, sim) + model.intercept
+                p += (1 / (1 + np.exp(-np.clip(logit, -30, 30)))).tolist()
+                ids += [index.ids[x[x >= 0]].tolist() for x in pos]
+                sims += [s[x >= 0].tolist() for s, x in zip(sim, pos)]
             score_ = np.array(p, dtype=float)
             return [pa.array(score_), pa.array((score_ >= 0.5).astype(np.int32)),
                     pa.array(ids, pa.list_(pa.int64())), pa.array(sims, pa.list_(pa.float64()))]
