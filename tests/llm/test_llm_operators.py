@@ -473,6 +473,31 @@ def test_line_pairs_within_three_bits_are_candidates():
     assert (x == y).any(axis=1).all()
 
 
+def test_line_dedup_finds_every_pair_at_the_threshold(spark):
+    """Up to a fifth of the words changed, put in or left out: all copies go, as by brute force."""
+    rng = random.Random(33)
+    rows, copies = [], 0
+    for i in range(120):
+        words = prose(rng, rng.choice([5, 7, 10, 12, 20, 30, 60])).split()
+        rows.append((i, " ".join(words)))
+        for _ in range(2):
+            edited = list(words)
+            for j in rng.sample(range(len(words)), len(words) // 5):
+                edited[j] = "x" + rng.choice("abcdefgh") * 6
+            if len(words) > 5 and rng.random() < 0.3:
+                edited = words[:len(words) - len(words) // 5]
+            copies += 1
+            rows.append((1000 + 2 * i + len(rows) % 2, " ".join(edited)))
+    rows += [(5000, "of to in at longword"), (5001, "of to in at otherword"), (5002, "la la la la la la"), (5003, "la la la la la")]
+    copies += 2
+    got = line_dedup.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    words = [line_dedup._words_of(t.encode()) for _, t in rows]
+    gone = {r["doc_id"] for r in got if r["removed_lines"]}
+    assert len(gone) == copies
+    like = [(a, b) for a, b in itertools.combinations(range(len(rows)), 2) if line_dedup.similar(words[a], words[b])]
+    assert len(like) >= copies and all(rows[a][0] in gone or rows[b][0] in gone for a, b in like)
+
+
 # 7: decontamination
 
 def test_alignment_equals_full_table():
