@@ -51,7 +51,7 @@ def op5_license(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup(doc_table(table(spark, sf_dir, "documents")))
+    return line_dedup.dedup(doc_table(table(spark, sf_dir, "documents")), least_words=1)
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -498,6 +498,14 @@ def test_line_dedup_finds_every_pair_at_the_threshold(spark):
     assert len(like) >= copies and all(rows[a][0] in gone or rows[b][0] in gone for a, b in like)
 
 
+def test_line_dedup_query_takes_short_lines(spark, tmp_path):
+    rows = [(1, "all rights reserved\nalpha beta gamma\n\n!"), (2, "All rights, reserved!\ndelta\n\n!"),
+            (3, "delta\none two three four five"), (4, "one two three four")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["removed_lines"] for r in queries.op6_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: [], 2: [0], 3: [0], 4: [0]}
+
+
 # 7: decontamination
 
 def test_alignment_equals_full_table():
