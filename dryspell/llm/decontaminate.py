@@ -5,7 +5,10 @@ bitmap of fixed size over the items' gram hashes thins the texts' grams inside
 the scan, so only grams that an item may hold reach the join. A gram is rare if
 few documents hold it, counted over the whole corpus; one rare seed makes a
 candidate (document, item, diagonal band), and so do several common ones on one
-band, so a passage that many documents share is not missed. Each candidate's
+band. Whether a text can reach the threshold does not depend on those: pairs of
+words, next to each other or one apart, vote for (document, item, two bands), and
+all that have the votes an alignment at the threshold must have are candidates
+too, however many documents share them (:func:`voted`). Each candidate's
 window of the text is aligned with the item, word by word; the local alignment
 score over the item's perfect score tells copies, edited ones too, from chance.
 
@@ -39,6 +42,9 @@ BITMAP_BITS = 24
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 
+#: Word pairs of items that a task holds at once; more items take more scans.
+VOTE_GRAMS = 1 << 20
+
 _WORD = np.zeros(256, dtype=bool)
 _WORD[97:123] = True
 _WORD[48:58] = True
@@ -119,7 +125,119 @@ def seeds(docs: DataFrame, grams: DataFrame, n: int, rkey: str, text_col: str) -
             .select("rkey", "item_id", "n_words", (F.col("p") - F.col("at")).alias("diagonal"), "gram"))
 
 
-def candidates(found: DataFrame) -> DataFrame:
+def _pairs(words: np.ndarray, first: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place, hash) of each word with the d-th after it in its row."""
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    k = np.flatnonzero(row[:-d] == row[d:]) if len(row) > d else np.zeros(0, np.int64)
+    with np.errstate(over="ignore"):
+        return row[k], k - first[row[k]], mix(words[k] * _U(0xD6E8FEB86659FD93) + words[k + d])
+
+
+def needed_votes(n_words: np.ndarray, threshold: float) -> np.ndarray:
+    """Least votes of an item of ``n_words`` words in an alignment that reaches the threshold.
+
+    With m matches, c0 neighbouring ones next to each other and c1 with one other
+    word between them on either side, the score is at most 2 m - c1 - 2 (m - 1 - c0
+    - c1) = 2 + 2 c0 + c1. So pairs next to each other in both have two votes, pairs
+    at most one apart have one.
+    """
+    return np.maximum(1, np.ceil(2 * threshold * n_words - 2 - 1e-9)).astype(np.int64)
+
+
+def _item_pairs(part: DataFrame) -> tuple[np.ndarray, ...]:
+    """Pairs (hash in order, item, place, distance) of the items (item_id, text), and their word counts."""
+    got = part.toArrow()
+    ids, hashes, owner, place, apart, count = got["item_id"].to_pylist(), [], [], [], [], []
+    for i, text in enumerate(got["text"].to_pylist()):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        words, first = words_of(raw, np.array([0, len(raw)]))
+        count.append(len(words))
+        if len(words) < N:
+            continue
+        for d in (1, 2):
+            _, at, h = _pairs(words, first, d)
+            hashes.append(h)
+            owner.append(np.full(len(h), i))
+            place.append(at)
+            apart.append(np.full(len(h), d))
+    if not hashes:
+        return ids, np.array(count, dtype=np.int64), *(np.zeros(0, np.int64),) * 4
+    h, owner, place, apart = map(np.concatenate, (hashes, owner, place, apart))
+    order = np.argsort(h, kind="stable")
+    return ids, np.array(count), h[order], owner[order], place[order], apart[order]
+
+
+def _votes(words: np.ndarray, first: np.ndarray, items: tuple, bands: int, need: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, item, band) with enough votes on the diagonals of a band and the ``bands`` after it."""
+    _, count, grams, owner, place, apart = items
+    row, item, at, diagonal, weight = [], [], [], [], []
+    for d in (1, 2):
+        r, p, h = _pairs(words, first, d)
+        lo, hi = np.searchsorted(grams, h, "left"), np.searchsorted(grams, h, "right")
+        some = np.flatnonzero(hi > lo)
+        n = (hi - lo)[some]
+        k = np.repeat(lo[some], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        row.append(np.repeat(r[some], n))
+        item.append(owner[k])
+        at.append(place[k])
+        diagonal.append(np.repeat(p[some], n) - place[k])
+        weight.append(np.where((apart[k] == 1) & (d == 1), 2, 1))
+    row, item, at, diagonal, weight = map(np.concatenate, (row, item, at, diagonal, weight))
+    if len(row) == 0:
+        return row, item, row
+    # A place of the item votes once in a window, with its best pair.
+    own, low = diagonal // count[item], -(bands + 2)
+    place_of = (row * len(count) + item) * (int(own.max()) - low + 2)
+    keys = np.concatenate([place_of + own - b - low for b in range(bands + 1)])
+    again = bands + 1
+    at, weight = np.tile(at, again), np.tile(weight, again)
+    wide = int(count.max())
+    code = np.unique((keys * wide + at) * 4 + weight)
+    spot, vote = code >> 2, code & 3
+    last = np.append(spot[1:] != spot[:-1], True)
+    key, vote = spot[last] // wide, vote[last]
+    cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    total, key = np.add.reduceat(vote, cut), key[cut]
+    span = int(own.max()) - low + 2
+    which = key // span % len(count)
+    keep = total >= need[which]
+    return key[keep] // span // len(count), which[keep], key[keep] % span + low
+
+
+def voted(docs: DataFrame, items: DataFrame, rkey: str, text_col: str, threshold: float) -> DataFrame:
+    """(rkey, item_id, n_words, band) of every item of N or more words that may reach the threshold from the band on.
+
+    An alignment at the threshold has at most 2 - 2 ``threshold`` of the item's
+    words as gaps, which bounds how far its diagonals are apart. Items are dealt
+    to scans in parts of bounded size.
+    """
+    items = items.where("text IS NOT NULL")
+    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    scans = max(1, -(-size // VOTE_GRAMS))        # two pairs a word, two characters a word at least
+    bands = max(1, int(np.ceil(2 - 2 * threshold - 1e-9)))
+    out = None
+    for i in range(scans):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(scans)) == i)
+        held = docs.sparkSession.sparkContext.broadcast(_item_pairs(part))
+
+        def run(batches, held=held):
+            ids, count = held.value[:2]
+            need = needed_votes(count, threshold)
+            for batch in batches if len(held.value[2]) else ():
+                for a, z, data, offsets in text_slices(batch.column(1), 1 << 18):
+                    words, first = words_of(data, offsets)
+                    row, item, band = _votes(words, first, held.value, bands, need)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(row + a)), pa.array([ids[v] for v in item], pa.int64()),
+                         pa.array(count[item]), pa.array(band)], names=["rkey", "item_id", "n_words", "band"])
+
+        found = docs.select(F.col(rkey).alias("rkey"), text_col).mapInArrow(
+            run, "rkey bigint, item_id bigint, n_words bigint, band bigint")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def candidates(found: DataFrame, n: int = N) -> DataFrame:
     """(rkey, item_id, n_words, band): a band of diagonals is as wide as the item."""
     df = found.groupBy("gram", "rkey").agg(F.lit(1).alias("x")).groupBy("gram").agg(F.count("*").alias("df"))
     bands = found.withColumn("band", F.floor(F.col("diagonal") / F.col("n_words")))
@@ -127,7 +245,7 @@ def candidates(found: DataFrame) -> DataFrame:
     votes = bands.groupBy("rkey", "item_id", "n_words", "band", "gram").agg(F.lit(1).alias("x"))
     return (votes.join(df, "gram").groupBy("rkey", "item_id", "n_words", "band")
             .agg(F.count(F.when(F.col("df") <= RARE, 1)).alias("rare"), F.count("*").alias("seeds"))
-            .where((F.col("rare") > 0) | (F.col("seeds") >= F.least(F.lit(COMMON_SEEDS), F.col("n_words"))))
+            .where((F.col("rare") > 0) | (F.col("seeds") >= F.least(F.lit(COMMON_SEEDS), F.greatest(F.lit(1), F.col("n_words") - (n - 1)))))
             .select("rkey", "item_id", "n_words", "band"))
 
 
@@ -171,7 +289,9 @@ def scan(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int
     hits = materialize(seeds(keyed, grams, n, rkey, text_col), "decontaminate-seeds")
     texts = (items.select(F.col(item_id).cast("bigint").alias("i_id"), F.col(item_text).cast("string").alias("body"))
              .where("body IS NOT NULL"))
-    cands = (candidates(hits).join(texts, F.expr("item_id <=> i_id"))
+    named = items.select(F.col(item_id).cast("bigint").alias("item_id"), F.col(item_text).cast("string").alias("text"))
+    both = candidates(hits, n).unionByName(voted(keyed, named, rkey, text_col, threshold)).distinct()
+    cands = (both.join(texts, F.expr("item_id <=> i_id"))
              .groupBy(F.col("rkey").alias(rkey))
              .agg(F.collect_set(F.struct("item_id", "band", "n_words", "body")).alias(found)))
     joined = keyed.join(broadcast_checked(cands), rkey, "left")

@@ -544,6 +544,32 @@ def test_decontaminate_copies_edits_and_clean(spark, edge, empty):
     assert decontaminate.scan(empty, bench).count() == 0
 
 
+def test_decontaminate_finds_edited_and_short_items_in_many_documents(spark):
+    """Every document in which an item reaches 0.5, told by aligning all with all, is flagged."""
+    rng = random.Random(44)
+    invent = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n))
+    items = [(i, invent(n)) for i, n in enumerate([2, 3, 4, 5, 15, 15, 17, 24])]
+    rows = []
+    for i, text in items:
+        rows += [(1000 * i + j, invent(rng.randint(0, 60)) + " " + text + " " + invent(30)) for j in range(24)]
+        for j in range(24 if i >= 4 else 0):
+            words = text.split()
+            for p in rng.sample(range(len(words)), len(words) // 4):
+                words[p] = invent(1)
+            words.insert(rng.randrange(len(words)), invent(1))
+            rows.append((1000 * i + 100 + j, invent(rng.randint(0, 60)) + " " + " ".join(words)))
+    spread = " ".join(w + " " + invent(1) for w in items[5][1].split())       # no two words next to each other
+    rows += [(9000, spread), (9001, invent(200))]
+    got = {r["doc_id"]: set(r["items"]) for r in decontaminate.scan(
+        spark.createDataFrame(rows, "doc_id bigint, text string"),
+        spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    of = lambda t: decontaminate.words_of(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0]
+    for d, text in rows:
+        want = {i for i, t in items if decontaminate.smith_waterman(of(t), of(text))[0] >= len(of(t))}
+        assert got[d] == want, d
+    assert got[9000] == {5} and all(i in got[1000 * i + j] for i in range(8) for j in range(24))
+
+
 # 8: top-k
 
 def test_topk_against_duckdb(spark):
