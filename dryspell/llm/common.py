@@ -222,3 +222,15 @@ def maybe_in(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which unsigned keys may be among the bitmap's (false ones are few, missed ones none)."""
     place = (keys >> _U(64 - KEY_BITS)).astype(np.int64)
     return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
+
+
+def window_hash(words: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the k consecutive word hashes from each position, at a cost that does not grow with k."""
+    n = len(words) - k + 1
+    if n <= 0:
+        return np.zeros(0, _U)
+    power, inverse = _powers(len(words) + 1)
+    with np.errstate(over="ignore"):
+        prefix = np.zeros(len(words) + 1, dtype=_U)
+        np.cumsum(words * power[:len(words)], out=prefix[1:])
+        return mix((prefix[k:] - prefix[:n]) * inverse[:n])

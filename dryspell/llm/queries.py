@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dryspell.llm import (bpe, decontaminate, jaccard_join, language_id, license_scan, line_crf,
-                          line_dedup, topk, toxicity_knn, warc)
+from dryspell.llm import (bpe, conversation_repair, decontaminate, jaccard_join, language_id, license_scan, line_crf,
+                          line_dedup, substring_dedup, topk, toxicity_knn, treap_search, warc)
 from dryspell.llm.common import doc_table, id_bucket
 from dryspell.operators._exec import materialize
 from dryspell.session import scratch_path
@@ -80,6 +80,19 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (id_bucket(3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op11_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.summaries(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=35).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treap_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
@@ -91,10 +104,16 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
+    "op11_conversation": op11_conversation,
+    "op12_substring": op12_substring,
+    "op13_search": op13_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_warc": warc.ORACLE_SQL,
     "op5_license": license_scan.oracle_sql(),
     "op8_topk": topk.oracle_sql(k=20, every=20),
+    "op11_conversation": conversation_repair.oracle_sql(),
+    "op12_substring": substring_dedup.oracle_sql(window=35),
+    "op13_search": treap_search.oracle_sql(k=20),
 }

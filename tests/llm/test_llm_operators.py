@@ -60,13 +60,13 @@ def clashing(df):
 
 def against_duckdb(spark, name, sf=SF):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     want = con.execute(queries.ORACLE_SQL[name]).fetchdf()
     got = queries.QUERIES[name](spark, sf).toPandas()
     cols = sorted(want.columns)
     assert sorted(got.columns) == cols
-    rows = lambda df: sorted(tuple(None if v is None or v != v else v for v in r)
+    rows = lambda df: sorted(tuple(None if pd.isna(v) else v for v in r)
                              for r in df[cols].astype(object).itertuples(index=False, name=None))
     key = lambda r: tuple(map(str, r))
     assert sorted(rows(got), key=key) == sorted(rows(want), key=key)
@@ -582,7 +582,7 @@ def test_topk_edges(spark, monkeypatch):
     monkeypatch.setattr(topk, "DEPTHS", (2, 5))
     rng = np.random.default_rng(5)
     rows = [(i, rng.normal(size=6).tolist()) for i in range(150)] + [(200 + i, [1.0] * 6) for i in range(60)]
-    rows += [(20, [9.0] * 6), (300, None), (301, []), (302, [1.0, None, 0, 0, 0, 0]), (303, [float("nan")] * 6),
+    rows += [(20, [9.0] * 6), (300, None), (301, []), (302, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (303, [float("nan")] * 6),
              (304, [float("inf")] + [0.0] * 5), (None, [1.0] * 6), (320, [1.0, 2.0]), (321, [2.0, 2.0])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("v", F.lit(1))
     vectors = topk.integer_vectors(df)
