@@ -59,12 +59,12 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _runs(rows: np.ndarray, pos: np.ndarray):
-    """(row, first, last) of the runs of consecutive positions, from places sorted by row and position."""
+def _runs(rows: np.ndarray, pos: np.ndarray, gap: int = 1):
+    """(row, first, last) of the runs of positions at most ``gap`` apart, from places sorted by row and position."""
     if len(pos) == 0:
         return rows, pos, pos
     new = np.ones(len(pos), dtype=bool)
-    new[1:] = (rows[1:] != rows[:-1]) | (pos[1:] != pos[:-1] + 1)
+    new[1:] = (rows[1:] != rows[:-1]) | (pos[1:] > pos[:-1] + gap)
     at = np.flatnonzero(new)
     return rows[at], pos[at], pos[np.append(at[1:], len(pos)) - 1]
 
@@ -86,8 +86,8 @@ def _told(keys: np.ndarray):
 def _anchors(rows: DataFrame, window: int) -> DataFrame:
     """PLACES of the cover positions' anchors.
 
-    ``hi`` is -1 where the anchor was met once in its part; else the row is known
-    to repeat. Rows of ``key`` 0 and more than one position are known places only.
+    ``hi`` is -1 where the anchor was met once in its part; else the places from
+    ``lo`` to ``hi`` are known to repeat.
     """
     size = window - PERIOD + 1
 
@@ -108,12 +108,13 @@ def _anchors(rows: DataFrame, window: int) -> DataFrame:
                         continue
                     keys, doc, pos = window_hash(words, size)[at], doc[at], pos[at]
                     first, several = _told(keys)
-                    rest = ~first
-                    # Known places need no key; they are spread by their text's hash.
-                    yield _places(ids, ths, a, np.concatenate([keys[first], ths[a + doc[rest]].view(np.uint64)]),
-                                  np.concatenate([doc[first], doc[rest]]),
-                                  np.concatenate([pos[first], pos[rest]]),
-                                  np.concatenate([np.where(several[first], pos[first], -1), pos[rest]]))
+                    # Windows that hold anchors at most a period apart are one run. Known runs need
+                    # no key; they are spread by their place.
+                    known, lo, hi = _runs(doc[~first], pos[~first], PERIOD)
+                    spread = mix(ths[a + known].view(np.uint64) ^ lo.astype(np.uint64))
+                    yield _places(ids, ths, a, np.concatenate([keys[first], spread]),
+                                  np.concatenate([doc[first], known]), np.concatenate([pos[first], lo]),
+                                  np.concatenate([np.where(several[first], pos[first], -1), hi]))
 
     return rows.mapInArrow(run, PLACES)
 
@@ -233,8 +234,8 @@ def _windows(rows: DataFrame, window: int) -> DataFrame:
                     # Repeats within the part: the first place carries the key, all are known spans.
                     sent = np.flatnonzero(first)
                     known, lo, hi = _runs(doc[~first], pos[~first])
-                    # Known spans need no key; they are spread by their text.
-                    spread = mix(rids[a + known].astype(np.uint64))
+                    # Known runs need no key; they are spread by their place.
+                    spread = mix(mix(rids[a + known].astype(np.uint64)) ^ lo.astype(np.uint64))
                     yield pa.RecordBatch.from_arrays(
                         [_signed(np.concatenate([one[sent], spread])),
                          _signed(np.concatenate([two[sent], mix(spread)])),
