@@ -59,3 +59,35 @@ def completeness_report(daily: DataFrame, *, min_days: int = S.MIN_DAYS,
     per_group = yearly(daily, min_days=None, min_year=min_year)
     return per_group.agg(F.count(F.lit(1)).alias("station_years"),
                          F.count_if(F.col("days") >= F.lit(min_days)).alias("complete_station_years"))
+
+
+def day_bit(day: str):
+    """A day of the month as one bit of a BIGINT: ORed, the bits of a month's distinct days."""
+    return F.expr(f"shiftleft(1L, CAST({day} AS INT))")
+
+
+# Days of a year as bits: two months of 32 bits in each of six words.
+_DAY_WORDS = 6
+
+
+def yearly_distinct_days(daily: DataFrame, *, min_days: int | None = S.MIN_DAYS,
+                         min_year: int = S.MIN_YEAR) -> DataFrame:
+    """(code, year, days, distinct_days, precip): rows and distinct days side by side.
+
+    A day with two rows counts twice in ``days`` and once in ``distinct_days``, which
+    the completeness rule reads here. Days are bits of six words a station-year,
+    merged with OR: the aggregate keeps a fixed-size state and combines before the
+    shuffle, where COUNT(DISTINCT) would send every day. A row without a month or
+    day counts as a row, not as a day; a month or day out of range fails.
+    """
+    keys = ["code", "year"]
+    place = F.expr("(month - 1) * 32 + day")
+    checked = F.when(F.expr("month NOT BETWEEN 1 AND 12 OR day NOT BETWEEN 1 AND 31"),
+                     F.raise_error(F.lit("month or day out of range")).cast("int")).otherwise(place)
+    rows = _valid(daily, keys, min_year).select(*keys, "precip", checked.alias("_d"))
+    words = [F.expr(f"bit_or(CASE WHEN _d div 64 = {w} THEN shiftleft(1L, CAST(_d % 64 AS INT)) END)").alias(f"_w{w}")
+             for w in range(_DAY_WORDS)]
+    distinct = sum((F.coalesce(F.bit_count(f"_w{w}"), F.lit(0)) for w in range(_DAY_WORDS)), F.lit(0))
+    out = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("days"), F.sum("precip").alias("precip"), *words)
+           .select(*keys, "days", distinct.alias("distinct_days"), "precip"))
+    return out if min_days is None else out.where(F.col("distinct_days") >= F.lit(min_days))

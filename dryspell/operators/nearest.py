@@ -64,13 +64,13 @@ def project_stations(stations: DataFrame, zone: int | None = S.UTM_ZONE) -> Data
     return valid.select("code", e.alias("x"), n.alias("y"))
 
 
-def _pieces(segs: DataFrame, s: float) -> DataFrame:
-    """Register segment pieces (length <= s) in the grid cells they touch.
+def _pieces(segs: DataFrame, s: float, slack: float = 1e-9) -> DataFrame:
+    """Register segment pieces (length <= s) in the grid cells they touch, padded by ``slack`` of a cell.
 
     Expressions are SQL text so building the plan costs a few JVM calls.
     """
     sd = f"CAST({s!r} AS DOUBLE)"
-    pad = f"CAST({s * 1e-9!r} AS DOUBLE)"
+    pad = f"CAST({s * slack!r} AS DOUBLE)"
     n = f"greatest(1, CAST(ceil(sqrt((bx - ax) * (bx - ax) + (by - ay) * (by - ay)) / {sd}) AS INT))"
     at = "{a} + ({b} - {a}) * ({t} / CAST(_np AS DOUBLE))"
     x0 = at.format(a="ax", b="bx", t="CAST(_k AS DOUBLE)")

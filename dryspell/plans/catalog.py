@@ -16,9 +16,11 @@ from dryspell import schemas as S
 from dryspell.functions.codes import canonical_code, composite_key, key_part
 from dryspell.functions.values import date_label_parts, is_missing, parse_value
 from dryspell.functions.zones import zone_label, zone_number
-from dryspell.operators import accumulate, boundaries as B, nearest as N, report as R, stats as ST
+from dryspell.operators import accumulate, boundaries as B, incremental, nearest as N, report as R, stats as ST
 from dryspell.operators._exec import materialize
+from dryspell.operators.containment import containing_region
 from dryspell.operators.ingest import daily_from_matrix, station_filter, unpivot_wide
+from dryspell.operators.ranking import rank_in_group
 from dryspell.operators.zones import natural_zones, natural_zones_union
 from dryspell.plans import jobs
 from dryspell.plans import views as V
@@ -102,6 +104,36 @@ def q_completeness_report(spark, sf):
     return accumulate.completeness_report(V.daily(spark, sf), min_days=V.VIEW_MIN_DAYS)
 
 
+def q_yearly_distinct_days(spark, sf):
+    d = accumulate.yearly_distinct_days(V.daily(spark, sf), min_days=None)
+    return d.select("*", (F.col("days") >= V.VIEW_MIN_DAYS).alias("complete_by_rows"),
+                    (F.col("distinct_days") >= V.VIEW_MIN_DAYS).alias("complete_by_days"))
+
+
+def _loaded_state(spark, sf):
+    """The daily table loaded in two parts, the second of them twice."""
+    path, daily = scratch_path(spark, "month-state"), V.daily(spark, sf)
+    early, late = daily.where(f"day <= {V.LOAD_SPLIT_DAY}"), daily.where(f"day > {V.LOAD_SPLIT_DAY}")
+    for part, load in ((early, "early"), (late, "late"), (late, "late")):
+        incremental.apply_load(spark, path, part, load)
+    return incremental.read_state(spark, path)
+
+
+def q_incremental_yearly(spark, sf):
+    return incremental.yearly_of(_loaded_state(spark, sf), min_days=V.VIEW_MIN_DAYS)
+
+
+def q_incremental_monthly(spark, sf):
+    return incremental.monthly_of(_loaded_state(spark, sf))
+
+
+def q_rank_in_zone(spark, sf):
+    daily = V.daily(spark, sf)
+    zoned = ST.attach_zone(daily, V.natural_lookup(spark, sf), on_missing="zero")
+    return rank_in_group(zoned.select("zone", "year", "month", "day", "code", "precip"), ["zone"],
+                         ["year", "month", "day", "code", "precip"])
+
+
 def q_composite_key_roundtrip(spark, sf):
     keyed = V.yearly(spark, sf).select(composite_key("code", "year").alias("key"), "days", "precip")
     return keyed.select("key", canonical_code(key_part("key", 1)).alias("code"),
@@ -281,6 +313,11 @@ def q_close_rings(spark, sf):
     return B.close_rings(V.boundaries(spark, sf))
 
 
+def q_containing_region(spark, sf):
+    return containing_region(V.points_and_vertices(spark, sf, _points(spark, sf)),
+                             B.close_rings(V.boundaries(spark, sf)))
+
+
 # ---------------------------------------------------------------- sources and sinks
 
 def q_tsv_roundtrip(spark, sf):
@@ -421,4 +458,9 @@ QUERIES: dict[str, Query] = {
     "result_tsv_read": q_result_tsv_read,
     "spi_series_one_zone": q_spi_series_one_zone,
     "boundary_region_filter": q_boundary_region_filter,
+    "yearly_distinct_days": q_yearly_distinct_days,
+    "incremental_yearly": q_incremental_yearly,
+    "incremental_monthly": q_incremental_monthly,
+    "rank_in_zone": q_rank_in_zone,
+    "containing_region": q_containing_region,
 }

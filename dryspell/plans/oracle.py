@@ -375,3 +375,42 @@ SELECT code || '##' || CAST(year AS VARCHAR) || '##' || lpad(CAST(month AS VARCH
        code, year, month, days, precip FROM monthly"""
 SQL["region_table_write"] = _with(VIEWS, GEO) + f"""
 SELECT {_canon('code')} AS code, region AS zone FROM nearest_all"""
+
+SQL["yearly_distinct_days"] = _with(VIEWS) + """
+SELECT code, year, count(*) AS days, CAST(count(DISTINCT (month, day)) AS INTEGER) AS distinct_days,
+       sum(precip) AS precip, count(*) >= 75 AS complete_by_rows, count(DISTINCT (month, day)) >= 75 AS complete_by_days
+FROM daily WHERE year >= 1900 GROUP BY code, year"""
+SQL["incremental_yearly"] = _with(VIEWS) + """
+SELECT code, year, count(*) AS days, CAST(count(DISTINCT (month, day)) AS INTEGER) AS distinct_days,
+       sum(precip) AS precip
+FROM daily WHERE year >= 1900 GROUP BY code, year HAVING count(*) >= 75"""
+SQL["incremental_monthly"] = _with(VIEWS) + """
+SELECT code, year, month, count(*) AS days, CAST(count(DISTINCT day) AS INTEGER) AS distinct_days,
+       sum(precip) AS precip
+FROM daily WHERE year >= 1900 GROUP BY code, year, month"""
+SQL["rank_in_zone"] = _with(VIEWS) + """
+SELECT zone, year, month, day, code, precip,
+       row_number() OVER (PARTITION BY zone ORDER BY year, month, day, code, precip) AS rank
+FROM (SELECT d.*, coalesce(l.zone, 0) AS zone FROM daily d LEFT JOIN natural_lookup l ON d.code = l.code)"""
+SQL["containing_region"] = _with(VIEWS, GEO) + """,
+ring AS (
+  SELECT region, feature_id, ax, ay, bx, bby FROM seg
+  UNION ALL
+  SELECT b.region, b.feature_id, b.x, b.y, f.x, f.y
+  FROM bnd b JOIN bnd f ON f.region = b.region AND f.feature_id = b.feature_id AND f.seq = 0
+  JOIN (SELECT region, feature_id, max(seq) AS last FROM bnd GROUP BY region, feature_id) e
+    ON e.region = b.region AND e.feature_id = b.feature_id AND e.last = b.seq
+  WHERE e.last >= 1),
+spot AS (
+  SELECT code, x, y FROM pts
+  UNION ALL
+  SELECT 'v-' || region || '-' || feature_id || '-' || seq, x, y FROM bnd WHERE feature_id < 1000000000),
+hit AS (
+  SELECT p.code, r.region FROM spot p CROSS JOIN ring r GROUP BY p.code, r.region
+  HAVING sum(CASE WHEN (r.ay <= p.y) <> (r.bby <= p.y)
+                   AND p.x < r.ax + (p.y - r.ay) * (r.bx - r.ax) / (r.bby - r.ay) THEN 1 ELSE 0 END) % 2 = 1
+      OR bool_or((r.bx - r.ax) * (p.y - r.ay) - (r.bby - r.ay) * (p.x - r.ax) = 0
+                 AND p.x BETWEEN least(r.ax, r.bx) AND greatest(r.ax, r.bx)
+                 AND p.y BETWEEN least(r.ay, r.bby) AND greatest(r.ay, r.bby)))
+SELECT p.code, h.region FROM spot p LEFT JOIN (SELECT code, min(region) AS region FROM hit GROUP BY code) h
+  ON h.code = p.code"""

@@ -35,6 +35,7 @@ VIEW_RECENT = (1997, 1998)     # the plots' recent period, inside the synthetic
 VIEW_HIGHLIGHT = 3             # zone drawn apart on the latitude profile
 VIEW_LABELS = {1: "first", 3: "third"}
 UNLISTED_EVERY = 9             # such stations are missing from the partial lookup
+LOAD_SPLIT_DAY = 15            # days after it come with the second load
 REPEATED_EVERY = 4             # such stations appear twice, the second time without zeros
 
 
@@ -170,6 +171,13 @@ def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).unionByName(single)
 
 
+def points_and_vertices(spark: SparkSession, sf_dir: str, points: DataFrame) -> DataFrame:
+    """(code, x, y): points, plus the boundary vertices themselves, which lie on ring edges."""
+    vertices = boundaries(spark, sf_dir).where(f"feature_id < {SINGLE_FROM}").selectExpr(
+        "concat_ws('-', 'v', region, feature_id, seq) AS code", "x", "y")
+    return points.select("code", "x", "y").unionByName(vertices)
+
+
 def matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw station-by-day matrix text, split column-wise into blocks.
 
