@@ -113,4 +113,5 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
         _HELD.written[-1].append((spark, path))
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: no job looks it up in the files' footers.
+    return (spark.read if partition_by else spark.read.schema(df.schema)).parquet(path)

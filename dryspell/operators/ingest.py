@@ -29,6 +29,11 @@ _FIELD_LAT = S.STATION_FIELDS.index("lat")
 _FIELD_LON = S.STATION_FIELDS.index("lon")
 
 
+def _width(line: str):
+    """Values of a line after its label: its commas, counted without splitting it."""
+    return F.expr(f"length({line}) - length(replace({line}, ',', ''))")
+
+
 def _cells(lines: DataFrame, *cols: str) -> DataFrame:
     """Lines -> one row per matrix cell: (*cols, label, pos, v).
 
@@ -46,8 +51,8 @@ def _cells(lines: DataFrame, *cols: str) -> DataFrame:
 def matrix_heads(lines: DataFrame, n_meta: int = S.N_META_LINES) -> DataFrame:
     """(block, field, value): the first ``n_meta`` lines of each file.
 
-    Lines read from files are not scanned for this: the start of each file is
-    read by itself. Only for a DataFrame without files (already in memory) are the
+    Lines read from files are not scanned for this: one job reads the start of
+    every file. Only for a DataFrame without files (already in memory) are the
     heads taken from its rows, by line number.
     """
     files = lines.inputFiles()
@@ -73,7 +78,7 @@ def matrix_stations(heads: DataFrame) -> DataFrame:
 
 def _head_rules(heads: DataFrame, n_meta: int) -> DataFrame:
     """Per file: its head lines and its width; a head that is short, ragged or holds a day fails."""
-    width = F.size(F.split("value", ",", -1)) - 1
+    width = _width("value")
     label = F.substring_index("value", ",", 1)
     rules = heads.groupBy("block").agg(
         F.collect_set("value").alias("head"), F.count("*").alias("n"),
@@ -89,7 +94,7 @@ def _day_lines(lines: DataFrame, rules: DataFrame) -> DataFrame:
     """(block, value) of the day lines; any other line must be blank or of its file's head."""
     label = F.substring_index(F.col("value"), ",", 1)
     at = F.concat(F.lit(" in "), F.col("block"), F.lit(": "), F.substring("value", 1, 80))
-    width = F.size(F.split("value", ",", -1)) - 1
+    width = _width("value")
     keep = (F.when(F.col("head").isNull(),
                    F.raise_error(F.concat(F.lit("no header for the matrix file"), at)).cast("boolean"))
             .when(is_date_label(label), F.when(width == F.col("width"), F.lit(True)).otherwise(

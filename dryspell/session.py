@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -41,9 +42,27 @@ def build_session(master: str = "local[*]", app_name: str = "dryspell",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once a session, unless their PYTHONPATH has it.
+
+    Python workers load the package by name; without this they find it only where
+    it is installed or the driver's PYTHONPATH names it.
+    """
+    sc = spark.sparkContext
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    named = {os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
+    if home in named or getattr(sc, "_dryspell_shipped", False):
+        return
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="dryspell-ship-"), "dryspell"), "zip", home,
+                                  "dryspell")
+    sc.addPyFile(archive)
+    sc._dryspell_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, choosing one only if none is configured.
 

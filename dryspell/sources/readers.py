@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import json
+from urllib.parse import urlsplit
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dryspell import schemas as S
 from dryspell.functions.codes import canonical_code, key_part
+from dryspell.functions.values import is_date_label
 from dryspell.functions.zones import zone_number
+from dryspell.operators._exec import materialize
+from dryspell.sources import matrix_heads
 
 
-def read_matrix_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_matrix_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw station-by-day matrix text -> (block, line_no, value).
 
     ``block`` is the source file, so a directory of column-split matrix
@@ -28,19 +32,33 @@ def read_matrix_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_matrix_heads(spark: SparkSession, files: list[str], n: int = S.N_META_LINES) -> DataFrame:
-    """(block, field, value): the first ``n`` lines of each matrix file.
+    """(block, field, value): the first ``n`` lines of each matrix file, written once.
 
-    Each file's start is read by a job of one task that stops after n lines, so
-    the text is not scanned for its head; a few files are read at a time. The
-    driver holds n lines a file: what the columns' names and places take.
+    One job for any number of files: the list is dealt to tasks, which read their
+    files' starts and stop (see :mod:`dryspell.sources.matrix_heads`). Files in a store
+    that only Spark opens are scanned by Spark for lines that are no day's.
     """
-    def head(path: str) -> list[tuple[str, int, str]]:
-        lines = (spark.read.text(path).select(F.col("_metadata.file_path").alias("block"), "value").head(n))
-        return [(r["block"], i, r["value"]) for i, r in enumerate(lines)]
-
-    with ThreadPoolExecutor(8) as pool:
-        rows = [row for part in pool.map(head, files) for row in part]
-    return spark.createDataFrame(rows, "block string, field int, value string")
+    if not files:
+        return spark.createDataFrame([], matrix_heads.SCHEMA)
+    if {urlsplit(f).scheme for f in files} <= set(matrix_heads.SCHEMES):
+        if not getattr(spark, "_knows_matrix_heads", False):
+            spark.dataSource.register(matrix_heads.MatrixHeads)
+            spark._knows_matrix_heads = True
+        heads = (spark.read.format("matrix_heads").option("files", json.dumps(files)).option("lines", str(n)).load())
+    else:
+        heads = scan_matrix_heads(spark, files)
+    return materialize(heads, "matrix-heads")
+
+
+def scan_matrix_heads(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(block, field, value) of the lines of files' first splits that are neither blank nor a day's."""
+    label = F.substring_index("value", ",", 1)
+    lines = (spark.read.text(files)
+             .select(F.col("_metadata.file_path").alias("block"), F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("line"), "value")
+             .where((F.col("start") == 0) & (F.trim("value") != "") & ~is_date_label(label)))
+    place = F.row_number().over(Window.partitionBy("block").orderBy("line")) - 1
+    return lines.select("block", place.alias("field"), "value")
 
 
 def read_stations(spark: SparkSession, path: str) -> DataFrame:

@@ -10,6 +10,8 @@ failure replaces what its first attempt left: no file is in the table twice.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,15 +19,17 @@ from pyspark.sql.streaming import StreamingQuery
 from dryspell import schemas as S
 from dryspell.operators._exec import release_after
 from dryspell.operators.ingest import daily_from_matrix
-from dryspell.sources.readers import read_matrix_heads
+from dryspell.sources.readers import read_matrix_lines
 
 
 def write_batch(batch: DataFrame, batch_id: int, daily_out: str, n_meta: int = S.N_META_LINES) -> None:
-    """Melt the files of one micro-batch (block, value) into ``daily_out/batch=<id>``."""
-    files = [r["block"] for r in batch.select("block").distinct().collect()]
-    heads = read_matrix_heads(batch.sparkSession, files, n_meta)
+    """Melt the files that one micro-batch names (block) into ``daily_out/batch=<id>``."""
+    spark = batch.sparkSession
+    files = sorted(unquote(r["block"]) for r in batch.select("block").distinct().collect())
+    if not files:
+        return
     with release_after():
-        daily = daily_from_matrix(batch, n_meta=n_meta, heads=heads)
+        daily = daily_from_matrix(read_matrix_lines(spark, files), n_meta=n_meta)
         daily.write.mode("overwrite").partitionBy("year").parquet(f"{daily_out}/batch={batch_id}")
 
 
@@ -36,11 +40,14 @@ def start_daily_ingest(spark: SparkSession, matrix_dir: str, daily_out: str, *,
 
     ``checkpoint`` belongs to this stream alone and must outlive the session.
     """
-    reader = spark.readStream.format("text")
+    # The stream carries file names only: a file's bytes are not read for it. Each batch
+    # then reads its files as a batch job does, once for the heads and once for the melt.
+    reader = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length long, content binary")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = reader.load(matrix_dir).select(F.col("_metadata.file_path").alias("block"), "value")
-    writer = (lines.writeStream.foreachBatch(lambda batch, i: write_batch(batch, i, daily_out, n_meta))
+    names = reader.load(matrix_dir).select(F.col("_metadata.file_path").alias("block"))
+    writer = (names.writeStream.foreachBatch(lambda batch, i: write_batch(batch, i, daily_out, n_meta))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

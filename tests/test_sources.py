@@ -1,11 +1,14 @@
 """Readers and writers: file round trips in the reference's formats."""
 
 import os
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
+from dryspell import schemas as S
 from dryspell.operators.ingest import daily_from_matrix
-from dryspell.sources import readers, sinks
+from dryspell.sources import matrix_heads, readers, sinks
 
 META = ["code", "institution", "source", "name", "altitude", "lat", "lon", "basin_code", "basin_name",
         "subbasin_code", "subbasin_name", "obs_start", "obs_end", "obs_count", "auto_start"]
@@ -104,3 +107,61 @@ def test_boundaries_in_other_formats(spark, tmp_dir):
     sinks.write_partitioned(b, pc, by="region", fmt="csv")
     back = readers.read_boundaries(spark, pc, fmt="csv").where(F.col("region") == 2).collect()
     assert [tuple(r) for r in back] == [(2, 0, 0, 5.0, 6.0)]
+
+
+def _small_matrix(path, code, value, end="\n"):
+    fields = {"code": code, "institution": "DGA", "lat": "-30.0", "lon": "-70.0"}
+    lines = [f"{f},{fields.get(f, 'x')}" for f in S.STATION_FIELDS] + [f"2010-05-06,{value}", ""]
+    with open(path, "w", newline="") as fh:
+        fh.write(end.join(lines))
+
+
+def test_heads_of_many_files_take_one_job(spark, tmp_dir):
+    """10,000 files: the heads are one job, and the melt finds every file's own head."""
+    n = 10_000
+    for i in range(n):
+        _small_matrix(os.path.join(tmp_dir, f"m{i:05d}.txt"), f"{i + 1:06d}", i % 50)
+    lines = readers.read_matrix_lines(spark, tmp_dir)
+    files = lines.inputFiles()
+    assert len(files) == n
+    spark.sparkContext.setJobGroup("heads", "heads")
+    try:
+        heads = readers.read_matrix_heads(spark, files)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("heads")) == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert heads.count() == 15 * n and heads.where("field = 0").select("value").distinct().count() == n
+    got = daily_from_matrix(lines, heads=heads).agg(F.count("code"), F.sum("precip")).first()
+    assert got[:] == (n, sum(i % 50 for i in range(n)))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_heads_of_odd_names_and_line_ends(spark, tmp_dir, end):
+    folder = os.path.join(tmp_dir, "a b%20=c")
+    os.makedirs(folder)
+    for name in ("x y.txt", "ñ+1%.txt"):
+        _small_matrix(os.path.join(folder, name), "007", 3, end)
+    lines = readers.read_matrix_lines(spark, folder)
+    assert sorted(map(tuple, daily_from_matrix(lines).collect())) == [("7", 2010, 5, 6, 3.0)] * 2
+    heads = readers.read_matrix_heads(spark, lines.inputFiles())
+    scanned = readers.scan_matrix_heads(spark, [folder])
+    assert sorted(map(tuple, heads.collect())) == sorted(map(tuple, scanned.collect()))
+
+
+def test_first_lines_read_no_more_than_they_need(tmp_dir, monkeypatch):
+    path = os.path.join(tmp_dir, "m.txt")
+    with open(path, "w") as fh:
+        fh.write("﻿head,é\r\nsecond\r\n\r\n" + "x" * 1000)
+    for chunk in (1, 2, 7, 1 << 18):
+        monkeypatch.setattr(matrix_heads, "CHUNK", chunk)
+        assert matrix_heads.first_lines(f"file://{path}", 2) == ["head,é", "second"]
+    assert len(matrix_heads.first_lines(path, 9)) == 4
+    open(path, "w").close()
+    assert matrix_heads.first_lines(path, 3) == []
+
+
+def test_matrix_lines_are_split_once(spark, tmp_dir):
+    _small_matrix(os.path.join(tmp_dir, "m.txt"), "007", 3)
+    plan = daily_from_matrix(readers.read_matrix_lines(spark, tmp_dir))._jdf.queryExecution().optimizedPlan().toString()
+    line = re.search(r"Relation \[(value#\d+),", plan).group(1)
+    assert len(re.findall(rf"split\({line},", plan)) == 1
