@@ -17,6 +17,7 @@ from dryspell.functions.codes import canonical_code, composite_key, key_part
 from dryspell.functions.values import date_label_parts, is_missing, parse_value
 from dryspell.functions.zones import zone_label, zone_number
 from dryspell.operators import accumulate, boundaries as B, incremental, nearest as N, report as R, stats as ST
+from dryspell.operators import colocated, seasonal
 from dryspell.operators._exec import materialize
 from dryspell.operators.containment import containing_region
 from dryspell.operators.ingest import daily_from_matrix, station_filter, unpivot_wide
@@ -25,7 +26,7 @@ from dryspell.operators.zones import natural_zones, natural_zones_union
 from dryspell.plans import jobs
 from dryspell.plans import views as V
 from dryspell.session import scratch_path
-from dryspell.sources import readers, sinks
+from dryspell.sources import readers, sinks, wkt
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -134,6 +135,35 @@ def q_rank_in_zone(spark, sf):
                          ["year", "month", "day", "code", "precip"])
 
 
+def _seasonal_sums(spark, sf):
+    sums = seasonal.running_sums(V.monthly_excess(spark, sf), V.SEASON_MONTHS)
+    return ST.attach_zone(sums, V.region_lookup(spark, sf), on_missing="error")
+
+
+def q_running_sums(spark, sf):
+    return _seasonal_sums(spark, sf)
+
+
+def q_seasonal_spi(spark, sf):
+    sums = materialize(_seasonal_sums(spark, sf), "seasonal-sums")
+    s = seasonal.seasonal_spi(sums, ["zone", "month"])
+    return s.select("code", "zone", "year", "month", "total", _r("spi", 5).alias("spi"))
+
+
+def q_gamma_fit(spark, sf):
+    keys = ["zone", "month"]
+    fit = seasonal.gamma_fit(seasonal.gamma_moments(_seasonal_sums(spark, sf), keys), keys)
+    return fit.select(*keys, _r("zero_share", 6).alias("zero_share"), _r("shape", 6).alias("shape"),
+                      _r("scale", 6).alias("scale"))
+
+
+def q_colocated_climatology(spark, sf):
+    stored = colocated.store_for_climatology(V.yearly(spark, sf), V.repeated_stations(spark, sf),
+                                             V.partial_lookup(spark, sf), buckets=8)
+    c = colocated.climatology_of_stored(*stored)
+    return c.select("code", _r("annual_mean", 6).alias("annual_mean"), "lat", "lon", "zone")
+
+
 def q_composite_key_roundtrip(spark, sf):
     keyed = V.yearly(spark, sf).select(composite_key("code", "year").alias("key"), "days", "precip")
     return keyed.select("key", canonical_code(key_part("key", 1)).alias("code"),
@@ -358,6 +388,13 @@ def q_boundary_table_read(spark, sf):
     return readers.read_boundaries(spark, path, fmt="csv")
 
 
+def q_boundary_wkt_read(spark, sf):
+    path = scratch_path(spark, "boundaries-wkt")
+    lines = V.boundaries(spark, sf).where(f"feature_id < {V.SINGLE_FROM}")
+    sinks.write_tsv(wkt.wkt_of_features(lines, V.FEATURES_PER_TEXT), path)
+    return wkt.read_boundaries_wkt(spark, path)
+
+
 def q_region_partitioned_roundtrip(spark, sf):
     path = scratch_path(spark, "boundaries-by-region")
     sinks.write_partitioned(V.boundaries(spark, sf), path, by="region")
@@ -463,4 +500,9 @@ QUERIES: dict[str, Query] = {
     "incremental_monthly": q_incremental_monthly,
     "rank_in_zone": q_rank_in_zone,
     "containing_region": q_containing_region,
+    "running_sums": q_running_sums,
+    "gamma_fit": q_gamma_fit,
+    "seasonal_spi": q_seasonal_spi,
+    "colocated_climatology": q_colocated_climatology,
+    "boundary_wkt_read": q_boundary_wkt_read,
 }

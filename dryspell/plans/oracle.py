@@ -414,3 +414,62 @@ hit AS (
                  AND p.y BETWEEN least(r.ay, r.bby) AND greatest(r.ay, r.bby)))
 SELECT p.code, h.region FROM spot p LEFT JOIN (SELECT code, min(region) AS region FROM hit GROUP BY code) h
   ON h.code = p.code"""
+
+
+def _quantile_sql(p: str) -> str:
+    """AS 241 in DuckDB, from the published coefficients listed with the Spark expression."""
+    from dryspell.functions import distributions as D
+
+    def poly(coefficients, x):
+        return "(" + " + ".join(f"{_d(c)} * pow({x}, {i})" for i, c in enumerate(coefficients)) + ")"
+
+    def ratio(pair, x):
+        return f"{poly(pair[0], x)} / {poly(pair[1], x)}"
+
+    r = f"sqrt(-ln(least({p}, 1 - {p})))"
+    return (f"CASE WHEN abs({p} - 0.5) <= 0.425 THEN ({p} - 0.5) * "
+            f"{ratio(D.CENTRAL, f'(0.180625 - ({p} - 0.5) * ({p} - 0.5))')} "
+            f"ELSE sign({p} - 0.5) * CASE WHEN {r} <= 5 THEN {ratio(D.MIDDLE, f'({r} - 1.6)')} "
+            f"ELSE {ratio(D.TAIL, f'({r} - 5.0)')} END END")
+
+
+SEASON = """
+excess AS (
+  SELECT m.code, l.zone, m.year, m.month, m.year * 12 + m.month - 1 AS t, greatest(m.precip - 30.0, 0.0) AS precip
+  FROM monthly m JOIN region_lookup l ON l.code = m.code),
+season AS (
+  SELECT a.code, a.zone, a.year, a.month, CASE WHEN count(*) = 3 THEN sum(b.precip) END AS total
+  FROM excess a JOIN excess b ON b.code = a.code AND b.t BETWEEN a.t - 2 AND a.t
+  GROUP BY a.code, a.zone, a.year, a.month),
+moments AS (
+  SELECT zone, month, count(*) AS n, count(*) FILTER (WHERE total <= 0) AS zeros,
+         avg(total) FILTER (WHERE total > 0) AS mean, avg(ln(total)) FILTER (WHERE total > 0) AS log_mean
+  FROM season WHERE total IS NOT NULL GROUP BY zone, month),
+fit0 AS (SELECT zone, month, zeros / n AS zero_share, mean, n - zeros AS positive, ln(mean) - log_mean AS a FROM moments),
+fit AS (
+  SELECT zone, month, zero_share,
+         CASE WHEN positive >= 2 AND a > 1e-12 THEN (1 + sqrt(1 + 4 * a / 3)) / (4 * a) END AS shape, mean
+  FROM fit0),
+level AS (
+  SELECT s.*, f.shape, f.zero_share, s.total / (f.mean / f.shape) AS x
+  FROM season s LEFT JOIN fit f ON f.zone = s.zone AND f.month = s.month),
+share AS (
+  SELECT *, CASE WHEN x IS NULL THEN NULL WHEN x <= 0 THEN zero_share
+                 ELSE zero_share + (1 - zero_share) * least(1.0, list_sum(list_transform(
+                        range(0, CAST(ceil(x + 12 * sqrt(x) + 80) AS BIGINT)),
+                        lambda n: exp((shape + n) * ln(x) - x - lgamma(shape + 1 + n))))) END AS h0 FROM level),
+held AS (SELECT *, least(greatest(h0, pow(2.0, -53)), 1 - pow(2.0, -53)) AS h FROM share)
+"""
+SQL["running_sums"] = _with(VIEWS, SEASON) + "SELECT code, zone, year, month, total FROM season"
+SQL["gamma_fit"] = _with(VIEWS, SEASON) + """
+SELECT zone, month, round(zero_share, 6) AS zero_share, round(shape, 6) AS shape, round(mean / shape, 6) AS scale FROM fit"""
+SQL["seasonal_spi"] = _with(VIEWS, SEASON) + f"""
+SELECT code, zone, year, month, total, round(CASE WHEN h0 IS NULL THEN NULL ELSE {_quantile_sql('h')} END, 5) AS spi
+FROM held"""
+SQL["colocated_climatology"] = _with(VIEWS) + f"""
+SELECT a.code, round(a.annual_mean, 6) AS annual_mean, s.lat, s.lon, coalesce(l.zone, 0) AS zone
+FROM (SELECT code, avg(precip) AS annual_mean FROM yearly GROUP BY code) a
+JOIN (SELECT {_canon("split_part(code, '#', 1)")} AS code, lat, lon FROM stn_rep) s ON a.code = s.code
+LEFT JOIN (SELECT {_canon('code')} AS code, CAST(s_nationkey % 16 AS INTEGER) AS zone FROM stn
+           WHERE s_suppkey % 9 <> 0) l ON a.code = l.code"""
+SQL["boundary_wkt_read"] = _with(VIEWS) + "SELECT region, feature_id, seq, x, y FROM bnd WHERE feature_id < 1000000000"

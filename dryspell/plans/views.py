@@ -36,6 +36,9 @@ VIEW_HIGHLIGHT = 3             # zone drawn apart on the latitude profile
 VIEW_LABELS = {1: "first", 3: "third"}
 UNLISTED_EVERY = 9             # such stations are missing from the partial lookup
 LOAD_SPLIT_DAY = 15            # days after it come with the second load
+SEASON_MONTHS = 3              # months of a running sum
+DRY_BELOW = 30.0               # a month's total up to this counts as dry in the seasonal view
+FEATURES_PER_TEXT = 3          # boundary features in one multi-line text
 REPEATED_EVERY = 4             # such stations appear twice, the second time without zeros
 
 
@@ -116,6 +119,12 @@ def yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accumulate.yearly(daily(spark, sf_dir), min_days=VIEW_MIN_DAYS)
 
 
+def monthly_excess(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(code, year, month, precip): monthly totals above DRY_BELOW, so that some seasons are dry."""
+    return accumulate.monthly(daily(spark, sf_dir)).selectExpr(
+        "code", "year", "month", f"greatest(precip - {DRY_BELOW}D, 0.0D) AS precip")
+
+
 def region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(code, zone): administrative region per station (the region file)."""
     st = stations(spark, sf_dir)
