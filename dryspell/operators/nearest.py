@@ -156,6 +156,20 @@ def nearest_by_grid(points: DataFrame, segs: DataFrame, *, point_keys: list[str]
     index = materialize(reduce(DataFrame.unionByName,
                                [_cell_index(sg, group_cols, size[k], k) for k in range(levels + 1)]),
                         "grid-index", partition_by="level")
+    return descend(pts, size, lambda k: index.where(F.col("level") == k).drop("level"), _pieces(sg, size[levels]),
+                   point_keys=point_keys, group_cols=group_cols, tag=tag, own_group=own_group)
+
+
+def descend(pts: DataFrame, size: list[float], cells, pieces: DataFrame, *, point_keys: list[str],
+            group_cols: list[str], tag: str | None, own_group: bool = False) -> DataFrame:
+    """The search itself: from the top level's cells down to the pieces of the finest.
+
+    ``pts``: point_keys (+ group_cols with ``own_group``) + (_px, _py). ``size``: cell size of
+    every level, the top one at least the joint extent's diagonal. ``cells(k)``: the
+    level's index. ``pieces``: the finest level's pieces with their segments.
+    """
+    held = [*point_keys, *group_cols] if own_group else point_keys
+    top, levels = size[0], len(size) - 1
     keys = [*point_keys, *group_cols]
     offsets = F.array(*[F.struct(F.lit(dx).cast("long").alias("dx"), F.lit(dy).cast("long").alias("dy"))
                         for dx, dy in _OFFSETS])
@@ -166,12 +180,10 @@ def nearest_by_grid(points: DataFrame, segs: DataFrame, *, point_keys: list[str]
     # The top levels hold few cells, on which all points meet: they are broadcast
     # once counted, whatever the optimizer's settings, so no task takes a whole cell.
     meet = ["cx", "cy", *(group_cols if own_group else [])]
-    frontier = _bounded(probe.join(broadcast_checked(index.where(F.col("level") == 0).drop("level")), meet),
-                        keys, None)
+    frontier = _bounded(probe.join(broadcast_checked(cells(0)), meet), keys, None)
     frontier = frontier.select(*keys, "_px", "_py", "cx", "cy", "_ub2")
     for k in range(1, levels + 1):
-        children = (index.where(F.col("level") == k).drop("level")
-                    .withColumn("_pcx", F.floor(F.col("cx") / _BRANCH))
+        children = (cells(k).withColumn("_pcx", F.floor(F.col("cx") / _BRANCH))
                     .withColumn("_pcy", F.floor(F.col("cy") / _BRANCH)))
         if k <= _TOP_LEVELS:
             children = broadcast_checked(children)
@@ -183,7 +195,7 @@ def nearest_by_grid(points: DataFrame, segs: DataFrame, *, point_keys: list[str]
             frontier = materialize(frontier, f"grid-frontier-{k}")
 
     cand = (frontier.select(*keys, "_px", "_py", "cx", "cy")
-            .join(_pieces(sg, size[levels]), [*group_cols, "cx", "cy"])
+            .join(pieces, [*group_cols, "cx", "cy"])
             .select(*keys, "_tag", "_px", "_py", "ax", "ay", "bx", "by",
                     F.expr(segment_param_sql("_px", "_py", "ax", "ay", "bx", "by")).alias("_u")))
     d2 = F.expr(distance_sq_at_sql("_px", "_py", "ax", "ay", "bx", "by", "_u"))

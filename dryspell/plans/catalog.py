@@ -17,7 +17,7 @@ from dryspell.functions.codes import canonical_code, composite_key, key_part
 from dryspell.functions.values import date_label_parts, is_missing, parse_value
 from dryspell.functions.zones import zone_label, zone_number
 from dryspell.operators import accumulate, boundaries as B, incremental, nearest as N, report as R, stats as ST
-from dryspell.operators import colocated, seasonal
+from dryspell.operators import colocated, seasonal, segment_index
 from dryspell.operators._exec import materialize
 from dryspell.operators.containment import containing_region
 from dryspell.operators.ingest import daily_from_matrix, station_filter, unpivot_wide
@@ -343,6 +343,14 @@ def q_close_rings(spark, sf):
     return B.close_rings(V.boundaries(spark, sf))
 
 
+def q_nearest_region_indexed(spark, sf):
+    path, lines = scratch_path(spark, "segment-index"), V.boundaries(spark, sf)
+    segment_index.add_boundaries(spark, path, lines.where("feature_id % 3 <> 0"), "first")
+    segment_index.add_boundaries(spark, path, lines.where("feature_id % 3 = 0"), "second")
+    d = segment_index.nearest_region_indexed(_points(spark, sf), path)
+    return d.select("code", "region", _r("dist", 3).alias("dist"))
+
+
 def q_containing_region(spark, sf):
     return containing_region(V.points_and_vertices(spark, sf, _points(spark, sf)),
                              B.close_rings(V.boundaries(spark, sf)))
@@ -500,6 +508,7 @@ QUERIES: dict[str, Query] = {
     "incremental_monthly": q_incremental_monthly,
     "rank_in_zone": q_rank_in_zone,
     "containing_region": q_containing_region,
+    "nearest_region_indexed": q_nearest_region_indexed,
     "running_sums": q_running_sums,
     "gamma_fit": q_gamma_fit,
     "seasonal_spi": q_seasonal_spi,

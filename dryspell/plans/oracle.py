@@ -460,6 +460,7 @@ share AS (
                         lambda n: exp((shape + n) * ln(x) - x - lgamma(shape + 1 + n))))) END AS h0 FROM level),
 held AS (SELECT *, least(greatest(h0, pow(2.0, -53)), 1 - pow(2.0, -53)) AS h FROM share)
 """
+SQL["nearest_region_indexed"] = SQL["nearest_region"]
 SQL["running_sums"] = _with(VIEWS, SEASON) + "SELECT code, zone, year, month, total FROM season"
 SQL["gamma_fit"] = _with(VIEWS, SEASON) + """
 SELECT zone, month, round(zero_share, 6) AS zero_share, round(shape, 6) AS shape, round(mean / shape, 6) AS scale FROM fit"""
