@@ -4,18 +4,28 @@ A merge list fixes which pairs of tokens may stand side by side: two tokens fit
 unless some merge across their boundary would have come first. Reading left to
 right, each prefix of a word ends in exactly one token that fits the encoding
 of what precedes it, so the transducer keeps one back pointer per position and
-looks back at most one token length. A token is emitted once all live positions
-(one token length back from the front) descend from it. How far that can lag is
+looks back at most one token length. How far later text can change what stands is
 bounded by the merge list: a change at the front passes left only along rules of
-rising rank that share a token, and :func:`sufficient_lookahead` sums the
-longest such chain. Memory is constant however long a word is.
+rising rank that share a token, and :func:`sufficient_lookahead` takes the
+longest such chain. Tokens that end that far behind the front are stable and leave
+at once, so memory is constant however long a word is (:meth:`Bpe.stream`). A word
+no longer than the lookahead can emit nothing before its end: its back pointers are
+then resolved from the end, and only those that matter.
+
+A text is one stream as well: :class:`TextEncoder` takes it in slices, cuts off the
+runs between white space that are complete, and gives back their ids and decoded
+bytes, which are hashed as they come. Runs have no memory of each other, so a run
+met before is looked up. Only the present slice and an unfinished run are held.
 
 Decoding maps ids to bytes and a byte-to-text state machine that holds at most
-three pending bytes turns them into text, whatever chunks the ids come in.
+three pending bytes turns them into text, whatever chunks the ids come in
+(:class:`TextDecoder`). The vocabulary's own decode, with no decoder set, joins
+token strings by spaces; :class:`TextEncoder` gives that one as it goes.
 
 Defined cases: null text is empty and has no tokens; strings of special tokens
 in a text are those tokens, as in the library; an empty table gives no rows;
-repeated rows are encoded one by one; other columns pass through untouched.
+repeated rows are encoded one by one; other columns pass through untouched. A run
+of over ``SLICE`` characters without white space is held until it ends.
 """
 
 from __future__ import annotations
@@ -43,14 +53,15 @@ SPACES = "\t-\r \x85\xa0" + "".join(
 #: Fixed value: the vocabulary's pre-token pattern.
 PRETOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACES}\p{{L}}\p{{N}}]+"
 WORD_END = "</w>"
-#: Words of more symbols than this stream through the window instead of arrays.
-SHORT = 256
+#: Signs that often follow a word; each is a pre-token of its own there.
+SIGNS = ".,;:!?"
 #: Entries of the caches of encoded runs and words and of tested pairs, per task
-#: process (about 100 MB in all). A full cache becomes the older half and is looked
+#: process (about 300 MB in all). A full cache becomes the older half and is looked
 #: up once more before it goes, so frequent words stay.
-RUNS, WORDS, PAIRS = 120_000, 40_000, 300_000
-#: Symbols between two looks for stable tokens.
+RUNS, WORDS, PAIRS = 400_000, 100_000, 300_000
+#: Symbols between two emissions of stable tokens, and characters of a text taken at once.
 EMIT_EVERY = 64
+SLICE = 1 << 16
 FOREVER = 1 << 60
 
 
@@ -100,21 +111,29 @@ class Bpe:
         self.table = {b: c for b, c in enumerate(self.letters)}
         self.special_split = (re.compile("(" + "|".join(re.escape(s) for s in
                               sorted(self.special, key=len, reverse=True)) + ")") if self.special else None)
+        # Where no special token can be in a word, a run of letters is one.
+        self.plain = all(any(not c.isalpha() and c not in SIGNS for c in s) for s in self.special)
         self.pretoken = regex.compile(PRETOKEN)
         self.odd_space = re.compile("[\x1c-\x1f]")
         self.space = re.compile(f"[{SPACES}]+")
-        self.chunks, self.old_chunks = {}, {}
+        self.spaced = [t.encode("utf-8") + b" " for t in self.text]
+        self.runs, self.old_runs = {}, {}
         self.words, self.old_words = {}, {}
         self.bytes_of: list[bytes] | None = None
         self.fit: dict[int, bool] = {}
         self.sound: dict[int, bool] = {}
         self.spine: dict[tuple[int, int], list] = {}
-        # Ends of tokens: the id where the end is itself a token that encodes to itself, else -1.
-        self.ends: dict[str, int] = {}
+        # Tokens letter by letter from their last: [next letters, id of a token that encodes to itself or -1],
+        # apart for tokens within and at the end of a word.
+        self.inner, self.final = {}, {}
         for t, i in self.ids.items():
-            for at in range(1, len(t.removesuffix(WORD_END))):
-                self.ends.setdefault(t[at:], -1)
-            self.ends[t] = i if self._alone(i) else -1
+            here = self.final if t.endswith(WORD_END) else self.inner
+            node = None
+            for letter in reversed(t.removesuffix(WORD_END)):
+                node = here.setdefault(letter, [{}, -1])
+                here = node[0]
+            if node is not None and self._alone(i):
+                node[1] = i
 
     # Which tokens may stand side by side.
     def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
@@ -168,23 +187,25 @@ class Bpe:
         n = len(word)
         if n == 0:
             return []
-        if n > SHORT:
+        if n > self.lookahead:
             return [t for part in self.stream(word) for t in part]
-        ends, fit = self.ends.get, self.fit.get
+        fit = self.fit.get
         token, back = [-1] * (n + 1), [0] * (n + 1)
 
         def last(end: int) -> int:
             """The one token that ends the encoding of the first ``end`` symbols; earlier ones on demand."""
-            part = word if end < n else word + WORD_END
-            stop = end if end < n else len(part)
-            found = []
-            for begin in range(end - 1, -1, -1):
-                t = ends(part[begin:stop])
-                if t is None:       # no token has a longer end of this kind
+            here = self.inner if end < n else self.final
+            begin, found = end, []
+            while begin:
+                node = here.get(word[begin - 1])
+                if node is None:       # no token has a longer end of this kind
                     break
+                begin -= 1
+                here, t = node
                 if t >= 0:
                     found.append((begin, t))
-            for begin, t in reversed(found):
+            while found:
+                begin, t = found.pop()
                 if begin:
                     left = token[begin]
                     if left < 0:
@@ -206,48 +227,42 @@ class Bpe:
         return out[::-1]
 
     def stream(self, symbols):
-        """Yield lists of stable tokens of one word of any length, in constant memory."""
+        """Yield lists of stable tokens of one word of any length, in constant memory.
+
+        A token leaves once its end is the lookahead or more behind the front.
+        """
         window: deque = deque(maxlen=self.longest)       # nodes of the last positions: [previous, token, position]
-        recent = ""
-        root = [None, -1, 0]
-        window.append(root)
+        recent: deque = deque(maxlen=self.longest)
+        window.append([None, -1, 0])
         it = iter(symbols)
         ahead = next(it, None)
         at = 0
         while ahead is not None:
-            recent = (recent + ahead)[-self.longest:]
+            recent.append(ahead)
             ahead = next(it, None)
             at += 1
-            tail = WORD_END if ahead is None else ""
-            new = None
-            for node in reversed(window):
-                t = self.ends.get(recent[len(recent) - (at - node[2]):] + tail)
-                if t is None:
-                    break
+            here = self.inner if ahead is not None else self.final
+            # One position back after the other, with the letter that follows it.
+            for node, letter in zip(reversed(window), reversed(recent)):
+                got = here.get(letter)
+                if got is None:
+                    raise ValueError("no token ends a prefix of the word")
+                here, t = got
                 if t >= 0 and (node[1] < 0 or self._fits(node[1], t)):
-                    new = [node, t, at]
+                    window.append([node, t, at])
                     break
-            window.append(new)
+            else:
+                raise ValueError("no token ends a prefix of the word")
             if at % EMIT_EVERY == 0 and ahead is not None:
-                stable = self._ancestor(window)
-                if stable[0] is not None:
-                    yield self._tokens(stable)
-                    stable[0] = None
+                node = window[-1]
+                while node is not None and node[2] > at - self.lookahead:
+                    node = node[0]
+                if node is not None and node[0] is not None:
+                    yield self._tokens(node)
+                    node[0] = None
         if at:
             yield self._tokens(window[-1])
 
-    @staticmethod
-    def _ancestor(window):
-        """The last node that all live positions descend from."""
-        live = {id(n): n for n in window}
-        while len(live) > 1:
-            far = max(live.values(), key=lambda n: n[2])
-            del live[id(far)]
-            if far[0] is None:
-                return far
-            live[id(far[0])] = far[0]
-        return next(iter(live.values()))
-
     @staticmethod
     def _tokens(node) -> list[int]:
         out = []
@@ -262,7 +277,8 @@ class Bpe:
         if got is None:
             got = self.old_words.get(word)
             if got is None:
-                letters = word.encode("utf-8").decode("latin-1").translate(self.table)
+                letters = word if word.isascii() and word.isalnum() else \
+                    word.encode("utf-8").decode("latin-1").translate(self.table)
                 ids = self.encode_word(letters)
                 got = struct.pack(f"<{len(ids)}I", *ids)
             if len(word) <= 64:
@@ -271,20 +287,31 @@ class Bpe:
                 self.words[word] = got
         return got
 
-    def _chunk(self, chunk: str) -> bytes:
-        """Ids of a run without white space: special tokens, normalising, pre-tokens, words."""
-        got = self.old_chunks.get(chunk)
+    def run(self, run: str) -> tuple[bytes, bytes]:
+        """(ids, decoded bytes) of a run without white space."""
+        got = self.old_runs.get(run)
         if got is None:
-            got = self._new_chunk(chunk)
-        if len(chunk) <= 64:
-            if len(self.chunks) >= RUNS:
-                self.chunks, self.old_chunks = {}, self.chunks
-            self.chunks[chunk] = got
+            # A word and at most a sign after it need no cutting.
+            low = run.lower() if run.isascii() else run
+            if not self.plain:
+                ids = self._cut(run)
+            elif low.isalpha() and (low.isascii() or low.islower() and unicodedata.is_normalized("NFC", low)):
+                ids = self._word(low)
+            elif low[-1] in SIGNS and low[:-1].isalpha() and low.isascii():
+                ids = self._word(low[:-1]) + self._word(low[-1])
+            else:
+                ids = self._cut(run)
+            got = ids, self.joined(np.frombuffer(ids, dtype="<u4").tolist())
+        if len(run) <= 64:
+            if len(self.runs) >= RUNS:
+                self.runs, self.old_runs = {}, self.runs
+            self.runs[run] = got
         return got
 
-    def _new_chunk(self, chunk: str) -> bytes:
+    def _cut(self, run: str) -> bytes:
+        """Ids of a run: special tokens, normalising, pre-tokens, words."""
         parts = []
-        for piece in self.special_split.split(chunk) if self.special_split else [chunk]:
+        for piece in self.special_split.split(run) if self.special_split else [run]:
             if piece in self.special:
                 parts.append(self.special[piece].to_bytes(4, "little"))
                 continue
@@ -293,20 +320,20 @@ class Bpe:
             parts += [self._word(w) for w in self.pretoken.findall(low)]
         return b"".join(parts)
 
+    def encoder(self) -> TextEncoder:
+        return TextEncoder(self)
+
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a text (unsigned 32-bit, little-endian)."""
-        if not text:
-            return np.zeros(0, dtype="<u4")
-        split = self.space.split(text) if self.odd_space.search(text) else text.split()
-        parts, miss = [], self._chunk
-        for a in range(0, len(split), 4096):      # the cache may be renewed between two runs of words
-            get = self.chunks.get
-            parts.append(b"".join([get(c) or miss(c) for c in split[a:a + 4096]]))
-        return np.frombuffer(b"".join(parts), dtype="<u4")
+        return np.frombuffer(b"".join([ids for ids, _ in self.encoder().all(text)]), dtype="<u4")
+
+    def joined(self, ids: list[int]) -> bytes:
+        """The tokens' strings, each with a space after it."""
+        return b"".join(map(self.spaced.__getitem__, ids))
 
     def decode(self, ids) -> str:
         """As the library's decode without a decoder: the tokens' strings, parted by spaces."""
-        return " ".join(map(self.text.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids))
+        return self.joined(ids.tolist() if isinstance(ids, np.ndarray) else ids)[:-1].decode("utf-8")
 
     def pieces(self) -> list[bytes]:
         """Bytes of each token; a word's end is a space, a special token its own text."""
@@ -321,6 +348,47 @@ class Bpe:
         return TextDecoder(self)
 
 
+class TextEncoder:
+    """Text in, (ids, decoded bytes) out, slice by slice; holds no more than an unfinished run.
+
+    The decoded bytes are the token strings with a space after each: the last one
+    of the text is no part of it.
+    """
+
+    def __init__(self, bpe: Bpe):
+        self.bpe, self.rest = bpe, ""
+
+    def feed(self, text: str) -> tuple[bytes, bytes]:
+        """What the text makes certain: all but the run that may go on in the next slice."""
+        text = self.rest + text
+        end = len(text)
+        split = self.bpe.space.split(text) if self.bpe.odd_space.search(text) else text.split()
+        if split and text.endswith(split[-1]) and split[-1]:
+            self.rest = split.pop()
+        else:
+            self.rest = ""
+        return self._runs(split) if end else (b"", b"")
+
+    def finish(self) -> tuple[bytes, bytes]:
+        rest, self.rest = self.rest, ""
+        return self._runs([rest])
+
+    def _runs(self, split: list[str]) -> tuple[bytes, bytes]:
+        get, run, got = self.bpe.runs.get, self.bpe.run, []
+        for a in range(0, len(split), 4096):      # the cache may be renewed between two lots
+            get = self.bpe.runs.get
+            got += [get(c) or run(c) for c in split[a:a + 4096] if c]
+        return b"".join([x[0] for x in got]), b"".join([x[1] for x in got])
+
+    def all(self, text: str | None):
+        """(ids, decoded bytes) of a text, slice by slice."""
+        if not text:
+            return
+        for a in range(0, len(text), SLICE):
+            yield self.feed(text[a:a + SLICE])
+        yield self.finish()
+
+
 class TextDecoder:
     """Ids in, text out: a state machine over the tokens' bytes with at most three of them pending."""
 
@@ -371,13 +439,23 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, text_col: str = "tex
         def batch(col):
             n, ids_hash, text_hash, ids_all, texts = [], [], [], [], []
             for text in col:
-                ids = bpe.encode(text.as_py())
-                n.append(len(ids))
-                ids_hash.append(hashlib.sha256(ids).hexdigest())
-                text_hash.append(hashlib.sha256(bpe.decode(ids).encode("utf-8")).hexdigest())
+                tokens, of_ids, of_text, space = 0, hashlib.sha256(), hashlib.sha256(), b""
+                kept, machine, said = [], bpe.decoder(), []
+                for ids, spoken in bpe.encoder().all(text.as_py()):
+                    tokens += len(ids) // 4
+                    of_ids.update(ids)
+                    if spoken:      # the space after the text's last token is left out
+                        of_text.update(space + spoken[:-1])
+                        space = b" "
+                    if with_ids:
+                        kept.append(np.frombuffer(ids, dtype="<u4").astype(np.int32))
+                        said.append(machine.feed(kept[-1].tolist()))
+                n.append(tokens)
+                ids_hash.append(of_ids.hexdigest())
+                text_hash.append(of_text.hexdigest())
                 if with_ids:
-                    ids_all.append(ids.astype(np.int32))
-                    texts.append(bpe.decoder().feed(ids.tolist()))
+                    ids_all.append(np.concatenate(kept) if kept else np.zeros(0, np.int32))
+                    texts.append("".join(said) + machine.finish())
             out = [pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())]
             if with_ids:
                 out += [pa.array(ids_all, pa.list_(pa.int32())), pa.array(texts, pa.string())]

@@ -2,8 +2,10 @@
 
 import hashlib
 import itertools
+import json
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -207,7 +209,69 @@ def test_bpe_stream_is_bounded_and_stable(encoder):
         read = 0
         for i, p in enumerate(parts[:-1]):     # what is out lags at most the computed lookahead
             read += sum(len(encoder.text[t].removesuffix("</w>")) for t in p)
-            assert (i + 1) * bpe.EMIT_EVERY - read <= 10 * (encoder.lookahead + bpe.EMIT_EVERY)
+            assert (i + 1) * bpe.EMIT_EVERY - read <= encoder.lookahead + encoder.longest + bpe.EMIT_EVERY
+
+
+def vocabulary_of(rng, alphabet, merges):
+    """JSON of a small random vocabulary whose words end in </w>."""
+    tokens = [*alphabet, *(c + "</w>" for c in alphabet)]
+    rules = []
+    while len(rules) < merges:
+        a, b = rng.choice([t for t in tokens if not t.endswith("</w>")]), rng.choice(tokens)
+        if (a, b) not in rules and a + b not in tokens:
+            rules.append((a, b))
+            tokens.append(a + b)
+    return json.dumps({"model": {"vocab": {t: i for i, t in enumerate(tokens)}, "merges": [" ".join(r) for r in rules]},
+                       "added_tokens": []}), rules, tokens
+
+
+def merged(word, rules, tokens):
+    parts = [*word[:-1], word[-1] + "</w>"]
+    while True:
+        ranks = [(rules.index((a, b)), i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if (a, b) in rules]
+        if not ranks:
+            return [tokens.index(p) for p in parts]
+        i = min(ranks)[1]
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+
+
+def test_bpe_lookahead_is_sufficient_for_any_merge_list(monkeypatch):
+    """Tokens that leave at the computed lookahead are those of the whole word, checked at every symbol."""
+    monkeypatch.setattr(bpe, "EMIT_EVERY", 1)
+    rng = random.Random(12)
+    for trial in range(60):
+        source, rules, tokens = vocabulary_of(rng, "abc"[:rng.randint(1, 3)], rng.randint(0, 14))
+        made = bpe.Bpe(source)
+        alphabet = sorted({t for t in tokens if len(t) == 1})
+        for _ in range(25):
+            word = "".join(rng.choice(alphabet) for _ in range(rng.randint(1, 70)))
+            want = merged(word, rules, tokens)
+            assert [t for p in made.stream(word) for t in p] == want, (rules, word)
+            assert made.encode_word(word) == want, (rules, word)
+
+
+def test_bpe_text_streams_in_any_slices_and_constant_memory(encoder, monkeypatch):
+    rng = random.Random(4)
+    text = " ".join(rng.choice(WORDS) + rng.choice(["", ".", "'s", "é", "\n"]) for _ in range(3000)) + " end"
+    whole = b"".join(i for i, _ in encoder.encoder().all(text)), b"".join(t for _, t in encoder.encoder().all(text))
+    for size in (1, 7, 1000):
+        monkeypatch.setattr(bpe, "SLICE", size)
+        parts = list(encoder.encoder().all(text))
+        assert (b"".join(i for i, _ in parts), b"".join(t for _, t in parts)) == whole
+    monkeypatch.setattr(bpe, "SLICE", 1 << 14)
+    peaks = []
+    for times in (40, 400):
+        long = (text + " ") * times
+        tracemalloc.start()
+        held = tokens = 0
+        stream = encoder.encoder()
+        for ids, _ in stream.all(long):
+            tokens += len(ids)
+            held = max(held, len(stream.rest))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert tokens == times * len(whole[0]) and held < 100
+    assert peaks[1] < 1.2 * peaks[0] + 100_000
 
 
 def test_decoder_is_incremental(encoder):
