@@ -80,6 +80,37 @@ def template_rows(phrases=PHRASES, passages=PASSAGES) -> list[tuple]:
     return rows
 
 
+#: Bits of a word pair's hash by which places are screened (fixed: 64 Ki bits).
+PAIR_BITS = 16
+
+
+def needed_words(phrases=PHRASES, passages=PASSAGES) -> list[str]:
+    """Words of which a text must hold one for any template to be found in it.
+
+    Long words of each template, as many as leave too few of its k-grams without one
+    to reach the coverage that a span needs. A text without any is no match.
+    """
+    out = set()
+    for items, k, least in ((phrases, 2, 1.0), (passages, GRAM, COVERAGE)):
+        for text, _ in items:
+            w = text.split()
+            grams = [w[i:i + k] for i in range(len(w) - k + 1)]
+            for word in sorted(set(w), key=lambda v: (-len(v), v)):
+                if sum(not out & set(g) for g in grams) < least * len(grams):
+                    break
+                out.add(word)
+    return sorted(out)
+
+
+def _pair_bits(rows: DataFrame) -> list[int]:
+    """64-bit words with a bit set for each template pair."""
+    out = [0] * (1 << PAIR_BITS - 6)
+    for r in rows.select("pair").distinct().collect():
+        place = r["pair"] & (1 << PAIR_BITS) - 1
+        out[place >> 6] |= 1 << (place & 63)
+    return [v - (1 << 64) if v >> 63 else v for v in out]
+
+
 TEMPLATE_SCHEMA = ("template string, label string, is_base boolean, n_grams int, t_words int, tpos int, "
                    "t0 string, t1 string, t2 string, t3 string")
 
@@ -108,22 +139,32 @@ def matched_spans(docs: DataFrame, phrases=PHRASES, passages=PASSAGES) -> DataFr
     A header has a null template and the number of copies of its row.
     """
     spark = docs.sparkSession
-    templates = F.broadcast(
-        spark.createDataFrame(template_rows(phrases, passages), TEMPLATE_SCHEMA)
-        .withColumn("pair", F.xxhash64("t0", "t1")))
+    rows = (spark.createDataFrame(template_rows(phrases, passages), TEMPLATE_SCHEMA)
+            .withColumn("pair", F.xxhash64("t0", "t1")))
+    templates = F.broadcast(rows)
     words = F.array_remove(F.split(F.translate("text", UPPER, LOWERCASE), SEPARATOR), "")
-    # Word 0 is a header that matches no template, so each text has a row to count.
     cut = (doc_table(docs)
            .select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-           .select("doc_id", F.xxhash64("text").alias("text_hash"),
-                   F.concat(F.array(F.lit("")), words).alias("w"))
+           .select("doc_id", F.xxhash64("text").alias("text_hash"), words.alias("w"))
            .withColumn("n", F.size("w")))
-    grams = (cut.select("doc_id", "text_hash", (F.col("n") - 1).cast("bigint").alias("n_words"),
-                        F.posexplode_outer(F.arrays_zip(
-                            F.col("w").alias("w0"), F.slice("w", F.lit(2), F.col("n")).alias("w1"),
-                            F.slice("w", F.lit(3), F.col("n")).alias("w2"),
-                            F.slice("w", F.lit(4), F.col("n")).alias("w3"))).alias("at", "g"))
-             .select("doc_id", "text_hash", "n_words", "at", "g.*")
+    # Of a text's places only those that may begin a template's gram leave its array: a
+    # bit of the word pair's hash tells. A place carries its number above the bit's.
+    pair = f"xxhash64(get(w, i), get(w, i + 1)) & {(1 << PAIR_BITS) - 1}"
+    bits = F.array(*[F.lit(v) for v in _pair_bits(rows)])
+    needed = ", ".join("'" + v.replace("'", "''") + "'" for v in needed_words(phrases, passages))
+    cut = (cut.withColumn("bits", bits)
+           .withColumn("places", F.expr(f"CASE WHEN n >= 2 AND arrays_overlap(w, array({needed})) THEN "
+                                        "filter(transform(sequence(0, n - 2), "
+                                        f"i -> shiftleft(CAST(i AS BIGINT), {PAIR_BITS}) | ({pair})), "
+                                        f"p -> (shiftrightunsigned(get(bits, CAST(shiftright(p & {(1 << PAIR_BITS) - 1}, 6) AS INT)),"
+                                        " CAST(p & 63 AS INT)) & 1L) = 1L) ELSE array() END")))
+    # Word 0 is a header that matches no template, so each text has a row to count.
+    at = f"CAST(shiftright(p, {PAIR_BITS}) AS INT)"
+    gram = ", ".join(f"'w{k}', get(w, {at} + {k})" for k in range(4))
+    grams = (cut.select("doc_id", "text_hash", F.col("n").cast("bigint").alias("n_words"),
+                        F.expr("explode(concat(array(named_struct('at', 0, 'w0', '', 'w1', '', 'w2', '', 'w3', '')), "
+                               f"transform(places, p -> named_struct('at', {at} + 1, {gram}))))").alias("g"))
+             .select("doc_id", "text_hash", "n_words", "g.*")
              .withColumn("pair", F.xxhash64("w0", "w1")))
     g, t = grams.alias("g"), templates.alias("t")
     same = ((F.col("g.pair") == F.col("t.pair"))
