@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dryspell.operators._exec import materialize
@@ -91,9 +91,11 @@ def link_buckets(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
     the rows. What stays open after that is tested pair by pair: no link that
     a bucket holds is lost, while copies are never expanded into all pairs.
     """
-    mixed = rows.groupBy("sig").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi")
-    active = materialize(rows.join(mixed.select("sig"), "sig").distinct().join(features, "id")
-                         .withColumn("root", F.col("id")), "buckets")
+    # Rows cross one exchange, by sig: the window, the test and the distinct rows all need it.
+    bucket = Window.partitionBy("sig")
+    mixed = (rows.withColumn("lo", F.min("id").over(bucket)).withColumn("hi", F.max("id").over(bucket))
+             .where("lo <> hi").select("sig", "id").distinct())
+    active = materialize(mixed.join(features, "id").withColumn("root", F.col("id")), "buckets")
     pairs, root = _star(active, 0, 1, allowed), None
     for turn, centres in enumerate([*CENTRES, None], start=1):
         root = _joined(root, materialize(verify(pairs).select("a", "b"), "links"))

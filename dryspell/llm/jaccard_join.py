@@ -30,8 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dryspell.llm.common import (LOWER, doc_table, fresh, gram_hash, key_bitmap, maybe_in, mix, span_hash, spans,
-                                 text_slices)
+from dryspell.llm.common import LOWER, doc_table, fresh, gram_hash, mix, span_hash, spans, text_slices
 from dryspell.llm.components import link_buckets
 from dryspell.operators._exec import broadcast_checked, materialize
 
@@ -44,6 +43,8 @@ COMMON, FREQUENT = 6, 64
 MAP_BITS = 26
 #: Grams that a task sorts at once to count them.
 WINDOW = 1 << 21
+#: Least bits of a counter's block, and most bits of a counter within it.
+BLOCK_BITS, SPAN_BITS = 8, 22
 #: Frequent prefix grams of one subclass, about.
 SUBCLASS = 4
 #: Least bits of a parity sketch.
@@ -155,16 +156,38 @@ def count_bits(docs: DataFrame) -> int:
     return int(np.clip(np.ceil(np.log2(max(1, size))), 18, 44))
 
 
+#: Steps of this size or more take several tokens; the token itself counts nothing.
+FAR = 0xFFFF
+
+
+def stepped(place: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, first token of each block and the total): steps between rising places, anew from each of ``at``."""
+    step = np.diff(place, prepend=0)
+    step[at] = place[at]
+    end = np.cumsum(step // FAR + 1)
+    tokens = np.full(int(end[-1]) if len(end) else 0, FAR, dtype="<u2")
+    tokens[end - 1] = step % FAR
+    return tokens, np.append((end - step // FAR - 1)[at], len(tokens))
+
+
+def places(tokens: np.ndarray) -> np.ndarray:
+    """The places of a block's tokens."""
+    return np.cumsum(tokens, dtype=np.int64)[tokens != FAR]
+
+
 def gram_classes(docs: DataFrame, n: int) -> tuple[int, np.ndarray, np.ndarray]:
     """(map bits, common, frequent): packed bitmaps over the leading bits of a gram's hash.
 
     A gram counts once for each distinct set (of a task). Counters are dealt to
-    reducers in blocks of 2^16, so a gram costs two bytes of shuffle and a
-    reducer's memory is fixed. The driver gets two bitmaps of fixed size.
+    reducers in blocks: 2^BLOCK_BITS of them, and more once a block had over
+    2^SPAN_BITS counters, so a reducer's memory is fixed. A window sends each block
+    the steps between its counters, two bytes a gram. The driver gets two bitmaps of
+    fixed size.
     """
     docs = doc_table(docs).select("text")
     bits = count_bits(docs)
     map_bits = min(MAP_BITS, bits)
+    span = min(bits - BLOCK_BITS, SPAN_BITS)
 
     def send(batches):
         held, size, seen = [], 0, set()
@@ -172,15 +195,16 @@ def gram_classes(docs: DataFrame, n: int) -> tuple[int, np.ndarray, np.ndarray]:
         def close():
             # One entry a counter and window, however hot the gram; repeats go along as counts.
             h, count = np.unique(np.concatenate(held) >> _U(64 - bits), return_counts=True)
-            block = (h >> _U(16)).astype(np.int64)
+            block = (h >> _U(span)).astype(np.int64)
             at = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(h) else np.zeros(0, int)
-            low = (h & _U(0xFFFF)).astype("<u2")
+            place = (h & _U((1 << span) - 1)).astype(np.int64)
+            tokens, first = stepped(place, at)
             again = np.flatnonzero(count > 1)
-            more = np.zeros(len(again), dtype=[("at", "<u2"), ("n", "<u4")])
-            more["at"], more["n"] = low[again], count[again] - 1
+            more = np.zeros(len(again), dtype=[("at", "<u4"), ("n", "<u4")])
+            more["at"], more["n"] = place[again], count[again] - 1
             return pa.RecordBatch.from_arrays(
-                [pa.array(block[at]), cut(low, np.append(at, len(low))),
-                 cut(more, np.searchsorted(again, np.append(at, len(low))))], names=["block", "counters", "more"])
+                [pa.array(block[at]), cut(tokens, first),
+                 cut(more, np.searchsorted(again, np.append(at, len(h))))], names=["block", "counters", "more"])
 
         def cut(values, at):
             offsets = (np.asarray(at, dtype=np.int64) * values.itemsize).tobytes()
@@ -207,13 +231,13 @@ def gram_classes(docs: DataFrame, n: int) -> tuple[int, np.ndarray, np.ndarray]:
             yield close()
 
     def count(key, rows):
-        total = np.zeros(1 << 16, dtype=np.int64)
+        total = np.zeros(1 << span, dtype=np.int64)
         for c, m in zip(rows["counters"], rows["more"]):
-            total[np.frombuffer(c.as_buffer(), "<u2")] += 1
-            m = np.frombuffer(m.as_buffer(), [("at", "<u2"), ("n", "<u4")])
+            total[places(np.frombuffer(c.as_buffer(), "<u2"))] += 1
+            m = np.frombuffer(m.as_buffer(), [("at", "<u4"), ("n", "<u4")])
             total[m["at"]] += m["n"]
         at = np.flatnonzero(total >= COMMON)
-        place = ((key[0].as_py() << 16) + at) >> (bits - map_bits)
+        place = ((key[0].as_py() << span) + at) >> (bits - map_bits)
         return pa.table([pa.array(place >> 16), pa.array((place & 0xFFFF).astype(np.int32)),
                          pa.array(total[at] >= FREQUENT)], names=["part", "bit", "frequent"])
 
@@ -279,36 +303,33 @@ def index_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                      pa.array(entries, pa.list_(pa.int64()))],
                     names=["doc_id", "rkey", "sid", "n", "sketch", "fold", "sigs"])
 
-    rows = doc_table(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("rkey"), "text")
-    return materialize(rows.mapInArrow(
+    return materialize(keyed_texts(docs).mapInArrow(
         run, "doc_id bigint, rkey bigint, sid bigint, n bigint, sketch binary, fold array<bigint>, sigs array<bigint>"), "jaccard-index")
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(sid, grams) of the wanted sids, from the whole texts; a bitmap of the sids thins them inside the scan."""
-    thin = docs.sparkSession.sparkContext.broadcast(key_bitmap(wanted, "sid"))
+def _sets_of(docs: DataFrame, index: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """(sid, grams) of the wanted sids, each from the whole text of one row that has it; other texts are not cut."""
+    chosen = broadcast_checked(index.select("sid", "rkey").join(wanted, "sid").groupBy("sid")
+                               .agg(F.min("rkey").alias("rkey")).select("rkey").distinct())
 
     def run(batches):
-        seen = set()
         for batch in batches:
             for a, z, data, offsets in text_slices(batch.column(0)):
                 row, h = gram_sets(data, offsets, n)
                 size, ids = set_ids(row, h, z - a)
                 first = np.concatenate([[0], np.cumsum(size)])
-                keep = []
-                may = maybe_in(thin.value, ids.view(np.uint64)) & (size > 0)
-                for i, v in zip(np.flatnonzero(may).tolist(), ids[may].tolist()):
-                    if v not in seen:
-                        if len(seen) > 1_000_000:
-                            seen.clear()
-                        seen.add(v)
-                        keep.append(i)
+                keep = np.flatnonzero(size)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[keep]), pa.array([h[first[i]:first[i + 1]].view(np.int64) for i in keep],
                                                    pa.list_(pa.int64()))], names=["sid", "grams"])
 
-    rows = doc_table(docs).select("text").mapInArrow(run, "sid bigint, grams array<bigint>")
-    return rows.join(wanted, "sid", "left_semi").dropDuplicates(["sid"])
+    rows = keyed_texts(docs).join(chosen, "rkey", "left_semi").select("text")
+    return rows.mapInArrow(run, "sid bigint, grams array<bigint>").dropDuplicates(["sid"])
+
+
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, rkey, text): rows that agree in id and text have one rkey."""
+    return doc_table(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("rkey"), "text")
 
 
 def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -371,7 +392,7 @@ def _rooted(docs: DataFrame, n: int, percent: int) -> DataFrame:
         if near.isEmpty():
             return near
         wanted = materialize(near.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "jaccard-wanted")
-        return _verified(near, materialize(_sets_of(docs, wanted, n), "jaccard-sets"), percent)
+        return _verified(near, materialize(_sets_of(docs, index, wanted, n), "jaccard-sets"), percent)
 
     folds = [f"k{i}" for i in range(SKETCH // 64)]
     features = sketches.select(F.col("sid").alias("id"), "n", *[F.col("fold")[i].alias(c) for i, c in enumerate(folds)])

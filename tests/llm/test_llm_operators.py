@@ -469,6 +469,27 @@ def test_license_edges(spark, edge, empty):
     assert license_scan.scan(edge).count() == edge.count() and license_scan.scan(empty).count() == 0
 
 
+def test_license_in_a_text_of_a_million_words(spark):
+    passage = license_scan.PASSAGES[0][0]
+    words = ["lorem"] * 1_000_000
+    words[500_000:500_000] = passage.split()
+    words[900_000:900_000] = ["MIT", "License"]
+    got = license_scan.scan(spark.createDataFrame([(1, " ".join(words)), (2, "mit license " * 50_000)], "doc_id bigint, text string"))
+    rows = {r.doc_id: r for r in got.collect()}
+    assert rows[1].n_words == len(words) and rows[1].first_word == rows[1].last_word == 900_000
+    assert rows[1].labels == "mit" and rows[1].score == 1.0
+    assert (rows[2].n_base, rows[2].first_word, rows[2].last_word) == (50_000, 0, 99_998)
+
+
+def test_license_needed_words_leave_no_template_out():
+    needed = set(license_scan.needed_words())
+    for items, k, least in ((license_scan.PHRASES, 2, 1.0), (license_scan.PASSAGES, license_scan.GRAM, license_scan.COVERAGE)):
+        for text, _ in items:
+            w = text.split()
+            grams = [set(w[i:i + k]) for i in range(len(w) - k + 1)]
+            assert sum(not needed & g for g in grams) < least * len(grams)
+
+
 # 6: lines
 
 def test_line_edit_similarity():
