@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dryspell.operators._exec import materialize
+from dryspell.operators._exec import materialize, release
 
 #: Open buckets of at most this many rows have all their open pairs tested after
 #: the first star; larger ones get stars about more and more centres first.
@@ -31,9 +31,8 @@ def components(links: DataFrame) -> DataFrame:
     def rank(c):
         return F.struct(F.xxhash64(c, F.lit(17)).alias("p"), F.col(c).alias("v"))
 
-    edges = materialize(links.select("a", "b").where("a <> b").distinct(), "cc-edges")
+    first = edges = materialize(links.select("a", "b").where("a <> b").distinct(), "cc-edges")
     steps: list[DataFrame] = []
-    ids = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
         step = (both.groupBy("a").agg(F.min(rank("b")).alias("n"))
@@ -41,25 +40,34 @@ def components(links: DataFrame) -> DataFrame:
                 .where("node <> to"))
         step = materialize(step, "cc-step")
         steps.append(step)
+        before = edges
         for end in ("a", "b"):
             edges = (edges.join(step, edges[end] == step["node"], "left")
                      .withColumn(end, F.coalesce("to", end)).select("a", "b"))
         edges = materialize(edges.where("a <> b")
                             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
                             "cc-edges")
+        if before is not first:
+            release(before)
+    ids = first.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     roots = ids.withColumn("root", F.col("id"))
     for step in steps:
         roots = (roots.join(step, roots["root"] == step["node"], "left")
                  .select("id", F.coalesce("to", "root").alias("root")))
-    return materialize(roots, "cc-roots")
+    out = materialize(roots, "cc-roots")
+    release(first, edges, *steps)
+    return out
 
 
 def _joined(root: DataFrame | None, links: DataFrame) -> DataFrame:
     """Roots after more links: components of the old roots that the links join."""
     if root is not None and links.isEmpty():
+        release(links)
         return root
     if root is None:
-        return components(links)
+        out = components(links)
+        release(links)
+        return out
     old = root.select(F.col("id").alias("node"), F.col("root").alias("to"))
     ends = links
     for end in ("a", "b"):
@@ -71,7 +79,9 @@ def _joined(root: DataFrame | None, links: DataFrame) -> DataFrame:
               .select("id", F.coalesce("to", "root").alias("root")))
     # Ids that met no link before are their own old root.
     first = new.join(root.select("id"), "id", "left_anti")
-    return materialize(merged.unionByName(first), "link-roots")
+    out = materialize(merged.unionByName(first), "link-roots")
+    release(root, links, new)
+    return out
 
 
 def link_buckets(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
@@ -93,27 +103,42 @@ def link_buckets(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
     """
     # Rows cross one exchange, by sig: the window, the test and the distinct rows all need it.
     bucket = Window.partitionBy("sig")
-    mixed = (rows.withColumn("lo", F.min("id").over(bucket)).withColumn("hi", F.max("id").over(bucket))
-             .where("lo <> hi").select("sig", "id").distinct())
-    active = materialize(mixed.join(features, "id").withColumn("root", F.col("id")), "buckets")
+    mixed = materialize(rows.withColumn("lo", F.min("id").over(bucket)).withColumn("hi", F.max("id").over(bucket))
+                        .where("lo <> hi").select("sig", "id").distinct(), "mixed-buckets")
+    # Copies share many signatures: of buckets that hold the same ids one is enough.
+    print_ = [F.count("*").alias("n"), *(F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"x{i}") for i in (1, 2))]
+    single = mixed.groupBy("sig").agg(*print_).groupBy("n", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig")
+    active = materialize(mixed.join(single, "sig", "left_semi").join(features, "id").withColumn("root", F.col("id")),
+                         "buckets")
+    release(mixed)
     pairs, root = _star(active, 0, 1, allowed), None
     for turn, centres in enumerate([*CENTRES, None], start=1):
-        root = _joined(root, materialize(verify(pairs).select("a", "b"), "links"))
+        root = _joined(root, _links(verify, pairs))
         sized = _open(active, root)
+        release(active)
         small, large = sized, None
         if centres is not None:
             small, large = sized.where(F.col("n_rows") <= SMALL_BUCKET), sized.where(F.col("n_rows") > SMALL_BUCKET)
             large = None if large.isEmpty() else large
         pairs = _all_open(small, allowed)
         if large is None:
-            root = _joined(root, materialize(verify(pairs.distinct()).select("a", "b"), "links"))
+            root = _joined(root, _links(verify, pairs.distinct()))
+            release(sized)
             break
         home = large.groupBy("id").agg(F.max(F.struct("n_rows", "sig")).alias("h")).select("id", F.col("h.sig").alias("sig"))
         pairs = pairs.union(_star(large.join(home, ["id", "sig"]), turn, centres, allowed)).distinct()
+        # The large buckets stay a view of the same table, which is read until the next one is written.
         active = large
+        active._written_at = sized._written_at
     return root
 
 
+def _links(verify: Callable[[DataFrame], DataFrame], pairs: DataFrame) -> DataFrame:
+    """The verified pairs as a written table, which ``verify`` may already have made."""
+    found = verify(pairs)
+    return found if hasattr(found, "_written_at") else materialize(found.select("a", "b"), "links")
+
+
 def _open(active: DataFrame, root: DataFrame) -> DataFrame:
     """Rows, with new roots and n_rows, of the buckets of n_rows rows that still hold several components."""
     labelled = (active.drop("root", "n_rows").join(root, "id", "left")

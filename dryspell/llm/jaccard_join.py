@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from dryspell.llm.common import LOWER, doc_table, fresh, gram_hash, mix, span_hash, spans, text_slices
 from dryspell.llm.components import link_buckets
-from dryspell.operators._exec import broadcast_checked, materialize
+from dryspell.operators._exec import broadcast_checked, materialize, release
 
 #: Words of a gram, and the threshold as percent of the union.
 N = 4
@@ -392,7 +392,10 @@ def _rooted(docs: DataFrame, n: int, percent: int) -> DataFrame:
         if near.isEmpty():
             return near
         wanted = materialize(near.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "jaccard-wanted")
-        return _verified(near, materialize(_sets_of(docs, index, wanted, n), "jaccard-sets"), percent)
+        sets = materialize(_sets_of(docs, index, wanted, n), "jaccard-sets")
+        links = materialize(_verified(near, sets, percent), "jaccard-links")
+        release(near, wanted, sets)
+        return links
 
     folds = [f"k{i}" for i in range(SKETCH // 64)]
     features = sketches.select(F.col("sid").alias("id"), "n", *[F.col("fold")[i].alias(c) for i, c in enumerate(folds)])
@@ -404,6 +407,7 @@ def _rooted(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 f" AND {differ} <= ({x}.n + {y}.n) * {100 - percent} div {100 + percent}")
 
     root = link_buckets(rows, verify, features, allowed)
+    release(sketches)
     return (index.select("doc_id", "rkey", "sid", "n")
             .join(root.select(F.col("id").alias("sid"), "root"), "sid", "left")
             .select("doc_id", "rkey", "n", F.coalesce("root", "sid").alias("root")))

@@ -490,6 +490,17 @@ def test_license_needed_words_leave_no_template_out():
             assert sum(not needed & g for g in grams) < least * len(grams)
 
 
+def test_counter_steps_round_trip():
+    rng = np.random.default_rng(1)
+    for _ in range(100):
+        blocks = [np.unique(rng.integers(0, 1 << 22, rng.integers(1, 30))) for _ in range(rng.integers(1, 6))]
+        blocks[0] = np.unique(np.concatenate([blocks[0], [0, 65535, 131070, 131071]]))
+        at = np.cumsum([0] + [len(b) for b in blocks])[:-1]
+        tokens, first = jaccard_join.stepped(np.concatenate(blocks), at)
+        for b, a, z in zip(blocks, first[:-1], first[1:]):
+            assert (jaccard_join.places(tokens[a:z]) == b).all()
+
+
 # 6: lines
 
 def test_line_edit_similarity():
