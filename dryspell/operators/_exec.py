@@ -49,8 +49,20 @@ def release_after():
         for held in lists.pop():
             held.unpersist()
         for spark, path in _HELD.written.pop():
-            jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-            jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+            _delete(spark, path)
+
+
+def _delete(spark, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of :func:`materialize` that nothing reads any more; other DataFrames are left alone."""
+    for df in tables:
+        path = getattr(df, "_written_at", None)
+        if path:
+            _delete(df.sparkSession, path)
 
 
 def release_checked() -> None:
@@ -114,4 +126,6 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     # The schema is known: no job looks it up in the files' footers.
-    return (spark.read if partition_by else spark.read.schema(df.schema)).parquet(path)
+    out = (spark.read if partition_by else spark.read.schema(df.schema)).parquet(path)
+    out._written_at = path
+    return out
