@@ -490,6 +490,27 @@ def test_license_needed_words_leave_no_template_out():
             assert sum(not needed & g for g in grams) < least * len(grams)
 
 
+def test_similar_lines_share_a_prefix_entry():
+    """Lines of every length with as many edits as the threshold allows, anywhere."""
+    rng = random.Random(21)
+    invent = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9)))
+    for n in [*range(4, 41), 63, 64, 65, 110]:
+        for _ in range(12):
+            x = [invent() if rng.random() < 0.8 else "ab" for _ in range(n)]
+            y = list(x)
+            for _ in range(n // 5 + 2):
+                kind, p = rng.randrange(3), rng.randrange(len(y))
+                new = y[:p] + ([invent()] if kind < 2 else []) + y[p + (kind != 1):]
+                if line_dedup.similar(*(line_dedup._words_of(" ".join(w).encode()) for w in (x, new))):
+                    y = new
+            if len(y) < 4:
+                continue
+            raw = np.frombuffer("\n".join([" ".join(x), " ".join(y)]).encode(), np.uint8)
+            lines = line_dedup.Lines(raw, np.array([0, len(raw)]))
+            row, key = line_dedup.prefix_keys(lines, np.array([0, 1]))
+            assert set(key[row == 0].tolist()) & set(key[row == 1].tolist()), (x, y)
+
+
 def test_counter_steps_round_trip():
     rng = np.random.default_rng(1)
     for _ in range(100):
