@@ -8,15 +8,16 @@ a positive query component and from the bottom for a negative one. Rows met on
 the lists are scored in full; the threshold is the inner product of the query
 with the values at the present depth, which no unseen row can exceed. A query
 stops once its threshold is below its k-th score (an equal one goes on, as an
-unseen row may tie with a smaller id). Depths grow geometrically; queries that
-reach the last depth have met the whole block and are scored together. A window
+unseen row may tie with a smaller id), or once it has met every row of the block,
+which is as deep as lists go. A floor from a fixed number of rows, scored before
+for every query, stops a query early in blocks that hold nothing for it. A window
 over the blocks' answers, k rows each, gives the result.
 
 Defined cases: vectors that are null or empty, or hold null or non-finite
 components, and rows without an id take no part; a repeated id is one row, its
 smallest vector; vectors are compared with those of their own length only; with
 fewer than k candidates all are returned; ties go to the smaller id; an empty
-table gives no rows. Scores must fit a 64-bit integer.
+table gives no rows. Components and scores that may not fit a 64-bit integer fail the job.
 """
 
 from __future__ import annotations
@@ -31,8 +32,10 @@ from pyspark.sql import functions as F
 #: Candidates in a block and queries in a chunk, about: bounds of one group.
 BLOCK_ROWS = 8192
 CHUNK_QUERIES = 1024
-#: List depths at which a query may stop; after the last the whole block is met.
-DEPTHS = (32, 256)
+#: Depth of the first step into the lists; each next step is as deep as all before.
+FIRST_DEPTH = 16
+#: Rows, at most, whose scores give every query a floor.
+SEEDS = 512
 
 RESULT = "query_id bigint, vec_id bigint, score bigint"
 
@@ -45,7 +48,8 @@ def integer_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     sound = F.expr("vec_id IS NOT NULL AND x IS NOT NULL AND size(x) > 0 AND "
                    "forall(x, e -> e IS NOT NULL AND NOT isnan(e) AND abs(e) < double('Infinity'))")
     return (rows.where(sound)
-            .select("vec_id", F.transform("x", lambda e: F.floor(e * F.lit(float(scale)))).alias("v"))
+            .select("vec_id", F.transform("x", lambda e: F.when(F.abs(e * scale) < 2.0 ** 63, F.floor(e * F.lit(float(scale))))
+                                          .otherwise(F.raise_error(F.lit("component beyond 64 bits")).cast("bigint"))).alias("v"))
             .groupBy("vec_id").agg(F.min("v").alias("v"))
             .withColumn("dim", F.size("v")))
 
@@ -61,58 +65,67 @@ def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def threshold_search(ids: np.ndarray, c: np.ndarray, query_ids: np.ndarray, q: np.ndarray,
-                     k: int, depths=DEPTHS):
-    """(query, id, score) arrays: each query's k best rows of this block, its own row left out."""
+                     k: int, floors: np.ndarray | None = None, first: int | None = None):
+    """(query, id, score) arrays: each query's k best rows of this block, its own row left out.
+
+    Rows below a query's floor may be missing: at least k others reach it elsewhere.
+    """
     order = np.argsort(ids, kind="stable")
     ids, c = ids[order], c[order]
     n, d = c.shape
     # Doubles hold the sums exactly below 2^53; beyond that, 64-bit integers.
-    largest = float(np.abs(c).max(initial=0)) * float(np.abs(q).max(initial=0)) * d
+    largest = float((np.abs(c.astype(float)).max(axis=0, initial=0) * np.abs(q.astype(float)).max(axis=0, initial=0)).sum())
+    if largest >= 2.0 ** 63:
+        raise OverflowError("inner products may not fit 64 bits")
     kind = np.float64 if largest < 2.0 ** 53 else np.int64
     cf, qf = c.astype(kind), q.astype(kind)
     lists = np.argsort(cf, axis=0, kind="stable")
-    out = []
-
-    def emit(i, score, at):
-        keep = ids[at] != query_ids[i]
-        at, score = at[keep], score[keep]
-        best = _best(score, ids[at], k)
-        out.append((np.full(len(best), query_ids[i]), ids[at[best]], score[best].astype(np.int64)))
-
-    rest = []
-    stages = [r for r in depths if r < n]
-    dims = np.arange(d)
+    dims, out = np.arange(d), []
     for i, x in enumerate(qf):
         seen = np.zeros(n, dtype=bool)
-        met, scores, done = np.zeros(0, np.int64), np.zeros(0, kind), False
-        begin = 0
-        for r in stages:
-            rows = np.arange(begin, r)[:, None]
+        met, scores = [], []
+        least = -np.inf if floors is None else floors[i]
+        begin, depth, unseen = 0, first or FIRST_DEPTH, n
+        while unseen:
+            rows = np.arange(begin, min(depth, n))[:, None]
             reach = lists[np.where(x >= 0, n - 1 - rows, rows), dims]
-            fresh = np.zeros(n, dtype=bool)
-            fresh[reach.ravel()] = True
-            fresh &= ~seen
-            at = np.flatnonzero(fresh)
-            seen |= fresh
-            met, scores = np.concatenate([met, at]), np.concatenate([scores, cf[at] @ x])
-            threshold = cf[reach[-1], dims] @ x
-            own = scores[ids[met] != query_ids[i]]
-            if len(own) >= k and threshold < np.partition(own, len(own) - k)[len(own) - k]:
-                emit(i, scores, met)
-                done = True
+            new = np.zeros(n, dtype=bool)
+            new[reach.ravel()] = True
+            at = np.flatnonzero(new & ~seen)
+            seen[at] = True
+            unseen -= len(at)
+            met.append(at)
+            scores.append(cf[at] @ x)
+            own = np.concatenate(scores)[ids[np.concatenate(met)] != query_ids[i]]
+            if len(own) >= k:
+                least = max(least, np.partition(own, len(own) - k)[len(own) - k])
+            if cf[reach[-1], dims] @ x < least:
                 break
-            if 2 * len(met) > n:      # most of the block is met: the rest is cheaper at once
-                break
-            begin = r
-        if not done:
-            rest.append(i)
-    for a in range(0, len(rest), 128):
-        some = rest[a:a + 128]
-        for i, score in zip(some, qf[some] @ cf.T):
-            emit(i, score, np.arange(n))
+            begin, depth = depth, 2 * depth
+        if not met:
+            continue
+        at, score = np.concatenate(met), np.concatenate(scores)
+        keep = ids[at] != query_ids[i]
+        at, score = at[keep], score[keep]
+        best = _best(score, ids[at], k)
+        out.append((np.full(len(best), query_ids[i]), ids[at[best]], score[best].astype(np.int64)))
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*out))
+        return (np.zeros(0, np.int64),) * 3
+    return tuple(np.concatenate([o[j] for o in out]) for j in range(3))
+
+
+def seed_floors(seed_ids: np.ndarray, seeds: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> np.ndarray:
+    """Each query's k-th score among the seeds, a score that its k best rows reach."""
+    floors = np.full(len(q), -np.inf)
+    if seeds.shape[1:] != q.shape[1:]:
+        return floors
+    for i, x in enumerate(q):
+        s = (seeds.astype(float) @ x.astype(float))[seed_ids != query_ids[i]]
+        if len(s) >= k:
+            # Rounding may only lower a floor.
+            s = np.partition(s, len(s) - k)[len(s) - k]
+            floors[i] = s - abs(s) * 1e-9 - 1
+    return floors
 
 
 def _matrix(column) -> np.ndarray:
@@ -137,12 +150,20 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     c = dealt(vectors, "block", blocks, "chunk", chunks)
     q = dealt(queries, "chunk", chunks, "block", blocks)
 
+    # A fixed number of rows, of the commonest length, whatever the table's size.
+    length = vectors.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
+    some = (vectors.where(F.col("dim") == length["dim"]).orderBy(F.xxhash64("vec_id", F.lit(9))).limit(SEEDS)
+            .select("vec_id", "v").toArrow() if length else None)
+    seed_ids = some["vec_id"].to_numpy() if length else np.zeros(0, np.int64)
+    seeds = _matrix(some["v"]) if length else np.zeros((0, 0), np.int64)
+
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows == 0 or right.num_rows == 0:
             got = (np.zeros(0, np.int64),) * 3
         else:
-            got = threshold_search(left["vec_id"].to_numpy(), _matrix(left["v"]),
-                                   right["vec_id"].to_numpy(), _matrix(right["v"]), k)
+            ids, q = right["vec_id"].to_numpy(), _matrix(right["v"])
+            got = threshold_search(left["vec_id"].to_numpy(), _matrix(left["v"]), ids, q, k,
+                                   seed_floors(seed_ids, seeds, ids, q, k))
         return pa.table([pa.array(x, pa.int64()) for x in got], names=["query_id", "vec_id", "score"])
 
     keys = ["dim", "block", "chunk"]

@@ -696,7 +696,8 @@ def test_topk_against_duckdb(spark):
 def test_topk_edges(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 40)
     monkeypatch.setattr(topk, "CHUNK_QUERIES", 7)
-    monkeypatch.setattr(topk, "DEPTHS", (2, 5))
+    monkeypatch.setattr(topk, "FIRST_DEPTH", 2)
+    monkeypatch.setattr(topk, "SEEDS", 30)
     rng = np.random.default_rng(5)
     rows = [(i, rng.normal(size=6).tolist()) for i in range(150)] + [(200 + i, [1.0] * 6) for i in range(60)]
     rows += [(20, [9.0] * 6), (300, None), (301, []), (302, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (303, [float("nan")] * 6),
@@ -719,9 +720,22 @@ def test_topk_edges(spark, monkeypatch):
     assert topk.top_k(vectors.limit(0), vectors.limit(0), 5).count() == 0
 
 
+def test_topk_scores_beyond_64_bits_fail(spark):
+    far = spark.createDataFrame([(20, [1e17, 1.0]), (21, [1e17, 1.0])], "vec_id bigint, embedding array<double>")
+    vectors = topk.integer_vectors(far)
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(vectors, vectors.where("vec_id = 20"), 3).collect()
+    with pytest.raises(Exception, match="64 bits"):
+        topk.integer_vectors(spark.createDataFrame([(1, [1e19])], "vec_id bigint, embedding array<double>")).collect()
+    wide = spark.createDataFrame([(20, [2.0 ** 24]), (21, [2.0 ** 5]), (22, [-3.0])], "vec_id bigint, embedding array<double>")
+    vectors = topk.integer_vectors(wide)
+    got = topk.top_k(vectors, vectors.where("vec_id = 20"), 3).collect()
+    assert [(r.vec_id, r.score) for r in got] == [(21, 2 ** 41), (22, -192 * 2 ** 30)]
+
+
 def test_threshold_stops_early():
     """Lists led by one strong row per dimension end before the block is met."""
     n, d = 400, 4
     c = np.tile(np.arange(n)[:, None], (1, d)).astype(np.int64)
-    q, i, s = topk.threshold_search(np.arange(n), c, np.array([-1]), np.ones((1, d), np.int64), 3, depths=(8, 64))
+    q, i, s = topk.threshold_search(np.arange(n), c, np.array([-1]), np.ones((1, d), np.int64), 3, first=8)
     assert i.tolist() == [399, 398, 397] and s.tolist() == [4 * 399, 4 * 398, 4 * 397]
