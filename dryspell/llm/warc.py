@@ -7,12 +7,17 @@ from any record. Equal payloads of at least ``MIN_REVISIT`` bytes are stored
 once: the smallest page id keeps the payload and the others become revisits.
 
 Files are written by Spark's text sink (any store Spark can write, committed
-by task): a row holds the bytes of one frame, and the row separator is an empty
-skippable frame, which readers pass over. Each partition becomes one archive.
+by task): a row holds the frames of some megabytes of records, and the row separator
+is an empty skippable frame, which readers pass over. A file takes a fixed number of
+rows, so an archive is at most about 256 MB (or one record) however large the
+partition; each begins with the dictionary.
 
 Defined cases: null html is empty; a page without id is kept with a null id (and
 is never the one that others refer to); a null url is written as an empty target;
-repeated ids: every row with the smallest id of its payload is a response; an
+a url with control characters or blanks at an end is written percent-encoded under a
+header that says so, any other one as it is: every url comes back as it was;
+repeated ids: every row with the smallest id of its payload is a response; rows that
+repeat id and payload have record ids of their own, and revisits refer to the first; an
 empty table gives no archive and no rows; too few records to train on give
 archives without a dictionary.
 """
@@ -20,6 +25,7 @@ archives without a dictionary.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import urllib.parse
 import uuid
@@ -32,10 +38,13 @@ from pyspark.sql import types as T
 
 #: Payloads of fewer bytes are always stored.
 MIN_REVISIT = 100
-#: Records (about) and bytes of each that the dictionary is trained on, and its size.
+#: Records (about) that the dictionary is trained on, whole; pages of more bytes are
+#: not drawn, which only affects compression. And the dictionary's size.
 SAMPLE_RECORDS = 1000
-SAMPLE_BYTES = 16384
+SAMPLE_BYTES = 131072
 DICTIONARY_BYTES = 65536
+#: Bytes of frames in a row of the text sink, and rows of an archive.
+ROW_BYTES, ARCHIVE_ROWS = 1 << 22, 64
 LEVEL = 3
 
 #: Fixed values of the formats.
@@ -55,36 +64,43 @@ RECORD_FIELDS = T.StructType([
 
 
 def plan_records(pages: DataFrame, id_col="page_id", url_col="url", html_col="html") -> DataFrame:
-    """(page_id, url, payload, payload_digest, refers_to) with refers_to set for revisits.
+    """(page_id, url, payload, payload_digest, refers_to, copy): refers_to is set for revisits,
+    copy (a number of its own) for rows that repeat another's id and payload.
 
     Only (id, digest, size) is grouped; the payloads meet the short list of
-    revisits in one join on (page id, digest), so a payload that a third of the
-    pages share is not a join key.
+    revisits and repeated rows in one join on (page id, digest), so a payload that a
+    third of the pages share is not a join key.
     """
     rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary").alias("payload"))
-    rows = rows.withColumn("payload_digest", F.sha2("payload", 256))
-    keys = rows.where(F.octet_length("payload") >= MIN_REVISIT).select("page_id", "payload_digest")
-    first = (keys.groupBy("payload_digest")
-             .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
-             .where("n > 1 AND first_id IS NOT NULL").drop("n"))
-    revisits = (keys.join(first, "payload_digest").where("NOT page_id <=> first_id")
-                .select(F.col("page_id").alias("r_id"), F.col("payload_digest").alias("r_digest"),
-                        F.col("first_id").alias("refers_to")).distinct())
-    return (rows.join(revisits, F.expr("page_id <=> r_id AND payload_digest = r_digest"), "left")
-            .select("page_id", "url", "payload", "payload_digest", "refers_to"))
-
-
-def train_dictionary(pages: DataFrame, html_col: str = "html", records: int = SAMPLE_RECORDS) -> bytes:
-    """A dictionary from about ``records`` pages, chosen by a hash of their text (b'' if too few)."""
-    n = pages.count()
-    rate = min(1.0, records / max(1, n))
-    spread = F.pmod(F.xxhash64(html_col, F.lit(5)), F.lit(1 << 30))
-    rows = (pages.where(F.col(html_col).isNotNull() & (spread < int(rate * (1 << 30)) + 1))
-            .select(F.substring(F.col(html_col).cast("string").cast("binary"), 1, SAMPLE_BYTES).alias("b"))
-            .limit(2 * records).collect())
-    samples = [framed(record_bytes(i, "http://example.org/", bytes(r["b"]), hashlib.sha256(r["b"]).hexdigest(), None))
-               for i, r in enumerate(rows) if r["b"]]
+    rows = rows.withColumn("payload_digest", F.sha2("payload", 256)).withColumn("place", F.monotonically_increasing_id())
+    keys = (rows.select("page_id", "payload_digest", "place", F.octet_length("payload").alias("size"))
+            .groupBy("page_id", "payload_digest")
+            .agg(F.min("place").alias("first_place"), F.count("*").alias("n"), F.max("size").alias("size")))
+    # Null ids group with each other here, but are never the one referred to.
+    first = (keys.where(F.col("size") >= MIN_REVISIT).groupBy("payload_digest")
+             .agg(F.min("page_id").alias("first_id"), F.count("*").alias("ids"))
+             .where("ids > 1 AND first_id IS NOT NULL").drop("ids"))
+    facts = (keys.join(first, "payload_digest", "left")
+             .select(F.col("page_id").alias("r_id"), F.col("payload_digest").alias("r_digest"),
+                     F.expr("CASE WHEN first_id IS NOT NULL AND NOT page_id <=> first_id THEN first_id END").alias("refers_to"),
+                     F.expr("CASE WHEN n > 1 THEN first_place END").alias("first_place"))
+             .where("refers_to IS NOT NULL OR first_place IS NOT NULL"))
+    return (rows.join(facts, F.expr("page_id <=> r_id AND payload_digest = r_digest"), "left")
+            .select("page_id", "url", "payload", "payload_digest", "refers_to",
+                    F.expr("CASE WHEN place <> first_place THEN place END").alias("copy")))
+
+
+def train_dictionary(pages: DataFrame, id_col="page_id", url_col="url", html_col: str = "html",
+                     records: int = SAMPLE_RECORDS) -> bytes:
+    """A dictionary from about ``records`` whole records as they are archived, chosen by a hash of their text (b'' if too few)."""
+    rows = pages.select(F.col(id_col).cast("bigint").alias("i"), F.col(url_col).cast("string").alias("u"),
+                        F.col(html_col).cast("string").cast("binary").alias("b")).where(F.octet_length("b") <= SAMPLE_BYTES)
+    rate = min(1.0, records / max(1, rows.count()))
+    spread = F.pmod(F.xxhash64("b", F.lit(5)), F.lit(1 << 30))
+    drawn = rows.where(spread < int(rate * (1 << 30)) + 1).limit(2 * records).collect()
+    samples = [framed(record_bytes(r["i"], r["u"], bytes(r["b"]), hashlib.sha256(r["b"]).hexdigest(), None))
+               for r in drawn if r["b"]]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
@@ -95,7 +111,7 @@ def framed(parts: tuple[bytes, bytes]) -> bytes:
     return parts[0] + parts[1] + b"\r\n\r\n"
 
 
-def record_bytes(page_id, url, payload: bytes, digest: str, refers_to) -> tuple[bytes, bytes]:
+def record_bytes(page_id, url, payload: bytes, digest: str, refers_to, copy=None) -> tuple[bytes, bytes]:
     """(WARC header with its blank line, block) of one record."""
     ident = "" if page_id is None else str(page_id)
     http = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
@@ -103,9 +119,9 @@ def record_bytes(page_id, url, payload: bytes, digest: str, refers_to) -> tuple[
     block = http if refers_to is not None else http + payload
     lines = ["WARC/1.1",
              f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-             f"WARC-Record-ID: <urn:uuid:{record_uuid(ident, digest)}>",
+             f"WARC-Record-ID: <urn:uuid:{record_uuid(ident, digest, copy)}>",
              f"WARC-Date: {DATE}",
-             f"WARC-Target-URI: {urllib.parse.quote(url or '', safe=SAFE)}",
+             *target_lines(url or ""),
              f"WARC-Payload-Digest: sha256:{digest}",
              f"Page-Id: {ident}"]
     if refers_to is not None:
@@ -116,37 +132,49 @@ def record_bytes(page_id, url, payload: bytes, digest: str, refers_to) -> tuple[
     return "\r\n".join(lines).encode(), block
 
 
-SAFE = "!#$%&'()*+,/:;=?@[]~"
+ENCODED = "Target-URI-Encoding: percent"
+_ODD = re.compile(r"[\x00-\x1f\x7f]|^\s|\s$")
 
 
-def record_uuid(ident: str, digest: str) -> uuid.UUID:
-    return uuid.UUID(bytes=hashlib.sha256(f"{ident} {digest}".encode()).digest()[:16], version=4)
+def target_lines(url: str) -> list[str]:
+    """The target's header; a url that no header line can hold is percent-encoded, and said to be."""
+    if _ODD.search(url):
+        return [f"WARC-Target-URI: {urllib.parse.quote(url, safe='')}", ENCODED]
+    return [f"WARC-Target-URI: {url}"]
+
+
+def record_uuid(ident: str, digest: str, copy=None) -> uuid.UUID:
+    name = f"{ident} {digest}" if copy is None else f"{ident} {digest} {copy}"
+    return uuid.UUID(bytes=hashlib.sha256(name.encode()).digest()[:16], version=4)
 
 
 def write_archives(records: DataFrame, path: str, dictionary: bytes) -> None:
-    """Write the planned records as archives under ``path``, one per partition."""
+    """Write the planned records as archives under ``path``, one or more per partition."""
     def run(batches):
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared, write_checksum=True)
-        begun = not dictionary
+        head = struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary if dictionary else b""
+        frames, size, done = [], 0, 0
+
+        def row():
+            # The sink opens a file every ARCHIVE_ROWS rows of a task.
+            lead = [head] if done % ARCHIVE_ROWS == 0 else []
+            return pa.RecordBatch.from_arrays([pa.array([b"".join(lead + frames)], pa.binary())], names=["frame"])
+
         for batch in batches:
-            frames, size = [], 0
-            columns = [batch.column(i) for i in range(5)]
+            columns = [batch.column(i) for i in range(6)]
             for i in range(batch.num_rows):
-                page_id, url, payload, digest, refers = (c[i].as_py() for c in columns)
-                if not begun:
-                    frames.append(struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary)
-                    begun = True
-                frames.append(packer.compress(framed(record_bytes(page_id, url, payload, digest, refers))))
+                page_id, url, payload, digest, refers, copy = (c[i].as_py() for c in columns)
+                frames.append(packer.compress(framed(record_bytes(page_id, url, payload, digest, refers, copy))))
                 size += len(frames[-1])
-                if size > 1 << 22:
-                    yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["frame"])
-                    frames, size = [], 0
-            if frames:
-                yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["frame"])
+                if size > ROW_BYTES:
+                    yield row()
+                    frames, size, done = [], 0, done + 1
+        if frames:
+            yield row()
 
     (records.mapInArrow(run, "frame binary").select(F.col("frame").cast("string").alias("frame"))
-     .write.option("lineSep", EMPTY_FRAME).text(path))
+     .write.option("lineSep", EMPTY_FRAME).option("maxRecordsPerFile", ARCHIVE_ROWS).text(path))
 
 
 def frame_end(data: memoryview, at: int) -> int:
@@ -192,9 +220,9 @@ def parse_record(raw: bytes) -> tuple:
     revisit = fields["WARC-Type"] == "revisit"
     if not revisit and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
         raise ValueError(f"payload of page {fields['Page-Id']} does not match its digest")
-    ident, refers = fields["Page-Id"], fields.get("Refers-To-Page-Id")
+    ident, refers, target = fields["Page-Id"], fields.get("Refers-To-Page-Id"), fields["WARC-Target-URI"]
     return (int(ident) if ident else None, size, digest, fields["WARC-Type"],
-            int(refers) if refers else None, urllib.parse.unquote(fields["WARC-Target-URI"]),
+            int(refers) if refers else None, urllib.parse.unquote(target) if "Target-URI-Encoding" in fields else target,
             None if revisit else payload)
 
 

@@ -446,6 +446,41 @@ def test_warc_round_trip_and_edges(spark):
     assert warc.archive(pages.limit(2), scratch_path(spark, "warc-test")).count() == 2
 
 
+def test_warc_urls_come_back_and_record_ids_are_unique(spark, monkeypatch):
+    urls = ["http://a/b%20c?x=%41", "http://a/ b", " lead", "trail\t", "a\nb: c", "x: y: z", "é中\u2028", "%", "%0D%0A", "\r\n", "", None,
+            "http://h/\x00"]
+    rows = [(i, u, f"page {i} " * 30) for i, u in enumerate(urls)]
+    rows += [(500, "twice", "same payload " * 20)] * 4 + [(501, "v", "same payload " * 20), (None, "n", "nulls " * 40), (None, "n", "nulls " * 40)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    path = scratch_path(spark, "warc-ids")
+    warc.write_archives(warc.plan_records(pages), path, b"")
+    back = warc.read_archives(spark, path).collect()
+    assert {r.page_id: r.url for r in back if r.page_id is not None and r.page_id < 100} == {i: u or "" for i, u in enumerate(urls)}
+    raw = [rec for r in spark.read.format("binaryFile").load(path).collect() for rec in warc.read_frames(bytes(r.content))]
+    ids = [re.search(rb"WARC-Record-ID: (\S+)", r).group(1) for r in raw]
+    assert len(set(ids)) == len(raw) == len(rows)
+    refers = {m.group(1) for r in raw if (m := re.search(rb"WARC-Refers-To: (\S+)", r))}
+    assert refers and refers <= set(ids)
+    assert sorted(r.record_type for r in back if r.page_id in (500, 501)) == ["response"] * 4 + ["revisit"]
+
+
+def test_warc_archives_are_bounded_and_each_has_the_dictionary(spark, monkeypatch):
+    rng = random.Random(1)
+    rows = [(i, f"http://x/{i}", f"<html>{prose(rng, 60)}</html>") for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    dictionary = warc.train_dictionary(pages)
+    assert dictionary
+    monkeypatch.setattr(warc, "ROW_BYTES", 2000)
+    monkeypatch.setattr(warc, "ARCHIVE_ROWS", 3)
+    path = scratch_path(spark, "warc-bounded")
+    warc.write_archives(warc.plan_records(pages), path, dictionary)
+    files = spark.read.format("binaryFile").load(path).collect()
+    assert len(files) > 5 and max(r.length for r in files) < len(dictionary) + 3 * 4000
+    assert all(bytes(r.content[:4]) == b"\x5d\x2a\x4d\x18" for r in files)
+    assert sorted((r.page_id, bytes(r.payload).decode()) for r in warc.read_archives(spark, path).collect()) == [
+        (i, h) for i, _, h in rows]
+
+
 # 5: licenses
 
 def test_license_against_duckdb(spark):
