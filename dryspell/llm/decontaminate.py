@@ -12,8 +12,13 @@ too, however many documents share them (:func:`voted`). Each candidate's
 window of the text is aligned with the item, word by word; the local alignment
 score over the item's perfect score tells copies, edited ones too, from chance.
 
+Items whose threshold one word reaches (of two words at a half) are sought by each of
+their words; all others of two words or more by their pairs, so that no item is too
+short for its parts to be found. Candidates carry no item text: the items' words go
+to the tasks once, if their size allows, else with the candidates of each text.
+
 Defined cases: null or empty texts and items match nothing; an item of fewer
-than n words is one gram; repeated rows are scored one by one; of equal scores
+than n words is one gram besides; repeated rows are scored one by one; of equal scores
 the smallest item id is reported (null ids last); an empty table of documents
 gives no rows, an empty benchmark finds nothing; items with equal texts all
 count; other columns pass through.
@@ -44,6 +49,8 @@ THRESHOLD = 0.5
 
 #: Word pairs of items that a task holds at once; more items take more scans.
 VOTE_GRAMS = 1 << 20
+#: Bytes of item texts that every task holds; beyond, they travel with the candidates.
+ITEM_BYTES = 64 << 20
 
 _WORD = np.zeros(256, dtype=bool)
 _WORD[97:123] = True
@@ -67,24 +74,34 @@ def _grams(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np
     return row[keep], keep - first[row[keep]], h[keep]
 
 
-def item_grams(items: DataFrame, n: int, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item_id, n_words, gram, at, words) per gram; short items give one gram per word count below n."""
+def item_grams(items: DataFrame, n: int, threshold: float = THRESHOLD, id_col: str = "item_id",
+               text_col: str = "text") -> DataFrame:
+    """(item_id, n_words, gram, at, k) per gram of k words: n, fewer for shorter items, 1 where one word suffices."""
     def run(batches):
         for batch in batches:
             for a, z, data, offsets in text_slices(batch.column(1)):
                 words, first = words_of(data, offsets)
                 row, at, h = _grams(words, first, n)
-                short = np.flatnonzero((np.diff(first) > 0) & (np.diff(first) < n))
-                row = np.concatenate([row, short])
-                at = np.concatenate([at, np.zeros(len(short), np.int64)])
+                count = np.diff(first)
+                short = np.flatnonzero((count > 0) & (count < n))
+                single = np.flatnonzero(one_word_suffices(count, threshold)[np.repeat(np.arange(len(count)), count)])
+                owner = np.repeat(np.arange(len(count)), count)[single]
+                k = np.concatenate([np.full(len(row), n), count[short], np.ones(len(single), np.int64)])
+                row = np.concatenate([row, short, owner])
+                at = np.concatenate([at, np.zeros(len(short), np.int64), single - first[owner]])
                 h = np.concatenate([h, np.array([short_gram(words[first[i]:first[i + 1]]) for i in short],
-                                                dtype=_U)])
+                                                dtype=_U), mix(gram_hash(words[single], 1) ^ _U(1))])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(row + a)), pa.array(np.diff(first)[row]),
-                     pa.array(h.view(np.int64)), pa.array(at)], names=["item_id", "n_words", "gram", "at"])
+                    [batch.column(0).take(pa.array(row + a)), pa.array(count[row]), pa.array(h.view(np.int64)),
+                     pa.array(at), pa.array(k)], names=["item_id", "n_words", "gram", "at", "k"])
 
     return (items.select(F.col(id_col).cast("bigint").alias("item_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "item_id bigint, n_words bigint, gram bigint, at bigint"))
+            .mapInArrow(run, "item_id bigint, n_words bigint, gram bigint, at bigint, k bigint").distinct())
+
+
+def one_word_suffices(n_words: np.ndarray, threshold: float) -> np.ndarray:
+    """Items of which a single matching word reaches the threshold."""
+    return (n_words > 0) & (n_words * threshold <= 1 + 1e-9)
 
 
 def short_gram(words: np.ndarray) -> np.uint64:
@@ -103,7 +120,7 @@ def _bitmap(grams: DataFrame) -> np.ndarray:
 def seeds(docs: DataFrame, grams: DataFrame, n: int, rkey: str, text_col: str) -> DataFrame:
     """(rkey, item_id, n_words, diagonal, gram) where a text and an item share a gram."""
     bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(grams))
-    lengths = [r["n_words"] for r in grams.where(F.col("n_words") < n).select("n_words").distinct().collect()]
+    lengths = sorted(r["k"] for r in grams.where(F.col("k") < n).select("k").distinct().collect())
 
     def run(batches):
         known = np.unpackbits(bitmap.value).astype(bool)
@@ -116,12 +133,15 @@ def seeds(docs: DataFrame, grams: DataFrame, n: int, rkey: str, text_col: str) -
                         h = mix(h ^ _U(k))
                     keep = known[(h >> _U(64 - BITMAP_BITS)).astype(np.int64)]
                     row, at, h = row[keep], at[keep], h[keep]
+                    if k == 1 and len(row):      # a text's first place of a word is as good as any
+                        first_at = np.sort(np.unique(np.stack([row.astype(_U), h]), axis=1, return_index=True)[1])
+                        row, at, h = row[first_at], at[first_at], h[first_at]
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(pa.array(row + a)), pa.array(h.view(np.int64)), pa.array(at)],
                         names=["rkey", "gram", "p"])
 
     hits = docs.select(rkey, text_col).mapInArrow(run, "rkey bigint, gram bigint, p bigint")
-    return (hits.join(broadcast_checked(grams), "gram")
+    return (hits.join(broadcast_checked(grams.drop("k")), "gram")
             .select("rkey", "item_id", "n_words", (F.col("p") - F.col("at")).alias("diagonal"), "gram"))
 
 
@@ -152,8 +172,6 @@ def _item_pairs(part: DataFrame) -> tuple[np.ndarray, ...]:
         raw = np.frombuffer(text.encode(), np.uint8)
         words, first = words_of(raw, np.array([0, len(raw)]))
         count.append(len(words))
-        if len(words) < N:
-            continue
         for d in (1, 2):
             _, at, h = _pairs(words, first, d)
             hashes.append(h)
@@ -185,6 +203,9 @@ def _votes(words: np.ndarray, first: np.ndarray, items: tuple, bands: int, need:
     row, item, at, diagonal, weight = map(np.concatenate, (row, item, at, diagonal, weight))
     if len(row) == 0:
         return row, item, row
+    most = float(len(first)) * len(count) * (float(np.abs(diagonal).max()) + bands + 4) * (count.max() + 1) * 4
+    if most >= 2.0 ** 63:
+        raise OverflowError("too many texts, items and words at once to pack into 64 bits")
     # A place of the item votes once in a window, with its best pair.
     own, low = diagonal // count[item], -(bands + 2)
     place_of = (row * len(count) + item) * (int(own.max()) - low + 2)
@@ -205,7 +226,7 @@ def _votes(words: np.ndarray, first: np.ndarray, items: tuple, bands: int, need:
 
 
 def voted(docs: DataFrame, items: DataFrame, rkey: str, text_col: str, threshold: float) -> DataFrame:
-    """(rkey, item_id, n_words, band) of every item of N or more words that may reach the threshold from the band on.
+    """(rkey, item_id, n_words, band) of every item that may reach the threshold with two words or more from the band on.
 
     An alignment at the threshold has at most 2 - 2 ``threshold`` of the item's
     words as gaps, which bounds how far its diagonals are apart. Items are dealt
@@ -285,15 +306,21 @@ def scan(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int
     rkey, found = fresh("rkey", taken), fresh("candidates", taken)
     id_col = "doc_id" if "doc_id" in taken else None
     keyed = docs.withColumn(rkey, F.xxhash64(*([F.col(id_col)] if id_col else []), F.col(text_col)))
-    grams = item_grams(items, n, item_id, item_text)
+    grams = item_grams(items, n, threshold, item_id, item_text)
     hits = materialize(seeds(keyed, grams, n, rkey, text_col), "decontaminate-seeds")
-    texts = (items.select(F.col(item_id).cast("bigint").alias("i_id"), F.col(item_text).cast("string").alias("body"))
-             .where("body IS NOT NULL"))
     named = items.select(F.col(item_id).cast("bigint").alias("item_id"), F.col(item_text).cast("string").alias("text"))
+    bodies = (named.where("text IS NOT NULL").distinct()
+              .select(F.col("item_id").alias("i_id"), F.xxhash64("item_id", "text").alias("ikey"), F.col("text").alias("body")))
     both = candidates(hits, n).unionByName(voted(keyed, named, rkey, text_col, threshold)).distinct()
-    cands = (both.join(texts, F.expr("item_id <=> i_id"))
+    # Item texts of a proven size go to the tasks by key; larger ones travel with the candidates.
+    size = bodies.agg(F.sum(F.octet_length("body") + 64)).first()[0] or 0
+    carried = size > ITEM_BYTES
+    table = {} if carried else {r["ikey"]: r["body"] for r in bodies.select("ikey", "body").collect()}
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+    body = F.col("body") if carried else F.lit(None).cast("string").alias("body")
+    cands = (both.join(bodies if carried else bodies.drop("body"), F.expr("item_id <=> i_id"))
              .groupBy(F.col("rkey").alias(rkey))
-             .agg(F.collect_set(F.struct("item_id", "band", "n_words", "body")).alias(found)))
+             .agg(F.collect_set(F.struct("item_id", "band", "ikey", body)).alias(found)))
     joined = keyed.join(broadcast_checked(cands), rkey, "left")
 
     names = [fresh(c, taken) for c in ("contaminated", "overlap_score", "item_id", "start_word", "end_word", "items")]
@@ -302,15 +329,16 @@ def scan(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int
     at = taken.index(text_col)
 
     def run(batches):
-        held: dict[str, np.ndarray] = {}
+        held: dict[int, np.ndarray] = {}
 
-        def item_words(body: str) -> np.ndarray:
-            if body not in held:
+        def item_words(candidate: dict) -> np.ndarray:
+            key = candidate["ikey"]
+            if key not in held:
                 if len(held) > 10_000:
                     held.clear()
-                raw = np.frombuffer(body.encode(), np.uint8)
-                held[body] = words_of(raw, np.array([0, len(raw)]))[0]
-            return held[body]
+                raw = np.frombuffer((candidate["body"] if carried else shared.value[key]).encode(), np.uint8)
+                held[key] = words_of(raw, np.array([0, len(raw)]))[0]
+            return held[key]
 
         for batch in (p for b in batches for p in parts(b, at)):
             out = [(False, 0.0, None, None, None, [])] * batch.num_rows
@@ -319,9 +347,9 @@ def scan(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int
                 raw = np.frombuffer((column[i].as_py() or "").encode(), np.uint8)
                 text, _ = words_of(raw, np.array([0, len(raw)]))
                 best, reached = (0.0, None, None, None), set()
-                todo = sorted(lists[i].as_py(), key=lambda c: (c["item_id"] is None, c["item_id"] or 0, c["band"]))
+                todo = sorted(lists[i].as_py(), key=lambda c: (c["item_id"] is None, c["item_id"] or 0, c["band"], c["ikey"]))
                 for c in todo:
-                    x = item_words(c["body"])
+                    x = item_words(c)
                     # The band's diagonals, an item's length before and two after.
                     lo = max(0, (c["band"] - 1) * len(x))
                     hi = min(len(text), (c["band"] + 3) * len(x))

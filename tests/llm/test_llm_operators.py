@@ -722,6 +722,27 @@ def test_decontaminate_finds_edited_and_short_items_in_many_documents(spark):
     assert got[9000] == {5} and all(i in got[1000 * i + j] for i in range(8) for j in range(24))
 
 
+@pytest.mark.parametrize("carried", [False, True])
+def test_decontaminate_short_items_are_complete(spark, monkeypatch, carried):
+    """Items of 1 to 6 words against all alignments, on a small vocabulary where parts meet everywhere."""
+    monkeypatch.setattr(decontaminate, "ITEM_BYTES", -1 if carried else 1 << 20)
+    rng = random.Random(71)
+    word = lambda: rng.choice(["alpha", "beta", "gamma", "delta"] + [f"w{i}" for i in range(40)])
+    items = [(i, " ".join(word() for _ in range(1 + i % 6))) for i in range(24)]
+    items += [(30, "alpha beta gamma"), (31, "delta epsilon"), (31, "other text"), (32, "solo")]
+    rows = [(i, " ".join(word() for _ in range(rng.randint(0, 14)))) for i in range(120)]
+    rows += [(900, "alpha zzz gamma"), (901, "delta"), (902, "alpha gamma"), (903, "zzz solo zzz"), (904, "gamma alpha")]
+    got = {r["doc_id"]: r for r in decontaminate.scan(
+        spark.createDataFrame(rows, "doc_id bigint, text string"),
+        spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    of = lambda t: decontaminate.words_of(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0]
+    for d, text in rows:
+        share = [(decontaminate.smith_waterman(of(t), of(text))[0] / (2 * len(of(t))), i) for i, t in items]
+        assert set(got[d]["items"]) == {i for s, i in share if s >= 0.5}, text
+        assert got[d]["contaminated"] == (max(share)[0] >= 0.5)
+    assert 30 in got[900]["items"] and 31 in got[901]["items"] and 30 in got[902]["items"] and 32 in got[903]["items"]
+
+
 # 8: top-k
 
 def test_topk_against_duckdb(spark):
