@@ -1,9 +1,10 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 The examples are a bounded, documented sample of labelled documents. Terms are
-words and their four-letter stems, hashed; the vocabulary keeps the terms that
-separate the sample's labels best (chi-square), and inverse document frequencies
-come from counts over *all* documents, which Spark sums. The examples form an
+words and their four-letter stems, hashed; the vocabulary keeps every term that
+separates the sample's labels significantly (chi-square), however many there are,
+and inverse document frequencies
+come from counts over *all* documents, which Spark sums. The examples form a sparse
 inverted index cut into blocks; every (term, block) holds its largest weight, so
 a query's dot product with the block maxima bounds its cosine with every example
 of a block. Blocks are visited from the highest bound down and a query stops
@@ -36,9 +37,9 @@ from dryspell.llm.common import (LOWER, append_columns, bounded_sample, doc_tabl
                                  span_hash, spans, text_slices, word_rows)
 
 #: Examples of each label, about (at most twice that).
-EXAMPLES_PER_CLASS = 1000
-#: Terms kept by chi-square.
-VOCABULARY = 1024
+EXAMPLES_PER_CLASS = 1500
+#: Least chi-square of a term: one in a hundred reaches it by chance.
+SIGNIFICANT = 6.63
 #: Neighbours that vote, and examples in a block of the index.
 NEIGHBOURS = 15
 BLOCK = 32
@@ -98,6 +99,12 @@ def unit_vectors(vocabulary: np.ndarray, idf: np.ndarray, rows: int, row: np.nda
     return out
 
 
+def _ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges one after another, and how many each has."""
+    n = end - start
+    return np.repeat(start - np.cumsum(n) + n, n) + np.arange(int(n.sum())), n
+
+
 @dataclass
 class Index:
     """Block-max inverted index of the examples; arrays of bounded size."""
@@ -105,28 +112,38 @@ class Index:
     ids: np.ndarray
     label: np.ndarray
     weight: np.ndarray
-    postings: np.ndarray     # blocks x vocabulary x BLOCK weights, zero past the last example
-    block_max: np.ndarray    # vocabulary x blocks
     vectors: list            # the examples, in block order
+    of_term: np.ndarray      # first (term, block) pair of each term, and the total
+    block: np.ndarray        # of each pair: its block, largest weight and first posting (and the total)
+    largest: np.ndarray
+    first: np.ndarray
+    place: np.ndarray        # of each posting: the example's place and weight
+    value: np.ndarray
 
     @staticmethod
     def build(ids, label, weight, vectors, vocabulary: int) -> Index:
         # Examples with the same strongest term stand together, so block maxima stay tight.
         strongest = np.array([c[w.argmax()] if len(c) else vocabulary for c, w in vectors])
         order = np.lexsort((ids, strongest))
-        blocks = -(-len(order) // BLOCK)
-        postings = np.zeros((blocks, vocabulary, BLOCK))
-        for place, i in enumerate(order):
-            cols, w = vectors[i]
-            postings[place // BLOCK, cols, place % BLOCK] = w
-        return Index(ids[order], label[order], weight[order], postings,
-                     np.ascontiguousarray(postings.max(axis=2).T), [vectors[i] for i in order])
-
-    def _scored(self, blocks, cols, w) -> tuple[np.ndarray, np.ndarray]:
-        """(positions, cosines) of all examples of the blocks."""
-        s = w @ self.postings[blocks[:, None], cols]
-        p = blocks[:, None] * BLOCK + np.arange(BLOCK)
-        return p.ravel(), np.round(s.ravel(), 12)
+        held = [vectors[i] for i in order]
+        term = np.concatenate([c for c, _ in held]).astype(np.int64)
+        place = np.repeat(np.arange(len(held)), [len(c) for c, _ in held])
+        value = np.concatenate([w for _, w in held])
+        by = np.lexsort((place, term))
+        term, place, value = term[by], place[by], value[by]
+        block = place // BLOCK
+        new = np.ones(len(term), dtype=bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        at = np.flatnonzero(new)
+        return Index(ids[order], label[order], weight[order], held, np.searchsorted(term[at], np.arange(vocabulary + 1)),
+                     block[at], np.maximum.reduceat(value, at) if len(at) else value, np.append(at, len(term)), place, value)
+
+    def _scored(self, pairs, w, wanted) -> np.ndarray:
+        """Cosines of the examples of the wanted blocks, by place; others 0."""
+        some = wanted[self.block[pairs]]
+        pairs, w = pairs[some], w[some]
+        at, n = _ranges(self.first[pairs], self.first[pairs + 1])
+        return np.round(np.bincount(self.place[at], weights=np.repeat(w, n) * self.value[at], minlength=len(self.ids)), 12)
 
     def nearest(self, queries, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(position, cosine) of each query's k nearest examples with a positive cosine.
@@ -135,29 +152,29 @@ class Index:
         """
         n = len(queries)
         pos, sim = np.full((n, k), -1), np.zeros((n, k))
-        first = -(-k // BLOCK) + 1
+        blocks, first = -(-len(self.ids) // BLOCK), -(-k // BLOCK) + 1
         for i, (cols, w) in enumerate(queries):
             if len(cols) == 0:
                 continue
-            bound = w @ self.block_max[cols]
-            order = np.argsort(-bound, kind="stable")
-            order = order[bound[order] > 0]
-            p, s = self._scored(order[:first], cols, w)
+            pairs, count = _ranges(self.of_term[cols], self.of_term[cols + 1])
+            w = np.repeat(w, count)
+            bound = np.bincount(self.block[pairs], weights=w * self.largest[pairs], minlength=blocks)
+            wanted = np.zeros(blocks, dtype=bool)
+            wanted[np.argsort(-bound, kind="stable")[:first]] = True
+            score = self._scored(pairs, w, wanted)
             if skip is not None:
-                s[p == skip[i]] = 0
+                score[skip[i]] = 0
             # The k-th cosine so far; a bound equal to it may still hide a smaller id.
-            least = np.partition(s, len(s) - k)[len(s) - k] if len(s) >= k else 0.0
-            rest = order[first:]
-            rest = rest[bound[rest] >= least - 1e-9]
-            if len(rest):
-                p2, s2 = self._scored(rest, cols, w)
+            least = np.partition(score, len(score) - k)[len(score) - k] if len(score) >= k else 0.0
+            rest = ~wanted & (bound > 0) & (bound >= least - 1e-9)
+            if rest.any():
+                score += self._scored(pairs, w, rest)
                 if skip is not None:
-                    s2[p2 == skip[i]] = 0
-                p, s = np.concatenate([p, p2]), np.concatenate([s, s2])
-                least = np.partition(s, len(s) - k)[len(s) - k] if len(s) >= k else 0.0
-            keep = np.flatnonzero((s > 0) & (s >= least))
-            keep = keep[np.lexsort((self.ids[p[keep]], -s[keep]))][:k]
-            pos[i, :len(keep)], sim[i, :len(keep)] = p[keep], s[keep]
+                    score[skip[i]] = 0
+                least = np.partition(score, len(score) - k)[len(score) - k] if len(score) >= k else 0.0
+            keep = np.flatnonzero((score > 0) & (score >= least))
+            keep = keep[np.lexsort((self.ids[keep], -score[keep]))][:k]
+            pos[i, :len(keep)], sim[i, :len(keep)] = keep, score[keep]
         return pos, sim
 
     def vote(self, pos: np.ndarray, sim: np.ndarray) -> np.ndarray:
@@ -212,8 +229,7 @@ def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.nd
     return df[:-1], int(df[-1])
 
 
-def fit(docs: DataFrame, labelled: DataFrame, per_class: int = EXAMPLES_PER_CLASS,
-        vocabulary: int = VOCABULARY) -> Model:
+def fit(docs: DataFrame, labelled: DataFrame, per_class: int = EXAMPLES_PER_CLASS) -> Model:
     """Build the index from about ``per_class`` documents of each label.
 
     ``labelled`` has doc_id and label (0/1); idf counts read every document.
@@ -258,9 +274,7 @@ def fit(docs: DataFrame, labelled: DataFrame, per_class: int = EXAMPLES_PER_CLAS
     a, b, c, d = yes, no, m1 - yes, m0 - no
     chi = (m1 + m0) * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * m1 * m0, 1e-9)
     # Terms of one or two examples, or that lean the wrong way by chance, do not enter.
-    chi[(a + b < 3) | (chi < 10.83)] = 0
-    keep = np.lexsort((every, -chi))[:vocabulary]
-    words = np.sort(every[keep[chi[keep] > 0]])
+    words = every[(a + b >= 3) & (chi >= SIGNIFICANT)]
     if len(words) == 0:
         return flat
     df, rows_all = document_frequencies(docs, words)

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import json
+import math
 import random
 import re
 import tracemalloc
@@ -140,6 +141,54 @@ def test_classifiers_on_edge_cases(spark, edge, empty):
     assert set(language_id.predict(edge, language_id.fit(empty)).toPandas().lang_pred) == {"und"}
 
 
+def test_toxicity_vocabulary_has_no_cap(spark):
+    """Every significant term enters, and the neighbours of the model are those of dense vectors over all of them."""
+    rng = random.Random(6)
+    bad, good = ([f"{p}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(600)] for p in ("zz", "qq"))
+    rows = [(i, " ".join(rng.sample(bad if i % 2 else good, 80) + rng.sample(WORDS, 5))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(240)], "doc_id bigint, label int")
+    model = toxicity_knn.fit(docs, labels)
+    assert len(model.vocabulary) > 1100
+    dense = np.zeros((len(model.index.ids), len(model.vocabulary)))
+    for i, (c, w) in enumerate(model.index.vectors):
+        dense[i, c] = w
+    got = {r["doc_id"]: r for r in toxicity_knn.score(docs, model).collect()}
+    for i, text in rows[240:]:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        (c, w), = toxicity_knn.unit_vectors(model.vocabulary, model.idf, 1, *toxicity_knn.terms(raw, np.array([0, len(raw)])))
+        s = np.round(dense[:, c] @ w, 12)
+        want = sorted((-v, j) for v, j in zip(s, model.index.ids) if v > 0)[:toxicity_knn.NEIGHBOURS]
+        assert got[i]["evidence"] == [j for _, j in want] and got[i]["predicted"] == i % 2
+
+
+def test_language_prediction_equals_plain_decoding(spark, edge):
+    """Loss-weighted decoding by loops over texts, bits and languages."""
+    rng = random.Random(30)
+    alphabets = {"aa": "abcdei", "bb": "mnopqr", "cc": "stuvwx", "dd": "acemqs"}
+    text_of = lambda a, n: " ".join("".join(rng.choice(a) for _ in range(rng.randint(2, 7))) for _ in range(n))
+    rows = [(i, text_of(a, 30), lang) for i, (lang, a) in enumerate(list(alphabets.items()) * 6)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    asked = [(i, text_of(alphabets[rng.choice(sorted(alphabets))], rng.randint(1, 12))) for i in range(60)]
+    asked += [(100, text_of("abcmno", 20)), (101, "?!"), (102, None), (103, "é"), (104, "123 4")]
+    got = {r["doc_id"]: r for r in language_id.predict(spark.createDataFrame(asked, "doc_id bigint, text string"), model).collect()}
+    assert model.languages == sorted(alphabets)
+    for i, text in asked:
+        if not any(c.isalpha() for c in text or ""):
+            assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0.0)
+            continue
+        raw = np.frombuffer(text.encode(), np.uint8)
+        grams = language_id.trigrams(raw, np.array([0, len(raw)])).tolist()
+        margin = [sum(float(w[g]) for g in grams) / len(raw) for w in model.weights.astype(np.float32)]
+        loss = [sum(r * math.log(1 + math.exp(-language_id.SHARPNESS * m * bit))
+                    for r, m, bit in zip(model.reliability, margin, word)) for word in model.words]
+        p = [math.exp(min(loss) - v) for v in loss]
+        p = sorted((v / sum(p) for v in p), reverse=True)
+        assert got[i]["lang_pred"] == model.languages[loss.index(min(loss))]
+        assert got[i]["score"] == pytest.approx(p[0], abs=1e-6)
+        assert got[i]["ambiguous"] == (p[0] - p[1] < language_id.AMBIGUOUS) or abs(p[0] - p[1] - language_id.AMBIGUOUS) < 1e-6
+
+
 def test_language_codes(spark):
     for k in (2, 3, 4, 7, 12):
         words = language_id.codewords(k)
