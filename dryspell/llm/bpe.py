@@ -55,8 +55,8 @@ PRETOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACES}\p{{L}}\p{{N}}]
 WORD_END = "</w>"
 #: Signs that often follow a word; each is a pre-token of its own there.
 SIGNS = ".,;:!?"
-#: Entries of the caches of encoded runs and words and of tested pairs, per task
-#: process (about 100 MB in all). A full cache becomes the older half and is looked
+#: Entries of the caches of encoded runs and words and of tested pairs, per
+#: task (about 100 MB in all). A full cache becomes the older half and is looked
 #: up once more before it goes, so frequent words stay.
 RUNS, WORDS, PAIRS = 120_000, 40_000, 300_000
 #: Symbols between two emissions of stable tokens, and characters of a text taken at once.
@@ -320,6 +320,11 @@ class Bpe:
             parts += [self._word(w) for w in self.pretoken.findall(low)]
         return b"".join(parts)
 
+    def forget(self) -> None:
+        """Empty the caches: between tasks a process holds the vocabulary only."""
+        self.runs, self.old_runs, self.words, self.old_words = {}, {}, {}, {}
+        self.fit.clear()
+
     def encoder(self) -> TextEncoder:
         return TextEncoder(self)
 
@@ -408,7 +413,7 @@ _LOADED: dict[str, Bpe] = {}
 
 
 def loaded(source: str) -> Bpe:
-    """One encoder per process and vocabulary, so its caches last over tasks."""
+    """One encoder per process and vocabulary."""
     key = hashlib.sha256(source.encode()).hexdigest()
     if key not in _LOADED:
         _LOADED.clear()
@@ -461,6 +466,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, text_col: str = "tex
                 out += [pa.array(ids_all, pa.list_(pa.int32())), pa.array(texts, pa.string())]
             return out
 
+        batch.close = bpe.forget
         return batch
 
     return append_columns(docs, text_col, make, fields)

@@ -155,7 +155,8 @@ def append_columns(df: DataFrame, text_col: str,
                    fields: list[T.StructField]) -> DataFrame:
     """Every row and column of ``df`` plus columns computed from its text, map-side.
 
-    ``make`` runs once per task and returns the batch function. New names that
+    ``make`` runs once per task and returns the batch function, whose ``close``, if it
+    has one, is called at the task's end. New names that
     clash with a column of ``df`` must be made unique by the caller (:func:`fresh`).
     """
     schema = T.StructType([*df.schema.fields, *fields])
@@ -164,9 +165,12 @@ def append_columns(df: DataFrame, text_col: str,
 
     def run(batches):
         fn = make()
-        for batch in batches:
-            for part in parts(batch, at):
-                yield pa.RecordBatch.from_arrays([*part.columns, *fn(part.column(at))], names=names)
+        try:
+            for batch in batches:
+                for part in parts(batch, at):
+                    yield pa.RecordBatch.from_arrays([*part.columns, *fn(part.column(at))], names=names)
+        finally:
+            getattr(fn, "close", int)()
 
     return df.mapInArrow(run, schema)
 
