@@ -63,18 +63,6 @@ def ship_package(spark: SparkSession) -> None:
     sc._dryspell_shipped = True
 
 
-#: Rows, at most, that go to a Python worker at once: texts of some kilobytes each.
-ARROW_ROWS = 2000
-
-
-def bound_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batch to ARROW_ROWS rows; a lower setting stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, choosing one only if none is configured.
 
