@@ -345,8 +345,8 @@ def q_close_rings(spark, sf):
 
 def q_nearest_region_indexed(spark, sf):
     path, lines = scratch_path(spark, "segment-index"), V.boundaries(spark, sf)
-    segment_index.add_boundaries(spark, path, lines.where("feature_id % 3 <> 0"), "first")
-    segment_index.add_boundaries(spark, path, lines.where("feature_id % 3 = 0"), "second")
+    segment_index.add_boundaries(spark, path, lines.where("region % 2 = 0"), "first")
+    segment_index.add_boundaries(spark, path, lines.where("region % 2 = 1"), "second")
     d = segment_index.nearest_region_indexed(_points(spark, sf), path)
     return d.select("code", "region", _r("dist", 3).alias("dist"))
 
