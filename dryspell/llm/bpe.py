@@ -55,10 +55,10 @@ PRETOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACES}\p{{L}}\p{{N}}]
 WORD_END = "</w>"
 #: Signs that often follow a word; each is a pre-token of its own there.
 SIGNS = ".,;:!?"
-#: Entries of the caches of encoded runs and words and of tested pairs, per
-#: task (about 100 MB in all). A full cache becomes the older half and is looked
+#: Entries of the caches of encoded runs (of words a quarter) and of tested pairs, per
+#: task process (about 300 MB in all). A full cache becomes the older half and is looked
 #: up once more before it goes, so frequent words stay.
-RUNS, WORDS, PAIRS = 120_000, 40_000, 300_000
+RUNS, PAIRS = 400_000, 300_000
 #: Symbols between two emissions of stable tokens, and characters of a text taken at once.
 EMIT_EVERY = 64
 SLICE = 1 << 16
@@ -117,7 +117,7 @@ class Bpe:
         self.odd_space = re.compile("[\x1c-\x1f]")
         self.space = re.compile(f"[{SPACES}]+")
         self.spaced = [t.encode("utf-8") + b" " for t in self.text]
-        self.runs, self.old_runs = {}, {}
+        self.most, self.runs, self.old_runs = RUNS, {}, {}
         self.words, self.old_words = {}, {}
         self.bytes_of: list[bytes] | None = None
         self.fit: dict[int, bool] = {}
@@ -282,7 +282,7 @@ class Bpe:
                 ids = self.encode_word(letters)
                 got = struct.pack(f"<{len(ids)}I", *ids)
             if len(word) <= 64:
-                if len(self.words) >= WORDS:
+                if len(self.words) >= self.most // 4:
                     self.words, self.old_words = {}, self.words
                 self.words[word] = got
         return got
@@ -303,7 +303,7 @@ class Bpe:
                 ids = self._cut(run)
             got = ids, self.joined(np.frombuffer(ids, dtype="<u4").tolist())
         if len(run) <= 64:
-            if len(self.runs) >= RUNS:
+            if len(self.runs) >= self.most:
                 self.runs, self.old_runs = {}, self.runs
             self.runs[run] = got
         return got
@@ -320,11 +320,6 @@ class Bpe:
             parts += [self._word(w) for w in self.pretoken.findall(low)]
         return b"".join(parts)
 
-    def forget(self) -> None:
-        """Empty the caches: between tasks a process holds the vocabulary only."""
-        self.runs, self.old_runs, self.words, self.old_words = {}, {}, {}, {}
-        self.fit.clear()
-
     def encoder(self) -> TextEncoder:
         return TextEncoder(self)
 
@@ -413,7 +408,7 @@ _LOADED: dict[str, Bpe] = {}
 
 
 def loaded(source: str) -> Bpe:
-    """One encoder per process and vocabulary."""
+    """One encoder per process and vocabulary, so its caches last over tasks."""
     key = hashlib.sha256(source.encode()).hexdigest()
     if key not in _LOADED:
         _LOADED.clear()
@@ -422,9 +417,10 @@ def loaded(source: str) -> Bpe:
 
 
 def encode_documents(docs: DataFrame, vocabulary_path: str, text_col: str = "text",
-                     with_ids: bool = False) -> DataFrame:
+                     with_ids: bool = False, cached_runs: int = RUNS) -> DataFrame:
     """All columns of ``docs`` plus n_tokens, ids_sha256 and decoded_sha256.
 
+    ``cached_runs`` bounds the memory of the caches; it does not change a result.
     ``with_ids`` adds token_ids and decoded (the text that the state machine
     gives back). The vocabulary file (of fixed size) is read here and broadcast.
     """
@@ -440,6 +436,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, text_col: str = "tex
 
     def make():
         bpe = loaded(source.value)
+        bpe.most = cached_runs
 
         def batch(col):
             n, ids_hash, text_hash, ids_all, texts = [], [], [], [], []
@@ -466,7 +463,6 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, text_col: str = "tex
                 out += [pa.array(ids_all, pa.list_(pa.int32())), pa.array(texts, pa.string())]
             return out
 
-        batch.close = bpe.forget
         return batch
 
     return append_columns(docs, text_col, make, fields)
