@@ -6,6 +6,7 @@ cut by writing small Parquet tables to the shared checkpoint folder.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
@@ -101,16 +102,15 @@ def link_buckets(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
     the rows. What stays open after that is tested pair by pair: no link that
     a bucket holds is lost, while copies are never expanded into all pairs.
     """
-    # Rows cross one exchange, by sig: the window, the test and the distinct rows all need it.
+    # Rows cross one exchange by sig: the distinct rows and the window both need it.
     bucket = Window.partitionBy("sig")
-    mixed = materialize(rows.withColumn("lo", F.min("id").over(bucket)).withColumn("hi", F.max("id").over(bucket))
-                        .where("lo <> hi").select("sig", "id").distinct(), "mixed-buckets")
-    # Copies share many signatures: of buckets that hold the same ids one is enough.
-    print_ = [F.count("*").alias("n"), *(F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"x{i}") for i in (1, 2))]
-    single = mixed.groupBy("sig").agg(*print_).groupBy("n", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig")
-    active = materialize(mixed.join(single, "sig", "left_semi").join(features, "id").withColumn("root", F.col("id")),
-                         "buckets")
-    release(mixed)
+    print_ = [F.count("*").over(bucket).alias("n"), F.min("id").over(bucket).alias("lo"), F.max("id").over(bucket).alias("hi"),
+              *(F.bit_xor(F.xxhash64("id", F.lit(i))).over(bucket).alias(f"x{i}") for i in (1, 2))]
+    # Copies share many signatures: buckets that hold the same ids become one, named by its ids.
+    mixed = (rows.repartition("sig").distinct().select("id", *print_).where("lo <> hi")
+             .select(F.xxhash64("n", "lo", "hi", "x1", "x2").alias("sig"), "id").distinct())
+    active = materialize(mixed.join(features, "id").withColumn("root", F.col("id")), "buckets")
+    _drop_shuffles(rows.sparkSession)
     pairs, root = _star(active, 0, 1, allowed), None
     for turn, centres in enumerate([*CENTRES, None], start=1):
         root = _joined(root, _links(verify, pairs))
@@ -133,6 +133,12 @@ def link_buckets(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
     return root
 
 
+def _drop_shuffles(spark) -> None:
+    """Have the files of shuffles that no plan reads any more deleted: Spark does so once the driver's JVM collects the plan."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def _links(verify: Callable[[DataFrame], DataFrame], pairs: DataFrame) -> DataFrame:
     """The verified pairs as a written table, which ``verify`` may already have made."""
     found = verify(pairs)
