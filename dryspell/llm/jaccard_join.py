@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dryspell.llm.common import LOWER, doc_table, fresh, gram_hash, mix, span_hash, spans, text_slices
@@ -422,20 +422,31 @@ def join(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
-def keep_one(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest id (null ids last).
-
-    Rows with an empty set all stay, but rows that agree in id and text are one.
-    """
+def copies(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, bool]:
+    """(rkey) of the rows that :func:`keep_one` drops, and whether rows repeat in id and text."""
     named = materialize(_rooted(docs, n, percent), "jaccard-rooted")
     place = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "rkey")
     full = named.where("n > 0")
     kept = full.groupBy("root").agg(F.min(place).alias("kept"), F.max(place).alias("last"))
     gone = (full.join(kept.where("kept <> last").select("root", F.col("kept.rkey").alias("k")), "root")
             .where("rkey <> k").select("rkey").distinct())
+    return gone, not named.groupBy("rkey").agg(F.count("*").alias("c")).where("c > 1").isEmpty()
+
+
+def row_key() -> Column:
+    """The rkey of a row."""
+    return F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+
+
+def keep_one(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id (null ids last).
+
+    Rows with an empty set all stay, but rows that agree in id and text are one.
+    """
+    gone, repeated = copies(docs, n, percent)
     key = fresh("rkey", docs.columns)
-    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string")))
+    keyed = docs.withColumn(key, row_key())
     left = keyed.join(broadcast_checked(gone.withColumnRenamed("rkey", key)), key, "left_anti")
-    if not named.groupBy("rkey").agg(F.count("*").alias("c")).where("c > 1").isEmpty():
+    if repeated:
         left = left.dropDuplicates([key])
     return left.select(*docs.columns)
