@@ -18,6 +18,8 @@ from dryspell.operators._exec import materialize, release
 #: the first star; larger ones get stars about more and more centres first.
 SMALL_BUCKET = 64
 CENTRES = (4, 16, 64)
+#: Smaller buckets of a row that are looked through for a pair that is met there.
+BEFORE = 16
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -94,8 +96,13 @@ def link_buckets(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
     SQL condition on two rows, can tell at once that a pair is no link; it is
     part of the joins that make pairs.
 
+    Ids that are alike share many buckets. A pair is made in the smallest that it
+    shares: each row knows its id's smaller buckets (the BEFORE next ones, which
+    bounds a row and only lets some pairs be made twice), and a bucket leaves a pair
+    alone that shares one of them.
+
     A bucket's rows are first tested against one of them, a star; what a star has
-    joined needs no further test. Then only pairs of one bucket whose
+    joined needs no further test, nor has a bucket of two rows another pair. Then only pairs of one bucket whose
     components still differ are open. Small buckets have all of them tested;
     in large ones each row is tested, in the largest bucket it is in, against a
     few more centres, which joins rows that are alike at a cost in proportion to
@@ -108,8 +115,10 @@ def link_buckets(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
               *(F.bit_xor(F.xxhash64("id", F.lit(i))).over(bucket).alias(f"x{i}") for i in (1, 2))]
     # Copies share many signatures: buckets that hold the same ids become one, named by its ids.
     mixed = (rows.repartition("sig").distinct().select("id", *print_).where("lo <> hi")
-             .select(F.xxhash64("n", "lo", "hi", "x1", "x2").alias("sig"), "id").distinct())
-    active = materialize(mixed.join(features, "id").withColumn("root", F.col("id")), "buckets")
+             .select(F.xxhash64("n", "lo", "hi", "x1", "x2").alias("sig"), "id", F.col("n").alias("n_rows")).distinct())
+    before = Window.partitionBy("id").orderBy("n_rows", "sig").rowsBetween(-BEFORE, -1)
+    active = materialize(mixed.join(features, "id").withColumn("root", F.col("id"))
+                         .withColumn("before", F.collect_list("sig").over(before)), "buckets")
     _drop_shuffles(rows.sparkSession)
     pairs, root = _star(active, 0, 1, allowed), None
     for turn, centres in enumerate([*CENTRES, None], start=1):
@@ -146,17 +155,17 @@ def _links(verify: Callable[[DataFrame], DataFrame], pairs: DataFrame) -> DataFr
 
 
 def _open(active: DataFrame, root: DataFrame) -> DataFrame:
-    """Rows, with new roots and n_rows, of the buckets of n_rows rows that still hold several components."""
-    labelled = (active.drop("root", "n_rows").join(root, "id", "left")
+    """Rows, with new roots, of the buckets of over two rows (the star has tested the others) that still hold several components."""
+    labelled = (active.where("n_rows > 2").drop("root").join(root, "id", "left")
                 .withColumn("root", F.coalesce("root", "id")))
-    several = (labelled.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                           F.count("*").alias("n_rows"))
-               .where("lo <> hi").select("sig", "n_rows"))
+    several = (labelled.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+               .where("lo <> hi").select("sig"))
     return materialize(labelled.join(several, "sig"), "open-buckets")
 
 
 def _star(rows: DataFrame, turn: int, centres: int, allowed: Callable[[str, str], str]) -> DataFrame:
     """Distinct pairs of each bucket's centres, chosen by a hash of the id, with its rows of other components."""
+    rows = rows.drop("n_rows", "before")
     centre = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("p"),
                             F.struct([c for c in rows.columns if c != "sig"]).alias("c"))).alias("m")
     # The least of each of as many slots: partial minima, whatever the bucket's size.
@@ -166,8 +175,9 @@ def _star(rows: DataFrame, turn: int, centres: int, allowed: Callable[[str, str]
 
 
 def _all_open(rows: DataFrame, allowed: Callable[[str, str], str]) -> DataFrame:
-    """Pairs within a bucket whose components differ."""
-    return _pairs(rows, rows, f"x.id < y.id AND x.root <> y.root AND {allowed('x', 'y')}")
+    """Pairs within a bucket whose components differ and that share no smaller bucket."""
+    return _pairs(rows, rows, f"x.id < y.id AND x.root <> y.root AND {allowed('x', 'y')}"
+                              " AND NOT arrays_overlap(x.before, y.before)")
 
 
 def _pairs(left: DataFrame, right: DataFrame, condition: str) -> DataFrame:

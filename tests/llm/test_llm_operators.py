@@ -458,6 +458,22 @@ def test_buckets_lose_no_link(spark, monkeypatch):
         assert (find(a) == find(b)) == (got.get(a, ("own", a)) == got.get(b, ("own", b)))
 
 
+def test_a_pair_of_many_buckets_is_made_once(spark, monkeypatch):
+    """Twelve unequal buckets share 20 ids; a bucket of two has its pair tested by the star."""
+    made, plain = [], components._pairs
+
+    def counted(left, right, condition):
+        out = plain(left, right, condition)
+        if "x.id < y.id" in condition:
+            made.append(out.count())
+        return out
+    monkeypatch.setattr(components, "_pairs", counted)
+    rows = [(s, i) for s in range(12) for i in [*range(20), 100 + s]] + [(50, 300), (50, 301)]
+    components.link_buckets(spark.createDataFrame(rows, "sig bigint, id bigint"), lambda p: p.where("a < 0"),
+                            spark.range(400).select("id"), lambda x, y: "true")
+    assert sum(made) == 20 * 19 // 2 + 12 * 20
+
+
 # 4: WARC
 
 def test_warc_against_duckdb(spark):
