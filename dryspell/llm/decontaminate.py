@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dryspell.llm.common import LOWER, fresh, gram_hash, mix, parts, span_hash, spans, text_slices
+from dryspell.llm.common import LOWER, fresh, gram_hash, mix, parts, span_hash, spans, text_slices, tidy
 from dryspell.operators._exec import broadcast_checked, materialize
 
 #: Words of a seed gram.
@@ -96,7 +96,7 @@ def item_grams(items: DataFrame, n: int, threshold: float = THRESHOLD, id_col: s
                      pa.array(at), pa.array(k)], names=["item_id", "n_words", "gram", "at", "k"])
 
     return (items.select(F.col(id_col).cast("bigint").alias("item_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "item_id bigint, n_words bigint, gram bigint, at bigint, k bigint").distinct())
+            .mapInArrow(tidy(run), "item_id bigint, n_words bigint, gram bigint, at bigint, k bigint").distinct())
 
 
 def one_word_suffices(n_words: np.ndarray, threshold: float) -> np.ndarray:
@@ -140,7 +140,7 @@ def seeds(docs: DataFrame, grams: DataFrame, n: int, rkey: str, text_col: str) -
                         [batch.column(0).take(pa.array(row + a)), pa.array(h.view(np.int64)), pa.array(at)],
                         names=["rkey", "gram", "p"])
 
-    hits = docs.select(rkey, text_col).mapInArrow(run, "rkey bigint, gram bigint, p bigint")
+    hits = docs.select(rkey, text_col).mapInArrow(tidy(run), "rkey bigint, gram bigint, p bigint")
     return (hits.join(broadcast_checked(grams.drop("k")), "gram")
             .select("rkey", "item_id", "n_words", (F.col("p") - F.col("at")).alias("diagonal"), "gram"))
 
@@ -253,7 +253,7 @@ def voted(docs: DataFrame, items: DataFrame, rkey: str, text_col: str, threshold
                          pa.array(count[item]), pa.array(band)], names=["rkey", "item_id", "n_words", "band"])
 
         found = docs.select(F.col(rkey).alias("rkey"), text_col).mapInArrow(
-            run, "rkey bigint, item_id bigint, n_words bigint, band bigint")
+            tidy(run), "rkey bigint, item_id bigint, n_words bigint, band bigint")
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -366,4 +366,4 @@ def scan(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int
                                               *[pa.array(v, t) for v, t in zip(columns, arrow)]],
                                              names=schema.fieldNames())
 
-    return joined.select(*[F.col(c) for c in taken], F.col(found)).mapInArrow(run, schema)
+    return joined.select(*[F.col(c) for c in taken], F.col(found)).mapInArrow(tidy(run), schema)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dryspell.llm.common import LOWER, doc_table, fresh, gram_hash, mix, span_hash, spans, text_slices
+from dryspell.llm.common import LOWER, doc_table, fresh, gram_hash, mix, span_hash, spans, text_slices, tidy
 from dryspell.llm.components import link_buckets
 from dryspell.operators._exec import broadcast_checked, materialize, release
 
@@ -250,7 +250,7 @@ def gram_classes(docs: DataFrame, n: int) -> tuple[int, np.ndarray, np.ndarray]:
                         + [pa.array([np.packbits(m, bitorder="little").tobytes()], pa.binary()) for m in maps],
                         names=["part", "common", "frequent"])
 
-    counted = (docs.mapInArrow(send, "block bigint, counters binary, more binary")
+    counted = (docs.mapInArrow(tidy(send), "block bigint, counters binary, more binary")
                .groupBy("block").applyInArrow(count, "part bigint, bit int, frequent boolean"))
     drawn = counted.groupBy("part").applyInArrow(draw, "part bigint, common binary, frequent binary").collect()
     out = [np.zeros((1 << map_bits) // 8, dtype=np.uint8) for _ in range(2)]
@@ -304,7 +304,7 @@ def index_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     names=["doc_id", "rkey", "sid", "n", "sketch", "fold", "sigs"])
 
     return materialize(keyed_texts(docs).mapInArrow(
-        run, "doc_id bigint, rkey bigint, sid bigint, n bigint, sketch binary, fold array<bigint>, sigs array<bigint>"), "jaccard-index")
+        tidy(run), "doc_id bigint, rkey bigint, sid bigint, n bigint, sketch binary, fold array<bigint>, sigs array<bigint>"), "jaccard-index")
 
 
 def _sets_of(docs: DataFrame, index: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -324,7 +324,7 @@ def _sets_of(docs: DataFrame, index: DataFrame, wanted: DataFrame, n: int) -> Da
                                                    pa.list_(pa.int64()))], names=["sid", "grams"])
 
     rows = keyed_texts(docs).join(chosen, "rkey", "left_semi").select("text")
-    return rows.mapInArrow(run, "sid bigint, grams array<bigint>").dropDuplicates(["sid"])
+    return rows.mapInArrow(tidy(run), "sid bigint, grams array<bigint>").dropDuplicates(["sid"])
 
 
 def keyed_texts(docs: DataFrame) -> DataFrame:
@@ -354,7 +354,7 @@ def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(at)),
                                               batch.column("b").take(pa.array(at))], names=["a", "b"])
 
-    return joined.mapInArrow(run, "a bigint, b bigint")
+    return joined.mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -376,7 +376,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)],
                                              names=["a", "b"])
 
-    return joined.select("a", "b", "ga", "gb").mapInArrow(run, "a bigint, b bigint")
+    return joined.select("a", "b", "ga", "gb").mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def _rooted(docs: DataFrame, n: int, percent: int) -> DataFrame:

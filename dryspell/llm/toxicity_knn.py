@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dryspell.llm.common import (LOWER, append_columns, bounded_sample, doc_table, fresh, mix,
-                                 span_hash, spans, text_slices, word_rows)
+                                 span_hash, spans, text_slices, tidy, word_rows)
 
 #: Examples of each label, about (at most twice that).
 EXAMPLES_PER_CLASS = 1500
@@ -222,7 +222,7 @@ def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.nd
         df[-1] = rows
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df))), pa.array(df)], names=["term", "n"])
 
-    got = (doc_table(docs).select("text").mapInArrow(run, "term bigint, n bigint")
+    got = (doc_table(docs).select("text").mapInArrow(tidy(run), "term bigint, n bigint")
            .groupBy("term").agg(F.sum("n").alias("n")).toPandas())
     df = np.zeros(len(vocabulary) + 1, dtype=np.int64)
     df[got["term"].to_numpy(dtype=np.int64)] = got["n"].to_numpy(dtype=np.int64)
@@ -257,7 +257,7 @@ def fit(docs: DataFrame, labelled: DataFrame, per_class: int = EXAMPLES_PER_CLAS
                     names=["doc_id", "label", "term", "tf"])
 
     got = (rows.select("doc_id", F.col("label").cast("int").alias("label"), "text")
-           .mapInArrow(run, "doc_id bigint, label int, term array<bigint>, tf array<int>")
+           .mapInArrow(tidy(run), "doc_id bigint, label int, term array<bigint>, tf array<int>")
            .dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id").combine_chunks())
     ids, label = got["doc_id"].to_numpy(), got["label"].to_numpy()
     if len(set(label.tolist())) < 2:

@@ -644,6 +644,21 @@ def test_line_edit_similarity():
         assert line_dedup.similar(x, y) == want
 
 
+def test_lines_are_aligned_together_as_one_by_one():
+    rng = random.Random(7)
+    pairs = []
+    for n in [*range(0, 60), 200, 511, 512, 700, 3000] * 4:
+        x = [rng.randrange(40) for _ in range(n)]
+        y = list(x)
+        for _ in range(rng.randint(0, n // 4 + 1)):
+            p, kind = rng.randrange(len(y) + 1), rng.randrange(3)
+            y[p:p + (kind != 0)] = [99] if kind < 2 else []
+        pairs.append((np.array(x, np.int64), np.array(y, np.int64)))
+    flat = [f for side in zip(*pairs) for f in (np.concatenate(side), np.append(0, np.cumsum([len(w) for w in side])))]
+    got = line_dedup.similar_pairs(*flat)
+    assert got.tolist() == [line_dedup.similar(x, y) for x, y in pairs] and 0 < got.sum() < len(pairs)
+
+
 def test_simhash_matches_plain_votes():
     import pyarrow as pa
     from dryspell.llm.common import text_slices
