@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dryspell.llm.common import append_columns, fresh
+from dryspell.llm.common import append_columns, fresh, hold
 
 #: Fixed value: Unicode White_Space, which the vocabulary's splitting drops.
 SPACES = "\t-\r \x85\xa0" + "".join(
@@ -405,11 +405,14 @@ class TextDecoder:
 
 
 _LOADED: dict[str, Bpe] = {}
+#: By this name the encoder of a process is held over tasks.
+OWNER = "bpe"
 
 
 def loaded(source: str) -> Bpe:
-    """One encoder per process and vocabulary, so its caches last over tasks."""
+    """One encoder per process and vocabulary, so its caches last over tasks, until one of another operator."""
     key = hashlib.sha256(source.encode()).hexdigest()
+    hold(OWNER, _LOADED.clear)
     if key not in _LOADED:
         _LOADED.clear()
         _LOADED[key] = Bpe(source)
@@ -465,4 +468,4 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, text_col: str = "tex
 
         return batch
 
-    return append_columns(docs, text_col, make, fields)
+    return append_columns(docs, text_col, make, fields, OWNER)

@@ -18,7 +18,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from dryspell.llm import (bpe, components, decontaminate, jaccard_join, language_id, license_scan, line_crf,
+from dryspell.llm import (bpe, common, components, decontaminate, jaccard_join, language_id, license_scan, line_crf,
                           line_dedup, queries, topk, toxicity_knn, warc)
 from dryspell.session import scratch_path
 
@@ -323,6 +323,14 @@ def test_bpe_text_streams_in_any_slices_and_constant_memory(encoder, monkeypatch
     assert peaks[1] < 1.2 * peaks[0] + 100_000
 
 
+def test_encoder_is_held_over_its_own_tasks_only():
+    with open(VOCABULARY, encoding="utf-8") as f:
+        source = f.read()
+    first = bpe.loaded(source)
+    assert list(common.tidy(iter, bpe.OWNER)([1])) == [1] and bpe.loaded(source) is first
+    assert list(common.tidy(iter)([1])) == [1] and not bpe._LOADED
+
+
 def test_decoder_is_incremental(encoder):
     text = "héllo wörld 中\U0001f642 end"
     ids = encoder.encode(text).tolist()
