@@ -7,6 +7,7 @@ cut by writing small Parquet tables to the shared checkpoint folder.
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
@@ -18,6 +19,8 @@ from dryspell.operators._exec import materialize, release
 #: the first star; larger ones get stars about more and more centres first.
 SMALL_BUCKET = 64
 CENTRES = (4, 16, 64)
+#: Seconds in which Spark's listeners and its cleaner do what they have at hand.
+SETTLE = 0.3
 #: Smaller buckets of a row that are looked through for a pair that is met there.
 BEFORE = 16
 
@@ -91,6 +94,7 @@ def link_buckets(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
                  features: DataFrame, allowed: Callable[[str, str], str]) -> DataFrame:
     """Components (id, root) under exact links, of ids that share a ``sig`` in ``rows`` (sig, id).
 
+    ``rows`` are read once, and deleted if they are a written table.
     ``verify`` takes distinct pairs (a, b) and returns those that are links.
     ``features`` (id, ...) are small columns from which ``allowed(x, y)``, a
     SQL condition on two rows, can tell at once that a pair is no link; it is
@@ -119,6 +123,7 @@ def link_buckets(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
     before = Window.partitionBy("id").orderBy("n_rows", "sig").rowsBetween(-BEFORE, -1)
     active = materialize(mixed.join(features, "id").withColumn("root", F.col("id"))
                          .withColumn("before", F.collect_list("sig").over(before)), "buckets")
+    release(rows)
     drop_shuffles(rows.sparkSession)
     pairs, root = _star(active, 0, 1, allowed), None
     for turn, centres in enumerate([*CENTRES, None], start=1):
@@ -143,9 +148,15 @@ def link_buckets(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
 
 
 def drop_shuffles(spark) -> None:
-    """Have the files of shuffles that no plan reads any more deleted: Spark does so once the driver's JVM collects the plan."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Have the files of shuffles that no plan reads any more deleted: Spark does so once the driver's JVM collects the plan.
+
+    A plan that has just run is still held by the events that tell of its end; a second
+    collection, a moment later, finds it free.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(SETTLE)
 
 
 def _links(verify: Callable[[DataFrame], DataFrame], pairs: DataFrame) -> DataFrame:

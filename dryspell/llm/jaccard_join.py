@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dryspell.llm.common import LOWER, doc_table, fresh, gram_hash, mix, span_hash, spans, text_slices, tidy
-from dryspell.llm.components import link_buckets
+from dryspell.llm.components import drop_shuffles, link_buckets
 from dryspell.operators._exec import broadcast_checked, materialize, release
 
 #: Words of a gram, and the threshold as percent of the union.
@@ -252,11 +252,13 @@ def gram_classes(docs: DataFrame, n: int) -> tuple[int, np.ndarray, np.ndarray]:
 
     counted = (docs.mapInArrow(tidy(send), "block bigint, counters binary, more binary")
                .groupBy("block").applyInArrow(count, "part bigint, bit int, frequent boolean"))
-    drawn = counted.groupBy("part").applyInArrow(draw, "part bigint, common binary, frequent binary").collect()
+    # As a table: the counters' shuffle goes with the plan that wrote it.
+    drawn = materialize(counted.groupBy("part").applyInArrow(draw, "part bigint, common binary, frequent binary"), "gram-classes")
     out = [np.zeros((1 << map_bits) // 8, dtype=np.uint8) for _ in range(2)]
-    for r in drawn:
+    for r in drawn.collect():
         for m, name in zip(out, ("common", "frequent")):
             m[r["part"] * 8192:(r["part"] + 1) * 8192] = np.frombuffer(r[name], np.uint8)
+    release(drawn)
     return map_bits, out[0], out[1]
 
 
@@ -267,6 +269,7 @@ def bits_of(bitmap: np.ndarray, place: np.ndarray) -> np.ndarray:
 def index_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, rkey, sid, n, sketch, fold, sigs) per row; a set's sketches and entries come once per task."""
     classes = docs.sparkSession.sparkContext.broadcast(gram_classes(docs, n))
+    drop_shuffles(docs.sparkSession)
 
     def run(batches):
         map_bits, common, frequent = classes.value
@@ -395,6 +398,7 @@ def _rooted(docs: DataFrame, n: int, percent: int) -> DataFrame:
         sets = materialize(_sets_of(docs, index, wanted, n), "jaccard-sets")
         links = materialize(_verified(near, sets, percent), "jaccard-links")
         release(near, wanted, sets)
+        drop_shuffles(docs.sparkSession)
         return links
 
     folds = [f"k{i}" for i in range(SKETCH // 64)]

@@ -6,6 +6,7 @@ import json
 import math
 import random
 import re
+import time
 import tracemalloc
 import zlib
 from collections import defaultdict
@@ -484,6 +485,26 @@ def test_a_pair_of_many_buckets_is_made_once(spark, monkeypatch):
 
 # 4: WARC
 
+def test_shuffle_files_go_once_their_table_is_written(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        found = disk.getAllFiles()
+        return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+    components.drop_shuffles(spark)
+    before = shuffled()
+    made = components.materialize(spark.range(1000).repartition(4, "id"), "shuffled")
+    assert shuffled() - before
+    components.drop_shuffles(spark)
+    for _ in range(20):      # the cleaner is a thread of its own
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert made.count() == 1000
+
+
 def test_warc_against_duckdb(spark):
     against_duckdb(spark, "op4_warc")
 
