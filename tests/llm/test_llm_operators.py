@@ -483,6 +483,24 @@ def test_a_pair_of_many_buckets_is_made_once(spark, monkeypatch):
     assert sum(made) == 20 * 19 // 2 + 12 * 20
 
 
+@pytest.mark.parametrize("alike, stars", [(False, 2), (True, 4)])
+def test_stars_end_where_rows_are_unlike(spark, monkeypatch, alike, stars):
+    """200 ids share a bucket, whose only link is of ids 3 and 196: all pairs are tested after one star more, or three."""
+    monkeypatch.setattr(components, "SMALL_BUCKET", 8)
+    monkeypatch.setattr(components, "CENTRES", (2, 3, 4))
+    made, plain = [], components._star
+
+    def counted(rows, turn, centres, allowed):
+        made.append(centres)
+        return plain(rows, turn, centres, allowed)
+    monkeypatch.setattr(components, "_star", counted)
+    got = components.link_buckets(
+        spark.range(200).selectExpr("5 AS sig", "id"), lambda p: p.where("a = 3 AND b = 196"),
+        spark.range(200).selectExpr("id", "id AS f"), lambda x, y: "true" if alike else f"{x}.f + {y}.f = 199").collect()
+    assert len(made) == stars
+    assert sorted(r["id"] for r in got) == [3, 196] and len({r["root"] for r in got}) == 1
+
+
 # 4: WARC
 
 def test_shuffle_files_go_once_their_table_is_written(spark):
