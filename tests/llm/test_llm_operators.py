@@ -777,6 +777,80 @@ def test_line_dedup_finds_every_pair_at_the_threshold(spark):
     assert len(like) >= copies and all(rows[a][0] in gone or rows[b][0] in gone for a, b in like)
 
 
+def _like_lines(rng, n):
+    """Words of a line, and of one with as many edits as the threshold allows."""
+    invent = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9)))
+    x = [invent() if rng.random() < 0.8 else "ab" for _ in range(n)]
+    y = list(x)
+    for _ in range(n // 5 + 2):
+        kind, p = rng.randrange(3), rng.randrange(len(y))
+        new = y[:p] + ([invent()] if kind < 2 else []) + y[p + (kind != 1):]
+        if line_dedup.similar(*(line_dedup._words_of(" ".join(w).encode()) for w in (x, new))):
+            y = new
+    return x, y
+
+
+def test_entries_of_similar_lines_meet_as_often_as_is_sure():
+    """No line with a similar one has fewer entries met than the index asks of it, copies of it or not."""
+    rng = random.Random(5)
+    for n in [*range(4, 41), 49, 50, 57, 64, 99, 110, 260]:
+        for _ in range(8):
+            x, y = _like_lines(rng, n)
+            if len(y) < 4:
+                continue
+            raw = np.frombuffer("\n".join([" ".join(x), " ".join(y)]).encode(), np.uint8)
+            lines = line_dedup.Lines(raw, np.array([0, len(raw)]))
+            row, key, place = line_dedup.prefix_entries(lines, np.array([0, 1]))
+            order = np.argsort(key)
+            row, key, place = row[order], key[order], place[order]
+            found = line_dedup.met(key, line_dedup.length_classes(lines.count)[row], place)
+            need = line_dedup.surely_shared((4 * lines.count + 4) // 5)
+            assert (np.bincount(row[found], minlength=2) >= need).all(), (x, y)
+
+
+def test_entries_met_by_length_and_place():
+    value = np.array([1, 1, 2, 2, 3, 3, 4, *[5] * 40], dtype=np.uint64)
+    n = np.array([50, 55, 50, 70, 50, 50, 50, *[8, 80] * 20])
+    place = np.array([10, 20, 10, 10, 10, 200, 10, *[0] * 40], dtype=np.uint8)
+    got = line_dedup.met(value, line_dedup.length_classes(n), place)
+    assert got.tolist() == [True, True, *[False] * 5, *[True] * 40]
+    place[5] = line_dedup.ANYWHERE
+    assert line_dedup.met(value, line_dedup.length_classes(n), place)[4:6].all()
+
+
+def test_unlike_lines_leave_the_index(spark, monkeypatch):
+    """Lines that share a phrase and no more are dropped before they are rows, like ones stay, however many share an entry."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(8))
+    phrase = [word() for _ in range(3)]
+    texts = [" ".join([word() for _ in range(20)] + phrase + [word() for _ in range(20)]) for _ in range(60)]
+    like = texts[7].split()
+    like[3], like[30] = word(), word()
+    for hot, window in ((16, 1 << 20), (1, 100)):
+        monkeypatch.setattr(line_dedup, "HOT", hot)
+        monkeypatch.setattr(line_dedup, "WINDOW", window)
+        df = spark.createDataFrame(list(enumerate([*texts, " ".join(like)])), "rkey bigint, text string").repartition(3)
+        lines = line_dedup.line_table(df, "text", "rkey", "rkey", 1)
+        index = line_dedup.line_index(df, lines, 1)
+        assert "Join" not in index._jdf.queryExecution().toString()
+        keys = {r["rkey"]: r["key"] for r in lines.collect()}
+        got = index.where("sig IS NOT NULL").collect()
+        assert {r["id"] for r in got} == {keys[7], keys[60]}
+        assert {r["id"] for r in index.where("sig IS NULL").collect()} == {keys[7], keys[60]}
+
+
+def test_alignment_of_lines_that_share_ends_or_words():
+    """Pairs with like ends, the same words in another order, nothing in common or no words at all."""
+    base = np.arange(1, 41, dtype=np.int64) << 30
+    pairs = [(base, base), (base, base[::-1]), (base, np.delete(base, 5)), (base, np.delete(base, np.s_[:9])),
+             (base, np.append(base[:32], base[:8] + 1)), (base, np.append(base[:31], base[:9] + (1 << 40))),
+             (base, np.repeat(base[:1], 40)), (base[:0], base[:0]), (np.tile(base, 30), np.tile(base, 30)[1:]),
+             (np.tile(base, 30), np.tile(base[::-1], 30)), (np.repeat(base[:2], 10), np.repeat(base[:2], 9))]
+    flat = [f(v) for i in (0, 1) for f, v in ((np.concatenate, [p[i] for p in pairs]),
+                                              (np.cumsum, [0, *[len(p[i]) for p in pairs]]))]
+    assert line_dedup.similar_pairs(*flat).tolist() == [line_dedup.similar(x, y) for x, y in pairs]
+
+
 def test_line_dedup_query_takes_short_lines(spark, tmp_path):
     rows = [(1, "all rights reserved\nalpha beta gamma\n\n!"), (2, "All rights, reserved!\ndelta\n\n!"),
             (3, "delta\none two three four five"), (4, "one two three four")]
