@@ -839,7 +839,7 @@ def test_unlike_lines_leave_the_index(spark, monkeypatch):
         assert {r["id"] for r in index.where("sig IS NULL").collect()} == {keys[7], keys[60]}
 
 
-def test_alignment_of_lines_that_share_ends_or_words():
+def test_alignment_of_lines_that_share_ends_or_words(monkeypatch):
     """Pairs with like ends, the same words in another order, nothing in common or no words at all."""
     base = np.arange(1, 41, dtype=np.int64) << 30
     pairs = [(base, base), (base, base[::-1]), (base, np.delete(base, 5)), (base, np.delete(base, np.s_[:9])),
@@ -848,7 +848,13 @@ def test_alignment_of_lines_that_share_ends_or_words():
              (np.tile(base, 30), np.tile(base[::-1], 30)), (np.repeat(base[:2], 10), np.repeat(base[:2], 9))]
     flat = [f(v) for i in (0, 1) for f, v in ((np.concatenate, [p[i] for p in pairs]),
                                               (np.cumsum, [0, *[len(p[i]) for p in pairs]]))]
-    assert line_dedup.similar_pairs(*flat).tolist() == [line_dedup.similar(x, y) for x, y in pairs]
+    want = [line_dedup.similar(x, y) for x, y in pairs]
+    assert line_dedup.similar_pairs(*flat).tolist() == want
+    # However many words are compared together, which bounds what is held at once.
+    held, plain = [], line_dedup._unlike_words
+    monkeypatch.setattr(line_dedup, "_unlike_words", lambda *a: held.append(a[2].sum() + a[5].sum()) or plain(*a))
+    monkeypatch.setattr(line_dedup, "WORDS", 100)
+    assert line_dedup.similar_pairs(*flat).tolist() == want and len(held) > 5
 
 
 def test_line_dedup_query_takes_short_lines(spark, tmp_path):
